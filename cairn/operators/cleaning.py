@@ -55,7 +55,8 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: OrderSpec) -> Dat
     ``order_by`` holds column names (ascending) or ``(name, ascending)``
     pairs; nulls sort first ascending and last descending, as in SQL
     windows.  Rows tied on the whole order are broken by the remaining
-    columns, so the survivor never depends on partitioning.
+    columns (ascending, or descending when every sort column is), so the
+    survivor never depends on partitioning or on task timing.
 
     Plan: one grouped ``min``/``max`` over a struct whose leading fields are
     the sort columns.  It is an ordinary aggregate with map-side partial
@@ -90,6 +91,10 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: OrderSpec) -> Dat
             *[F.col(n).asc() if a else F.col(n).desc() for n, a in order], *[F.col(c).asc() for c in rest])
         return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
-    payload = [F.col(c).alias(f"_v_{c}") for c in order_names + rest]
+    # sort fields first; payload holds only what the sort fields do not carry as is
+    negated = [n for n, a in order if not (all_asc or all_desc) and not a]
+    payload = [F.col(c).alias(f"_v_{c}") for c in negated + rest]
     best = df.groupBy(*keys).agg(pick(F.struct(*fields, *payload)).alias("_best"))
-    return best.select(*keys, *[F.col(f"_best._v_{c}").alias(c) for c in order_names + rest]).select(*df.columns)
+    source = {n: f"_best._o{i}" for i, n in enumerate(order_names)}
+    source.update({c: f"_best._v_{c}" for c in negated + rest})
+    return best.select(*keys, *[F.col(source[c]).alias(c) for c in order_names + rest]).select(*df.columns)
