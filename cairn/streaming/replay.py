@@ -57,13 +57,20 @@ def running_totals(stream: DataFrame, keys: Sequence[str], value: str) -> DataFr
 
 
 def run_to_end(stream_df: DataFrame, name: str, mode: str = "complete", sink: str = "table",
-               path: str | None = None, checkpoint: str | None = None, timeout: float = 600.0) -> StreamingQuery:
+               path: str | None = None, checkpoint: str | None = None, timeout: float = 600.0,
+               state_partitions: int | None = None) -> StreamingQuery:
     """Run a streaming query over everything available now, then stop.
 
-    ``sink="table"`` writes Parquet at ``path`` (default: a new folder under
-    the shared checkpoint directory) through ``foreachBatch``; ``"memory"``
-    keeps the result in the driver as table ``name``.  Raises if the query
-    fails or does not finish within ``timeout`` seconds.
+    ``sink="table"`` writes Parquet at ``path`` through ``foreachBatch``;
+    ``"memory"`` keeps the result in the driver as table ``name``.  The
+    checkpoint goes below the shared checkpoint directory unless given.
+    Raises if the query fails or does not finish within ``timeout`` seconds.
+
+    ``state_partitions`` sets the number of state-store partitions of the
+    query (fixed in its checkpoint at first start).  Every micro-batch
+    commits every state partition, so it should follow the number of
+    grouping keys, not the input volume: map-side partial aggregation
+    already reduces each batch to one row per key and input task.
     """
     spark = stream_df.sparkSession
     checkpoint = checkpoint or scratch_path(spark, f"stream-checkpoint-{name}")
@@ -86,8 +93,15 @@ def run_to_end(stream_df: DataFrame, name: str, mode: str = "complete", sink: st
         writer = writer.foreachBatch(write_batch)
     else:
         raise ValueError(f"unknown sink {sink!r}")
-    query = writer.start()
-    finished = query.awaitTermination(timeout)
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        # read by the stream's own thread when it starts; restored once the run is over
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        query = writer.start()
+        finished = query.awaitTermination(timeout)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
     if query.exception() is not None:
         raise RuntimeError(f"streaming query {name} failed: {query.exception()}")
     if not finished:
