@@ -51,15 +51,21 @@ def _grouped(df: DataFrame, by: Sequence[str], aggs: list[Column]) -> DataFrame:
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
-def pearson_matrix(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), scale: int | None = DEFAULT_SCALE
-                   ) -> DataFrame:
-    """Pearson correlation of every pair of ``cols`` as long rows ``(x, y, n, r)``.
+def pearson_matrix(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), scale: int | None = DEFAULT_SCALE,
+                   shape: str = "long") -> DataFrame:
+    """Pearson correlation of every pair of ``cols``.
 
     All k·(k+1)/2 co-moments come from one aggregate (one pass, partial
     aggregation); the matrix is then emitted in both orders, diagonal
-    included, so it reads like the k×k matrix.  Pairs use the rows where
-    both values are present.  A constant column gives ``r = null``.
+    included.  Pairs use the rows where both values are present.  A
+    constant column gives ``r = null``.
+
+    ``shape="long"``: rows ``(x, y, n, r)``; ``shape="wide"``: one row per
+    ``x`` with one ``r`` column per variable, like the printed k×k matrix.
     """
+    if shape == "wide":
+        long = pearson_matrix(df, cols, by, scale, shape="long")
+        return long.groupBy(*by, "x").pivot("y", list(cols)).agg(F.first("r"))
     cols = list(cols)
     by = list(by)
     pairs = list(combinations_with_replacement(range(len(cols)), 2))

@@ -11,8 +11,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cairn") -> SparkSession:
@@ -57,3 +60,19 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new, unique sub-folder of the shared directory for one job's stage data."""
     return f"{shared_dir(spark)}/cairn/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """Cache ``df`` for the actions inside the ``with`` block, then release it.
+
+    Worth it only when one frame feeds two or more actions; a cached frame
+    is served from memory/disk, and lost blocks are recomputed from
+    lineage.  Cache *after* projecting to the needed columns, or column
+    pruning stops at the cache.
+    """
+    cached = df.persist(level)
+    try:
+        yield cached
+    finally:
+        cached.unpersist()

@@ -60,6 +60,16 @@ def read_typed_csv(spark: SparkSession, path: str, schema: StructType | None = N
     return reader.csv(path)
 
 
+def typed_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Cast string columns to declared types with ``try_cast``: bad text → null.
+
+    The reference sums a string column and relies on an implicit cast,
+    which fails under ANSI mode on text such as a repeated header line;
+    casting explicitly at the source keeps every later expression typed.
+    """
+    return df.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+
+
 def write_stage(df: DataFrame, path: str, fmt: str = "parquet", header: bool = True, mode: str = "overwrite",
                 partition_by: Sequence[str] = ()) -> str:
     """Write a stage table (Parquet by default, CSV with header on request)."""

@@ -47,13 +47,19 @@ def replay_files(spark: SparkSession, path: str, schema: StructType, files_per_t
     return reader.format(fmt).load(path)
 
 
-def running_totals(stream: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Running ``total``, ``count`` (rows) and ``count_values`` (non-null values) per key."""
-    return stream.groupBy(*keys).agg(
+def running_totals(stream: DataFrame, keys: Sequence[str], value: str, sort_desc: str | None = None) -> DataFrame:
+    """Running ``total``, ``count`` (rows) and ``count_values`` (non-null values) per key.
+
+    ``sort_desc`` (e.g. ``"count"``) orders the result descending by that
+    column; Spark accepts a sorted streaming aggregate only in complete
+    output mode, where every trigger re-emits the whole (small) result.
+    """
+    totals = stream.groupBy(*keys).agg(
         F.sum(F.col(value)).alias("total"),
         F.count(F.lit(1)).alias("count"),
         F.count(F.col(value)).alias("count_values"),
     )
+    return totals.orderBy(F.desc(sort_desc)) if sort_desc else totals
 
 
 def run_to_end(stream_df: DataFrame, name: str, mode: str = "complete", sink: str = "table",

@@ -78,3 +78,21 @@ def test_split_write_one_folder_per_value(spark):
     assert sorted(d for d in os.listdir(local) if d.startswith("k=")) == ["k=hot", "k=v0", "k=v1"]
     back = read_typed_csv(spark, path, StructType([StructField("id", IntegerType()), StructField("k", StringType())]))
     assert rows(back) == rows(df)
+
+
+def test_typed_columns_bad_text_becomes_null(spark):
+    from cairn.sources.files import typed_columns
+
+    df = spark.createDataFrame([("1.5", "a"), ("Price", "b"), (None, "c")], "Price string, Old string")
+    assert rows(typed_columns(df, {"Price": "double"})) == [(1.5, "a"), (None, "b"), (None, "c")]
+
+
+def test_persisted_caches_then_releases(spark):
+    from cairn.session import persisted
+
+    df = spark.range(100).selectExpr("id % 7 AS k")
+    with persisted(df) as cached:
+        assert cached.is_cached
+        assert "InMemoryRelation" in cached.groupBy("k").count()._jdf.queryExecution().optimizedPlan().toString()
+        assert cached.count() == 100
+    assert not df.is_cached

@@ -133,3 +133,9 @@ def test_stats_core_aggregate_has_no_python(spark):
     # python appears only once, after the aggregate (the p-value finisher)
     assert plan.count("ArrowEvalPython") == 1
     assert plan.index("ArrowEvalPython") < plan.index("HashAggregate")
+
+
+def test_pearson_matrix_wide_shape(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 9.0), (2.0, 4.0, 7.0), (3.0, 7.0, 1.0)], "a double, b double, c double")
+    wide = {r["x"]: r for r in pearson_matrix(df, ["a", "b", "c"], shape="wide").collect()}
+    assert set(wide) == {"a", "b", "c"} and wide["a"]["a"] == 1.0 and wide["a"]["b"] == wide["b"]["a"]

@@ -55,8 +55,10 @@ def test_one_file_per_trigger_and_update_mode(spark):
 
 def test_memory_sink_and_sql_on_result(spark):
     src = _files(spark, CHUNKS)
-    run_to_end(running_totals(replay_files(spark, src, SCHEMA), ["Old"], "Price"), "t_mem_counts", sink="memory")
+    totals = running_totals(replay_files(spark, src, SCHEMA), ["Old"], "Price", sort_desc="count")
+    run_to_end(totals, "t_mem_counts", sink="memory")
     got = spark.sql("SELECT Old, count, round(total / count, 2) AS avg_price FROM t_mem_counts").collect()
+    assert [r["count"] for r in got] == sorted((r["count"] for r in got), reverse=True)
     assert sorted((r["Old"], r["count"], r["avg_price"]) for r in got) == [("a", 2, 50.0), ("b", 2, 125.0),
                                                                             ("c", 1, 10.0)]
 
