@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
 
 from cairn.operators.combine import null_safe_join
+from cairn.session import ship_by_value
+
+ship_by_value(__name__)
 
 
 def top_k(df: DataFrame, order: Sequence[Column | str], k: int, tie_break: Sequence[str] = ()) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from cairn.functions.distributions import f_test_p, t_test_p
 from cairn.functions.numeric import rounded
-from cairn.operators.combine import broadcast_if_small, null_safe_join
+from cairn.operators.combine import null_safe_join
 
 DEFAULT_SCALE = 6
 
@@ -201,13 +201,14 @@ def check_assumptions(df: DataFrame, value: str, group: str, by: Sequence[str] =
       population skewness and excess kurtosis.
 
     Columns: ``by..., test, group, n, statistic, p_value, reject_null``.
-    The group means are joined back to the rows; that table has one row per
-    group and is broadcast only when proven small.
+    The group means (one row per group) are joined back to the rows; the
+    join is broadcast by AQE once the means' real size is known, and stays a
+    shuffle join (with skew splitting) when there are very many groups.
     """
     by = list(by)
     clean = df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
     means = clean.groupBy(*by, group).agg(F.avg(value).alias("_gmean"))
-    keyed = null_safe_join(clean, broadcast_if_small(means), [*by, group])
+    keyed = null_safe_join(clean, means, [*by, group])
     deviations = keyed.select(*by, group, F.abs(F.col(value) - F.col("_gmean")).alias("_dev"))
     lev = anova_oneway(deviations, "_dev", group, by=by, alpha=alpha, scale=None)
     levene = lev.select(*by, F.lit("levene").alias("test"), F.lit(None).cast("string").alias("group"), "n",

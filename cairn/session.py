@@ -9,6 +9,7 @@ none configured, which is the case in local tests.
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -18,17 +19,43 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
+CLUSTER_PROFILE = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # No broadcast planned from file-size estimates (compressed Parquet can
+    # inflate many times); AQE broadcasts a side only after its shuffle has
+    # run and its real size is known, and explicit broadcasts are used only
+    # for tables with a proven row bound.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def ship_by_value(module_name: str) -> None:
+    """Send a module's functions to the executors inside the task closures.
+
+    Python UDFs and ``mapInPandas`` functions are normally pickled by
+    reference, so every executor would need this package installed.
+    Pickling them by value makes the few functions that run inside tasks
+    self-contained; numpy/pandas/pyarrow, which are imported by reference,
+    are part of any PySpark installation.
+    """
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cairn") -> SparkSession:
     """A local session configured like the cluster profile (AQE on, UI off, UTC)."""
+    builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
+    for key, value in CLUSTER_PROFILE.items():
+        builder = builder.config(key, value)
     return (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
+        builder
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CAIRN_DRIVER_MEMORY", "8g"))
         .getOrCreate()
