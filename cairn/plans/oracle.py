@@ -80,23 +80,28 @@ SELECT t.l_returnflag, 'l_discount' AS x, 'l_quantity' AS y, t.n, {_round('t.r',
        t.df, {_round('p.p', 6)} AS p_value, p.p < 0.05 AS reject_null
 FROM t JOIN p USING (l_returnflag)"""
 
-_WELCH = f"""
-WITH s AS (SELECT COUNT(value) FILTER (WHERE event_type = 'view') AS n_a,
-                  AVG(value) FILTER (WHERE event_type = 'view') AS mean_a,
-                  VAR_SAMP(value) FILTER (WHERE event_type = 'view') AS var_a,
-                  COUNT(value) FILTER (WHERE event_type = 'purchase') AS n_b,
-                  AVG(value) FILTER (WHERE event_type = 'purchase') AS mean_b,
-                  VAR_SAMP(value) FILTER (WHERE event_type = 'purchase') AS var_b
-           FROM events WHERE event_type IN ('view', 'purchase')),
+
+def _welch(source: str, value: str, group: str, a: str, b: str) -> str:
+    return f"""
+WITH s AS (SELECT COUNT({value}) FILTER (WHERE {group} = '{a}') AS n_a,
+                  AVG({value}) FILTER (WHERE {group} = '{a}') AS mean_a,
+                  VAR_SAMP({value}) FILTER (WHERE {group} = '{a}') AS var_a,
+                  COUNT({value}) FILTER (WHERE {group} = '{b}') AS n_b,
+                  AVG({value}) FILTER (WHERE {group} = '{b}') AS mean_b,
+                  VAR_SAMP({value}) FILTER (WHERE {group} = '{b}') AS var_b
+           FROM ({source}) src WHERE {group} IN ('{a}', '{b}')),
 w AS (SELECT *, var_a / n_a AS sa, var_b / n_b AS sb FROM s),
 t AS (SELECT *, (mean_a - mean_b) / sqrt(sa + sb) AS t,
              (sa + sb) * (sa + sb) / (sa * sa / (n_a - 1) + sb * sb / (n_b - 1)) AS df FROM w),
 p AS ({_t_two_sided('t', 'df', 't')})
-SELECT 'view' AS group_a, 'purchase' AS group_b, n_a, n_b, {_round('mean_a', 6)} AS mean_a,
+SELECT '{a}' AS group_a, '{b}' AS group_b, n_a, n_b, {_round('mean_a', 6)} AS mean_a,
        {_round('mean_b', 6)} AS mean_b, {_round('t', 6)} AS t, {_round('df', 6)} AS df,
        {_round('p', 6)} AS p_value, p < 0.05 AS reject_null
 FROM t, p"""
 
+
+_WELCH = _welch("SELECT * FROM events", "value", "event_type", "view", "purchase")
+
 _LEVENE_GROUPS = """
 SELECT e.event_type AS grp, COUNT(abs(e.value - m.gm)) AS n, AVG(abs(e.value - m.gm)) AS m,
        VAR_SAMP(abs(e.value - m.gm)) AS v
@@ -267,6 +272,18 @@ GROUP BY c.c_mktsegment, o.o_orderpriority""", _P_DF1_4, by="c_mktsegment"),
 SELECT event_type, COUNT(*) AS count, COUNT(value) AS count_values, {_round('SUM(value)', 2)} AS total,
        {_round('SUM(value) / COUNT(*)', 2)} AS avg_value, {_round('SUM(value) / COUNT(value)', 2)} AS avg_present
 FROM events GROUP BY event_type""",
+    "participation_topk": """
+SELECT l_suppkey, COUNT(*) AS n_orders FROM (SELECT DISTINCT l_suppkey, l_orderkey FROM lineitem)
+GROUP BY l_suppkey ORDER BY n_orders DESC, l_suppkey LIMIT 5""",
+    "staged_band_means": f"""
+SELECT CASE WHEN l_quantity BETWEEN 1 AND 10 THEN '1-10 units'
+            WHEN l_quantity BETWEEN 11 AND 30 THEN '11-30 units'
+            WHEN l_quantity BETWEEN 31 AND 50 THEN '31-50 units' END AS qty_band,
+       COUNT(*) AS n, {_round('AVG(l_extendedprice)', 2)} AS avg_price
+FROM lineitem WHERE l_discount > 0 GROUP BY 1""",
+    "two_class_comparison": _welch(
+        "SELECT * FROM lineitem WHERE l_returnflag = 'R' OR (l_returnflag = 'N' AND l_discount <> 0)",
+        "l_extendedprice", "l_returnflag", "R", "N"),
     "category_table_ranked": """
 WITH t AS (SELECT o_custkey,
                   COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS n_f,

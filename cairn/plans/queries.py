@@ -370,6 +370,40 @@ def stream_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("total", rounded(F.col("total"), 2))
 
 
+# ---------------------------------------------------------------- multi-step recipes
+
+
+def participation_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers in the most distinct orders (each supplier/order pair counted once), top 5."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    return frequency_topk(lineitem, ["l_suppkey"], 5, distinct_on=["l_suppkey", "l_orderkey"], count_name="n_orders")
+
+
+QUANTITY_BANDS = [(1, 10, "1-10 units"), (11, 30, "11-30 units"), (31, 50, "31-50 units")]
+
+
+def staged_band_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filter, band, stage as headered CSV, re-read typed, then count and mean per band."""
+    lineitem = table(spark, sf_dir, "lineitem").where(F.col("l_discount") > 0)
+    banded = band(lineitem.select("l_quantity", "l_extendedprice"), "l_quantity", QUANTITY_BANDS, "qty_band")
+    path = write_stage(banded, scratch_path(spark, "lineitem-bands-csv"), fmt="csv")
+    schema = StructType([StructField("l_quantity", DoubleType()), StructField("l_extendedprice", DoubleType()),
+                         StructField("qty_band", StringType())])
+    staged = read_typed_csv(spark, path, schema=schema, check_header=True)
+    return staged.groupBy("qty_band").agg(F.count(F.lit(1)).alias("n"),
+                                          rounded(F.avg("l_extendedprice"), 2).alias("avg_price"))
+
+
+def two_class_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keep class R, and class N only with a discount; stage; Welch test of price R vs N."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    keep = (F.col("l_returnflag") == "R") | ((F.col("l_returnflag") == "N") & (F.col("l_discount") != 0))
+    path = write_stage(lineitem.where(keep).select("l_returnflag", "l_extendedprice"),
+                       scratch_path(spark, "lineitem-classes"))
+    staged = spark.read.parquet(path)
+    return welch_t(staged, "l_extendedprice", "l_returnflag", "R", "N")
+
+
 # ---------------------------------------------------------------- flagship recipe
 
 
@@ -426,4 +460,7 @@ QUERIES: dict[str, Query] = {
     "assumption_checks": assumption_checks,
     "stream_running_totals": stream_running_totals,
     "category_table_ranked": category_table_ranked,
+    "participation_topk": participation_topk,
+    "staged_band_means": staged_band_means,
+    "two_class_comparison": two_class_comparison,
 }

@@ -55,6 +55,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return (
         builder
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CAIRN_DRIVER_MEMORY", "8g"))

@@ -139,3 +139,14 @@ def test_pearson_matrix_wide_shape(spark):
     df = spark.createDataFrame([(1.0, 2.0, 9.0), (2.0, 4.0, 7.0), (3.0, 7.0, 1.0)], "a double, b double, c double")
     wide = {r["x"]: r for r in pearson_matrix(df, ["a", "b", "c"], shape="wide").collect()}
     assert set(wide) == {"a", "b", "c"} and wide["a"]["a"] == 1.0 and wide["a"]["b"] == wide["b"]["a"]
+
+
+def test_anova_empty_group_is_ignored(spark):
+    data = [("a", 1.0), ("a", 2.0), ("b", 3.0), ("b", 5.0), ("c", None), ("c", None)]
+    row = anova_oneway(spark.createDataFrame(data, "g string, x double"), "x", "g").collect()[0]
+    assert (row["k"], row["n"], row["df_between"], row["df_within"]) == (2, 4, 1, 2)
+
+
+def test_single_row_correlation_is_null(spark):
+    out = pearson_test(spark.createDataFrame([(1.0, 2.0)], "x double, y double"), "x", "y").collect()[0]
+    assert out["n"] == 1 and out["r"] is None and out["p_value"] is None
