@@ -6,7 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import (BooleanType, DataType, DateType, NumericType, StringType, TimestampNTZType,
+                               TimestampType)
 
 OrderSpec = Sequence[str | tuple[str, bool]]
 
@@ -49,6 +50,30 @@ def _order_pairs(order_by: OrderSpec) -> list[tuple[str, bool]]:
     return [(o, True) if isinstance(o, str) else (o[0], bool(o[1])) for o in order_by]
 
 
+def _descending_key(name: str, dtype: DataType) -> Column | None:
+    """An expression whose ascending order is the descending order of ``name``.
+
+    Numbers, booleans, dates and timestamps are negated; strings are turned
+    into the hex text of their UTF-8 bytes with every digit complemented
+    (0↔F, 1↔E, …) followed by a terminator that sorts above every digit, so
+    byte-wise order — Spark's string order — is reversed, prefixes included
+    ("abc" before "ab").  ``None`` for types without such a key.
+    """
+    c = F.col(name)
+    if isinstance(dtype, BooleanType):
+        return -c.cast("int")
+    if isinstance(dtype, NumericType):
+        return -c
+    if isinstance(dtype, DateType):
+        return -F.unix_date(c)
+    if isinstance(dtype, (TimestampType, TimestampNTZType)):
+        return -F.unix_micros(c.cast("timestamp"))
+    if isinstance(dtype, StringType):
+        return F.concat(F.translate(F.hex(F.encode(c, "UTF-8")), "0123456789ABCDEF", "FEDCBA9876543210"),
+                        F.lit("Z"))
+    return None
+
+
 def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: OrderSpec) -> DataFrame:
     """Keep one row per ``keys``: the first under ``order_by``.
 
@@ -62,9 +87,11 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: OrderSpec) -> Dat
     the sort columns.  It is an ordinary aggregate with map-side partial
     aggregation, so a key that holds a third of the rows is reduced to one
     row per input partition before the shuffle instead of being sorted in a
-    single task, as a ``row_number()`` window would do.  Descending numeric
-    columns inside an otherwise ascending order are negated; a mix of
-    directions on non-numeric columns falls back to the window form.
+    single task, as a ``row_number()`` window would do.  With mixed
+    directions, each descending column is replaced in the struct by an
+    order-reversing key (see :func:`_descending_key`).  Only a descending
+    column of a type without such a key (e.g. arrays) falls back to the
+    window form.
     """
     keys = list(keys)
     order = _order_pairs(order_by)
@@ -75,24 +102,26 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: OrderSpec) -> Dat
     all_asc = all(a for _, a in order)
     all_desc = all(not a for _, a in order)
     fields: list[Column] = []
+    negated: list[str] = []
     if all_asc or all_desc:
         fields = [F.col(n).alias(f"_o{i}") for i, n in enumerate(order_names)]
         pick = F.min if all_asc else F.max
-    elif all(a or isinstance(types[n], NumericType) for n, a in order):
+    else:
+        pick = F.min
         for i, (n, asc) in enumerate(order):
             if asc:
                 fields.append(F.col(n).alias(f"_o{i}"))
-            else:  # descending numeric: nulls last, then larger first
-                fields.append(F.col(n).isNull().alias(f"_n{i}"))
-                fields.append((-F.col(n)).alias(f"_o{i}"))
-        pick = F.min
-    else:
-        w = Window.partitionBy(*keys).orderBy(
-            *[F.col(n).asc() if a else F.col(n).desc() for n, a in order], *[F.col(c).asc() for c in rest])
-        return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+                continue
+            key = _descending_key(n, types[n])
+            if key is None:
+                w = Window.partitionBy(*keys).orderBy(
+                    *[F.col(m).asc() if a else F.col(m).desc() for m, a in order], *[F.col(c).asc() for c in rest])
+                return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+            fields.append(F.col(n).isNull().alias(f"_n{i}"))  # descending: nulls last
+            fields.append(key.alias(f"_o{i}"))
+            negated.append(n)
 
     # sort fields first; payload holds only what the sort fields do not carry as is
-    negated = [n for n, a in order if not (all_asc or all_desc) and not a]
     payload = [F.col(c).alias(f"_v_{c}") for c in negated + rest]
     best = df.groupBy(*keys).agg(pick(F.struct(*fields, *payload)).alias("_best"))
     source = {n: f"_best._o{i}" for i, n in enumerate(order_names)}

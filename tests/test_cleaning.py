@@ -62,3 +62,19 @@ def test_dedupe_first_hot_key_plan_is_an_aggregate(spark):
     plan = dedupe_first(df, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "Aggregate" in plan
     assert rows(dedupe_first(df, ["k"], ["v"]).where("k = 0")) == [(0, 0)]
+
+
+def test_dedupe_first_descending_strings_dates_mixed(spark):
+    import datetime as dt
+
+    data = [(1, "ab", dt.date(2020, 1, 2), True, 1), (1, "abc", dt.date(2020, 1, 1), False, 2),
+            (1, None, dt.date(2021, 1, 1), None, 3), (1, "b", None, True, 4), (1, "", dt.date(2019, 1, 1), False, 5),
+            (2, "é", dt.date(2020, 5, 5), True, 6), (2, "z", dt.date(2020, 5, 5), False, 7)]
+    df = spark.createDataFrame(data, "k int, s string, d date, f boolean, id int")
+    for order in ([("s", False), ("id", True)], [("d", False), ("id", True)], [("f", False), ("d", True)],
+                  [("id", True), ("s", False)], [("d", True), ("s", False)]):
+        want = rows(_by_window(df, ["k"], order))
+        got = dedupe_first(df, ["k"], order)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan
+        assert rows(got) == want, order
