@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.functions.distributions import f_test_p, t_test_p
@@ -142,19 +142,25 @@ def group_summary(df: DataFrame, value: str, group: str, by: Sequence[str] = ())
 
 
 def _anova_from_groups(groups: DataFrame, by: Sequence[str], alpha: float, scale: int | None) -> DataFrame:
-    """One-way ANOVA from per-group (n, mean, var) rows, one result per ``by``."""
+    """One-way ANOVA from per-group (n, mean, var) rows, one result per ``by``.
+
+    The group table (one row per group) is read once: a window over each
+    segment's groups attaches N, k and the grand mean to every group row,
+    then one aggregate per segment forms SSB from the centred group means
+    and SSW from the group variances.  No self-join, so the group
+    statistics are never computed twice.
+    """
     by = list(by)
-    totals = _grouped(groups, by, [
-        F.sum("n").alias("_N"), F.count(F.lit(1)).alias("_k"),
-        F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("_grand"),
-    ])
-    if by:
-        joined = null_safe_join(groups, totals, by)
-    else:  # a single totals row: broadcast join on a constant key
-        joined = groups.withColumn("_one", F.lit(1)).join(F.broadcast(totals.withColumn("_one", F.lit(1))), "_one")
+    seg = Window.partitionBy(*by) if by else Window.partitionBy()
+    with_totals = groups.select(
+        *by, "n", "mean", "var",
+        F.sum("n").over(seg).alias("_N"),
+        F.count(F.lit(1)).over(seg).alias("_k"),
+        F.try_divide(F.sum(F.col("n") * F.col("mean")).over(seg), F.sum("n").over(seg)).alias("_grand"),
+    )
     dev = F.col("mean") - F.col("_grand")
-    ss = _grouped(joined, by, [
-        F.first("_k").alias("k"), F.first("_N").alias("n"),
+    ss = _grouped(with_totals, by, [
+        F.max("_k").alias("k"), F.max("_N").alias("n"),
         F.sum(F.col("n") * dev * dev).alias("_ssb"),
         F.sum((F.col("n") - 1) * F.coalesce(F.col("var"), F.lit(0.0))).alias("_ssw"),
     ])
@@ -207,15 +213,15 @@ def check_assumptions(df: DataFrame, value: str, group: str, by: Sequence[str] =
     """
     by = list(by)
     clean = df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
-    means = clean.groupBy(*by, group).agg(F.avg(value).alias("_gmean"))
-    keyed = null_safe_join(clean, means, [*by, group])
+    # one aggregate gives both the group means (for Levene) and the shape moments (for Jarque-Bera)
+    shape = clean.groupBy(*by, group).agg(F.count(value).alias("n"), F.avg(value).alias("_gmean"),
+                                          F.skewness(value).alias("_s"), F.kurtosis(value).alias("_k"))
+    keyed = null_safe_join(clean, shape.select(*by, group, "_gmean"), [*by, group])
     deviations = keyed.select(*by, group, F.abs(F.col(value) - F.col("_gmean")).alias("_dev"))
     lev = anova_oneway(deviations, "_dev", group, by=by, alpha=alpha, scale=None)
     levene = lev.select(*by, F.lit("levene").alias("test"), F.lit(None).cast("string").alias("group"), "n",
                         _r(F.col("f"), scale).alias("statistic"), _r(F.col("p_value"), scale).alias("p_value"),
                         "reject_null")
-    shape = clean.groupBy(*by, group).agg(F.count(value).alias("n"), F.skewness(value).alias("_s"),
-                                          F.kurtosis(value).alias("_k"))
     jb = F.col("n") / 6.0 * (F.col("_s") * F.col("_s") + F.col("_k") * F.col("_k") / 4.0)
     jarque = shape.select(*by, F.lit("jarque_bera").alias("test"), F.col(group).cast("string").alias("group"), "n",
                           jb.alias("_jb")).withColumn("_p", F.exp(-F.col("_jb") / 2.0))
