@@ -107,7 +107,7 @@ def _local_rank_fn(part_cols: list[str], order_col: str):
 
 def rank_within(df: DataFrame, partition_by: Sequence[str], order_col: str, ascending: bool = False,
                 name: str = "rank", method: str = "dense", num_partitions: int | None = None,
-                strategy: str = "range") -> DataFrame:
+                strategy: str = "range", cache_input: bool = False) -> DataFrame:
     """Add the rank of ``order_col`` inside each ``partition_by`` group.
 
     ``method``: ``"dense"`` (``dense_rank``: ties share a rank, no gaps) or
@@ -129,6 +129,11 @@ def rank_within(df: DataFrame, partition_by: Sequence[str], order_col: str, asce
     4. turn the summaries (at most two rows per partition — a bounded,
        broadcast-safe table) into per-partition offsets;
     5. join the ranked pairs back to the rows on ``(group, value)``.
+
+    The input is read twice (for the pairs and for the join back).  When it
+    is an expensive derived table — typically an aggregate with one row per
+    key — pass ``cache_input=True`` to compute it once (persisted to memory
+    and disk).
     """
     part = list(partition_by)
     order = F.col(order_col).asc() if ascending else F.col(order_col).desc()
@@ -143,6 +148,8 @@ def rank_within(df: DataFrame, partition_by: Sequence[str], order_col: str, asce
 
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if cache_input:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     pairs = df.groupBy(*part, order_col).agg(F.count(F.lit(1)).alias("_mult"))
     ordered = (pairs.repartitionByRange(n, *[F.col(c).asc() for c in part], order)
                .sortWithinPartitions(*[F.col(c).asc() for c in part], order))

@@ -36,5 +36,6 @@ def category_table(df: DataFrame, keys: Sequence[str], category: str, values: Se
     if attach is not None:
         table = table.join(attach, on=list(keys), how="inner")
     if rank_by is not None:
-        table = rank_within(table, list(rank_by), total, ascending=False, name=rank_name)
+        # the table is an aggregate (one row per key): compute it once for both passes of the rank
+        table = rank_within(table, list(rank_by), total, ascending=False, name=rank_name, cache_input=True)
     return table
