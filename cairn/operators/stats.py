@@ -16,7 +16,7 @@ through ``try_divide``.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,34 +52,57 @@ def _grouped(df: DataFrame, by: Sequence[str], aggs: list[Column]) -> DataFrame:
 
 
 def pearson_matrix(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), scale: int | None = DEFAULT_SCALE,
-                   shape: str = "long") -> DataFrame:
+                   shape: str = "long", missing: str = "pairwise") -> DataFrame:
     """Pearson correlation of every pair of ``cols``.
 
-    All k·(k+1)/2 co-moments come from one aggregate (one pass, partial
-    aggregation); the matrix is then emitted in both orders, diagonal
-    included.  Pairs use the rows where both values are present.  A
-    constant column gives ``r = null``.
+    One aggregate (one pass, partial aggregation) yields every moment; the
+    matrix is then emitted in both orders, diagonal included.  A constant
+    column gives ``r = null`` (never a division error).
+
+    ``missing="pairwise"`` (default) correlates each pair over the rows
+    where both values are present; ``"listwise"`` keeps only rows where all
+    ``cols`` are present (what an assembled feature vector with invalid rows
+    skipped gives) and needs fewer aggregates.
 
     ``shape="long"``: rows ``(x, y, n, r)``; ``shape="wide"``: one row per
     ``x`` with one ``r`` column per variable, like the printed k×k matrix.
     """
     if shape == "wide":
-        long = pearson_matrix(df, cols, by, scale, shape="long")
+        long = pearson_matrix(df, cols, by, scale, shape="long", missing=missing)
         return long.groupBy(*by, "x").pivot("y", list(cols)).agg(F.first("r"))
     cols = list(cols)
     by = list(by)
-    pairs = list(combinations_with_replacement(range(len(cols)), 2))
+    k = len(cols)
+    src = df
+    if missing == "listwise":
+        src = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
+    elif missing != "pairwise":
+        raise ValueError(f"unknown missing-value rule {missing!r}")
     aggs: list[Column] = []
-    for i, j in pairs:
-        aggs += _pair_moments(cols[i], cols[j], f"{i}_{j}")
-    stats = _grouped(df, by, aggs)
-    cells = []
-    for i, j in pairs:
-        tag = f"{i}_{j}"
-        for a, b in {(i, j), (j, i)}:
-            cells.append(F.struct(F.lit(cols[a]).alias("x"), F.lit(cols[b]).alias("y"),
-                                  F.col(f"n_{tag}").alias("n"), _r(_pair_r(tag), scale).alias("r")))
-    return stats.select(*by, F.inline(F.array(*cells)))
+    for i, c in enumerate(cols):
+        aggs += [F.count(c).alias(f"n_{i}"), F.var_pop(c).alias(f"v_{i}")]
+    for i in range(k):
+        for j in range(i + 1, k):
+            if missing == "pairwise":
+                aggs += _pair_moments(cols[i], cols[j], f"{i}_{j}")
+            else:
+                aggs.append(F.covar_pop(cols[i], cols[j]).alias(f"c_{i}_{j}"))
+    stats = _grouped(src, by, aggs)
+
+    def cell(a: int, b: int) -> Column:
+        if a == b:
+            n = F.col(f"n_{a}")
+            r = F.when(F.col(f"v_{a}") > 0, F.lit(1.0))
+        else:
+            i, j = min(a, b), max(a, b)
+            if missing == "pairwise":
+                n, r = F.col(f"n_{i}_{j}"), _pair_r(f"{i}_{j}")
+            else:
+                n = F.col(f"n_{i}")
+                r = F.try_divide(F.col(f"c_{i}_{j}"), F.sqrt(F.col(f"v_{i}") * F.col(f"v_{j}")))
+        return F.struct(F.lit(cols[a]).alias("x"), F.lit(cols[b]).alias("y"), n.alias("n"), _r(r, scale).alias("r"))
+
+    return stats.select(*by, F.inline(F.array(*[cell(a, b) for a in range(k) for b in range(k)])))
 
 
 def pearson_test(df: DataFrame, x: str, y: str, alpha: float = 0.05, alternative: str = "two-sided",

@@ -150,3 +150,14 @@ def test_anova_empty_group_is_ignored(spark):
 def test_single_row_correlation_is_null(spark):
     out = pearson_test(spark.createDataFrame([(1.0, 2.0)], "x double, y double"), "x", "y").collect()[0]
     assert out["n"] == 1 and out["r"] is None and out["p_value"] is None
+
+
+def test_pearson_matrix_listwise_vs_pairwise(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 1.0), (2.0, 4.5, None), (3.0, 5.0, 2.0), (4.0, 9.0, 7.0)],
+                               "a double, b double, c double")
+    pair = {(r["x"], r["y"]): r for r in pearson_matrix(df, ["a", "b", "c"]).collect()}
+    lw = {(r["x"], r["y"]): r for r in pearson_matrix(df, ["a", "b", "c"], missing="listwise").collect()}
+    assert pair[("a", "b")]["n"] == 4 and lw[("a", "b")]["n"] == 3
+    sub = spark.createDataFrame([(1.0, 2.0), (3.0, 5.0), (4.0, 9.0)], "a double, b double")
+    assert lw[("a", "b")]["r"] == {(r["x"], r["y"]): r for r in pearson_matrix(sub, ["a", "b"]).collect()}[("a", "b")]["r"]
+    assert pair[("a", "c")]["r"] == pair[("c", "a")]["r"] and pair[("b", "b")]["r"] == 1.0
