@@ -102,6 +102,26 @@ FROM t, p"""
 
 _WELCH = _welch("SELECT * FROM events", "value", "event_type", "view", "purchase")
 
+_WELCH_BY_SEGMENT = f"""
+WITH src AS (SELECT c.c_mktsegment, o.o_orderpriority, o.o_totalprice
+             FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+s AS (SELECT c_mktsegment,
+             COUNT(o_totalprice) FILTER (WHERE o_orderpriority = '1-URGENT') AS n_a,
+             AVG(o_totalprice) FILTER (WHERE o_orderpriority = '1-URGENT') AS mean_a,
+             VAR_SAMP(o_totalprice) FILTER (WHERE o_orderpriority = '1-URGENT') AS var_a,
+             COUNT(o_totalprice) FILTER (WHERE o_orderpriority = '5-LOW') AS n_b,
+             AVG(o_totalprice) FILTER (WHERE o_orderpriority = '5-LOW') AS mean_b,
+             VAR_SAMP(o_totalprice) FILTER (WHERE o_orderpriority = '5-LOW') AS var_b
+      FROM src WHERE o_orderpriority IN ('1-URGENT', '5-LOW') GROUP BY c_mktsegment),
+w AS (SELECT *, var_a / n_a AS sa, var_b / n_b AS sb FROM s),
+t AS (SELECT *, (mean_a - mean_b) / sqrt(sa + sb) AS t,
+             (sa + sb) * (sa + sb) / (sa * sa / (n_a - 1) + sb * sb / (n_b - 1)) AS df FROM w),
+p AS ({_t_two_sided('t', 'df', 't', 'c_mktsegment')})
+SELECT t.c_mktsegment, '1-URGENT' AS group_a, '5-LOW' AS group_b, n_a, n_b, {_round('mean_a', 6)} AS mean_a,
+       {_round('mean_b', 6)} AS mean_b, {_round('t', 6)} AS t, {_round('df', 6)} AS df,
+       {_round('p.p', 6)} AS p_value, p.p < 0.05 AS reject_null
+FROM t JOIN p USING (c_mktsegment)"""
+
 _LEVENE_GROUPS = """
 SELECT e.event_type AS grp, COUNT(abs(e.value - m.gm)) AS n, AVG(abs(e.value - m.gm)) AS m,
        VAR_SAMP(abs(e.value - m.gm)) AS v
@@ -249,6 +269,7 @@ FROM part GROUP BY 1""",
     "group_means": f"""
 SELECT event_type, COUNT(value) AS n, {_round('AVG(value)', 6)} AS mean_value FROM events GROUP BY event_type""",
     "welch_t": _WELCH,
+    "welch_by_segment": _WELCH_BY_SEGMENT,
     "anova_long": _anova("""
 SELECT o_orderpriority AS grp, COUNT(o_totalprice) AS n, AVG(o_totalprice) AS m, VAR_SAMP(o_totalprice) AS v
 FROM orders WHERE o_orderpriority IS NOT NULL AND o_totalprice IS NOT NULL GROUP BY o_orderpriority""", _P_DF1_4),

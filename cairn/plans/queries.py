@@ -319,6 +319,14 @@ def welch_t_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return welch_t(events, "value", "event_type", "view", "purchase")
 
 
+def welch_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One Welch test per market segment: order value of urgent vs low-priority orders."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", "o_totalprice")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
+    return welch_t(joined, "o_totalprice", "o_orderpriority", "1-URGENT", "5-LOW", by=["c_mktsegment"])
+
+
 ANOVA_COLS = ["k", "n", "df_between", "df_within", "f", "p_value", "reject_null"]
 
 
@@ -453,6 +461,7 @@ QUERIES: dict[str, Query] = {
     "pearson_test": pearson_test_query,
     "group_means": group_means,
     "welch_t": welch_t_query,
+    "welch_by_segment": welch_by_segment,
     "anova_long": anova_long,
     "anova_subset": anova_subset,
     "anova_columns": anova_columns_query,
