@@ -47,10 +47,11 @@ def ship_by_value(module_name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cairn") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cairn",
+                  extra: dict[str, str] | None = None) -> SparkSession:
     """A local session configured like the cluster profile (AQE on, UI off, UTC)."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for key, value in CLUSTER_PROFILE.items():
+    for key, value in {**CLUSTER_PROFILE, **(extra or {})}.items():
         builder = builder.config(key, value)
     return (
         builder
