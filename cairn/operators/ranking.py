@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from cairn.operators.combine import null_safe_join
 from cairn.session import ship_by_value
@@ -153,10 +153,17 @@ def rank_within(df: DataFrame, partition_by: Sequence[str], order_col: str, asce
     pairs = df.groupBy(*part, order_col).agg(F.count(F.lit(1)).alias("_mult"))
     ordered = (pairs.repartitionByRange(n, *[F.col(c).asc() for c in part], order)
                .sortWithinPartitions(*[F.col(c).asc() for c in part], order))
-    schema = StructType([StructField(f.name, f.dataType, True) for f in pairs.schema.fields] + [
-        StructField("_ld", LongType()), StructField("_lb", LongType()), StructField("_pid", IntegerType()),
-        StructField("_kind", IntegerType()), StructField("_first", BooleanType())])
-    local = ordered.mapInPandas(_local_rank_fn(part, order_col), schema)
+    # Keys cross into Python as their exact text: pandas would turn a nullable
+    # integer column into float64 and round values beyond 2**53.  The range
+    # partitioning and the sort above still use the typed values.
+    types = {f.name: f.dataType for f in pairs.schema.fields}
+    text = ordered.select(*[F.col(c).cast("string").alias(c) for c in part + [order_col]], "_mult")
+    schema = StructType([StructField(c, StringType(), True) for c in part + [order_col]] + [
+        StructField("_mult", LongType(), True), StructField("_ld", LongType()), StructField("_lb", LongType()),
+        StructField("_pid", IntegerType()), StructField("_kind", IntegerType()), StructField("_first", BooleanType())])
+    local = text.mapInPandas(_local_rank_fn(part, order_col), schema)
+    local = local.select(*[F.col(c).cast(types[c]).alias(c) for c in part + [order_col]],
+                         "_mult", "_ld", "_lb", "_pid", "_kind", "_first")
     # The summary rows and the ranked rows must come from the same run of the
     # range partitioning, so the local result is materialised once.
     local = local.persist(StorageLevel.MEMORY_AND_DISK)

@@ -47,3 +47,17 @@ def test_top_k_tie_break(spark):
     df = spark.createDataFrame([(3, 1.0), (1, 1.0), (2, 0.5), (4, 2.0)], "id int, price double")
     out = top_k(df, [F.asc("price")], 2, tie_break=["id"]).collect()
     assert [r["id"] for r in out] == [2, 1]
+
+
+def test_rank_within_keeps_large_integers_and_doubles_exact(spark):
+    big = 2**62
+    data = [(1, big + 1, big + 3), (2, big + 1, big + 2), (3, big + 1, None), (4, None, big + 2), (5, big + 2, 7),
+            (6, big + 1, big + 3)]
+    df = spark.createDataFrame(data, "id int, g bigint, v bigint")
+    got = rows(rank_within(df, ["g"], "v", num_partitions=3), "id", "rank")
+    assert got == rows(_reference(df, ["g"], "v", False, "dense"), "id", "rank")
+    assert len(got) == 6
+    dbl = spark.createDataFrame([(1, "a", 0.1 + 0.2), (2, "a", 0.3), (3, "a", float("nan")), (4, "a", -0.0)],
+                                "id int, g string, v double")
+    assert rows(rank_within(dbl, ["g"], "v"), "id", "rank") == rows(_reference(dbl, ["g"], "v", False, "dense"),
+                                                                    "id", "rank")
