@@ -58,3 +58,25 @@ def test_topk_plan_is_take_ordered(spark):
     df = spark.range(1000).select((F.col("id") % 13).alias("k"))
     plan = frequency_topk(df, ["k"], 5)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_category_counts_shares_and_partition_independence(spark):
+    df = _medals(spark)
+    out = category_counts(df, ["noc"], "medal", ["Gold", "Silver"], ["gold", "silver"], shares=True)
+    by = {r["noc"]: r for r in out.collect()}
+    assert by["USA"]["gold_share"] == 2 / 3 and by["USA"]["silver_share"] == 1 / 3
+    for parts in (1, 17):
+        again = category_counts(df.repartition(parts), ["noc"], "medal", ["Gold", "Silver"], ["gold", "silver"],
+                                shares=True)
+        assert rows(again) == rows(out)
+
+
+def test_two_key_group_equals_filter_aggregate_union(spark):
+    df = spark.createDataFrame([("M", "A", 1.0), ("F", "A", 3.0), ("M", "B", 2.0), ("M", "A", 5.0), ("F", None, 1.0)],
+                               "gender string, diet string, diff double")
+    one_pass = df.groupBy("diet", "gender").agg(F.count("gender").alias("num"), F.avg("diff").alias("avg_diff"))
+    parts = [df.where(F.col("gender") == g).groupBy("diet").agg(F.count("gender").alias("num"),
+                                                                F.avg("diff").alias("avg_diff"))
+             .withColumn("gender", F.lit(g)) for g in ("M", "F")]
+    union = parts[0].unionByName(parts[1])
+    assert rows(one_pass, "diet", "gender", "num", "avg_diff") == rows(union, "diet", "gender", "num", "avg_diff")
