@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from cairn.operators.ranking import top_k
 
 
 def category_counts(df: DataFrame, keys: Sequence[str], category: str, values: Sequence[object],
-                    names: Sequence[str] | None = None, keep_all_keys: bool = False) -> DataFrame:
+                    names: Sequence[str] | None = None, keep_all_keys: bool = False,
+                    shares: bool = False) -> DataFrame:
     """One row per key with one count column per category value.
 
     Replaces "filter per value → group → full outer join → fill 0" by a
@@ -20,14 +22,20 @@ def category_counts(df: DataFrame, keys: Sequence[str], category: str, values: S
     aggregation.  Rows are first restricted to the listed categories, so a
     key appears only if it has at least one of them — exactly the keys the
     chained outer joins produce.  ``keep_all_keys=True`` keeps every key of
-    ``df`` (all-zero rows included).
+    ``df`` (all-zero rows included).  ``shares=True`` adds ``<name>_share``
+    columns: each count over the key's count of listed categories (null for
+    a key without any).
     """
     names = list(names) if names is not None else [str(v) for v in values]
     if len(names) != len(values):
         raise ValueError("names and values differ in length")
     counts = [F.count_if(F.col(category) == F.lit(v)).alias(n) for v, n in zip(values, names)]
     source = df if keep_all_keys else df.where(F.col(category).isin(list(values)))
-    return source.groupBy(*keys).agg(*counts)
+    out = source.groupBy(*keys).agg(*counts)
+    if shares:
+        total = reduce(lambda a, b: a + b, [F.col(n) for n in names])
+        out = out.select("*", *[F.try_divide(F.col(n).cast("double"), total).alias(f"{n}_share") for n in names])
+    return out
 
 
 def frequency_topk(df: DataFrame, keys: Sequence[str], k: int, where: Column | None = None,
