@@ -105,6 +105,29 @@ def _local_rank_fn(part_cols: list[str], order_col: str):
     return run
 
 
+def _local_ranks(df: DataFrame, part: list[str], order_col: str, order: Column,
+                 num_partitions: int | None) -> DataFrame:
+    """Steps 1-3 of :func:`rank_within`: distinct pairs, range partitions, local ranks (persisted)."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = df.groupBy(*part, order_col).agg(F.count(F.lit(1)).alias("_mult"))
+    ordered = (pairs.repartitionByRange(n, *[F.col(c).asc() for c in part], order)
+               .sortWithinPartitions(*[F.col(c).asc() for c in part], order))
+    # Keys cross into Python as their exact text: pandas would turn a nullable
+    # integer column into float64 and round values beyond 2**53.  The range
+    # partitioning and the sort above still use the typed values.
+    types = {f.name: f.dataType for f in pairs.schema.fields}
+    text = ordered.select(*[F.col(c).cast("string").alias(c) for c in part + [order_col]], "_mult")
+    schema = StructType([StructField(c, StringType(), True) for c in part + [order_col]] + [
+        StructField("_mult", LongType(), True), StructField("_ld", LongType()), StructField("_lb", LongType()),
+        StructField("_pid", IntegerType()), StructField("_kind", IntegerType()), StructField("_first", BooleanType())])
+    local = text.mapInPandas(_local_rank_fn(part, order_col), schema)
+    local = local.select(*[F.col(c).cast(types[c]).alias(c) for c in part + [order_col]],
+                         "_mult", "_ld", "_lb", "_pid", "_kind", "_first")
+    # The summary rows and the ranked rows must come from the same run of the
+    # range partitioning, so the local result is materialised once.
+    return local.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def rank_within(df: DataFrame, partition_by: Sequence[str], order_col: str, ascending: bool = False,
                 name: str = "rank", method: str = "dense", num_partitions: int | None = None,
                 strategy: str = "range", cache_input: bool = False) -> DataFrame:
@@ -146,27 +169,9 @@ def rank_within(df: DataFrame, partition_by: Sequence[str], order_col: str, asce
     if method not in ("dense", "min"):
         raise ValueError(f"unknown method {method!r}")
 
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if cache_input:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    pairs = df.groupBy(*part, order_col).agg(F.count(F.lit(1)).alias("_mult"))
-    ordered = (pairs.repartitionByRange(n, *[F.col(c).asc() for c in part], order)
-               .sortWithinPartitions(*[F.col(c).asc() for c in part], order))
-    # Keys cross into Python as their exact text: pandas would turn a nullable
-    # integer column into float64 and round values beyond 2**53.  The range
-    # partitioning and the sort above still use the typed values.
-    types = {f.name: f.dataType for f in pairs.schema.fields}
-    text = ordered.select(*[F.col(c).cast("string").alias(c) for c in part + [order_col]], "_mult")
-    schema = StructType([StructField(c, StringType(), True) for c in part + [order_col]] + [
-        StructField("_mult", LongType(), True), StructField("_ld", LongType()), StructField("_lb", LongType()),
-        StructField("_pid", IntegerType()), StructField("_kind", IntegerType()), StructField("_first", BooleanType())])
-    local = text.mapInPandas(_local_rank_fn(part, order_col), schema)
-    local = local.select(*[F.col(c).cast(types[c]).alias(c) for c in part + [order_col]],
-                         "_mult", "_ld", "_lb", "_pid", "_kind", "_first")
-    # The summary rows and the ranked rows must come from the same run of the
-    # range partitioning, so the local result is materialised once.
-    local = local.persist(StorageLevel.MEMORY_AND_DISK)
+    local = _local_ranks(df, part, order_col, order, num_partitions)
 
     summary = local.where(F.col("_kind") == 1).select(*part, "_pid", "_ld", "_lb")
     earlier = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -61,3 +61,17 @@ def test_rank_within_keeps_large_integers_and_doubles_exact(spark):
                                 "id int, g string, v double")
     assert rows(rank_within(dbl, ["g"], "v"), "id", "rank") == rows(_reference(dbl, ["g"], "v", False, "dense"),
                                                                     "id", "rank")
+
+
+def test_hot_group_is_spread_over_range_partitions(spark):
+    from cairn.operators.ranking import _local_ranks
+
+    # one group holds 40 % of the rows and, with a distinct value per row, most of the (group, value) pairs
+    data = [(i, "hot", i) if i % 5 < 2 else (i, f"g{i % 50}", i % 97) for i in range(20000)]
+    df = spark.createDataFrame(data, "id int, g string, v int")
+    local = _local_ranks(df, ["g"], "v", F.col("v").desc(), 8)
+    hot = local.where((F.col("_kind") == 0) & (F.col("g") == "hot"))
+    per_partition = [r["c"] for r in hot.groupBy("_pid").agg(F.count(F.lit(1)).alias("c")).collect()]
+    assert len(per_partition) >= 3  # the hot group is ranked by several tasks
+    assert max(per_partition) < sum(per_partition)
+    local.unpersist()
