@@ -72,7 +72,7 @@ def csv_string_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split_write_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    path = split_write(events, scratch_path(spark, "events-split"), by="event_type", files_per_value=4)
+    path = split_write(events, scratch_path(spark, "events-split"), by="event_type")
     schema = StructType([StructField("event_id", LongType()), StructField("user_id", LongType()),
                          StructField("value", DoubleType()), StructField("event_type", StringType())])
     back = read_typed_csv(spark, path, schema=schema)

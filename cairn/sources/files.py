@@ -101,10 +101,18 @@ def split_write(df: DataFrame, path: str, by: Sequence[str] | str, fmt: str = "c
 
     The reference loops over distinct values on the driver and writes one
     filtered, single-task copy per value; here a single ``partitionBy``
-    write does it.  With ``files_per_value`` the rows of each value are
-    spread over that many writer tasks by a deterministic hash of the whole
-    row, so one frequent value never lands in one task and a retried task
-    writes the same rows again.
+    write does it.
+
+    * Default: no shuffle — every input task writes its own file for each
+      value it holds, so the write is exactly as parallel as the scan (at
+      the cost of up to tasks × values files; ``max_records_per_file`` caps
+      file size).
+    * ``files_per_value=s``: rows are shuffled so that each value is written
+      by ``s`` tasks, chosen by a deterministic hash of the whole row (a
+      retried task writes the same rows again).  This bounds the file count
+      to values × ``s``; size ``s`` to the largest value's bytes divided by
+      the target file size, so a value holding a third of the data is still
+      split into many tasks.
     """
     keys = [by] if isinstance(by, str) else list(by)
     out = df
