@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.functions.distributions import f_test_p, t_test_p
+from cairn.functions.distributions import f_test_p, r_critical_col, t_test_p
 from cairn.functions.numeric import rounded
 from cairn.operators.combine import null_safe_join
 
@@ -106,12 +106,14 @@ def pearson_matrix(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), s
 
 
 def pearson_test(df: DataFrame, x: str, y: str, alpha: float = 0.05, alternative: str = "two-sided",
-                 by: Sequence[str] = (), scale: int | None = DEFAULT_SCALE) -> DataFrame:
+                 by: Sequence[str] = (), scale: int | None = DEFAULT_SCALE, critical: bool = False) -> DataFrame:
     """Test for correlation of ``x`` and ``y``: ``r``, ``t = r·sqrt((n-2)/(1-r²))``, p.
 
     ``alternative`` is ``"two-sided"``, ``"greater"`` (positive
     correlation) or ``"less"``; the decision follows it, rather than
-    comparing ``|r|`` with a one-tailed critical value.
+    comparing ``|r|`` with a one-tailed critical value.  ``critical=True``
+    adds ``r_critical``, the smallest ``|r|`` significant at ``alpha`` for
+    the row's ``n`` (for n = 4600, α = .05, one-tailed: 0.02426).
     """
     by = list(by)
     stats = _grouped(df, by, _pair_moments(x, y, "xy"))
@@ -122,8 +124,10 @@ def pearson_test(df: DataFrame, x: str, y: str, alpha: float = 0.05, alternative
     out = stats.select(*by, F.lit(x).alias("x"), F.lit(y).alias("y"), n.alias("n"), r.alias("_r"),
                        t.alias("_t"), dof.alias("df"))
     out = out.withColumn("_p", t_test_p(F.col("_t"), F.col("df"), alternative))
+    extra = [_r(r_critical_col(F.col("n"), alpha, alternative), scale).alias("r_critical")] if critical else []
     return out.select(*by, "x", "y", "n", _r(F.col("_r"), scale).alias("r"), _r(F.col("_t"), scale).alias("t"),
-                      "df", _r(F.col("_p"), scale).alias("p_value"), (F.col("_p") < alpha).alias("reject_null"))
+                      "df", _r(F.col("_p"), scale).alias("p_value"), (F.col("_p") < alpha).alias("reject_null"),
+                      *extra)
 
 
 def welch_t(df: DataFrame, value: str, group: str, a: object, b: object, alpha: float = 0.05,

@@ -161,3 +161,23 @@ def test_pearson_matrix_listwise_vs_pairwise(spark):
     sub = spark.createDataFrame([(1.0, 2.0), (3.0, 5.0), (4.0, 9.0)], "a double, b double")
     assert lw[("a", "b")]["r"] == {(r["x"], r["y"]): r for r in pearson_matrix(sub, ["a", "b"]).collect()}[("a", "b")]["r"]
     assert pair[("a", "c")]["r"] == pair[("c", "a")]["r"] and pair[("b", "b")]["r"] == 1.0
+
+
+def test_critical_r_reproduces_reference_value():
+    from cairn.functions.distributions import r_critical, t_critical
+
+    # the reference quotes r_c = 0.024 for n = 4600, alpha = .05, right tail
+    assert round(r_critical(4600, 0.05, "greater"), 5) == 0.02426
+    assert round(r_critical(4600, 0.05, "greater"), 3) == 0.024
+    assert math.isclose(t_tail(t_critical(10, 0.05), 10), 0.05, rel_tol=1e-9)
+    assert math.isclose(t_critical(10, 0.05), 2.228138852, rel_tol=1e-8)
+
+
+def test_pearson_test_critical_column(spark):
+    rnd = random.Random(11)
+    df = spark.createDataFrame([(rnd.random(), rnd.random()) for _ in range(4600)], "x double, y double")
+    row = pearson_test(df, "x", "y", alternative="greater", critical=True).collect()[0]
+    from cairn.functions.distributions import r_critical
+
+    assert abs(row["r_critical"] - r_critical(4600, 0.05, "greater")) < 1e-6
+    assert row["reject_null"] == (row["r"] > row["r_critical"])
