@@ -71,3 +71,32 @@ def test_category_counts_and_outer_merge_equal_brute_force(spark, events):
     sides = [df.where(F.col("kind") == k).groupBy("user").agg(F.count(F.lit(1)).alias(k)) for k in kinds]
     merged = sorted(tuple(r) for r in outer_merge(sides, ["user"], fill=0).collect())
     assert one_pass == expected == merged
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.floats(-50, 50, allow_nan=False)), min_size=8,
+                max_size=80))
+def test_anova_and_welch_equal_numpy(spark, data):
+    import math
+
+    import numpy as np
+
+    from cairn.operators.stats import anova_oneway, welch_t
+
+    groups = {g: np.array([v for gg, v in data if gg == g]) for g in "abc"}
+    groups = {g: x for g, x in groups.items() if len(x)}
+    df = spark.createDataFrame(data, "g string, x double")
+    row = anova_oneway(df, "x", "g", scale=None).collect()[0]
+    k, n = len(groups), sum(len(x) for x in groups.values())
+    grand = np.concatenate(list(groups.values())).mean()
+    ssb = sum(len(x) * (x.mean() - grand) ** 2 for x in groups.values())
+    ssw = sum(((x - x.mean()) ** 2).sum() for x in groups.values())
+    assert (row["k"], row["n"]) == (k, n)
+    assert math.isclose(row["ss_between"], ssb, rel_tol=1e-9, abs_tol=1e-7)
+    assert math.isclose(row["ss_within"], ssw, rel_tol=1e-9, abs_tol=1e-7)
+    if "a" in groups and "b" in groups and len(groups["a"]) > 1 and len(groups["b"]) > 1:
+        a, b = groups["a"], groups["b"]
+        sa, sb = a.var(ddof=1) / len(a), b.var(ddof=1) / len(b)
+        w = welch_t(df, "x", "g", "a", "b", scale=None).collect()[0]
+        if sa + sb > 1e-9:
+            assert math.isclose(w["t"], (a.mean() - b.mean()) / math.sqrt(sa + sb), rel_tol=1e-7, abs_tol=1e-9)
