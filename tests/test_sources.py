@@ -96,3 +96,15 @@ def test_persisted_caches_then_releases(spark):
         assert "InMemoryRelation" in cached.groupBy("k").count()._jdf.queryExecution().optimizedPlan().toString()
         assert cached.count() == 100
     assert not df.is_cached
+
+
+def test_split_output_is_partition_pruned(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(i, f"v{i % 4}") for i in range(40)], "id int, k string")
+    path = split_write(df, scratch_path(spark, "t-prune"), by="k", fmt="parquet")
+    one = spark.read.parquet(path).where(F.col("k") == "v2")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(k" in plan and "(k#" in plan
+    assert rows(one) == sorted([(i, "v2") for i in range(2, 40, 4)], key=repr)
+    assert len(one.inputFiles()) == len([f for f in one.inputFiles() if "k=v2" in f]) > 0
