@@ -8,7 +8,7 @@ from cairn.operators.ranking import rank_within, top_k
 from cairn.operators.stats import (anova_columns, anova_oneway, check_assumptions, group_summary, pearson_matrix,
                                    pearson_test, welch_t)
 from cairn.plans.recipes import category_table
-from cairn.session import local_session, persisted, scratch_path, shared_dir
+from cairn.session import local_session, persisted, release_cached, scratch_path, shared_dir
 from cairn.sources.files import (read_header, read_stage, read_typed_csv, split_write, typed_columns,
                                  write_stage)
 from cairn.streaming.replay import (mean_from_running, read_latest, replay_files, run_to_end, running_totals)
@@ -21,7 +21,7 @@ __all__ = [
     "rank_within", "top_k",
     "anova_columns", "anova_oneway", "check_assumptions", "group_summary", "pearson_matrix", "pearson_test", "welch_t",
     "category_table",
-    "local_session", "persisted", "scratch_path", "shared_dir",
+    "local_session", "persisted", "release_cached", "scratch_path", "shared_dir",
     "read_header", "read_stage", "read_typed_csv", "split_write", "typed_columns", "write_stage",
     "mean_from_running", "read_latest", "replay_files", "run_to_end", "running_totals",
 ]

@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from cairn.operators.combine import null_safe_join
-from cairn.session import ship_by_value
+from cairn.session import cache_for_reuse, ship_by_value
 
 ship_by_value(__name__)
 
@@ -125,7 +124,7 @@ def _local_ranks(df: DataFrame, part: list[str], order_col: str, order: Column,
                          "_mult", "_ld", "_lb", "_pid", "_kind", "_first")
     # The summary rows and the ranked rows must come from the same run of the
     # range partitioning, so the local result is materialised once.
-    return local.persist(StorageLevel.MEMORY_AND_DISK)
+    return cache_for_reuse(local)
 
 
 def rank_within(df: DataFrame, partition_by: Sequence[str], order_col: str, ascending: bool = False,
@@ -170,7 +169,7 @@ def rank_within(df: DataFrame, partition_by: Sequence[str], order_col: str, asce
         raise ValueError(f"unknown method {method!r}")
 
     if cache_input:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        df = cache_for_reuse(df)
     local = _local_ranks(df, part, order_col, order, num_partitions)
 
     summary = local.where(F.col("_kind") == 1).select(*part, "_pid", "_ld", "_lb")

@@ -37,5 +37,6 @@ def category_table(df: DataFrame, keys: Sequence[str], category: str, values: Se
         table = table.join(attach, on=list(keys), how="inner")
     if rank_by is not None:
         # the table is an aggregate (one row per key): compute it once for both passes of the rank
+        # (cached; release with cairn.session.release_cached once the result is written)
         table = rank_within(table, list(rank_by), total, ascending=False, name=rank_name, cache_input=True)
     return table

@@ -105,3 +105,27 @@ def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
         yield cached
     finally:
         cached.unpersist()
+
+
+_LIBRARY_CACHES: list[DataFrame] = []
+
+
+def cache_for_reuse(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
+    """Persist a frame the library reads more than once inside one lazy result.
+
+    Such frames cannot be released by the operator itself (the result is
+    still lazy when it returns); they are remembered here and released by
+    :func:`release_cached` once the caller has written or collected the
+    results.  Lost blocks are recomputed from lineage.
+    """
+    cached = df.persist(level)
+    _LIBRARY_CACHES.append(cached)
+    return cached
+
+
+def release_cached() -> int:
+    """Unpersist every frame cached by :func:`cache_for_reuse`; returns how many."""
+    n = len(_LIBRARY_CACHES)
+    while _LIBRARY_CACHES:
+        _LIBRARY_CACHES.pop().unpersist()
+    return n

@@ -75,3 +75,14 @@ def test_hot_group_is_spread_over_range_partitions(spark):
     assert len(per_partition) >= 3  # the hot group is ranked by several tasks
     assert max(per_partition) < sum(per_partition)
     local.unpersist()
+
+
+def test_release_cached_frees_rank_intermediates(spark):
+    from cairn.session import release_cached
+
+    release_cached()
+    df = spark.createDataFrame([(1, "x", 5), (2, "x", 3)], "id int, g string, v int")
+    out = rank_within(df, ["g"], "v", cache_input=True)
+    assert rows(out, "id", "rank") == [(1, 1), (2, 2)]
+    assert release_cached() == 2  # the input and the local ranks
+    assert rows(out, "id", "rank") == [(1, 1), (2, 2)]  # still computable from lineage
