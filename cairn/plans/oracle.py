@@ -305,6 +305,17 @@ FROM lineitem WHERE l_discount > 0 GROUP BY 1""",
     "two_class_comparison": _welch(
         "SELECT * FROM lineitem WHERE l_returnflag = 'R' OR (l_returnflag = 'N' AND l_discount <> 0)",
         "l_extendedprice", "l_returnflag", "R", "N"),
+    "append_with_lookup": """
+WITH d AS (SELECT n_nationkey, MIN(n_name) AS n_name FROM nation WHERE n_nationkey < 20 GROUP BY n_nationkey),
+acc AS (SELECT c_custkey AS party_key, c_nationkey AS nation_key, c_acctbal AS acctbal, 'customer' AS kind
+        FROM customer
+        UNION ALL
+        SELECT s_suppkey, s_nationkey, s_acctbal, 'supplier' FROM supplier),
+named AS (SELECT acc.*, COALESCE(d.n_name, 'UNKNOWN') AS nation_name
+          FROM acc LEFT JOIN d ON acc.nation_key = d.n_nationkey),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY nation_name, kind ORDER BY acctbal DESC, party_key) AS rn
+           FROM named)
+SELECT nation_name, kind, party_key, acctbal FROM ranked WHERE rn = 1""",
     "category_table_ranked": """
 WITH t AS (SELECT o_custkey,
                   COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS n_f,

@@ -414,6 +414,28 @@ def two_class_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return welch_t(staged, "l_extendedprice", "l_returnflag", "R", "N")
 
 
+def _best_account_per_nation(accounts: DataFrame, nation_dim: DataFrame, kind: str) -> DataFrame:
+    tagged = accounts.withColumn("kind", F.lit(kind))
+    named = lookup_enrich(tagged, nation_dim, on="nation_key", dim_key="n_nationkey", take="n_name",
+                          default="UNKNOWN", name="nation_name")
+    best = dedupe_first(named, ["nation_name", "kind"], [("acctbal", False), ("party_key", True)])
+    return best.select("nation_name", "kind", "party_key", "acctbal")
+
+
+def append_with_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tag rows, look up a code (default when missing), keep the top account per (code, tag), append, sort."""
+    nation = table(spark, sf_dir, "nation").where(F.col("n_nationkey") < 20).select("n_nationkey", "n_name")
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("party_key"), F.col("s_nationkey").alias("nation_key"),
+        F.col("s_acctbal").alias("acctbal"))
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("party_key"), F.col("c_nationkey").alias("nation_key"),
+        F.col("c_acctbal").alias("acctbal"))
+    merged = append_rows(_best_account_per_nation(customers, nation, "customer"),
+                         _best_account_per_nation(suppliers, nation, "supplier"))
+    return merged.orderBy(F.desc("acctbal"), "party_key")
+
+
 # ---------------------------------------------------------------- flagship recipe
 
 
@@ -474,4 +496,5 @@ QUERIES: dict[str, Query] = {
     "participation_topk": participation_topk,
     "staged_band_means": staged_band_means,
     "two_class_comparison": two_class_comparison,
+    "append_with_lookup": append_with_lookup,
 }
