@@ -1,4 +1,3 @@
-
 from cairn.operators.combine import append_rows, broadcast_if_small, lookup_enrich, null_safe_join, outer_merge
 from conftest import rows
 
