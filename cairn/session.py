@@ -44,7 +44,9 @@ def ship_by_value(module_name: str) -> None:
     """
     from pyspark import cloudpickle
 
-    cloudpickle.register_pickle_by_value(sys.modules[module_name])
+    register = getattr(cloudpickle, "register_pickle_by_value", None)
+    if register is not None:  # otherwise executors need the package on their path
+        register(sys.modules[module_name])
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cairn",
