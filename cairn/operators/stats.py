@@ -18,12 +18,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairn.functions.distributions import f_test_p, r_critical_col, t_test_p
 from cairn.functions.numeric import rounded
 from cairn.operators.combine import null_safe_join
+from cairn.session import cache_for_reuse
 
 DEFAULT_SCALE = 6
 
@@ -171,20 +172,22 @@ def group_summary(df: DataFrame, value: str, group: str, by: Sequence[str] = ())
 def _anova_from_groups(groups: DataFrame, by: Sequence[str], alpha: float, scale: int | None) -> DataFrame:
     """One-way ANOVA from per-group (n, mean, var) rows, one result per ``by``.
 
-    The group table (one row per group) is read once: a window over each
-    segment's groups attaches N, k and the grand mean to every group row,
-    then one aggregate per segment forms SSB from the centred group means
-    and SSW from the group variances.  No self-join, so the group
-    statistics are never computed twice.
+    The group table (one row per group) is needed twice — for the segment
+    totals (N, k, grand mean) and to centre each group mean — so it is
+    computed once and cached.  With ``by`` the totals (one row per
+    segment) are joined back on ``by``; without, the single totals row is
+    attached as a scalar subquery (no join).  No step gathers all groups of
+    a segment into one task, even for an ANOVA over millions of groups.
     """
     by = list(by)
-    seg = Window.partitionBy(*by) if by else Window.partitionBy()
-    with_totals = groups.select(
-        *by, "n", "mean", "var",
-        F.sum("n").over(seg).alias("_N"),
-        F.count(F.lit(1)).over(seg).alias("_k"),
-        F.try_divide(F.sum(F.col("n") * F.col("mean")).over(seg), F.sum("n").over(seg)).alias("_grand"),
-    )
+    groups = cache_for_reuse(groups)
+    sums = [F.sum("n").alias("_N"), F.count(F.lit(1)).alias("_k"),
+            F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("_grand")]
+    if by:
+        with_totals = null_safe_join(groups, groups.groupBy(*by).agg(*sums), by)
+    else:
+        totals = groups.agg(F.struct(*sums).alias("_t")).scalar()
+        with_totals = groups.select("*", totals.alias("_t")).select("*", "_t._N", "_t._k", "_t._grand")
     dev = F.col("mean") - F.col("_grand")
     ss = _grouped(with_totals, by, [
         F.max("_k").alias("k"), F.max("_N").alias("n"),
