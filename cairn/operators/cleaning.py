@@ -74,24 +74,29 @@ def _descending_key(name: str, dtype: DataType) -> Column | None:
     return None
 
 
-def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: OrderSpec) -> DataFrame:
+def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: OrderSpec, strategy: str = "window") -> DataFrame:
     """Keep one row per ``keys``: the first under ``order_by``.
 
     ``order_by`` holds column names (ascending) or ``(name, ascending)``
     pairs; nulls sort first ascending and last descending, as in SQL
     windows.  Rows tied on the whole order are broken by the remaining
-    columns (ascending, or descending when every sort column is), so the
-    survivor never depends on partitioning or on task timing.
-
-    Plan: one grouped ``min``/``max`` over a struct whose leading fields are
-    the sort columns.  It is an ordinary aggregate with map-side partial
-    aggregation, so a key that holds a third of the rows is reduced to one
-    row per input partition before the shuffle instead of being sorted in a
-    single task, as a ``row_number()`` window would do.  With mixed
-    directions, each descending column is replaced in the struct by an
-    order-reversing key (see :func:`_descending_key`).  Only a descending
-    column of a type without such a key (e.g. arrays) falls back to the
-    window form.
+    columns, so the survivor never depends on partitioning or task timing.
+
+    Both strategies reduce a hot key before the shuffle, so a key holding a
+    third of the rows is never sorted in a single task:
+
+    * ``"window"`` (default): ``row_number() = 1`` over ``keys``.  Spark
+      plans it with a partial ``WindowGroupLimit`` below the exchange (each
+      map task keeps only its first row per key) and a final one after it
+      — see ``spark.sql.optimizer.windowGroupLimitThreshold`` (default 1000;
+      it must not be disabled).  Ties beyond ``order_by`` go to the
+      remaining columns, ascending.
+    * ``"aggregate"``: a grouped ``min``/``max`` over a struct led by the
+      sort columns — map-side partial aggregation, independent of any
+      optimizer setting, but a sort aggregate (slower on wide rows).  Mixed
+      directions use order-reversing keys (:func:`_descending_key`); ties go
+      to the remaining columns, ascending (descending when every sort column
+      is descending).
     """
     keys = list(keys)
     order = _order_pairs(order_by)
@@ -99,6 +104,16 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: OrderSpec) -> Dat
     rest = [c for c in df.columns if c not in keys and c not in order_names]
     types = {f.name: f.dataType for f in df.schema.fields}
 
+    def by_window() -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(
+            *[F.col(m).asc() if a else F.col(m).desc() for m, a in order], *[F.col(c).asc() for c in rest])
+        return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+
+    if strategy == "window":
+        return by_window()
+    if strategy != "aggregate":
+        raise ValueError(f"unknown strategy {strategy!r}")
+
     all_asc = all(a for _, a in order)
     all_desc = all(not a for _, a in order)
     fields: list[Column] = []
@@ -113,10 +128,8 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: OrderSpec) -> Dat
                 fields.append(F.col(n).alias(f"_o{i}"))
                 continue
             key = _descending_key(n, types[n])
-            if key is None:
-                w = Window.partitionBy(*keys).orderBy(
-                    *[F.col(m).asc() if a else F.col(m).desc() for m, a in order], *[F.col(c).asc() for c in rest])
-                return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+            if key is None:  # no order-reversing key for this type (arrays, maps, structs)
+                return by_window()
             fields.append(F.col(n).isNull().alias(f"_n{i}"))  # descending: nulls last
             fields.append(key.alias(f"_o{i}"))
             negated.append(n)

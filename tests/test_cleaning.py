@@ -44,24 +44,31 @@ def test_dedupe_first_matches_row_number_and_is_partition_independent(spark):
                   [("s", False), ("x", True)]):
         expected = rows(_by_window(df, ["a", "b"], order))
         for parts in (1, 17):
-            got = dedupe_first(df.repartition(parts), ["a", "b"], order)
-            assert got.columns == df.columns
-            assert rows(got) == expected, order
+            for strategy in ("window", "aggregate"):
+                got = dedupe_first(df.repartition(parts), ["a", "b"], order, strategy=strategy)
+                assert got.columns == df.columns
+                assert rows(got) == expected, (order, strategy)
 
 
 def test_dedupe_first_nulls_first_ascending_last_descending(spark):
     df = spark.createDataFrame([(1, None, 1), (1, 2.0, 2), (1, 1.0, 3)], "k int, v double, id int")
-    assert rows(dedupe_first(df, ["k"], ["v"]), "id") == [(1,)]
-    assert rows(dedupe_first(df, ["k"], [("v", False)]), "id") == [(2,)]
-    mixed = dedupe_first(df, ["k"], [("v", False), ("id", True)])
-    assert rows(mixed, "id") == [(2,)]
+    for strategy in ("window", "aggregate"):
+        assert rows(dedupe_first(df, ["k"], ["v"], strategy=strategy), "id") == [(1,)]
+        assert rows(dedupe_first(df, ["k"], [("v", False)], strategy=strategy), "id") == [(2,)]
+        mixed = dedupe_first(df, ["k"], [("v", False), ("id", True)], strategy=strategy)
+        assert rows(mixed, "id") == [(2,)]
 
 
-def test_dedupe_first_hot_key_plan_is_an_aggregate(spark):
+def test_dedupe_first_hot_key_is_reduced_before_the_shuffle(spark):
     df = spark.createDataFrame([(0 if i % 3 else i, i) for i in range(3000)], "k int, v int")
     plan = dedupe_first(df, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and "Aggregate" in plan
-    assert rows(dedupe_first(df, ["k"], ["v"]).where("k = 0")) == [(0, 0)]
+    # partial WindowGroupLimit (one row per key per map task) sits below the exchange
+    partial = plan.index("WindowGroupLimit") if "Partial" in plan else -1
+    assert partial >= 0 and plan.index("Exchange") < plan.rindex("Partial")
+    agg_plan = dedupe_first(df, ["k"], ["v"], strategy="aggregate")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in agg_plan and "Aggregate" in agg_plan
+    for strategy in ("window", "aggregate"):
+        assert rows(dedupe_first(df, ["k"], ["v"], strategy=strategy).where("k = 0")) == [(0, 0)]
 
 
 def test_dedupe_first_descending_strings_dates_mixed(spark):
@@ -74,7 +81,8 @@ def test_dedupe_first_descending_strings_dates_mixed(spark):
     for order in ([("s", False), ("id", True)], [("d", False), ("id", True)], [("f", False), ("d", True)],
                   [("id", True), ("s", False)], [("d", True), ("s", False)]):
         want = rows(_by_window(df, ["k"], order))
-        got = dedupe_first(df, ["k"], order)
-        plan = got._jdf.queryExecution().executedPlan().toString()
-        assert "Window" not in plan
-        assert rows(got) == want, order
+        for strategy in ("window", "aggregate"):
+            got = dedupe_first(df, ["k"], order, strategy=strategy)
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert strategy == "window" or "Window" not in plan
+            assert rows(got) == want, (order, strategy)

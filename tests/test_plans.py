@@ -34,10 +34,11 @@ def test_filters_reach_the_scan(spark, name):
 
 
 @pytest.mark.parametrize("name", ["dedupe_first", "dense_rank_within", "category_table_ranked", "append_with_lookup"])
-def test_no_window_over_input_rows(spark, name):
-    # dedupe is an aggregate; ranks use a window only over the bounded offsets table (partitioned by group)
+def test_no_unreduced_window_over_input_rows(spark, name):
     plan = _plan(spark, name)
     if name in ("dedupe_first", "append_with_lookup"):
-        assert "Window" not in plan
+        # keep-first windows are limited per key on the map side before the shuffle
+        assert "WindowGroupLimit" in plan and "Partial" in plan
     else:
+        # ranks: a window only over the bounded offsets table; the rest is range partitions + mapInPandas
         assert "MapInPandas" in plan or "InMemoryTableScan" in plan

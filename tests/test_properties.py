@@ -47,6 +47,9 @@ def test_rank_within_equals_brute_force(spark, pairs, parts, ascending):
 def test_dedupe_first_equals_brute_force(spark, data):
     df = spark.createDataFrame(data, "k int, v int, s string")
     got = sorted(tuple(r) for r in dedupe_first(df, ["k"], [("v", False), ("s", True)]).collect())
+    via_agg = sorted(tuple(r) for r in dedupe_first(df, ["k"], [("v", False), ("s", True)],
+                                                     strategy="aggregate").collect())
+    assert got == via_agg
     best = {}
     for k, v, s in data:
         # descending v with nulls last, then ascending s
