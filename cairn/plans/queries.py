@@ -40,12 +40,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def csv_typed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer written as headered CSV, re-read under its declared schema (header checked)."""
     customer = table(spark, sf_dir, "customer")
     path = write_stage(customer, scratch_path(spark, "customer-csv"), fmt="csv")
     return read_typed_csv(spark, path, schema=customer.schema, check_header=True)
 
 
 def csv_permissive_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part sizes below 5 written as the text NA; the typed read turns them into nulls and flags the rows."""
     part = table(spark, sf_dir, "part")
     as_text = part.select("p_partkey",
                           F.when(F.col("p_size") < 5, F.lit("NA")).otherwise(F.col("p_size").cast("string"))
@@ -58,6 +60,7 @@ def csv_permissive_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_narrow_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five customer columns written; read back under the first four (positional schema, header checked)."""
     customer = table(spark, sf_dir, "customer")
     path = write_stage(customer, scratch_path(spark, "customer-wide-csv"), fmt="csv")
     narrow = StructType(customer.schema.fields[:4])
@@ -65,12 +68,14 @@ def csv_narrow_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_string_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nation written with a header and read back without a schema: every column is a string."""
     nation = table(spark, sf_dir, "nation")
     path = write_stage(nation, scratch_path(spark, "nation-csv"), fmt="csv")
     return read_typed_csv(spark, path, schema=None)
 
 
 def split_write_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events split into one folder per event type in one write, re-read, counted and summed per type."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     path = split_write(events, scratch_path(spark, "events-split"), by="event_type")
     schema = StructType([StructField("event_id", LongType()), StructField("user_id", LongType()),
@@ -84,35 +89,41 @@ def split_write_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def select_filter_eq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with status F, four columns."""
     orders = table(spark, sf_dir, "orders")
     return orders.where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey", "o_orderstatus",
                                                               "o_totalprice")
 
 
 def filter_or_and(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with status F, or status P and price above 100000 (explicit precedence)."""
     orders = table(spark, sf_dir, "orders")
     keep = (F.col("o_orderstatus") == "F") | ((F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > 100000))
     return orders.where(keep).select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 
 def filter_in_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of three types (IN list)."""
     events = table(spark, sf_dir, "events")
     return events.where(F.col("event_type").isin("view", "click", "error")).select("event_id", "user_id",
                                                                                    "event_type", "value")
 
 
 def filter_between_ne(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of size 10-20 whose type is not ECONOMY."""
     part = table(spark, sf_dir, "part")
     return part.where(F.col("p_size").between(10, 20) & (F.col("p_type") != "ECONOMY")).select(
         "p_partkey", "p_size", "p_type")
 
 
 def filter_contains_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct part names containing 'ring', sorted."""
     part = table(spark, sf_dir, "part")
     return part.where(F.col("p_name").contains("ring")).select("p_name").distinct().orderBy("p_name")
 
 
 def filter_non_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose text (blanked for English) is not empty."""
     docs = table(spark, sf_dir, "documents")
     blanked = docs.select("doc_id", "lang", F.when(F.col("lang") == "en", F.lit("")).otherwise(F.col("text"))
                           .alias("text"))
@@ -120,6 +131,7 @@ def filter_non_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def literal_rename_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Region with a literal tag, renamed columns, one dropped, one derived."""
     region = table(spark, sf_dir, "region")
     tagged = region.withColumn("tag", F.lit("region")).withColumnsRenamed(
         {"r_regionkey": "region_key", "r_name": "region_name"})
@@ -130,6 +142,7 @@ def literal_rename_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fill_numeric_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part size and price with nulls filled by -1 and 0."""
     part = table(spark, sf_dir, "part")
     gappy = part.select("p_partkey",
                         F.when(F.col("p_size") % 7 == 0, F.lit(None)).otherwise(F.col("p_size")).alias("p_size"),
@@ -139,6 +152,7 @@ def fill_numeric_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fill_string_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer segment with nulls filled by a default text."""
     customer = table(spark, sf_dir, "customer")
     gappy = customer.select("c_custkey", F.when(F.col("c_mktsegment") == "BUILDING", F.lit(None))
                             .otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
@@ -146,6 +160,7 @@ def fill_string_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replace_token_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segment tokens replaced as whole values and as substrings."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     out = replace_token(customer, "c_mktsegment", "BUILDING", "CONSTRUCTION", whole=True, name="seg_whole")
     out = replace_token(out, "c_mktsegment", "HOLD", "HOME", whole=True, name="seg_token_whole")
@@ -158,6 +173,7 @@ LINEITEM_VALUE_COLS = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
 
 
 def dedupe_first_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items kept once per (order, line number): the first under all other columns."""
     lineitem = table(spark, sf_dir, "lineitem")
     kept = dedupe_first(lineitem, ["l_orderkey", "l_linenumber"], LINEITEM_VALUE_COLS + ["l_shipdate"])
     return kept.select("l_orderkey", "l_linenumber", *LINEITEM_VALUE_COLS)
@@ -172,6 +188,7 @@ def _event_counts(events: DataFrame, event_type: str, name: str) -> DataFrame:
 
 
 def full_outer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-user purchase and signup counts merged by a full outer join, zeros filled."""
     events = table(spark, sf_dir, "events")
     purchases = _event_counts(events, "purchase", "purchases")
     signups = _event_counts(events, "signup", "signups")
@@ -179,18 +196,21 @@ def full_outer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def three_way_outer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-user click, view and error counts merged in one grouped pass (n-ary outer merge)."""
     events = table(spark, sf_dir, "events")
     sides = [_event_counts(events, t, n) for t, n in (("click", "clicks"), ("view", "views"), ("error", "errors"))]
     return outer_merge(sides, ["user_id"], fill=0, strategy="union")
 
 
 def category_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-user counts of three event types as columns, from one aggregate."""
     events = table(spark, sf_dir, "events").where(F.col("value") > 100)
     return category_counts(events, ["user_id"], "event_type", ["click", "view", "error"],
                            ["clicks", "views", "errors"])
 
 
 def lookup_enrich_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers enriched with a nation name from a partial, duplicated lookup, default for misses."""
     nation = table(spark, sf_dir, "nation")
     partial = nation.where(F.col("n_nationkey") < 20).select("n_nationkey", "n_name")
     second_names = nation.where(F.col("n_nationkey") < 5).select("n_nationkey", F.lower("n_name").alias("n_name"))
@@ -201,6 +221,7 @@ def lookup_enrich_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def append_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and suppliers stacked by column name."""
     customer = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("party_key"), F.col("c_name").alias("name"),
         F.col("c_nationkey").alias("nation_key"), F.lit("customer").alias("kind"))
@@ -214,40 +235,47 @@ def append_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per status: all rows and rows with a (nullable) price."""
     orders = table(spark, sf_dir, "orders")
     priced = F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_totalprice"))
     return orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_orders"), F.count(priced).alias("n_priced"))
 
 
 def group_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line item quantity and price sums per return flag."""
     lineitem = table(spark, sf_dir, "lineitem")
     return lineitem.groupBy("l_returnflag").agg(rounded(F.sum("l_quantity"), 2).alias("sum_qty"),
                                                 rounded(F.sum("l_extendedprice"), 2).alias("sum_price"))
 
 
 def group_mean_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order count and rounded mean price per customer."""
     orders = table(spark, sf_dir, "orders")
     return orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"),
                                            rounded(F.avg("o_totalprice"), 2).alias("avg_price"))
 
 
 def frequency_topk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top five customers by order count (ties broken by key)."""
     orders = table(spark, sf_dir, "orders")
     return frequency_topk(orders, ["o_custkey"], 5, count_name="n_orders")
 
 
 def composite_frequency_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top five (user, event type) pairs with a display label."""
     events = table(spark, sf_dir, "events")
     return frequency_topk(events, ["user_id", "event_type"], 5, label="label")
 
 
 def distinct_then_count_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top five suppliers by distinct (part, flag) pairs, flag N excluded."""
     lineitem = table(spark, sf_dir, "lineitem")
     return frequency_topk(lineitem, ["l_suppkey"], 5, where=F.col("l_returnflag") != "N",
                           distinct_on=["l_suppkey", "l_partkey", "l_returnflag"])
 
 
 def two_key_group_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count and rounded mean price per (return flag, line status)."""
     lineitem = table(spark, sf_dir, "lineitem")
     return lineitem.groupBy("l_returnflag", "l_linestatus").agg(
         F.count(F.lit(1)).alias("n"), rounded(F.avg("l_extendedprice"), 2).alias("avg_price"))
@@ -260,12 +288,14 @@ def _orders_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dense_rank_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers dense-ranked by order count inside their market segment."""
     # the input is an aggregate (one row per customer): computed once for both passes of the rank
     return rank_within(_orders_per_customer(spark, sf_dir), ["c_mktsegment"], "n_orders", name="rank",
                        cache_input=True)
 
 
 def topk_multi_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top five users by click, view and error counts."""
     events = table(spark, sf_dir, "events")
     counts = category_counts(events, ["user_id"], "event_type", ["click", "view", "error"],
                              ["clicks", "views", "errors"])
@@ -273,17 +303,20 @@ def topk_multi_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bottomk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five cheapest parts (ties broken by key)."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     return top_k(part, [F.asc("p_retailprice")], 5, tie_break=["p_partkey"])
 
 
 def row_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-customer order counts by status as columns plus their total."""
     orders = table(spark, sf_dir, "orders")
     counts = category_counts(orders, ["o_custkey"], "o_orderstatus", ["F", "O", "P"], ["n_f", "n_o", "n_p"])
     return add_total(counts, ["n_f", "n_o", "n_p"], "total")
 
 
 def rounded_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line item price minus quantity, rounded to cents."""
     lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
     return difference(lineitem, "l_extendedprice", "l_quantity", "diff", 2).select("l_orderkey", "l_linenumber",
                                                                                    "diff")
@@ -293,6 +326,7 @@ SIZE_BANDS = [(1, 10, "small"), (11, 25, "medium"), (31, 50, "large")]
 
 
 def band_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts banded by size (one range left uncovered): count and mean price per band."""
     part = band(table(spark, sf_dir, "part"), "p_size", SIZE_BANDS, "size_band")
     return part.groupBy("size_band").agg(F.count(F.lit(1)).alias("n"),
                                          rounded(F.avg("p_retailprice"), 2).alias("avg_price"))
@@ -302,21 +336,25 @@ def band_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pearson_matrix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pearson matrix of quantity, price and discount as long rows."""
     lineitem = table(spark, sf_dir, "lineitem")
     return pearson_matrix(lineitem, ["l_quantity", "l_extendedprice", "l_discount"])
 
 
 def pearson_test_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Correlation test of discount and quantity per return flag."""
     lineitem = table(spark, sf_dir, "lineitem")
     return pearson_test(lineitem, "l_discount", "l_quantity", by=["l_returnflag"])
 
 
 def group_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean event value per event type."""
     events = table(spark, sf_dir, "events")
     return events.groupBy("event_type").agg(F.count("value").alias("n"), rounded(F.avg("value"), 6).alias("mean_value"))
 
 
 def welch_t_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Welch t-test of event values: view against purchase."""
     events = table(spark, sf_dir, "events")
     return welch_t(events, "value", "event_type", "view", "purchase")
 
@@ -333,16 +371,19 @@ ANOVA_COLS = ["k", "n", "df_between", "df_within", "f", "p_value", "reject_null"
 
 
 def anova_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-way ANOVA of order price across the five priorities."""
     orders = table(spark, sf_dir, "orders")
     return anova_oneway(orders, "o_totalprice", "o_orderpriority").select(*ANOVA_COLS)
 
 
 def anova_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-way ANOVA of event values across three named event types."""
     events = table(spark, sf_dir, "events")
     return anova_oneway(events, "value", "event_type", groups=["view", "click", "error"]).select(*ANOVA_COLS)
 
 
 def anova_columns_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-way ANOVA across three per-user count columns."""
     events = table(spark, sf_dir, "events")
     counts = category_counts(events, ["user_id"], "event_type", ["click", "view", "error"],
                              ["clicks", "views", "errors"])
@@ -350,6 +391,7 @@ def anova_columns_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def anova_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ANOVA of order price across priorities for every market segment."""
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", "o_totalprice")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
@@ -358,6 +400,7 @@ def anova_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def assumption_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Levene and Jarque-Bera checks of event values by event type."""
     events = table(spark, sf_dir, "events")
     return check_assumptions(events, "value", "event_type")
 
@@ -366,6 +409,7 @@ def assumption_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events split into files, replayed one file per trigger; running totals and means per type."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     source = split_write(events, scratch_path(spark, "events-stream-input"), by="event_type")
     schema = StructType([StructField("event_id", LongType()), StructField("user_id", LongType()),
@@ -440,6 +484,7 @@ def append_with_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_table_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-customer status counts, total, and dense rank of the total inside the segment."""
     orders = table(spark, sf_dir, "orders")
     segments = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
     return category_table(orders, ["o_custkey"], "o_orderstatus", ["F", "O", "P"], ["n_f", "n_o", "n_p"],
