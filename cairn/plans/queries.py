@@ -142,7 +142,7 @@ def literal_rename_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fill_numeric_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part size and price with nulls filled by -1 and 0."""
+    """Part size nulled for multiples of 7 and price nulled above size 45, then filled with -1 and 0."""
     part = table(spark, sf_dir, "part")
     gappy = part.select("p_partkey",
                         F.when(F.col("p_size") % 7 == 0, F.lit(None)).otherwise(F.col("p_size")).alias("p_size"),
@@ -152,7 +152,7 @@ def fill_numeric_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fill_string_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer segment with nulls filled by a default text."""
+    """Customer segment nulled for BUILDING, then filled with a default text."""
     customer = table(spark, sf_dir, "customer")
     gappy = customer.select("c_custkey", F.when(F.col("c_mktsegment") == "BUILDING", F.lit(None))
                             .otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
