@@ -70,6 +70,8 @@ def _local_rank_fn(part_cols: list[str], order_col: str):
                 else:
                     same.iloc[0] = False
                 changed |= ~same
+            if open_key is None:  # the partition's first row always opens a group (also with no group columns)
+                changed.iloc[0] = True
             run_id = changed.cumsum()  # 0 = continuation of the group open before this batch
             grouped = pdf.groupby(run_id)
             dense = grouped.cumcount() + 1

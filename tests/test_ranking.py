@@ -86,3 +86,13 @@ def test_release_cached_frees_rank_intermediates(spark):
     assert rows(out, "id", "rank") == [(1, 1), (2, 2)]
     assert release_cached() == 2  # the input and the local ranks
     assert rows(out, "id", "rank") == [(1, 1), (2, 2)]  # still computable from lineage
+
+
+def test_global_rank_without_single_partition(spark):
+    data = [(i, (i * 37) % 101 if i % 9 else None) for i in range(3000)]
+    df = spark.createDataFrame(data, "id int, v int")
+    for method in ("dense", "min"):
+        got = rank_within(df, [], "v", method=method, num_partitions=7)
+        fn = F.dense_rank() if method == "dense" else F.rank()
+        want = df.withColumn("rank", fn.over(Window.orderBy(F.col("v").desc())).cast("bigint"))
+        assert rows(got, "id", "rank") == rows(want, "id", "rank")
