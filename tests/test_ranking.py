@@ -96,3 +96,21 @@ def test_global_rank_without_single_partition(spark):
         fn = F.dense_rank() if method == "dense" else F.rank()
         want = df.withColumn("rank", fn.over(Window.orderBy(F.col("v").desc())).cast("bigint"))
         assert rows(got, "id", "rank") == rows(want, "id", "rank")
+
+
+def test_rank_within_across_many_arrow_batches(spark):
+    rnd = random.Random(5)
+    data = [(i, rnd.choice(["a", "b", None, "c"]), rnd.choice([None] + list(range(60)))) for i in range(3000)]
+    df = spark.createDataFrame(data, "id int, g string, v int")
+    previous = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for method in ("dense", "min"):
+            for part in (["g"], []):
+                got = rank_within(df, part, "v", method=method, num_partitions=3)
+                want = _reference(df, part, "v", False, method) if part else df.withColumn(
+                    "rank", (F.dense_rank() if method == "dense" else F.rank()).over(
+                        Window.orderBy(F.col("v").desc())).cast("bigint"))
+                assert rows(got, "id", "rank") == rows(want, "id", "rank"), (method, part)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", previous)
