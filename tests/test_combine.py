@@ -57,3 +57,11 @@ def test_null_safe_join_matches_null_keys(spark):
     a = spark.createDataFrame([(None, 1), (2, 2)], "k int, x int")
     b = spark.createDataFrame([(None, "n"), (2, "t")], "k int, y string")
     assert rows(null_safe_join(a, b, ["k"])) == [(2, 2, "t"), (None, 1, "n")]
+
+
+def test_outer_merge_composite_keys_with_partial_nulls(spark):
+    a = spark.createDataFrame([(1, None, 10), (1, "x", 11)], "k1 int, k2 string, a bigint")
+    b = spark.createDataFrame([(1, None, 20), (1, "x", 21)], "k1 int, k2 string, b bigint")
+    for strategy in ("union", "join"):
+        got = rows(outer_merge([a, b], ["k1", "k2"], strategy=strategy))
+        assert got == sorted([(1, "x", 11, 21), (1, None, 10, None), (1, None, None, 20)], key=repr), strategy
