@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairn.session import cache_for_reuse
+
 # Largest dimension (in rows, after projection to key + value) that is ever
 # broadcast.  The check runs on the projected, de-duplicated dimension.
 BROADCAST_MAX_ROWS = 200_000
@@ -89,15 +91,17 @@ def lookup_enrich(df: DataFrame, dim: DataFrame, on: str, take: str, dim_key: st
     The dimension is reduced to one value per key **before** the join
     (``resolve`` = ``min``/``max`` picks among codes that share a key), so
     the join cannot fan out and no de-duplication is needed afterwards.
-    Unmatched rows get ``default``.  The reduced dimension is broadcast
-    only when :func:`broadcast_if_small` proves it small.
+    Unmatched rows get ``default``.  The reduced dimension is cached (see
+    :func:`cairn.session.release_cached`) and broadcast only when
+    :func:`broadcast_if_small` proves it small.
     """
     dim_key = dim_key or on
     name = name or take
     pick = {"min": F.min, "max": F.max}[resolve]
     reduced = (dim.where(F.col(dim_key).isNotNull())
                .groupBy(F.col(dim_key).alias("_lk_key")).agg(pick(take).alias("_lk_val")))
-    reduced = broadcast_if_small(reduced)
+    # cached: the size check materialises it and the join reads it back instead of recomputing
+    reduced = broadcast_if_small(cache_for_reuse(reduced))
     joined = df.join(reduced, F.col(on) == F.col("_lk_key"), "left").drop("_lk_key")
     value: Column = F.col("_lk_val")
     if default is not None:
