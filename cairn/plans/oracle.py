@@ -15,7 +15,9 @@ from __future__ import annotations
 
 
 def _round(expr: str, scale: int = 2) -> str:
-    return f"CAST(ROUND(CAST(({expr}) AS DECIMAL(28,8)), {scale}) AS DOUBLE)"
+    x = f"CAST(({expr}) AS DOUBLE)"
+    return (f"CASE WHEN isnan({x}) OR abs({x}) >= 9007199254740992.0 THEN {x} "
+            f"ELSE CAST(ROUND(CAST(({expr}) AS DECIMAL(28,8)), {scale}) AS DOUBLE) END")
 
 
 def _t_two_sided(t: str, df: str, src: str, group_cols: str = "") -> str:

@@ -45,3 +45,12 @@ def test_or_and_precedence(spark):
     df = spark.createDataFrame([("Gold", -1), ("NO", -1), ("NO", 30), ("Silver", 30)], "medal string, age int")
     keep = (F.col("medal") == "Gold") | (F.col("medal") == "NO") & (F.col("age") != -1)
     assert rows(df.where(keep)) == [("Gold", -1), ("NO", 30)]
+
+
+def test_rounded_passes_huge_and_special_values_through(spark):
+    df = spark.createDataFrame([(1.27e254,), (float("inf"),), (float("nan"),), (-1e16,), (123.456,), (2.5e15,)],
+                               "x double")
+    got = [r["r"] for r in df.select(rounded("x", 2).alias("r")).collect()]
+    assert got[0] == 1.27e254 and got[1] == float("inf") and got[2] != got[2] and got[3] == -1e16
+    assert got[4] == 123.46 and got[5] == 2.5e15
+    assert df.select(rounded(F.lit(2.5e15 + 0.5), 0).alias("r")).first()["r"] == 2.5e15 + 1

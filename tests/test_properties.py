@@ -103,3 +103,24 @@ def test_anova_and_welch_equal_numpy(spark, data):
         w = welch_t(df, "x", "g", "a", "b", scale=None).collect()[0]
         if sa + sb > 1e-9:
             assert math.isclose(w["t"], (a.mean() - b.mean()) / math.sqrt(sa + sb), rel_tol=1e-7, abs_tol=1e-9)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["s1", "s2", None]), st.sampled_from(["a", "b", "c"]),
+                          st.floats(-20, 20, allow_nan=False), st.floats(-20, 20, allow_nan=False)),
+                min_size=6, max_size=60))
+def test_by_segment_equals_test_per_segment(spark, data):
+    from cairn.operators.stats import anova_oneway, pearson_test, welch_t
+
+    df = spark.createDataFrame(data, "seg string, g string, x double, y double")
+    for fn in (lambda d, by: welch_t(d, "x", "g", "a", "b", by=by),
+               lambda d, by: pearson_test(d, "x", "y", by=by),
+               lambda d, by: anova_oneway(d, "x", "g", by=by)):
+        together = {r["seg"]: r.asDict() for r in fn(df, ["seg"]).collect()}
+        for seg in {s for s, *_ in data}:
+            part = df.where(df.seg.isNull()) if seg is None else df.where(df.seg == seg)
+            alone = [r.asDict() for r in fn(part, []).collect()]
+            if seg in together:
+                assert together[seg] == dict(alone[0], seg=seg)
+            else:  # a grouped test has no row for a segment without any relevant row
+                assert not alone or all(v in (None, 0, False) or isinstance(v, str) for v in alone[0].values())
