@@ -107,3 +107,12 @@ def test_split_output_is_partition_pruned(spark):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(k" in plan and "(k#" in plan
     assert rows(one) == sorted([(i, "v2") for i in range(2, 40, 4)], key=repr)
+
+
+def test_split_write_caps_records_per_file(spark):
+    df = spark.createDataFrame([(i, "a") for i in range(50)], "id int, k string").coalesce(1)
+    path = split_write(df, scratch_path(spark, "t-cap"), by="k", fmt="parquet", max_records_per_file=10)
+    local = path[len("file:"):] if path.startswith("file:") else path
+    files = [f for f in os.listdir(os.path.join(local, "k=a")) if f.endswith(".parquet")]
+    assert len(files) == 5
+    assert spark.read.parquet(path).count() == 50
