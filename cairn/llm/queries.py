@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from cairn.llm import chat
 from cairn.llm.common import table
+from cairn.llm.forest import near_vectors
 from cairn.llm.mixing import mix
 from cairn.llm.packing import pack_documents
+from cairn.llm.rules import judge
 from cairn.llm.sharding import byte_shards
+from cairn.llm.simhash import near_duplicates
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +40,22 @@ def op10_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer=bpe_path())
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash components of all documents: shingles of 3 words, links at 3 or fewer bits."""
+    rows = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality rules over all documents: base counts, lines too frequent within a source, depleted documents."""
+    return judge(table(spark, sf_dir, "documents"))
+
+
+def op8_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.95, from a forest of random-projection trees."""
+    return near_vectors(table(spark, sf_dir, "embeddings"), limit=0.95)
+
+
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -49,6 +68,8 @@ def op9_chat_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_byte_shards": op2_byte_shards,
+           "op3_simhash": op3_simhash, "op8_embedding_forest": op8_embedding_forest,
+           "op5_line_rules": op5_line_rules,
            "op9_chat_prefix_tree": op9_chat_prefix_tree, "op10_pack_documents": op10_pack_documents}
 #: DuckDB SQL for the queries that SQL can express.
 ORACLE = {"op9_chat_prefix_tree": r"""
