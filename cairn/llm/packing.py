@@ -117,7 +117,7 @@ def _bins_of(labels: list[int]) -> Bins:
 def pack(pieces: DataFrame, *, capacity: int = 1024, group_items: int = 1536, islands: int = 3, epochs: int = 2,
          population: int = 6, generations: int = 5, seed: int = 1) -> DataFrame:
     """``pieces`` (doc_id, piece, start, length, ids_crc32, ...) with sequence_id and offset."""
-    spark = pieces.sparkSession
+    spark, pieces = pieces.sparkSession, durable(pieces)
     drawn = pieces.withColumn("__full", F.col("length") >= capacity).withColumn(
         "__draw", F.xxhash64(F.lit(seed), "doc_id", "piece", "start", "length", "ids_crc32"))
     laid = durable(grouped_prefix(drawn, ["__draw", "doc_id", "piece"], group=["__full"], index="__i"))
