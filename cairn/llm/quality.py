@@ -2,7 +2,7 @@
 
 ``P(grade <= k) = sigmoid(threshold_k - w . x)``: one weight vector for all grades, ordered thresholds.  ``x`` marks the
 hashed tokens that a text holds (runs of letters and their first four letters, runs of digits, single symbols; lower
-case).  Weights get an L1 penalty, so words without evidence weigh nothing, however long a text is.  The expected grade
+case), and whether it stutters.  Weights get an L1 penalty, so words without evidence weigh nothing, however long a text is.  The expected grade
 and the tail probability ``P(grade >= k)`` follow; selection is by the tail.
 
 The fit uses at most ``per_grade`` rated documents of each grade (a documented bound; drawn by hash), scoring every whole
@@ -13,6 +13,7 @@ learned, every tail is 1 and every document is kept; repeated rows are scored ea
 
 from __future__ import annotations
 
+import operator
 import re
 import zlib
 from collections.abc import Iterator
@@ -27,6 +28,8 @@ from cairn.session import ship_by_value
 
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_")
 BITS = 18
+#: Marks a text of which eight tokens and over a twentieth of all repeat the one before.
+AGAIN = "\n again"
 #: Code points of a text taken at a time, tokens kept in a worker's memory.
 CHUNK, KEPT = 1_000_000, 400_000
 
@@ -34,14 +37,19 @@ CHUNK, KEPT = 1_000_000, 400_000
 def hashed_tokens(text: str, known: dict[str, tuple[int, ...]]) -> np.ndarray:
     """The hashed features that a whole text holds, each once."""
     seen: set[str] = set()
-    at = 0
+    at = again = total = 0
     while at < len(text):
         end = at + CHUNK
         if end < len(text):  # end a piece before a white space
             space = text.rfind(" ", at, end)
             end = space if space > at else end
-        seen.update(TOKEN.findall(text[at:end].lower()))
+        tokens = TOKEN.findall(text[at:end].lower())
+        again += sum(map(operator.eq, tokens, tokens[1:]))
+        total += len(tokens)
+        seen.update(tokens)
         at = end
+    if again >= 8 and 20 * again > total:
+        seen.add(AGAIN)
     if len(known) > KEPT:
         known.clear()
     mask, held = (1 << BITS) - 1, set()
@@ -66,26 +74,28 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -500, 500)))
 
 
-def telling(rows: list[np.ndarray], grade: np.ndarray, evidence: float) -> np.ndarray:
-    """Features whose presence depends on the grade: likelihood-ratio statistic G2 of the table above ``evidence``."""
+def telling(rows: list[np.ndarray], grade: np.ndarray, evidence: float, lift: float) -> np.ndarray:
+    """Features that tell grades apart: likelihood-ratio statistic G2 of presence by grade above ``evidence``, and in one
+    grade at least ``lift`` times as frequent as over all grades.  Words that merely follow a text's length fail the latter."""
     size = np.bincount(grade).astype(float)
     flat, row = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     used, column = np.unique(flat, return_inverse=True)
     held = np.stack([np.bincount(column[grade[row] == g], minlength=len(used)) for g in range(len(size))], axis=1)
-    g2 = np.zeros(len(used))
-    for table, mean in ((held, held.sum(1) / size.sum()), (size - held, 1 - held.sum(1) / size.sum())):
-        expected = np.maximum(mean[:, None] * size, 1e-12)
+    g2, mean = np.zeros(len(used)), held.sum(axis=1) / size.sum()
+    for table, share in ((held, mean), (size - held, 1 - mean)):
+        expected = np.maximum(share[:, None] * size, 1e-12)
         g2 += 2 * np.where(table > 0, table * np.log(np.maximum(table, 1e-12) / expected), 0).sum(axis=1)
-    return used[g2 > evidence]
+    rate = held / np.maximum(size, 1)
+    return used[(g2 > evidence) & (rate.max(axis=1) > lift * rate.mean(axis=1))]
 
 
-def fit(rows: list[np.ndarray], grade: np.ndarray, prior: list[float], *, evidence: float = 30.0, l1: float = 2e-4,
-        steps: int = 1500, rate: float = 0.2) -> OrdinalModel:
+def fit(rows: list[np.ndarray], grade: np.ndarray, prior: list[float], *, evidence: float = 12.0, lift: float = 1.8, l1: float = 2e-4,
+        steps: int = 600, rate: float = 0.2) -> OrdinalModel:
     """Proximal gradient steps with a step size per weight (Adagrad), over the features that tell grades apart.
 
     ``prior``: the share of each grade among all ratings; the sample may hold others.
     """
-    used, grades = telling(rows, grade, evidence), int(grade.max()) + 1
+    used, grades = telling(rows, grade, evidence, lift), int(grade.max()) + 1
     kept = [np.searchsorted(used, r[np.isin(r, used)]) for r in rows]
     column = np.concatenate(kept)
     row = np.repeat(np.arange(len(rows)), [len(r) for r in kept])
@@ -181,8 +191,8 @@ def grade_documents(docs: DataFrame, ratings: DataFrame, *, at_least: int | None
 
 
 def graded_labels(labels: DataFrame) -> DataFrame:
-    """The given two labels as three grades: 0 poor, 1 sound but toxic, 2 good."""
-    return labels.select("doc_id", F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(
+    """The given two labels as three grades: 0 toxic, 1 poor, 2 good."""
+    return labels.select("doc_id", F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(
         (F.col("quality") == 1) & (F.col("toxic") == 0), 2).alias("grade"))
 
 

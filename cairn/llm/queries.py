@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from cairn.llm import chat
 from cairn.llm.common import table
 from cairn.llm.forest import near_vectors
+from cairn.llm.language import identify
 from cairn.llm.mixing import mix
 from cairn.llm.packing import pack_documents
+from cairn.llm.quality import grade_documents, graded_labels
 from cairn.llm.rules import judge
 from cairn.llm.sharding import byte_shards
 from cairn.llm.simhash import near_duplicates
@@ -46,6 +48,17 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordinal quality grades of all documents, learned from the labels; kept: the best grade is likelier than not."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return grade_documents(docs, graded_labels(table(spark, sf_dir, "labels"))).drop("text")
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from those outside the held-out fold."""
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules over all documents: base counts, lines too frequent within a source, depleted documents."""
     return judge(table(spark, sf_dir, "documents"))
@@ -70,6 +83,7 @@ def op9_chat_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_byte_shards": op2_byte_shards,
            "op3_simhash": op3_simhash, "op8_embedding_forest": op8_embedding_forest,
            "op5_line_rules": op5_line_rules,
+           "op4_ordinal_quality": op4_ordinal_quality, "op6_language": op6_language,
            "op9_chat_prefix_tree": op9_chat_prefix_tree, "op10_pack_documents": op10_pack_documents}
 #: DuckDB SQL for the queries that SQL can express.
 ORACLE = {"op9_chat_prefix_tree": r"""
