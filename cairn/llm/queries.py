@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import chat
+from cairn.llm import chat, pii
 from cairn.llm.common import table
 from cairn.llm.forest import near_vectors
 from cairn.llm.language import identify
@@ -59,6 +59,14 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: pattern spans, and those that a skip-chain field adds."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    number = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+    return found.select("doc_id", *(number(k).alias(f"n_{k}") for k in pii.KINDS),
+                        F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
 def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules over all documents: base counts, lines too frequent within a source, depleted documents."""
     return judge(table(spark, sf_dir, "documents"))
@@ -84,6 +92,7 @@ QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_byte_shards": op2_byte_shard
            "op3_simhash": op3_simhash, "op8_embedding_forest": op8_embedding_forest,
            "op5_line_rules": op5_line_rules,
            "op4_ordinal_quality": op4_ordinal_quality, "op6_language": op6_language,
+           "op7_personal_data": op7_personal_data,
            "op9_chat_prefix_tree": op9_chat_prefix_tree, "op10_pack_documents": op10_pack_documents}
 #: DuckDB SQL for the queries that SQL can express.
 ORACLE = {"op9_chat_prefix_tree": r"""
