@@ -1,0 +1,38 @@
+"""Small frames for the training-data operators."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def frame(spark, texts, **columns):
+    """Documents of the given texts; further columns by name."""
+    rows = []
+    for k, t in enumerate(texts):
+        pick = lambda name, value: columns[name][k] if name in columns else value  # noqa: E731, B023
+        rows.append((pick("doc_id", k), t, pick("lang", "en"), pick("source", "s"), None if t is None else len(t)))
+    return spark.createDataFrame(rows, DOCS)
+
+
+@pytest.fixture
+def documents(spark):
+    return lambda texts, **columns: frame(spark, texts, **columns)
+
+
+@pytest.fixture
+def awkward(spark):
+    """Nulls in every column, empty and long texts, ties, repeated rows, and an extra column."""
+    rows = [(1, "a b c", "en", "x", 5), (1, "a b c", "en", "x", 5), (None, None, None, None, None), (2, None, "en", None, None),
+            (3, "", "de", "y", 0), (4, " \n\t ", "de", "y", 4), (None, "lone words here", None, "x", 15),
+            (5, "word " * 60_000, "en", "x", 300_000), (6, "z" * 50_000, "fr", None, 50_000),
+            (7, "a b c", "en", "y", 5), (8, "1" * 30_000 + "@" + "." * 1000 + "+1 555", "en", "x", 31_007)]
+    return spark.createDataFrame(rows * 2, DOCS).withColumn("size", F.lit("extra")).withColumn("key", F.lit(1))
+
+
+@pytest.fixture
+def nothing(spark):
+    return spark.createDataFrame([], DOCS)
