@@ -80,6 +80,7 @@ def position_masks() -> list[int]:
 
 def narrower(mask: int) -> list[int]:
     """``mask`` with a quarter of its free bits added, four ways."""
+    mask %= 1 << 64
     free = [b for b in range(64) if not (mask >> b) & 1]
     quarters = [free[len(free) * k // 4:len(free) * (k + 1) // 4] for k in range(4)]
     out = [mask | sum(1 << b for b in q) for q in quarters]
@@ -107,6 +108,8 @@ def _lists(batches: Iterator[pd.DataFrame], max_bits: int, list_limit: int) -> I
     columns = ["a", "b", "mask"]
 
     def close(mask: int, run: list[np.ndarray], hot: bool) -> Iterator[pd.DataFrame]:
+        if not run:
+            return
         fp = np.concatenate(run)
         if hot:
             for m in narrower(mask):
