@@ -141,11 +141,11 @@ def graph_of(text: str, spans: list[Span]) -> Graph:
                 observed[i] = kind + 1
     chain = [(i, i + 1) for i in range(len(places) - 1) if places[i + 1][0] - places[i][1] <= 2]
     last: dict[str, int] = {}
-    skip = set()
+    skip, near = set(), set(chain)
     for i, (a, b) in enumerate(places):
         for form in normal_forms(text[a:b]):
             j = last.get(form)
-            if j is not None and j + 1 < i:  # each occurrence to the one before: a chain, not all pairs
+            if j is not None and j < i and (j, i) not in near:  # each occurrence to the one before: a chain, not all pairs
                 skip.add((j, i))
             last[form] = i
     return Graph(places, [form_features(text[a:b]) for a, b in places], observed, chain, sorted(skip))
