@@ -23,14 +23,19 @@ def rounded(c: ColumnLike, scale: int = 2) -> Column:
 
     A plain ``round`` on a double rounds the decimal text in Spark but the
     binary value in other engines, so results on a half (1.005, 2.675)
-    disagree.  Going through ``decimal(28,8)`` makes the rounding decimal
-    and the same everywhere.  From 2**53 on every double is an integer, so
+    disagree.  Going through a decimal (8 digits after the point, or
+    ``scale`` if more) makes the rounding decimal and the same everywhere.  From 2**53 on every double is an integer, so
     rounding is the identity: such values, infinities and NaN are returned
     unchanged instead of overflowing the decimal.
     """
     x = _col(c)
-    exact = F.isnan(x) | (F.abs(x) >= F.lit(float(2**53)))
-    return F.when(exact, x.cast("double")).otherwise(F.round(x.cast("decimal(28,8)"), scale).cast("double"))
+    digits = max(scale, 8)
+    if digits > 30:
+        raise ValueError("scale must be 30 at most")
+    # values of 2**53 and more are integers; with many decimals, smaller ones already are at their last digit
+    exact = F.isnan(x) | (F.abs(x) >= F.lit(min(float(2**53), 10.0 ** (36 - digits))))
+    kind = f"decimal({min(38, 20 + digits)},{digits})"
+    return F.when(exact, x.cast("double")).otherwise(F.round(x.cast(kind), scale).cast("double"))
 
 
 def difference(df: DataFrame, a: str, b: str, name: str, scale: int | None = 2) -> DataFrame:

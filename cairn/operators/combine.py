@@ -8,24 +8,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.session import cache_for_reuse
+# Largest table, in bytes of its values, that is ever broadcast by choice.
+BROADCAST_MAX_BYTES = 32 * 2**20
 
-# Largest dimension (in rows, after projection to key + value) that is ever
-# broadcast.  The check runs on the projected, de-duplicated dimension.
-BROADCAST_MAX_ROWS = 200_000
 
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast if its values measure at most ``max_bytes``; else leave the join to AQE.
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after proving it has at most ``max_rows`` rows.
-
-    The proof is ``limit(max_rows + 1).count()``: each task stops after
-    ``max_rows + 1`` rows, so the check is cheap even when the answer is
-    "too big".  Beyond the bound the frame is returned unmarked and the
-    join is planned as a shuffle join (AQE may still switch it at run time
-    from measured sizes).
+    The measure is one aggregate over all rows (16 bytes a value, plus the
+    length of its text), summed per task before the shuffle.  ``df`` is read
+    for it, so pass a frame that is durable or cheap to read.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    size = reduce(lambda a, b: a + b, [F.lit(16) + F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
+                                       for c in df.columns])
+    measured = df.agg(F.sum(size.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if measured <= max_bytes else df
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -38,20 +35,20 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def outer_merge(dfs: Sequence[DataFrame], keys: Sequence[str], fill: object = None,
-                strategy: str = "union") -> DataFrame:
-    """Full outer merge of tables that each hold at most one row per key.
+                strategy: str = "join") -> DataFrame:
+    """Full outer merge of tables on ``keys``.
 
     Result: one row per key present in any input, the keys once (coalesced),
     then every input's value columns; a value column is null (or ``fill``)
     where its input lacks the key.  Rows whose key contains a null are never
     matched with other inputs, as in a SQL full outer join.
 
-    ``strategy="union"`` (default) stacks the inputs and groups once: one
-    shuffle for any number of inputs, with partial aggregation, instead of
-    ``len(dfs) - 1`` chained sort-merge joins.  It requires the inputs to be
-    unique on ``keys`` (true for grouped aggregates, the intended use).
-    ``strategy="join"`` chains real full outer joins and also accepts
-    inputs with repeated keys (pairing them as a join does).
+    ``strategy="join"`` (default) chains full outer joins; repeated keys
+    pair as a join pairs them.  ``strategy="union"`` stacks the inputs and
+    groups once: one shuffle for any number of inputs, with partial
+    aggregation.  It is meant for inputs with at most one row per key
+    (grouped aggregates); that is checked in the plan, and a repeated key
+    fails the job instead of losing a row.
     """
     keys = list(keys)
     value_cols: list[str] = []
@@ -69,10 +66,17 @@ def outer_merge(dfs: Sequence[DataFrame], keys: Sequence[str], fill: object = No
         parts = []
         for i, d in enumerate(dfs):
             own = [c for c in d.columns if c not in keys]
-            parts.append(d.select(*keys, *own, F.when(any_null_key, F.lit(i)).alias("_null_key_side")))
+            alone = F.when(any_null_key, F.struct(F.lit(i).alias("side"), F.monotonically_increasing_id().alias("row")))
+            parts.append(d.select(*keys, *own, alone.alias("_alone"), F.lit(i).alias("_side")))
         stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-        merged = (stacked.groupBy(*keys, "_null_key_side")
-                  .agg(*[F.max(c).alias(c) for c in value_cols]).drop("_null_key_side"))
+        grouped = stacked.groupBy(*keys, "_alone").agg(
+            *[F.any_value(F.when(F.col("_side") == i, F.struct(*[F.col(c) for c in d.columns if c not in keys])), True)
+              .alias(f"_v{i}") for i, d in enumerate(dfs) if set(d.columns) - set(keys)],
+            *[F.count_if(F.col("_side") == i).alias(f"_n{i}") for i in range(len(dfs))])
+        most = F.greatest(*[F.col(f"_n{i}") for i in range(len(dfs))], F.lit(0))
+        checked = F.when(most > 1, F.raise_error(F.lit("outer_merge(strategy='union'): an input repeats a key"))).otherwise(most)
+        merged = grouped.withColumn("_checked", checked).where("_checked >= 0").select(
+            *keys, *[F.col(f"_v{i}.{c}").alias(c) for i, d in enumerate(dfs) for c in d.columns if c not in keys])
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
 
@@ -91,17 +95,15 @@ def lookup_enrich(df: DataFrame, dim: DataFrame, on: str, take: str, dim_key: st
     The dimension is reduced to one value per key **before** the join
     (``resolve`` = ``min``/``max`` picks among codes that share a key), so
     the join cannot fan out and no de-duplication is needed afterwards.
-    Unmatched rows get ``default``.  The reduced dimension is cached (see
-    :func:`cairn.session.release_cached`) and broadcast only when
-    :func:`broadcast_if_small` proves it small.
+    Unmatched rows get ``default``.  Nothing runs while the plan is built:
+    AQE broadcasts the reduced dimension if its shuffle turns out small, and
+    splits hot keys otherwise.
     """
     dim_key = dim_key or on
     name = name or take
     pick = {"min": F.min, "max": F.max}[resolve]
     reduced = (dim.where(F.col(dim_key).isNotNull())
                .groupBy(F.col(dim_key).alias("_lk_key")).agg(pick(take).alias("_lk_val")))
-    # cached: the size check materialises it and the join reads it back instead of recomputing
-    reduced = broadcast_if_small(cache_for_reuse(reduced))
     joined = df.join(reduced, F.col(on) == F.col("_lk_key"), "left").drop("_lk_key")
     value: Column = F.col("_lk_val")
     if default is not None:

@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from cairn.operators.combine import null_safe_join
-from cairn.session import cache_for_reuse, ship_by_value
-
-ship_by_value(__name__)
+from cairn.operators.combine import broadcast_if_small, null_safe_join
+from cairn.operators.prefix import durable, grouped_prefix
 
 
 def top_k(df: DataFrame, order: Sequence[Column | str], k: int, tie_break: Sequence[str] = ()) -> DataFrame:
@@ -28,110 +24,9 @@ def top_k(df: DataFrame, order: Sequence[Column | str], k: int, tie_break: Seque
     return df.orderBy(*cols).limit(k)
 
 
-def _same(a: pd.Series, b: pd.Series) -> pd.Series:
-    return (a == b) | (a.isna() & b.isna())
-
-
-def _local_rank_fn(part_cols: list[str], order_col: str):
-    """Per range partition: ranks of distinct values inside each group.
-
-    Input rows are distinct ``(group..., value, _mult)`` sorted by group then
-    value.  Every row gets its dense rank (``_ld``) and the number of input
-    rows before it (``_lb``) counted *within this partition*, and a flag
-    telling whether it belongs to the partition's first group — the only
-    group that can have started in an earlier partition.  After the last
-    batch one summary row (``_kind = 1``) is emitted for the first and for
-    the last group of the partition with their totals here; those are the
-    only groups that can continue into a neighbouring partition.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        open_key: dict | None = None
-        open_dense = open_before = 0
-        groups_started = 0
-        first_key: dict | None = None
-        first_totals = (0, 0)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            keys = pdf[part_cols]
-            prev = keys.shift(1)
-            changed = pd.Series(False, index=pdf.index)
-            for c in part_cols:
-                same = _same(keys[c], prev[c])
-                if open_key is not None:
-                    v = open_key[c]
-                    a = keys[c].iloc[0]
-                    same.iloc[0] = (pd.isna(a) and pd.isna(v)) or (not pd.isna(a) and not pd.isna(v) and a == v)
-                else:
-                    same.iloc[0] = False
-                changed |= ~same
-            if open_key is None:  # the partition's first row always opens a group (also with no group columns)
-                changed.iloc[0] = True
-            run_id = changed.cumsum()  # 0 = continuation of the group open before this batch
-            grouped = pdf.groupby(run_id)
-            dense = grouped.cumcount() + 1
-            before = grouped["_mult"].cumsum() - pdf["_mult"]
-            cont = run_id == 0
-            dense = dense + cont * open_dense
-            before = before + cont * open_before
-            gidx = groups_started + run_id
-            if first_key is None:
-                first_key = keys.iloc[0].to_dict()
-            in_first = gidx == 1
-            if in_first.any():
-                last = in_first[in_first].index[-1]
-                first_totals = (int(dense[last]), int(before[last] + pdf["_mult"][last]))
-            groups_started += int(changed.sum())
-            open_key = keys.iloc[-1].to_dict()
-            open_dense = int(dense.iloc[-1])
-            open_before = int(before.iloc[-1] + pdf["_mult"].iloc[-1])
-            yield pdf.assign(_ld=dense.astype("int64"), _lb=before.astype("int64"), _pid=pid, _kind=0,
-                             _first=in_first)
-        if groups_started == 0:
-            return
-        tail = [dict(open_key, _ld=open_dense, _lb=open_before)]
-        if groups_started > 1:
-            tail.insert(0, dict(first_key, _ld=first_totals[0], _lb=first_totals[1]))
-        out = pd.DataFrame(tail)
-        out[order_col] = None
-        out["_mult"] = 0
-        out = out.assign(_pid=pid, _kind=1, _first=False)
-        yield out[part_cols + [order_col, "_mult", "_ld", "_lb", "_pid", "_kind", "_first"]]
-
-    return run
-
-
-def _local_ranks(df: DataFrame, part: list[str], order_col: str, order: Column,
-                 num_partitions: int | None) -> DataFrame:
-    """Steps 1-3 of :func:`rank_within`: distinct pairs, range partitions, local ranks (persisted)."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = df.groupBy(*part, order_col).agg(F.count(F.lit(1)).alias("_mult"))
-    ordered = (pairs.repartitionByRange(n, *[F.col(c).asc() for c in part], order)
-               .sortWithinPartitions(*[F.col(c).asc() for c in part], order))
-    # Keys cross into Python as their exact text: pandas would turn a nullable
-    # integer column into float64 and round values beyond 2**53.  The range
-    # partitioning and the sort above still use the typed values.
-    types = {f.name: f.dataType for f in pairs.schema.fields}
-    text = ordered.select(*[F.col(c).cast("string").alias(c) for c in part + [order_col]], "_mult")
-    schema = StructType([StructField(c, StringType(), True) for c in part + [order_col]] + [
-        StructField("_mult", LongType(), True), StructField("_ld", LongType()), StructField("_lb", LongType()),
-        StructField("_pid", IntegerType()), StructField("_kind", IntegerType()), StructField("_first", BooleanType())])
-    local = text.mapInPandas(_local_rank_fn(part, order_col), schema)
-    local = local.select(*[F.col(c).cast(types[c]).alias(c) for c in part + [order_col]],
-                         "_mult", "_ld", "_lb", "_pid", "_kind", "_first")
-    # The summary rows and the ranked rows must come from the same run of the
-    # range partitioning, so the local result is materialised once.
-    return cache_for_reuse(local)
-
-
 def rank_within(df: DataFrame, partition_by: Sequence[str], order_col: str, ascending: bool = False,
                 name: str = "rank", method: str = "dense", num_partitions: int | None = None,
-                strategy: str = "range", cache_input: bool = False) -> DataFrame:
+                strategy: str = "range") -> DataFrame:
     """Add the rank of ``order_col`` inside each ``partition_by`` group.
 
     ``method``: ``"dense"`` (``dense_rank``: ties share a rank, no gaps) or
@@ -142,22 +37,15 @@ def rank_within(df: DataFrame, partition_by: Sequence[str], order_col: str, asce
     g order by v)``: one shuffle, but every group is sorted inside a single
     task, which fails when one group holds a large share of the rows.
 
-    ``strategy="range"`` (default) never puts a group in one task:
-
-    1. reduce rows to distinct ``(group, value)`` pairs with their
-       multiplicity (partial aggregation shrinks hot groups early);
-    2. range-partition those pairs by ``(group, value)`` — a large group is
-       split over many partitions — and sort inside partitions;
-    3. per partition compute local ranks (``mapInPandas``) plus a summary
-       row for the first and last group of the partition;
-    4. turn the summaries (at most two rows per partition — a bounded,
-       broadcast-safe table) into per-partition offsets;
-    5. join the ranked pairs back to the rows on ``(group, value)``.
-
-    The input is read twice (for the pairs and for the join back).  When it
-    is an expensive derived table — typically an aggregate with one row per
-    key — pass ``cache_input=True`` to compute it once (persisted to memory
-    and disk).
+    ``strategy="range"`` (default) never puts a group in one task: rows are
+    reduced to distinct ``(group, value)`` pairs with their number (partial
+    aggregation shrinks hot groups early); a prefix sum over the pairs,
+    range-partitioned by ``(group, value)``, gives each its rank
+    (:func:`cairn.operators.prefix.grouped_prefix`); the ranks, one row per
+    pair, are joined back.  Keys keep their types throughout, and the join
+    is a left join: no row is lost.  The ranks are kept durably and
+    broadcast if they measure small, in which case the rows are not
+    shuffled at all.  The input is read twice.
     """
     part = list(partition_by)
     order = F.col(order_col).asc() if ascending else F.col(order_col).desc()
@@ -169,24 +57,8 @@ def rank_within(df: DataFrame, partition_by: Sequence[str], order_col: str, asce
         raise ValueError(f"unknown strategy {strategy!r}")
     if method not in ("dense", "min"):
         raise ValueError(f"unknown method {method!r}")
-
-    if cache_input:
-        df = cache_for_reuse(df)
-    local = _local_ranks(df, part, order_col, order, num_partitions)
-
-    summary = local.where(F.col("_kind") == 1).select(*part, "_pid", "_ld", "_lb")
-    earlier = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = summary.select(
-        *part, "_pid",
-        F.coalesce(F.sum("_ld").over(earlier), F.lit(0)).alias("_off_dense"),
-        F.coalesce(F.sum("_lb").over(earlier), F.lit(0)).alias("_off_before"),
-    )
-    rows = local.where(F.col("_kind") == 0)
-    # offsets has at most two rows per range partition: a proven bound.
-    ranked = null_safe_join(rows, F.broadcast(offsets), [*part, "_pid"], how="left")
-    first = F.col("_first")
-    dense = F.col("_ld") + F.when(first, F.coalesce(F.col("_off_dense"), F.lit(0))).otherwise(0)
-    before = F.col("_lb") + F.when(first, F.coalesce(F.col("_off_before"), F.lit(0))).otherwise(0)
-    rank_value = dense if method == "dense" else before + 1
-    ranks = ranked.select(*part, order_col, rank_value.cast("bigint").alias(name))
-    return null_safe_join(df.drop(name) if name in df.columns else df, ranks, [*part, order_col], how="inner")
+    pairs = df.groupBy(*part, order_col).agg(F.count(F.lit(1)).alias("_mult"))
+    placed = grouped_prefix(pairs, [order], group=part, sums={"_before": "_mult"}, index="_dense", width=num_partitions)
+    value = F.col("_dense") if method == "dense" else F.col("_before")
+    ranks = broadcast_if_small(durable(placed.select(*part, order_col, (value + 1).cast("bigint").alias(name))))
+    return null_safe_join(df.drop(name) if name in df.columns else df, ranks, [*part, order_col], how="left")

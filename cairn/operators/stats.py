@@ -8,25 +8,30 @@ the p-value finisher (:mod:`cairn.functions.distributions`), which sees
 only aggregated rows.
 
 Every test returns ``p_value`` and ``reject_null = p_value < alpha``.
-Degenerate inputs (a constant column, a one-member group, zero variance)
-produce null statistics instead of raising, because every division goes
-through ``try_divide``.
+Perfect evidence is decided: |r| = 1, or a difference without any variance
+within, gives an infinite statistic and p = 0.  Inputs without evidence (a
+constant column, a one-member group, no variance at all) produce null
+statistics instead of raising.  Results are rounded only if ``scale`` says so.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairn.functions.distributions import f_test_p, r_critical_col, t_test_p
 from cairn.functions.numeric import rounded
-from cairn.operators.combine import null_safe_join
-from cairn.session import cache_for_reuse
+from cairn.operators.combine import broadcast_if_small, null_safe_join
+from cairn.operators.prefix import durable
+from cairn.session import ship_by_value
 
-DEFAULT_SCALE = 6
+ship_by_value(__name__)
+
+INFINITY = float("inf")
 
 
 def _r(c: Column, scale: int | None) -> Column:
@@ -52,62 +57,84 @@ def _grouped(df: DataFrame, by: Sequence[str], aggs: list[Column]) -> DataFrame:
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
-def pearson_matrix(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), scale: int | None = DEFAULT_SCALE,
+def _moment_rows(cols: list[str], by: list[str], shift: list[float], listwise: bool):
+    """Per task and segment: sums, squares and products of every pair over the rows where both are present."""
+    k = len(cols)
+    names = [*by, "a", "b", "n", "sa", "sb", "qa", "qb", "p"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, list[np.ndarray]] = {}
+        for batch in batches:
+            parts = batch.groupby(by, dropna=False, sort=False) if by else [((), batch)]
+            for key, part in parts:
+                x = part[cols].to_numpy(dtype=np.float64)
+                there = ~np.isnan(x)
+                if listwise:
+                    there &= there.all(axis=1, keepdims=True)
+                d, m = np.where(there, x - np.asarray(shift), 0.0), there.astype(np.float64)
+                # as Python objects: a missing key of any type is one key
+                key = tuple(None if pd.isna(v) else v for v in key)
+                sums = [m.T @ m, d.T @ m, (d * d).T @ m, d.T @ d]
+                held[key] = [s + t for s, t in zip(held[key], sums)] if key in held else sums
+        i, j = (v.ravel() for v in np.indices((k, k)))
+        for key, (n, s, q, p) in held.items():
+            out = pd.DataFrame({"a": i, "b": j, "n": n.ravel().astype("int64"), "sa": s.ravel(), "sb": s.T.ravel(),
+                                "qa": q.ravel(), "qb": q.T.ravel(), "p": p.ravel()})
+            for name, v in zip(by, key):
+                out[name] = pd.Series([v] * len(out), dtype=object)
+            yield out[names]
+
+    return run
+
+
+def pearson_matrix(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), scale: int | None = None,
                    shape: str = "long", missing: str = "pairwise") -> DataFrame:
     """Pearson correlation of every pair of ``cols``.
 
-    One aggregate (one pass, partial aggregation) yields every moment; the
-    matrix is then emitted in both orders, diagonal included.  A constant
-    column gives ``r = null`` (never a division error).
+    One pass forms the moments of all pairs as matrix products of Arrow
+    batches, centred on the columns' means (one cheap aggregate before) so
+    that nothing cancels; each task emits one row per pair, which are summed.
+    The cost of wide tables is that of a matrix product, not of one
+    aggregate expression per pair.  A constant column gives ``r = null``.
 
     ``missing="pairwise"`` (default) correlates each pair over the rows
     where both values are present; ``"listwise"`` keeps only rows where all
     ``cols`` are present (what an assembled feature vector with invalid rows
-    skipped gives) and needs fewer aggregates.
+    skipped gives).
 
     ``shape="long"``: rows ``(x, y, n, r)``; ``shape="wide"``: one row per
     ``x`` with one ``r`` column per variable, like the printed k×k matrix.
     """
+    cols, by = list(cols), list(by)
     if shape == "wide":
         long = pearson_matrix(df, cols, by, scale, shape="long", missing=missing)
-        return long.groupBy(*by, "x").pivot("y", list(cols)).agg(F.first("r"))
-    cols = list(cols)
-    by = list(by)
-    k = len(cols)
-    src = df
-    if missing == "listwise":
-        src = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
-    elif missing != "pairwise":
+        return long.groupBy(*by, "x").pivot("y", cols).agg(F.first("r"))
+    if missing not in ("pairwise", "listwise"):
         raise ValueError(f"unknown missing-value rule {missing!r}")
-    aggs: list[Column] = []
-    for i, c in enumerate(cols):
-        aggs += [F.count(c).alias(f"n_{i}"), F.var_pop(c).alias(f"v_{i}")]
-    for i in range(k):
-        for j in range(i + 1, k):
-            if missing == "pairwise":
-                aggs += _pair_moments(cols[i], cols[j], f"{i}_{j}")
-            else:
-                aggs.append(F.covar_pop(cols[i], cols[j]).alias(f"c_{i}_{j}"))
-    stats = _grouped(src, by, aggs)
-
-    def cell(a: int, b: int) -> Column:
-        if a == b:
-            n = F.col(f"n_{a}")
-            r = F.when(F.col(f"v_{a}") > 0, F.lit(1.0))
-        else:
-            i, j = min(a, b), max(a, b)
-            if missing == "pairwise":
-                n, r = F.col(f"n_{i}_{j}"), _pair_r(f"{i}_{j}")
-            else:
-                n = F.col(f"n_{i}")
-                r = F.try_divide(F.col(f"c_{i}_{j}"), F.sqrt(F.col(f"v_{i}") * F.col(f"v_{j}")))
-        return F.struct(F.lit(cols[a]).alias("x"), F.lit(cols[b]).alias("y"), n.alias("n"), _r(r, scale).alias("r"))
-
-    return stats.select(*by, F.inline(F.array(*[cell(a, b) for a in range(k) for b in range(k)])))
+    source = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
+    means = source.agg(*[F.avg(F.when(F.abs(F.col(c)) < INFINITY, F.col(c))).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    types = {f.name: f.dataType.simpleString() for f in source.schema.fields}
+    schema = ", ".join([*(f"`{c}` {types[c]}" for c in by), "a int, b int, n long, sa double, sb double, qa double, qb double, p double"])
+    shift = [float(m) if m is not None else 0.0 for m in means]
+    rows = source.mapInPandas(_moment_rows(cols, by, shift, missing == "listwise"), schema)
+    total = rows.groupBy(*by, "a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "qa", "qb", "p")])
+    if not by:  # also without any row
+        blank = df.sparkSession.range(len(cols) ** 2).select(
+            F.floor(F.col("id") / len(cols)).cast("int").alias("a"), (F.col("id") % len(cols)).cast("int").alias("b"))
+        total = blank.join(total, ["a", "b"], "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
+    mean_a, mean_b = F.try_divide(F.col("sa"), F.col("n")), F.try_divide(F.col("sb"), F.col("n"))
+    va, vb = F.col("qa") - F.col("sa") * mean_a, F.col("qb") - F.col("sb") * mean_b
+    # a variance that is rounding noise beside the values' size is none
+    flat = (va <= F.col("qa") * 1e-14) | (vb <= F.col("qb") * 1e-14)
+    r = F.when(~flat, F.try_divide(F.col("p") - F.col("sa") * mean_b, F.sqrt(va * vb)))
+    r = F.when(F.col("a") == F.col("b"), F.when(~flat, F.lit(1.0))).otherwise(F.greatest(F.lit(-1.0), F.least(r, F.lit(1.0))))
+    r = F.when(flat, F.lit(None).cast("double")).otherwise(r)
+    label = F.array(*[F.lit(c) for c in cols])
+    return total.select(*by, F.get(label, F.col("a")).alias("x"), F.get(label, F.col("b")).alias("y"), "n", _r(r, scale).alias("r"))
 
 
 def pearson_test(df: DataFrame, x: str, y: str, alpha: float = 0.05, alternative: str = "two-sided",
-                 by: Sequence[str] = (), scale: int | None = DEFAULT_SCALE, critical: bool = False) -> DataFrame:
+                 by: Sequence[str] = (), scale: int | None = None, critical: bool = False) -> DataFrame:
     """Test for correlation of ``x`` and ``y``: ``r``, ``t = r·sqrt((n-2)/(1-r²))``, p.
 
     ``alternative`` is ``"two-sided"``, ``"greater"`` (positive
@@ -122,6 +149,7 @@ def pearson_test(df: DataFrame, x: str, y: str, alpha: float = 0.05, alternative
     n = F.col("n_xy")
     dof = n - 2
     t = r * F.sqrt(F.try_divide(dof.cast("double"), F.lit(1.0) - r * r))
+    t = F.when((F.abs(r) >= 1.0) & (dof > 0), F.signum(r) * INFINITY).otherwise(t)
     out = stats.select(*by, F.lit(x).alias("x"), F.lit(y).alias("y"), n.alias("n"), r.alias("_r"),
                        t.alias("_t"), dof.alias("df"))
     out = out.withColumn("_p", t_test_p(F.col("_t"), F.col("df"), alternative))
@@ -132,14 +160,15 @@ def pearson_test(df: DataFrame, x: str, y: str, alpha: float = 0.05, alternative
 
 
 def welch_t(df: DataFrame, value: str, group: str, a: object, b: object, alpha: float = 0.05,
-            alternative: str = "two-sided", by: Sequence[str] = (), scale: int | None = DEFAULT_SCALE) -> DataFrame:
+            alternative: str = "two-sided", by: Sequence[str] = (), scale: int | None = None) -> DataFrame:
     """Welch's two-sample t-test (unequal variances) of group ``a`` against ``b``.
 
     The statistic is ``mean(a) - mean(b)`` over its standard error, so the
     sign follows the argument order.  Both groups' n, mean and variance
     come from one conditional aggregate (no pivot, no join).  Nulls are
-    skipped; a group with fewer than two values, or zero variance in both,
-    gives null ``t`` and ``p``.
+    skipped; a group with fewer than two values, or equal means without any
+    variance, gives null ``t`` and ``p``; different means without any
+    variance give an infinite ``t`` and ``p = 0``.
     """
     by = list(by)
     va = F.when(F.col(group) == F.lit(a), F.col(value))
@@ -151,8 +180,11 @@ def welch_t(df: DataFrame, value: str, group: str, a: object, b: object, alpha:
     sa = F.try_divide(F.col("var_a"), F.col("n_a"))
     sb = F.try_divide(F.col("var_b"), F.col("n_b"))
     se2 = sa + sb
-    t = F.try_divide(F.col("mean_a") - F.col("mean_b"), F.sqrt(se2))
+    apart = F.col("mean_a") - F.col("mean_b")
+    certain = (se2 == 0) & (apart != 0)  # means differ, nothing varies
+    t = F.when(certain, F.signum(apart) * INFINITY).otherwise(F.try_divide(apart, F.sqrt(se2)))
     dof = F.try_divide(se2 * se2, F.try_divide(sa * sa, F.col("n_a") - 1) + F.try_divide(sb * sb, F.col("n_b") - 1))
+    dof = F.when(certain, (F.col("n_a") + F.col("n_b") - 2).cast("double")).otherwise(dof)
     out = stats.select(*by, F.lit(str(a)).alias("group_a"), F.lit(str(b)).alias("group_b"), "n_a", "n_b",
                        "mean_a", "mean_b", t.alias("_t"), dof.alias("_df"))
     out = out.withColumn("_p", t_test_p(F.col("_t"), F.col("_df"), alternative))
@@ -173,14 +205,13 @@ def _anova_from_groups(groups: DataFrame, by: Sequence[str], alpha: float, scale
     """One-way ANOVA from per-group (n, mean, var) rows, one result per ``by``.
 
     The group table (one row per group) is needed twice — for the segment
-    totals (N, k, grand mean) and to centre each group mean — so it is
-    computed once and cached.  With ``by`` the totals (one row per
+    totals (N, k, grand mean) and to centre each group mean; both read the
+    same exchange, so the input is scanned once.  With ``by`` the totals (one row per
     segment) are joined back on ``by``; without, the single totals row is
     attached as a scalar subquery (no join).  No step gathers all groups of
     a segment into one task, even for an ANOVA over millions of groups.
     """
     by = list(by)
-    groups = cache_for_reuse(groups)
     sums = [F.sum("n").alias("_N"), F.count(F.lit(1)).alias("_k"),
             F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("_grand")]
     if by:
@@ -197,6 +228,7 @@ def _anova_from_groups(groups: DataFrame, by: Sequence[str], alpha: float, scale
     df1 = F.col("k") - 1
     df2 = F.col("n") - F.col("k")
     f = F.try_divide(F.try_divide(F.col("_ssb"), df1), F.try_divide(F.col("_ssw"), df2))
+    f = F.when((F.col("_ssw") == 0) & (F.col("_ssb") > 0) & (df1 > 0) & (df2 > 0), F.lit(INFINITY)).otherwise(f)
     out = ss.select(*by, "k", "n", df1.alias("df_between"), df2.alias("df_within"), "_ssb", "_ssw", f.alias("_f"))
     out = out.withColumn("_p", f_test_p(F.col("_f"), F.col("df_between"), F.col("df_within")))
     return out.select(*by, "k", "n", "df_between", "df_within", _r(F.col("_ssb"), scale).alias("ss_between"),
@@ -205,7 +237,7 @@ def _anova_from_groups(groups: DataFrame, by: Sequence[str], alpha: float, scale
 
 
 def anova_oneway(df: DataFrame, value: str, group: str, groups: Sequence[object] | None = None,
-                 by: Sequence[str] = (), alpha: float = 0.05, scale: int | None = DEFAULT_SCALE) -> DataFrame:
+                 by: Sequence[str] = (), alpha: float = 0.05, scale: int | None = None) -> DataFrame:
     """One-way ANOVA of ``value`` across the groups of ``group``.
 
     ``groups`` restricts the test to the named groups (others ignored).
@@ -218,7 +250,7 @@ def anova_oneway(df: DataFrame, value: str, group: str, groups: Sequence[object]
 
 
 def anova_columns(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), alpha: float = 0.05,
-                  scale: int | None = DEFAULT_SCALE) -> DataFrame:
+                  scale: int | None = None) -> DataFrame:
     """One-way ANOVA treating each of ``cols`` as a group (wide table → long)."""
     by = list(by)
     long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
@@ -227,7 +259,7 @@ def anova_columns(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), al
 
 
 def check_assumptions(df: DataFrame, value: str, group: str, by: Sequence[str] = (), alpha: float = 0.05,
-                      scale: int | None = DEFAULT_SCALE) -> DataFrame:
+                      scale: int | None = None) -> DataFrame:
     """Assumption checks before an ANOVA/t-test, as long rows.
 
     * ``levene`` (one row per segment): equal variances — the ANOVA of
@@ -237,16 +269,16 @@ def check_assumptions(df: DataFrame, value: str, group: str, by: Sequence[str] =
       population skewness and excess kurtosis.
 
     Columns: ``by..., test, group, n, statistic, p_value, reject_null``.
-    The group means (one row per group) are joined back to the rows; the
-    join is broadcast by AQE once the means' real size is known, and stays a
-    shuffle join (with skew splitting) when there are very many groups.
+    The group means (one row per group) are kept durably and joined back to
+    the rows: broadcast if they measure small, so that the rows are not
+    shuffled, and by a shuffle join (with skew splitting) otherwise.
     """
     by = list(by)
     clean = df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
     # one aggregate gives both the group means (for Levene) and the shape moments (for Jarque-Bera)
-    shape = clean.groupBy(*by, group).agg(F.count(value).alias("n"), F.avg(value).alias("_gmean"),
-                                          F.skewness(value).alias("_s"), F.kurtosis(value).alias("_k"))
-    keyed = null_safe_join(clean, shape.select(*by, group, "_gmean"), [*by, group])
+    shape = durable(clean.groupBy(*by, group).agg(F.count(value).alias("n"), F.avg(value).alias("_gmean"),
+                                                  F.skewness(value).alias("_s"), F.kurtosis(value).alias("_k")))
+    keyed = null_safe_join(clean, broadcast_if_small(shape.select(*by, group, "_gmean")), [*by, group])
     deviations = keyed.select(*by, group, F.abs(F.col(value) - F.col("_gmean")).alias("_dev"))
     lev = anova_oneway(deviations, "_dev", group, by=by, alpha=alpha, scale=None)
     levene = lev.select(*by, F.lit("levene").alias("test"), F.lit(None).cast("string").alias("group"), "n",

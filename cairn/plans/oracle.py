@@ -57,11 +57,11 @@ _P_DF1_2 = "pow(df2 / (df2 + 2 * f), df2 / 2.0)"
 _P_DF1_4 = "pow(df2 / (df2 + 4 * f), df2 / 2.0) * (1 + df2 / 2.0 * (1 - df2 / (df2 + 4 * f)))"
 
 _EVENT_COUNTS = """
-SELECT user_id,
+SELECT user_id,{day}
        COUNT(*) FILTER (WHERE event_type = 'click') AS clicks,
        COUNT(*) FILTER (WHERE event_type = 'view') AS views,
        COUNT(*) FILTER (WHERE event_type = 'error') AS errors
-FROM events WHERE {where} event_type IN ('click', 'view', 'error') GROUP BY user_id"""
+FROM events WHERE event_type IN ('click', 'view', 'error') GROUP BY ALL"""
 
 _PAIRS = [("l_quantity", "l_quantity"), ("l_quantity", "l_extendedprice"), ("l_quantity", "l_discount"),
           ("l_extendedprice", "l_quantity"), ("l_extendedprice", "l_extendedprice"),
@@ -72,6 +72,14 @@ _PEARSON_MATRIX = "\nUNION ALL\n".join(
     f"SELECT '{x}' AS x, '{y}' AS y, COUNT(*) FILTER (WHERE {x} IS NOT NULL AND {y} IS NOT NULL) AS n, "
     f"{_round(f'corr({x}, {y})', 6)} AS r FROM lineitem" for x, y in _PAIRS)
 
+_BASE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+_WIDE = {c: f"CAST({c} AS DOUBLE)" for c in _BASE}
+_WIDE |= {f"{a}_x_{b}": f"CAST({a} AS DOUBLE) * {b}" for i, a in enumerate(_BASE) for b in _BASE[i:]}
+_WIDE |= {f"{a}_by_{b}": f"CAST({a} AS DOUBLE) / ({b} + 1)" for a in _BASE[:2] for b in _BASE}
+_WIDE_PEARSON = ("WITH w AS (SELECT " + ", ".join(f"{e} AS {c}" for c, e in _WIDE.items()) + " FROM lineitem)\n"
+                 + "\nUNION ALL\n".join(f"SELECT '{x}' AS x, '{y}' AS y, COUNT(*) AS n, {_round(f'corr({x}, {y})', 6)} AS r FROM w"
+                                       for x in _WIDE for y in _WIDE))
+
 _PEARSON_TEST = f"""
 WITH s AS (SELECT l_returnflag, COUNT(*) FILTER (WHERE l_discount IS NOT NULL AND l_quantity IS NOT NULL) AS n,
                   corr(l_discount, l_quantity) AS r
@@ -195,28 +203,26 @@ FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
       FROM lineitem)
 WHERE rn = 1""",
     "full_outer_merge": """
-WITH p AS (SELECT user_id, COUNT(*) AS purchases FROM events
-           WHERE value > 100 AND event_type = 'purchase' GROUP BY user_id),
-     s AS (SELECT user_id, COUNT(*) AS signups FROM events
-           WHERE value > 100 AND event_type = 'signup' GROUP BY user_id)
-SELECT COALESCE(p.user_id, s.user_id) AS user_id, COALESCE(p.purchases, 0) AS purchases,
-       COALESCE(s.signups, 0) AS signups
-FROM p FULL OUTER JOIN s ON p.user_id = s.user_id""",
+WITH p AS (SELECT user_id, CAST(ts AS DATE) AS day, COUNT(*) AS purchases FROM events
+           WHERE event_type = 'purchase' GROUP BY ALL),
+     s AS (SELECT user_id, CAST(ts AS DATE) AS day, COUNT(*) AS signups FROM events
+           WHERE event_type = 'signup' GROUP BY ALL)
+SELECT COALESCE(p.user_id, s.user_id) AS user_id, COALESCE(p.day, s.day) AS day,
+       COALESCE(p.purchases, 0) AS purchases, COALESCE(s.signups, 0) AS signups
+FROM p FULL OUTER JOIN s ON p.user_id = s.user_id AND p.day = s.day""",
     "three_way_outer_merge": """
-WITH c AS (SELECT user_id, COUNT(*) AS clicks FROM events WHERE value > 100 AND event_type = 'click' GROUP BY user_id),
-     v AS (SELECT user_id, COUNT(*) AS views FROM events WHERE value > 100 AND event_type = 'view' GROUP BY user_id),
-     e AS (SELECT user_id, COUNT(*) AS errors FROM events WHERE value > 100 AND event_type = 'error' GROUP BY user_id)
-SELECT COALESCE(c.user_id, v.user_id, e.user_id) AS user_id, COALESCE(c.clicks, 0) AS clicks,
-       COALESCE(v.views, 0) AS views, COALESCE(e.errors, 0) AS errors
-FROM c FULL OUTER JOIN v ON c.user_id = v.user_id
-       FULL OUTER JOIN e ON COALESCE(c.user_id, v.user_id) = e.user_id""",
-    "category_counts": _EVENT_COUNTS.format(where="value > 100 AND"),
+WITH c AS (SELECT user_id, CAST(ts AS DATE) AS day, COUNT(*) AS clicks FROM events WHERE event_type = 'click' GROUP BY ALL),
+     v AS (SELECT user_id, CAST(ts AS DATE) AS day, COUNT(*) AS views FROM events WHERE event_type = 'view' GROUP BY ALL),
+     e AS (SELECT user_id, CAST(ts AS DATE) AS day, COUNT(*) AS errors FROM events WHERE event_type = 'error' GROUP BY ALL)
+SELECT COALESCE(c.user_id, v.user_id, e.user_id) AS user_id, COALESCE(c.day, v.day, e.day) AS day,
+       COALESCE(c.clicks, 0) AS clicks, COALESCE(v.views, 0) AS views, COALESCE(e.errors, 0) AS errors
+FROM c FULL OUTER JOIN v ON c.user_id = v.user_id AND c.day = v.day
+       FULL OUTER JOIN e ON COALESCE(c.user_id, v.user_id) = e.user_id AND COALESCE(c.day, v.day) = e.day""",
+    "category_counts": _EVENT_COUNTS.format(day=" CAST(ts AS DATE) AS day,"),
     "lookup_enrich": """
-WITH dim AS (SELECT n_nationkey, n_name FROM nation WHERE n_nationkey < 20
-             UNION ALL SELECT n_nationkey, lower(n_name) FROM nation WHERE n_nationkey < 5),
-     d AS (SELECT n_nationkey, MIN(n_name) AS n_name FROM dim WHERE n_nationkey IS NOT NULL GROUP BY n_nationkey)
-SELECT s.s_suppkey, s.s_nationkey, COALESCE(d.n_name, 'UNKNOWN') AS nation_name
-FROM supplier s LEFT JOIN d ON s.s_nationkey = d.n_nationkey""",
+WITH d AS (SELECT o_custkey, MIN(o_orderpriority) AS first FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey)
+SELECT c.c_custkey, c.c_nationkey, COALESCE(d.first, 'NONE') AS pending_priority
+FROM customer c LEFT JOIN d ON c.c_custkey = d.o_custkey""",
     "group_counts": """
 SELECT o_orderstatus, COUNT(*) AS n_orders,
        COUNT(CASE WHEN o_orderpriority <> '1-URGENT' THEN o_totalprice END) AS n_priced
@@ -244,7 +250,7 @@ WITH c AS (SELECT c.c_custkey, c.c_mktsegment, COUNT(*) AS n_orders
 SELECT c_custkey, c_mktsegment, n_orders,
        CAST(dense_rank() OVER (PARTITION BY c_mktsegment ORDER BY n_orders DESC) AS BIGINT) AS rank
 FROM c""",
-    "topk_multi_measure": _EVENT_COUNTS.format(where="")
+    "topk_multi_measure": _EVENT_COUNTS.format(day="")
     + "\nORDER BY clicks DESC, views DESC, errors DESC, user_id LIMIT 5",
     "bottomk": "SELECT p_partkey, p_name, p_retailprice FROM part ORDER BY p_retailprice, p_partkey LIMIT 5",
     "append_rows": """
@@ -279,7 +285,7 @@ FROM orders WHERE o_orderpriority IS NOT NULL AND o_totalprice IS NOT NULL GROUP
 SELECT event_type AS grp, COUNT(value) AS n, AVG(value) AS m, VAR_SAMP(value) AS v
 FROM events WHERE event_type IN ('view', 'click', 'error') AND value IS NOT NULL GROUP BY event_type""", _P_DF1_2),
     "anova_columns": _anova(f"""
-WITH u AS ({_EVENT_COUNTS.format(where='')}),
+WITH u AS ({_EVENT_COUNTS.format(day='')}),
      l AS (SELECT 'clicks' AS grp, CAST(clicks AS DOUBLE) AS x FROM u
            UNION ALL SELECT 'views', CAST(views AS DOUBLE) FROM u
            UNION ALL SELECT 'errors', CAST(errors AS DOUBLE) FROM u)
@@ -308,7 +314,7 @@ FROM lineitem WHERE l_discount > 0 GROUP BY 1""",
         "SELECT * FROM lineitem WHERE l_returnflag = 'R' OR (l_returnflag = 'N' AND l_discount <> 0)",
         "l_extendedprice", "l_returnflag", "R", "N"),
     "append_with_lookup": """
-WITH d AS (SELECT n_nationkey, MIN(n_name) AS n_name FROM nation WHERE n_nationkey < 20 GROUP BY n_nationkey),
+WITH d AS (SELECT n_nationkey, MIN(n_name) AS n_name FROM nation GROUP BY n_nationkey),
 acc AS (SELECT c_custkey AS party_key, c_nationkey AS nation_key, c_acctbal AS acctbal, 'customer' AS kind
         FROM customer
         UNION ALL
@@ -328,4 +334,25 @@ WITH t AS (SELECT o_custkey,
 SELECT t.o_custkey, t.n_f, t.n_o, t.n_p, t.total, c.c_mktsegment,
        CAST(dense_rank() OVER (PARTITION BY c.c_mktsegment ORDER BY t.total DESC) AS BIGINT) AS rank
 FROM t JOIN customer c ON c.c_custkey = t.o_custkey""",
+    "documents_csv_stage": """
+SELECT doc_id, text, '  ' || lang || ' ' AS padded,
+       CASE WHEN lang = 'en' THEN '' WHEN lang = 'de' THEN source END AS gappy FROM documents""",
+    "staged_difference": f"""
+WITH d AS (SELECT {_round('l_extendedprice - l_quantity', 2)} AS diff FROM lineitem)
+SELECT diff >= 30000 AS large, COUNT(*) AS n, {_round('AVG(diff)', 2)} AS avg_diff FROM d GROUP BY ALL""",
+    "distinct_category_table": """
+SELECT l_suppkey, COUNT(*) FILTER (WHERE l_returnflag = 'A') AS n_a, COUNT(*) FILTER (WHERE l_returnflag = 'N') AS n_n,
+       COUNT(*) FILTER (WHERE l_returnflag = 'R') AS n_r, COUNT(*) AS total
+FROM (SELECT DISTINCT l_suppkey, l_partkey, l_returnflag, l_linestatus FROM lineitem
+      WHERE l_returnflag IN ('A', 'N', 'R')) GROUP BY l_suppkey""",
+    "distinct_composite_topk": """
+SELECT l_suppkey, l_returnflag, COUNT(*) AS n_orders, concat_ws('_', CAST(l_suppkey AS VARCHAR), l_returnflag) AS label
+FROM (SELECT DISTINCT l_suppkey, l_returnflag, l_orderkey FROM lineitem)
+GROUP BY l_suppkey, l_returnflag ORDER BY n_orders DESC, l_suppkey, l_returnflag LIMIT 5""",
+    "perfect_correlation": """
+SELECT o_orderstatus, COUNT(o_totalprice) AS n, CAST(1 AS DOUBLE) AS r, CAST(0 AS DOUBLE) AS p_value, TRUE AS reject_null
+FROM orders GROUP BY o_orderstatus""",
+    "wide_pearson": _WIDE_PEARSON,
+    "stream_sorted_memory": f"""
+SELECT event_type, COUNT(*) AS count, {_round('SUM(value) / COUNT(*)', 2)} AS avg_value FROM events GROUP BY event_type""",
 }

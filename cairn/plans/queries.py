@@ -11,23 +11,25 @@ plays the year built, priorities play diets.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from cairn.functions.numeric import add_total, band, difference, rounded
+from cairn.functions.numeric import add_total, band, difference, mean_from_totals, rounded
 from cairn.operators.aggregate import category_counts, frequency_topk
 from cairn.operators.cleaning import dedupe_first, fill_missing, replace_token
 from cairn.operators.combine import append_rows, lookup_enrich, outer_merge
+from cairn.operators.prefix import durable
 from cairn.operators.ranking import rank_within, top_k
 from cairn.operators.stats import (anova_columns, anova_oneway, check_assumptions, pearson_matrix, pearson_test,
                                    welch_t)
 from cairn.plans.recipes import category_table
 from cairn.session import scratch_path
 from cairn.sources.files import read_typed_csv, split_write, write_stage
-from cairn.streaming.replay import mean_from_running, replay_files, run_to_end, running_totals
+from cairn.streaming.replay import mean_from_running, read_complete, replay_files, run_to_end, running_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,7 +45,7 @@ def csv_typed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer written as headered CSV, re-read under its declared schema (header checked)."""
     customer = table(spark, sf_dir, "customer")
     path = write_stage(customer, scratch_path(spark, "customer-csv"), fmt="csv")
-    return read_typed_csv(spark, path, schema=customer.schema, check_header=True)
+    return read_typed_csv(spark, path, schema=customer.schema, check_header=True, staged=True)
 
 
 def csv_permissive_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +57,7 @@ def csv_permissive_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = write_stage(as_text, scratch_path(spark, "part-na-csv"), fmt="csv")
     schema = StructType([StructField("p_partkey", LongType()), StructField("p_size", part.schema["p_size"].dataType),
                          StructField("p_retailprice", DoubleType())])
-    typed = read_typed_csv(spark, path, schema=schema, corrupt_col="_bad_line")
+    typed = read_typed_csv(spark, path, schema=schema, corrupt_col="_bad_line", staged=True)
     return typed.select("p_partkey", "p_size", "p_retailprice", F.col("_bad_line").isNotNull().alias("bad_row"))
 
 
@@ -64,14 +66,14 @@ def csv_narrow_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     path = write_stage(customer, scratch_path(spark, "customer-wide-csv"), fmt="csv")
     narrow = StructType(customer.schema.fields[:4])
-    return read_typed_csv(spark, path, schema=narrow, check_header=True)
+    return read_typed_csv(spark, path, schema=narrow, check_header=True, staged=True)
 
 
 def csv_string_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nation written with a header and read back without a schema: every column is a string."""
     nation = table(spark, sf_dir, "nation")
     path = write_stage(nation, scratch_path(spark, "nation-csv"), fmt="csv")
-    return read_typed_csv(spark, path, schema=None)
+    return read_typed_csv(spark, path, schema=None, staged=True)
 
 
 def split_write_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +82,7 @@ def split_write_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = split_write(events, scratch_path(spark, "events-split"), by="event_type")
     schema = StructType([StructField("event_id", LongType()), StructField("user_id", LongType()),
                          StructField("value", DoubleType()), StructField("event_type", StringType())])
-    back = read_typed_csv(spark, path, schema=schema)
+    back = read_typed_csv(spark, path, schema=schema, staged=True)
     return back.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"),
                                           rounded(F.sum("value"), 2).alias("total_value"))
 
@@ -183,41 +185,38 @@ def dedupe_first_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_counts(events: DataFrame, event_type: str, name: str) -> DataFrame:
-    return (events.where((F.col("value") > 100) & (F.col("event_type") == event_type))
-            .groupBy("user_id").agg(F.count(F.lit(1)).alias(name)))
+    return (events.where(F.col("event_type") == event_type)
+            .groupBy("user_id", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias(name)))
 
 
 def full_outer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-user purchase and signup counts merged by a full outer join, zeros filled."""
+    """Per user and day, purchase and signup counts merged by a full outer join on both keys, zeros filled."""
     events = table(spark, sf_dir, "events")
     purchases = _event_counts(events, "purchase", "purchases")
     signups = _event_counts(events, "signup", "signups")
-    return outer_merge([purchases, signups], ["user_id"], fill=0, strategy="join")
+    return outer_merge([purchases, signups], ["user_id", "day"], fill=0, strategy="join")
 
 
 def three_way_outer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-user click, view and error counts merged in one grouped pass (n-ary outer merge)."""
+    """Per user and day, click, view and error counts merged in one grouped pass (n-ary outer merge)."""
     events = table(spark, sf_dir, "events")
     sides = [_event_counts(events, t, n) for t, n in (("click", "clicks"), ("view", "views"), ("error", "errors"))]
-    return outer_merge(sides, ["user_id"], fill=0, strategy="union")
+    return outer_merge(sides, ["user_id", "day"], fill=0, strategy="union")
 
 
 def category_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-user counts of three event types as columns, from one aggregate."""
-    events = table(spark, sf_dir, "events").where(F.col("value") > 100)
-    return category_counts(events, ["user_id"], "event_type", ["click", "view", "error"],
+    """Per user and day, counts of three event types as columns, from one aggregate."""
+    events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    return category_counts(events, ["user_id", "day"], "event_type", ["click", "view", "error"],
                            ["clicks", "views", "errors"])
 
 
 def lookup_enrich_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers enriched with a nation name from a partial, duplicated lookup, default for misses."""
-    nation = table(spark, sf_dir, "nation")
-    partial = nation.where(F.col("n_nationkey") < 20).select("n_nationkey", "n_name")
-    second_names = nation.where(F.col("n_nationkey") < 5).select("n_nationkey", F.lower("n_name").alias("n_name"))
-    dim = partial.unionByName(second_names)
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    return lookup_enrich(supplier, dim, on="s_nationkey", dim_key="n_nationkey", take="n_name",
-                         default="UNKNOWN", name="nation_name")
+    """Customers with the first priority among their pending orders (many per customer), a default where none is."""
+    pending = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P").select("o_custkey", "o_orderpriority")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    return lookup_enrich(customer, pending, on="c_custkey", dim_key="o_custkey", take="o_orderpriority",
+                         default="NONE", name="pending_priority")
 
 
 def append_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,9 +288,8 @@ def _orders_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dense_rank_within(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers dense-ranked by order count inside their market segment."""
-    # the input is an aggregate (one row per customer): computed once for both passes of the rank
-    return rank_within(_orders_per_customer(spark, sf_dir), ["c_mktsegment"], "n_orders", name="rank",
-                       cache_input=True)
+    # one row per customer, needed for both passes of the rank: computed once
+    return rank_within(durable(_orders_per_customer(spark, sf_dir)), ["c_mktsegment"], "n_orders", name="rank")
 
 
 def topk_multi_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -338,13 +336,13 @@ def band_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pearson_matrix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pearson matrix of quantity, price and discount as long rows."""
     lineitem = table(spark, sf_dir, "lineitem")
-    return pearson_matrix(lineitem, ["l_quantity", "l_extendedprice", "l_discount"])
+    return pearson_matrix(lineitem, ["l_quantity", "l_extendedprice", "l_discount"], scale=6)
 
 
 def pearson_test_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Correlation test of discount and quantity per return flag."""
     lineitem = table(spark, sf_dir, "lineitem")
-    return pearson_test(lineitem, "l_discount", "l_quantity", by=["l_returnflag"])
+    return pearson_test(lineitem, "l_discount", "l_quantity", by=["l_returnflag"], scale=6)
 
 
 def group_means(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -356,7 +354,7 @@ def group_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 def welch_t_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Welch t-test of event values: view against purchase."""
     events = table(spark, sf_dir, "events")
-    return welch_t(events, "value", "event_type", "view", "purchase")
+    return welch_t(events, "value", "event_type", "view", "purchase", scale=6)
 
 
 def welch_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,7 +362,7 @@ def welch_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", "o_totalprice")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
-    return welch_t(joined, "o_totalprice", "o_orderpriority", "1-URGENT", "5-LOW", by=["c_mktsegment"])
+    return welch_t(joined, "o_totalprice", "o_orderpriority", "1-URGENT", "5-LOW", by=["c_mktsegment"], scale=6)
 
 
 ANOVA_COLS = ["k", "n", "df_between", "df_within", "f", "p_value", "reject_null"]
@@ -373,13 +371,13 @@ ANOVA_COLS = ["k", "n", "df_between", "df_within", "f", "p_value", "reject_null"
 def anova_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One-way ANOVA of order price across the five priorities."""
     orders = table(spark, sf_dir, "orders")
-    return anova_oneway(orders, "o_totalprice", "o_orderpriority").select(*ANOVA_COLS)
+    return anova_oneway(orders, "o_totalprice", "o_orderpriority", scale=6).select(*ANOVA_COLS)
 
 
 def anova_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One-way ANOVA of event values across three named event types."""
     events = table(spark, sf_dir, "events")
-    return anova_oneway(events, "value", "event_type", groups=["view", "click", "error"]).select(*ANOVA_COLS)
+    return anova_oneway(events, "value", "event_type", groups=["view", "click", "error"], scale=6).select(*ANOVA_COLS)
 
 
 def anova_columns_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,7 +385,7 @@ def anova_columns_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     counts = category_counts(events, ["user_id"], "event_type", ["click", "view", "error"],
                              ["clicks", "views", "errors"])
-    return anova_columns(counts, ["clicks", "views", "errors"]).select(*ANOVA_COLS)
+    return anova_columns(counts, ["clicks", "views", "errors"], scale=6).select(*ANOVA_COLS)
 
 
 def anova_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -395,14 +393,14 @@ def anova_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", "o_totalprice")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
-    return anova_oneway(joined, "o_totalprice", "o_orderpriority", by=["c_mktsegment"]).select(
+    return anova_oneway(joined, "o_totalprice", "o_orderpriority", by=["c_mktsegment"], scale=6).select(
         "c_mktsegment", *ANOVA_COLS)
 
 
 def assumption_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Levene and Jarque-Bera checks of event values by event type."""
     events = table(spark, sf_dir, "events")
-    return check_assumptions(events, "value", "event_type")
+    return check_assumptions(events, "value", "event_type", scale=6)
 
 
 # ---------------------------------------------------------------- streaming
@@ -419,7 +417,7 @@ def stream_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a handful of event types: the state is tiny whatever the volume, so few state partitions
     run_to_end(running_totals(stream, ["event_type"], "value"), "event_totals", mode="complete", sink="table",
                path=result_path, state_partitions=4)
-    totals = spark.read.parquet(result_path)
+    totals = read_complete(spark, result_path)
     out = mean_from_running(totals, ["event_type"], scale=2)
     return out.withColumn("total", rounded(F.col("total"), 2))
 
@@ -443,7 +441,7 @@ def staged_band_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = write_stage(banded, scratch_path(spark, "lineitem-bands-csv"), fmt="csv")
     schema = StructType([StructField("l_quantity", DoubleType()), StructField("l_extendedprice", DoubleType()),
                          StructField("qty_band", StringType())])
-    staged = read_typed_csv(spark, path, schema=schema, check_header=True)
+    staged = read_typed_csv(spark, path, schema=schema, check_header=True, staged=True)
     return staged.groupBy("qty_band").agg(F.count(F.lit(1)).alias("n"),
                                           rounded(F.avg("l_extendedprice"), 2).alias("avg_price"))
 
@@ -455,7 +453,7 @@ def two_class_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = write_stage(lineitem.where(keep).select("l_returnflag", "l_extendedprice"),
                        scratch_path(spark, "lineitem-classes"))
     staged = spark.read.parquet(path)
-    return welch_t(staged, "l_extendedprice", "l_returnflag", "R", "N")
+    return welch_t(staged, "l_extendedprice", "l_returnflag", "R", "N", scale=6)
 
 
 def _best_account_per_nation(accounts: DataFrame, nation_dim: DataFrame, kind: str) -> DataFrame:
@@ -468,7 +466,7 @@ def _best_account_per_nation(accounts: DataFrame, nation_dim: DataFrame, kind: s
 
 def append_with_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tag rows, look up a code (default when missing), keep the top account per (code, tag), append, sort."""
-    nation = table(spark, sf_dir, "nation").where(F.col("n_nationkey") < 20).select("n_nationkey", "n_name")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     suppliers = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("party_key"), F.col("s_nationkey").alias("nation_key"),
         F.col("s_acctbal").alias("acctbal"))
@@ -480,6 +478,72 @@ def append_with_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.orderBy(F.desc("acctbal"), "party_key")
 
 
+def documents_csv_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents staged as CSV and re-read: line ends, quotes, padding and empty strings come back as they were."""
+    docs = table(spark, sf_dir, "documents")
+    padded = docs.select("doc_id", "text", F.concat(F.lit("  "), "lang", F.lit(" ")).alias("padded"),
+                         F.when(F.col("lang") == "en", "").when(F.col("lang") == "de", F.col("source")).alias("gappy"))
+    path = write_stage(padded, scratch_path(spark, "documents-csv"), fmt="csv")
+    return read_typed_csv(spark, path, schema=padded.schema, check_header=True, staged=True)
+
+
+def staged_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounded price difference staged as CSV, re-read typed, then counted and averaged by sign."""
+    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice", "l_quantity")
+    diff = difference(lineitem, "l_extendedprice", "l_quantity", "diff", 2).select("l_orderkey", "diff")
+    path = write_stage(diff, scratch_path(spark, "difference-csv"), fmt="csv")
+    staged = read_typed_csv(spark, path, schema=diff.schema, check_header=True, staged=True)
+    return staged.groupBy((F.col("diff") >= 30000).alias("large")).agg(
+        F.count(F.lit(1)).alias("n"), rounded(F.avg("diff"), 2).alias("avg_diff"))
+
+
+def distinct_category_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per supplier, line items counted once per (part, flag, status) by flag as columns, and their total."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    return category_table(lineitem, ["l_suppkey"], "l_returnflag", ["A", "N", "R"], ["n_a", "n_n", "n_r"],
+                          distinct_on=["l_suppkey", "l_partkey", "l_returnflag", "l_linestatus"]).orderBy(
+                              F.desc("total"), "l_suppkey")
+
+
+def distinct_composite_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top five (supplier, flag) pairs by distinct orders: de-duplicated, then counted on the composite key."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    return frequency_topk(lineitem, ["l_suppkey", "l_returnflag"], 5, label="label",
+                          distinct_on=["l_suppkey", "l_returnflag", "l_orderkey"], count_name="n_orders")
+
+
+def perfect_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Correlation test of each order's price with twice itself, per status: r = 1, p = 0, rejected."""
+    orders = table(spark, sf_dir, "orders").withColumn("double_price", F.col("o_totalprice") * 2)
+    out = pearson_test(orders, "o_totalprice", "double_price", by=["o_orderstatus"], scale=6)
+    return out.select("o_orderstatus", "n", "r", "p_value", "reject_null")
+
+
+def wide_pearson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pearson matrix of thirty columns of line items: five measures and their products and ratios."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    base = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+    cols = [F.col(c).cast("double").alias(c) for c in base]
+    cols += [(F.col(a) * F.col(b)).cast("double").alias(f"{a}_x_{b}") for i, a in enumerate(base) for b in base[i:]]
+    cols += [(F.col(a) / (F.col(b) + 1)).cast("double").alias(f"{a}_by_{b}") for a in base[:2] for b in base]
+    wide = lineitem.select(*cols)
+    return pearson_matrix(wide, wide.columns, scale=6, missing="listwise")
+
+
+def stream_sorted_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running totals sorted by count, kept as a named in-memory table (one row per event type) and read by SQL."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    source = split_write(events, scratch_path(spark, "events-memory-input"), by="event_type")
+    schema = StructType([StructField("event_id", LongType()), StructField("user_id", LongType()),
+                         StructField("value", DoubleType()), StructField("event_type", StringType())])
+    stream = replay_files(spark, source, schema, files_per_trigger=1)
+    name = f"event_totals_{uuid.uuid4().hex[:8]}"
+    run_to_end(running_totals(stream, ["event_type"], "value", sort_desc="count"), name, mode="complete",
+               sink="memory", state_partitions=4)
+    return spark.sql(f"SELECT event_type, count, total FROM {name} ORDER BY count DESC").select(
+        "event_type", "count", mean_from_totals("total", "count", 2).alias("avg_value"))
+
+
 # ---------------------------------------------------------------- flagship recipe
 
 
@@ -542,4 +606,11 @@ QUERIES: dict[str, Query] = {
     "staged_band_means": staged_band_means,
     "two_class_comparison": two_class_comparison,
     "append_with_lookup": append_with_lookup,
+    "documents_csv_stage": documents_csv_stage,
+    "staged_difference": staged_difference,
+    "distinct_category_table": distinct_category_table,
+    "distinct_composite_topk": distinct_composite_topk,
+    "perfect_correlation": perfect_correlation,
+    "wide_pearson": wide_pearson,
+    "stream_sorted_memory": stream_sorted_memory,
 }

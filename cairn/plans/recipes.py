@@ -11,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cairn.functions.numeric import add_total
 from cairn.operators.aggregate import category_counts
+from cairn.operators.prefix import durable
 from cairn.operators.ranking import rank_within
 
 
@@ -26,7 +28,8 @@ def category_table(df: DataFrame, keys: Sequence[str], category: str, values: Se
     * ``distinct_on`` — columns whose distinct combinations are counted
       once (must contain ``keys`` and ``category``);
     * ``attach`` — a table joined to the counts on ``keys`` before ranking
-      (e.g. a key's segment), one row per key;
+      (e.g. a key's segment); keys without an attached row stay, with nulls,
+      and a repeated attached key fails the job;
     * ``rank_by`` — the groups inside which keys are dense-ranked by the
       total, descending (skew-safe, see :func:`rank_within`).
     """
@@ -34,9 +37,12 @@ def category_table(df: DataFrame, keys: Sequence[str], category: str, values: Se
     source = df.select(*distinct_on).dropDuplicates() if distinct_on else df
     table = add_total(category_counts(source, keys, category, values, names), names, total)
     if attach is not None:
-        table = table.join(attach, on=list(keys), how="inner")
+        others = [c for c in attach.columns if c not in keys]
+        single = attach.groupBy(*keys).agg(F.any_value(F.struct(*others)).alias("_row"), F.count(F.lit(1)).alias("_n"))
+        checked = F.when(F.col("_n") > 1, F.raise_error(F.lit("category_table: attach repeats a key"))).otherwise(F.col("_n"))
+        single = single.withColumn("_n", checked).where("_n > 0").select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
+        table = table.join(single, on=list(keys), how="left")
     if rank_by is not None:
-        # the table is an aggregate (one row per key): compute it once for both passes of the rank
-        # (cached; release with cairn.session.release_cached once the result is written)
-        table = rank_within(table, list(rank_by), total, ascending=False, name=rank_name, cache_input=True)
+        # one row per key, needed for both passes of the rank: computed once
+        table = rank_within(durable(table), list(rank_by), total, ascending=False, name=rank_name)
     return table

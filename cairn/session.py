@@ -9,6 +9,7 @@ none configured, which is the case in local tests.
 from __future__ import annotations
 
 import os
+import re
 import sys
 import tempfile
 import uuid
@@ -70,12 +71,15 @@ def shared_dir(spark: SparkSession) -> str:
     """Root folder for intermediate data that every executor can reach.
 
     Reads ``spark.checkpoint.dir`` (or the directory set through
-    ``SparkContext.setCheckpointDir``).  Only when neither is set — a local
-    test session — a fresh folder is created and registered as the
-    checkpoint directory, so later calls agree on it.
+    ``SparkContext.setCheckpointDir``).  When neither is set, a local session
+    gets a fresh folder, registered as the checkpoint directory so that later
+    calls agree on it; any other master raises, because a folder of one
+    machine is not what its executors share.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
     try:
         current = spark.sparkContext.getCheckpointDir()
@@ -83,6 +87,9 @@ def shared_dir(spark: SparkSession) -> str:
         current = None
     if current:
         return current.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master is {master!r})")
     folder = tempfile.mkdtemp(prefix="cairn-checkpoint-")
     spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
@@ -107,27 +114,3 @@ def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
         yield cached
     finally:
         cached.unpersist()
-
-
-_LIBRARY_CACHES: list[DataFrame] = []
-
-
-def cache_for_reuse(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
-    """Persist a frame the library reads more than once inside one lazy result.
-
-    Such frames cannot be released by the operator itself (the result is
-    still lazy when it returns); they are remembered here and released by
-    :func:`release_cached` once the caller has written or collected the
-    results.  Lost blocks are recomputed from lineage.
-    """
-    cached = df.persist(level)
-    _LIBRARY_CACHES.append(cached)
-    return cached
-
-
-def release_cached() -> int:
-    """Unpersist every frame cached by :func:`cache_for_reuse`; returns how many."""
-    n = len(_LIBRARY_CACHES)
-    while _LIBRARY_CACHES:
-        _LIBRARY_CACHES.pop().unpersist()
-    return n

@@ -12,8 +12,8 @@ an in-memory table, sleeps five seconds and queries the table.  Here:
   present at start, one file per micro-batch, and stops — no sleep, no
   race (``run_to_end``);
 * the durable sink writes below the shared checkpoint folder through
-  ``foreachBatch``: in complete mode each batch overwrites the result
-  table; in update mode each batch appends only the changed keys tagged
+  ``foreachBatch``: in complete mode each batch writes the whole result to a
+  folder of its own and :func:`read_complete` reads the newest; in update mode each batch appends only the changed keys tagged
   with the batch id, and :func:`read_latest` keeps the newest row per key.
   The memory sink of the reference is offered for small, interactive use.
 """
@@ -63,14 +63,18 @@ def running_totals(stream: DataFrame, keys: Sequence[str], value: str, sort_desc
 
 
 def run_to_end(stream_df: DataFrame, name: str, mode: str = "complete", sink: str = "table",
-               path: str | None = None, checkpoint: str | None = None, timeout: float = 600.0,
+               path: str | None = None, checkpoint: str | None = None, timeout: float | None = None,
                state_partitions: int | None = None) -> StreamingQuery:
     """Run a streaming query over everything available now, then stop.
 
     ``sink="table"`` writes Parquet at ``path`` through ``foreachBatch``;
     ``"memory"`` keeps the result in the driver as table ``name``.  The
     checkpoint goes below the shared checkpoint directory unless given.
-    Raises if the query fails or does not finish within ``timeout`` seconds.
+    Raises if the query fails; there is no time limit unless ``timeout`` (seconds) is given.
+
+    In complete mode every batch writes its result to a folder of its own,
+    ``batch_id=<n>``, and :func:`read_complete` reads the newest: a reader
+    never finds the table missing or half written.
 
     ``state_partitions`` sets the number of state-store partitions of the
     query (fixed in its checkpoint at first start).  Every micro-batch
@@ -91,7 +95,7 @@ def run_to_end(stream_df: DataFrame, name: str, mode: str = "complete", sink: st
 
         if mode == "complete":
             def write_batch(batch: DataFrame, epoch_id: int) -> None:
-                batch.write.mode("overwrite").parquet(target)
+                batch.write.mode("overwrite").parquet(f"{target}/batch_id={epoch_id}")
         else:
             def write_batch(batch: DataFrame, epoch_id: int) -> None:
                 batch.withColumn("_batch", F.lit(epoch_id).cast("bigint")).write.mode("append").parquet(target)
@@ -101,13 +105,13 @@ def run_to_end(stream_df: DataFrame, name: str, mode: str = "complete", sink: st
         raise ValueError(f"unknown sink {sink!r}")
     previous = spark.conf.get("spark.sql.shuffle.partitions")
     if state_partitions:
-        # read by the stream's own thread when it starts; restored once the run is over
+        # the query copies the session's settings as it starts; restored as soon as it has
         spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     try:
         query = writer.start()
-        finished = query.awaitTermination(timeout)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", previous)
+    finished = query.awaitTermination(timeout) if timeout is not None else query.awaitTermination() or True
     if query.exception() is not None:
         raise RuntimeError(f"streaming query {name} failed: {query.exception()}")
     if not finished:
@@ -116,6 +120,13 @@ def run_to_end(stream_df: DataFrame, name: str, mode: str = "complete", sink: st
     return query
 
 
+def read_complete(spark: SparkSession, path: str) -> DataFrame:
+    """The result of the newest batch of a complete-mode table sink."""
+    table = spark.read.parquet(path)
+    newest = table.agg(F.max("batch_id")).scalar()
+    return table.where(F.col("batch_id") == newest).drop("batch_id")
+
+
 def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """Final state of an update-mode table sink: the newest row per key.
 

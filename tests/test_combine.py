@@ -1,3 +1,5 @@
+import pytest
+
 from cairn.operators.combine import append_rows, broadcast_if_small, lookup_enrich, null_safe_join, outer_merge
 from conftest import rows
 
@@ -11,7 +13,7 @@ def _sides(spark):
 
 def test_outer_merge_union_equals_chained_full_joins(spark):
     a, b, c = _sides(spark)
-    union = outer_merge([a, b, c], ["k"], fill=0)
+    union = outer_merge([a, b, c], ["k"], fill=0, strategy="union")
     joined = outer_merge([a, b, c], ["k"], fill=0, strategy="join")
     assert rows(union) == rows(joined)
     # key in one, two, three sides; null keys never matched across inputs
@@ -41,8 +43,37 @@ def test_lookup_enrich_dedupes_dimension_before_join_and_fills_default(spark):
 def test_broadcast_if_small_only_marks_proven_small(spark):
     small = spark.range(10)
     big = spark.range(1000)
-    assert "broadcast" in str(small.join(broadcast_if_small(small, 100), "id")._jdf.queryExecution().logical()).lower()
-    assert broadcast_if_small(big, 100) is big
+    logical = lambda df: str(df._jdf.queryExecution().logical()).lower()
+    assert "broadcast" in logical(small.join(broadcast_if_small(small, 1000), "id"))
+    assert broadcast_if_small(big, 1000) is big
+    # few rows of long text are not small
+    wide = spark.range(3).selectExpr("id", "repeat('x', 5000) AS t")
+    assert broadcast_if_small(wide, 1000) is wide
+
+
+def test_merge_loses_no_row_of_a_repeated_key(spark):
+    a = spark.createDataFrame([(1, 10), (1, 20), (2, 5)], "k int, x int")
+    b = spark.createDataFrame([(1, 7)], "k int, y int")
+    assert rows(outer_merge([a, b], ["k"])) == [(1, 10, 7), (1, 20, 7), (2, 5, None)]
+    with pytest.raises(Exception, match="repeats a key"):
+        outer_merge([a, b], ["k"], strategy="union").collect()
+    maps = spark.sql("SELECT 1 AS k, map('a', 1) AS m")
+    assert outer_merge([maps, b], ["k"], strategy="union").first().m == {"a": 1}
+
+
+def test_lookup_reads_a_replaced_file_anew_and_needs_no_single_task(spark):
+    from cairn.session import scratch_path
+
+    path = scratch_path(spark, "t-dim")
+    facts = spark.range(3).selectExpr("id AS k")
+    dim = lambda: spark.read.parquet(path)
+    spark.sql("SELECT 1L AS k, 'old' AS v").write.mode("overwrite").parquet(path)
+    first = lookup_enrich(facts, dim(), on="k", take="v", default="-")
+    assert rows(first) == [(0, "-"), (1, "old"), (2, "-")]
+    assert "SinglePartition" not in first._jdf.queryExecution().executedPlan().toString()
+    spark.sql("SELECT 1L AS k, 'new' AS v").write.mode("overwrite").parquet(path)
+    spark.catalog.refreshByPath(path)
+    assert rows(lookup_enrich(facts, dim(), on="k", take="v", default="-")) == [(0, "-"), (1, "new"), (2, "-")]
 
 
 def test_append_rows_by_name_widens_types(spark):

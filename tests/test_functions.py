@@ -54,3 +54,35 @@ def test_rounded_passes_huge_and_special_values_through(spark):
     assert got[0] == 1.27e254 and got[1] == float("inf") and got[2] != got[2] and got[3] == -1e16
     assert got[4] == 123.46 and got[5] == 2.5e15
     assert df.select(rounded(F.lit(2.5e15 + 0.5), 0).alias("r")).first()["r"] == 2.5e15 + 1
+
+
+def test_tails_tend_to_their_limits():
+    import math
+
+    from cairn.functions.distributions import f_upper_tail, t_tail
+
+    for t in (0.5, 2.0, 6.0, 30.0):
+        limit = math.erfc(t / math.sqrt(2))
+        for df in (1e9, 1e10, 1e12, 1e13, 1e15):
+            if t == 30.0 and df < 1e12:
+                continue  # the second correction counts there
+            # the first correction of the t tail, (t**3 + t) phi(t) / (2 df)
+            first = (t ** 3 + t) * math.exp(-t * t / 2) / math.sqrt(2 * math.pi) / (2 * df)
+            assert abs(t_tail(t, df) / (limit + first) - 1) < 1e-9
+    for f, d2 in ((0.3, 1e9), (3.0, 1e12), (40.0, 1e15)):
+        two = math.exp(-d2 / 2 * math.log1p(2 * f / d2))
+        four = math.exp(-d2 / 2 * math.log1p(4 * f / d2)) * (1 + d2 / 2 * (4 * f / (d2 + 4 * f)))
+        assert abs(f_upper_tail(f, 2, d2) / two - 1) < 1e-9 and abs(f_upper_tail(f, 4, d2) / four - 1) < 1e-9
+    assert abs(f_upper_tail(1.0, 1e6, 1e9) - 0.49981) < 1e-4
+    assert t_tail(float("inf"), 5) == 0.0 and f_upper_tail(float("inf"), 2, 5) == 0.0
+    assert abs(t_tail(1.0, 1) - 0.5) < 1e-12 and abs(t_tail(0.3, 2) - (1 - 0.3 / math.sqrt(2.09))) < 1e-12
+
+
+def test_rounded_keeps_the_scale_it_is_asked_for(spark):
+    from pyspark.sql import functions as F
+
+    from cairn.functions.numeric import rounded
+
+    df = spark.createDataFrame([(1.23456789012,), (123456.123456789,), (1e30,), (None,)], "x double")
+    assert [r[0] for r in df.select(rounded("x", 10)).collect()] == [1.2345678901, 123456.123456789, 1e30, None]
+    assert df.select(rounded(F.lit(2.675), 2)).first()[0] == 2.68

@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from cairn.plans.queries import QUERIES
 from conftest import SF_SMALL
 
 TOPK = ["frequency_topk", "composite_frequency_topk", "distinct_then_count_topk", "topk_multi_measure", "bottomk",
@@ -12,11 +12,11 @@ PUSHED = ["select_filter_eq", "filter_or_and", "filter_in_list", "filter_between
 
 
 def _plan(spark, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cartesian_or_nested_loop_joins(spark, name):
     plan = _plan(spark, name)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
@@ -40,5 +40,25 @@ def test_no_unreduced_window_over_input_rows(spark, name):
         # keep-first windows are limited per key on the map side before the shuffle
         assert "WindowGroupLimit" in plan and "Partial" in plan
     else:
-        # ranks: a window only over the bounded offsets table; the rest is range partitions + mapInPandas
-        assert "MapInPandas" in plan or "InMemoryTableScan" in plan
+        # ranks are joined back; no window sees the rows
+        assert "Window" not in plan and "Join" in plan
+
+
+def test_anova_scans_its_input_once(spark):
+    df = QUERIES["anova_long"](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan or plan.count("Scan parquet") == 1 or "ReusedSubquery" in plan
+
+
+def test_small_group_means_do_not_shuffle_the_rows(spark):
+    plan = QUERIES["assumption_checks"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_no_query_leaves_a_cached_frame(spark):
+    spark.catalog.clearCache()
+    for name in ("anova_long", "lookup_enrich", "dense_rank_within", "category_table_ranked", "append_with_lookup",
+                 "assumption_checks"):
+        QUERIES[name](spark, SF_SMALL).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()

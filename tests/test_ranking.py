@@ -64,28 +64,48 @@ def test_rank_within_keeps_large_integers_and_doubles_exact(spark):
 
 
 def test_hot_group_is_spread_over_range_partitions(spark):
-    from cairn.operators.ranking import _local_ranks
-
     # one group holds 40 % of the rows and, with a distinct value per row, most of the (group, value) pairs
     data = [(i, "hot", i) if i % 5 < 2 else (i, f"g{i % 50}", i % 97) for i in range(20000)]
     df = spark.createDataFrame(data, "id int, g string, v int")
-    local = _local_ranks(df, ["g"], "v", F.col("v").desc(), 8)
-    hot = local.where((F.col("_kind") == 0) & (F.col("g") == "hot"))
-    per_partition = [r["c"] for r in hot.groupBy("_pid").agg(F.count(F.lit(1)).alias("c")).collect()]
-    assert len(per_partition) >= 3  # the hot group is ranked by several tasks
-    assert max(per_partition) < sum(per_partition)
-    local.unpersist()
+    ranged = df.repartitionByRange(8, "g", F.desc("v")).withColumn("p", F.spark_partition_id())
+    assert ranged.where("g = 'hot'").select("p").distinct().count() >= 3
+    got = rank_within(df, ["g"], "v", num_partitions=8)
+    assert rows(got, "id", "rank") == rows(_reference(df, ["g"], "v", False, "dense"), "id", "rank")
+
+
+def test_two_ranks_in_one_union(spark):
+    data = [(i, f"g{i % 3}", (i * 7919) % 1009) for i in range(6000)]
+    df = spark.createDataFrame(data, "id int, g string, v int")
+    both = rank_within(df, ["g"], "v").union(rank_within(df, ["g"], "v", ascending=True))
+    want = _reference(df, ["g"], "v", False, "dense").union(_reference(df, ["g"], "v", True, "dense"))
+    assert rows(both, "id", "rank") == rows(want, "id", "rank")
+
+
+def test_timestamps_of_the_repeated_hour_and_binary_keys(spark):
+    previous = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.range(6).selectExpr("id", "1 AS g", "timestamp_seconds(1699160400 + id * 1800) AS v")
+        assert rows(rank_within(df, ["g"], "v", ascending=True), "id", "rank") == [(k, k + 1) for k in range(6)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", previous)
+    raw = spark.createDataFrame([(1, b"\xff\xfe", 5), (2, b"\xff\xfe", 7), (3, b"\x80", 1)], "id int, g binary, v int")
+    assert rows(rank_within(raw, ["g"], "v"), "id", "rank") == [(1, 2), (2, 1), (3, 1)]
+
 
+def test_many_distinct_values(spark):
+    df = spark.range(400_000).selectExpr("id", "id % 2 AS g", "xxhash64(id) AS v")
+    got = rank_within(df, ["g"], "v")
+    want = _reference(df, ["g"], "v", False, "dense").withColumnRenamed("rank", "w")
+    assert got.count() == 400_000
+    assert got.join(want.select("id", "w"), "id").where("rank != w").isEmpty()
 
-def test_release_cached_frees_rank_intermediates(spark):
-    from cairn.session import release_cached
 
-    release_cached()
+def test_nothing_stays_cached(spark):
+    spark.catalog.clearCache()
     df = spark.createDataFrame([(1, "x", 5), (2, "x", 3)], "id int, g string, v int")
-    out = rank_within(df, ["g"], "v", cache_input=True)
-    assert rows(out, "id", "rank") == [(1, 1), (2, 2)]
-    assert release_cached() == 2  # the input and the local ranks
-    assert rows(out, "id", "rank") == [(1, 1), (2, 2)]  # still computable from lineage
+    assert rows(rank_within(df, ["g"], "v"), "id", "rank") == [(1, 1), (2, 2)]
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
 
 
 def test_global_rank_without_single_partition(spark):

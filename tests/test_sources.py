@@ -1,3 +1,4 @@
+import pytest
 import os
 
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
@@ -116,3 +117,55 @@ def test_split_write_caps_records_per_file(spark):
     files = [f for f in os.listdir(os.path.join(local, "k=a")) if f.endswith(".parquet")]
     assert len(files) == 5
     assert spark.read.parquet(path).count() == 50
+
+
+def test_csv_stage_keeps_strings(spark):
+    from cairn.session import scratch_path
+    from cairn.sources.files import read_stage, write_stage
+
+    texts = ["a\nb", "", "  pad ", None, 'say "hi", you', "\\N", "\\n", "\\", "x\\\\n\r\n", ",", "é\u2028x", '"', "NA", "\t"]
+    df = spark.createDataFrame([(k, t, None if k % 2 else 1.5) for k, t in enumerate(texts)], "k int, t string, v double")
+    path = write_stage(df, scratch_path(spark, "t-strings"), fmt="csv")
+    back = read_stage(spark, path, schema=df.schema, fmt="csv")
+    assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_every_file_header_is_checked(spark):
+    from pyspark.sql import functions as F
+
+    from cairn.session import scratch_path
+
+    path = scratch_path(spark, "t-headers")
+    spark.sql("SELECT 1 AS a, 2 AS b, 3 AS c").write.option("header", True).csv(path)
+    schema = spark.sql("SELECT 1 AS a, 2 AS b").schema
+    assert read_typed_csv(spark, path, schema=schema, check_header=True).collect() == [(1, 2)]
+    spark.sql("SELECT 5 AS b, 6 AS a, 3 AS c").write.mode("append").option("header", True).csv(path)
+    with pytest.raises(Exception):
+        read_typed_csv(spark, path, schema=schema, check_header=True).agg(F.sum("a")).collect()
+
+
+def test_an_empty_folder_key_is_refused(spark):
+    from cairn.session import scratch_path
+    from cairn.sources.files import split_write
+
+    df = spark.createDataFrame([("", 1), ("x", 2)], "k string, v int")
+    with pytest.raises(Exception, match="empty string"):
+        split_write(df, scratch_path(spark, "t-empty-key"), by="k")
+
+
+def test_no_local_folder_off_a_local_master(spark, monkeypatch):
+    from cairn import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Fake:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Fake())

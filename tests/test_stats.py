@@ -101,7 +101,7 @@ def test_welch_sign_and_df_against_formula(spark):
 
 def test_pearson_constant_column_gives_null_not_error(spark):
     df = spark.createDataFrame([(1.0, 5.0, 1.0), (2.0, 5.0, 3.0), (3.0, 5.0, None)], "x double, c double, y double")
-    cells = {(r["x"], r["y"]): r for r in pearson_matrix(df, ["x", "c", "y"]).collect()}
+    cells = {(r["x"], r["y"]): r for r in pearson_matrix(df, ["x", "c", "y"], scale=6).collect()}
     assert cells[("x", "c")]["r"] is None
     assert cells[("x", "y")]["n"] == 2 and cells[("x", "y")]["r"] == 1.0
     assert cells[("x", "x")]["r"] == 1.0 and len(cells) == 9
@@ -155,11 +155,11 @@ def test_single_row_correlation_is_null(spark):
 def test_pearson_matrix_listwise_vs_pairwise(spark):
     df = spark.createDataFrame([(1.0, 2.0, 1.0), (2.0, 4.5, None), (3.0, 5.0, 2.0), (4.0, 9.0, 7.0)],
                                "a double, b double, c double")
-    pair = {(r["x"], r["y"]): r for r in pearson_matrix(df, ["a", "b", "c"]).collect()}
-    lw = {(r["x"], r["y"]): r for r in pearson_matrix(df, ["a", "b", "c"], missing="listwise").collect()}
+    pair = {(r["x"], r["y"]): r for r in pearson_matrix(df, ["a", "b", "c"], scale=6).collect()}
+    lw = {(r["x"], r["y"]): r for r in pearson_matrix(df, ["a", "b", "c"], missing="listwise", scale=6).collect()}
     assert pair[("a", "b")]["n"] == 4 and lw[("a", "b")]["n"] == 3
     sub = spark.createDataFrame([(1.0, 2.0), (3.0, 5.0), (4.0, 9.0)], "a double, b double")
-    assert lw[("a", "b")]["r"] == {(r["x"], r["y"]): r for r in pearson_matrix(sub, ["a", "b"]).collect()}[("a", "b")]["r"]
+    assert lw[("a", "b")]["r"] == {(r["x"], r["y"]): r for r in pearson_matrix(sub, ["a", "b"], scale=6).collect()}[("a", "b")]["r"]
     assert pair[("a", "c")]["r"] == pair[("c", "a")]["r"] and pair[("b", "b")]["r"] == 1.0
 
 
@@ -181,3 +181,52 @@ def test_pearson_test_critical_column(spark):
 
     assert abs(row["r_critical"] - r_critical(4600, 0.05, "greater")) < 1e-6
     assert row["reject_null"] == (row["r"] > row["r_critical"])
+
+
+def test_perfect_evidence_is_decided(spark):
+    from cairn.operators.stats import anova_oneway, pearson_test, welch_t
+
+    line = spark.range(100).selectExpr("double(id) AS x", "2.0D * id + 1 AS y", "-0.1D * id + 0.3 AS z", "1.0D AS c")
+    up = pearson_test(line, "x", "y").first()
+    down = pearson_test(line, "x", "z").first()
+    assert up.p_value == 0.0 and up.reject_null and down.p_value < 1e-300 and down.reject_null
+    assert pearson_test(line, "x", "c").first().p_value is None
+    steps = spark.range(9).selectExpr("id % 3 AS g", "double(id % 3) AS x", "1.0D AS same")
+    row = anova_oneway(steps, "x", "g").first()
+    assert row.f == float("inf") and row.p_value == 0.0 and row.reject_null
+    assert anova_oneway(steps, "same", "g").first().p_value is None
+    t = welch_t(steps, "x", "g", 0, 1).first()
+    assert t.t == float("-inf") and t.p_value == 0.0 and t.reject_null
+    assert welch_t(steps, "same", "g", 0, 1).first().p_value is None
+
+
+def test_small_p_values_are_not_rounded_away(spark):
+    from cairn.operators.stats import welch_t
+
+    df = spark.range(200).selectExpr("id % 2 AS g", "double(id % 2) + double(id % 7) / 10 AS x")
+    assert 0 < welch_t(df, "x", "g", 0, 1).first().p_value < 1e-9
+
+
+def test_wide_matrix_against_numpy(spark):
+    import numpy as np
+
+    from cairn.operators.stats import pearson_matrix
+
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((300, 6)) @ rng.standard_normal((6, 6)) + 1e6
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:, 5] = 3.0
+    names = list("abcdef")
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) + (i % 2 or None,) for i, r in enumerate(x)],
+                               ", ".join(f"{n} double" for n in names) + ", g int")
+    for missing in ("pairwise", "listwise"):
+        for r in pearson_matrix(df, names, missing=missing).collect():
+            i, j = names.index(r.x), names.index(r.y)
+            both = ~np.isnan(x if missing == "listwise" else x[:, [i, j]]).any(axis=1)
+            assert r.n == both.sum()
+            if 5 in (i, j):
+                assert r.r is None
+            else:
+                assert abs(r.r - np.corrcoef(x[both, i], x[both, j])[0, 1]) < 1e-9
+    parts = pearson_matrix(df, ["a", "b"], by=["g"]).where("x = 'a' and y = 'b'").collect()
+    assert {r.g for r in parts} == {1, None} and sum(r.n for r in parts) == (~np.isnan(x[:, :2]).any(axis=1)).sum()

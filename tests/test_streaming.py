@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from cairn.session import scratch_path
-from cairn.streaming.replay import mean_from_running, read_latest, replay_files, run_to_end, running_totals
+from cairn.streaming.replay import mean_from_running, read_complete, read_latest, replay_files, run_to_end, running_totals
 from conftest import rows
 
 SCHEMA = StructType([StructField("Price", DoubleType()), StructField("Old", StringType())])
@@ -32,7 +32,7 @@ def test_running_totals_complete_mode_equals_batch(spark):
     out = scratch_path(spark, "t-stream-out")
     q = run_to_end(running_totals(stream, ["Old"], "Price"), "t_complete", sink="table", path=out)
     assert q.lastProgress is not None
-    got = mean_from_running(spark.read.parquet(out), ["Old"])
+    got = mean_from_running(read_complete(spark, out), ["Old"])
     # header lines are skipped; the null price counts in `count` but not in `count_values`
     assert rows(got, "Old", "count", "count_values", "total", "avg_value", "avg_present") == [
         ("a", 2, 1, 100.0, 50.0, 100.0), ("b", 2, 2, 250.0, 125.0, 125.0), ("c", 1, 1, 10.0, 10.0, 10.0)]
@@ -63,6 +63,18 @@ def test_memory_sink_and_sql_on_result(spark):
                                                                             ("c", 1, 10.0)]
 
 
+def test_the_session_keeps_its_settings_and_has_no_time_limit(spark):
+    import inspect
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    src = _files(spark, CHUNKS)
+    q = run_to_end(running_totals(replay_files(spark, src, SCHEMA), ["Old"], "Price"), "t_state", sink="table",
+                   path=scratch_path(spark, "t-state"), state_partitions=2)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert q.lastProgress["stateOperators"][0]["numShufflePartitions"] == 2
+    assert inspect.signature(run_to_end).parameters["timeout"].default is None
+
+
 def test_empty_directory_finishes(spark):
     src = _files(spark, [])
     out = scratch_path(spark, "t-stream-empty")
