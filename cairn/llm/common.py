@@ -1,91 +1,27 @@
-"""Helpers shared by the training-data operators: durable cuts, distributed prefix sums, components, word patterns."""
+"""Helpers shared by the training-data operators: tables, word patterns, connected components."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from cairn.session import shared_dir
+from cairn.operators.prefix import durable
 
 #: White space that separates words, and a word (fixed by the task).
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the cluster's shared checkpoint folder.
-
-    Lineage ends there, so a lost executor costs a re-read and not a
-    recomputation, and values that depend on how rows were dealt out
-    (partition numbers) stay what they were.
-    """
-    shared_dir(df.sparkSession)  # makes sure a checkpoint folder is set
-    return df.checkpoint(eager=True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables; the path may lie in any store that Spark reads."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def task_count(spark: SparkSession, rows: int = 0, per_task: int = 250_000) -> int:
-    """Shuffle width: the session's, or more where the row count asks for it."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task), 1)
-
-
 def word_count(text: Column) -> Column:
     """Number of words of a text; null text: 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
-def grouped_prefix(df: DataFrame, order: list[str], *, group: list[str] | None = None,
-                   sums: dict[str, str] | None = None, xors: dict[str, str] | None = None,
-                   index: str | None = None) -> DataFrame:
-    """Exclusive running sums (and xors) within each group, no group confined to one task.
-
-    Rows are range-partitioned by (group, order); each partition sums
-    locally, and a group that began in an earlier partition gets that
-    partition's total added.  At most one group continues into a partition,
-    so the carried totals are one row per partition at most: a structural
-    bound, hence the broadcast.
-
-    ``sums``/``xors`` map new column -> measured column; ``index`` names a
-    column for the row's zero-based place in its group.  Rows with equal
-    order values take an arbitrary but settled order.  An empty frame gives
-    an empty frame.
-    """
-    spark, group = df.sparkSession, group or []
-    sums, xors = dict(sums or {}), dict(xors or {})
-    pid, one = "__pid", "__one"
-    ranged = durable(df.withColumn(one, F.lit(1).cast("long"))
-                     .repartitionByRange(task_count(spark), *group, *order)
-                     .withColumn(pid, F.spark_partition_id()))
-    if index:
-        sums[index] = one
-    totals = ranged.groupBy(pid, *group).agg(
-        *(F.sum(c).alias(f"__t_{o}") for o, c in sums.items()),
-        *(F.bit_xor(c).alias(f"__t_{o}") for o, c in xors.items()), F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*(group or [F.lit(0)])).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(
-        F.col(pid).alias("__p"), *(F.col(g).alias(f"__g_{g}") for g in group),
-        *(F.sum(f"__t_{o}").over(before).alias(f"__b_{o}") for o in sums),
-        *(F.bit_xor(f"__t_{o}").over(before).alias(f"__b_{o}") for o in xors),
-        F.sum("__n").over(before).alias("__seen")).where("__seen > 0").drop("__seen")
-    local = Window.partitionBy(pid, *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    run = ranged.select("*", *((F.sum(c).over(local) - F.col(c)).alias(f"__l_{o}") for o, c in sums.items()),
-                        *(F.bit_xor(c).over(local).bitwiseXOR(F.col(c)).alias(f"__l_{o}") for o, c in xors.items()))
-    same = F.col(pid) == F.col("__p")
-    for g in group:
-        same = same & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
-    out = run.join(F.broadcast(carried), same, "left")
-    zero = F.lit(0).cast("long")
-    return out.select(
-        *df.columns,
-        *((F.col(f"__l_{o}") + F.coalesce(F.col(f"__b_{o}"), zero)).alias(o) for o in sums),
-        *(F.col(f"__l_{o}").bitwiseXOR(F.coalesce(F.col(f"__b_{o}"), zero)).alias(o) for o in xors))
-
-
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """Components of an undirected graph: ``node`` and ``root`` (smallest node reachable).
 

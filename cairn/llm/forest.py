@@ -24,7 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import connected_components, durable, task_count
+from cairn.llm.common import connected_components
+from cairn.operators.prefix import durable, task_count
 from cairn.session import ship_by_value
 
 #: Levels of a subtree that one round fits; a node has 2 ** DEPTH children at most.

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cairn.llm.common import durable, grouped_prefix, word_count
+from cairn.llm.common import word_count
+from cairn.operators.prefix import durable, grouped_prefix
 
 #: A word with the white space before it.
 SPACED_WORD = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
@@ -59,10 +60,11 @@ def apportion(targets: DataFrame, houses: list[int]) -> DataFrame:
             rows.append((n, None, None))
         else:
             rows.append((n, total / (n - sources / 2) if n > sources / 2 else None, total / (n + sources / 2)))
-    spark = targets.sparkSession
-    bounds = F.broadcast(spark.createDataFrame(rows, "house long, high double, low double"))  # one row per shard
+    # each source row unfolds to the handful of house sizes
+    bounds = F.array(*(F.struct(F.lit(n).cast("long").alias("house"), F.lit(high).cast("double").alias("high"),
+                                F.lit(low).cast("double").alias("low")) for n, high, low in rows))
     seats = lambda d: F.floor(F.col("target") / d + 0.5).cast("long")
-    each = (targets.select("place", "target").join(bounds)  # times the handful of house sizes
+    each = (targets.select("place", "target", F.explode(bounds).alias("h")).select("place", "target", "h.*")
             .withColumn("base", F.coalesce(F.greatest(seats(F.col("high")) - 1, F.lit(0)), F.lit(0)))
             .withColumn("most", F.coalesce(seats(F.col("low")) + 1, F.lit(0))))
     sure = Window.partitionBy("house")

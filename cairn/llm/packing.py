@@ -19,8 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import durable, grouped_prefix, task_count
 from cairn.llm.tokens import token_pieces
+from cairn.operators.prefix import durable, grouped_prefix, task_count
 from cairn.session import ship_by_value
 
 Bins = list[list[int]]

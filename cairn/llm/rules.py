@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import SPACE, WORD, durable
+from cairn.llm.common import SPACE, WORD
+from cairn.operators.prefix import durable
 
 SYMBOL = r"[#*$%&|<>]"
 NOT_SPACE = r"[^\x20\x09-\x0D]"

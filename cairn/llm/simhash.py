@@ -25,7 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import connected_components, durable, task_count
+from cairn.llm.common import connected_components
+from cairn.operators.prefix import durable, task_count
 from cairn.session import ship_by_value
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")

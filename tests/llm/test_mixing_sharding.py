@@ -4,9 +4,10 @@ from collections import defaultdict
 
 import pytest
 
-from cairn.llm.common import connected_components, grouped_prefix
+from cairn.llm.common import connected_components
 from cairn.llm.mixing import apportion, mix, mixed_documents, shard_quotas, source_targets
 from cairn.llm.sharding import byte_shards
+from cairn.operators.prefix import grouped_prefix
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
