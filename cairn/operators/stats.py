@@ -127,7 +127,8 @@ def pearson_matrix(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), s
     # a variance that is rounding noise beside the values' size is none
     flat = (va <= F.col("qa") * 1e-14) | (vb <= F.col("qb") * 1e-14)
     r = F.when(~flat, F.try_divide(F.col("p") - F.col("sa") * mean_b, F.sqrt(va * vb)))
-    r = F.when(F.col("a") == F.col("b"), F.when(~flat, F.lit(1.0))).otherwise(F.greatest(F.lit(-1.0), F.least(r, F.lit(1.0))))
+    r = F.when(F.col("a") == F.col("b"), F.when(~flat, F.lit(1.0))).otherwise(
+        F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(r, F.lit(1.0)))))
     r = F.when(flat, F.lit(None).cast("double")).otherwise(r)
     label = F.array(*[F.lit(c) for c in cols])
     return total.select(*by, F.get(label, F.col("a")).alias("x"), F.get(label, F.col("b")).alias("y"), "n", _r(r, scale).alias("r"))

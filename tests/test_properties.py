@@ -113,9 +113,9 @@ def test_by_segment_equals_test_per_segment(spark, data):
     from cairn.operators.stats import anova_oneway, pearson_test, welch_t
 
     df = spark.createDataFrame(data, "seg string, g string, x double, y double")
-    for fn in (lambda d, by: welch_t(d, "x", "g", "a", "b", by=by),
-               lambda d, by: pearson_test(d, "x", "y", by=by),
-               lambda d, by: anova_oneway(d, "x", "g", by=by)):
+    for fn in (lambda d, by: welch_t(d, "x", "g", "a", "b", by=by, scale=6),
+               lambda d, by: pearson_test(d, "x", "y", by=by, scale=6),
+               lambda d, by: anova_oneway(d, "x", "g", by=by, scale=6)):
         together = {r["seg"]: r.asDict() for r in fn(df, ["seg"]).collect()}
         for seg in {s for s, *_ in data}:
             part = df.where(df.seg.isNull()) if seg is None else df.where(df.seg == seg)
