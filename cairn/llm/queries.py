@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn.functions.numeric import rounded
 from cairn.llm import chat, pii
 from cairn.llm.common import table
 from cairn.llm.forest import near_vectors
@@ -20,7 +21,7 @@ from cairn.llm.simhash import near_duplicates
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sainte-Laguë mix of all documents: 150 % of all words, weights 3, 1, 2, at most twice a source."""
     return mix(table(spark, sf_dir, "documents")).select(
-        "doc_id", "size", "source_size", "target", "taken", "source", "quota")
+        "doc_id", "size", "source_size", rounded("target", 6).alias("target"), "taken", "source", "quota")
 
 
 def op2_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,8 +95,72 @@ QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_byte_shards": op2_byte_shard
            "op4_ordinal_quality": op4_ordinal_quality, "op6_language": op6_language,
            "op7_personal_data": op7_personal_data,
            "op9_chat_prefix_tree": op9_chat_prefix_tree, "op10_pack_documents": op10_pack_documents}
+_W = r"[^\x20\x09-\x0D]+"
+
+_MIX = rf"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_W}')) AS size,
+                  md5('1:' || CAST(doc_id AS VARCHAR)) AS draw FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+             row_number() OVER (ORDER BY source IS NULL, source) - 1 AS place FROM d GROUP BY source),
+w AS (SELECT *, CASE place % 3 WHEN 0 THEN 3.0 WHEN 1 THEN 1.0 ELSE 2.0 END::DOUBLE AS weight,
+             source_size * 2.0::DOUBLE AS cap FROM s),
+o AS (SELECT *, cap / weight AS ratio,
+             coalesce(sum(cap) OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held,
+             sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM w),
+l AS (SELECT (1.5::DOUBLE * (SELECT sum(source_size) FROM s) - held) / rest AS level FROM o
+      WHERE (1.5::DOUBLE * (SELECT sum(source_size) FROM s) - held) / rest < ratio ORDER BY ratio, place LIMIT 1),
+t AS (SELECT source, place, source_size, least(cap, weight * (SELECT level FROM l)) AS target FROM w),
+n AS (SELECT CAST(round_even(sum(target) / 32, 0) AS BIGINT) AS blocks FROM t),
+q AS (SELECT place, target / (2 * j - 1) AS quotient
+      FROM t, LATERAL (SELECT unnest(range(1, CAST(floor(target / 32) AS BIGINT) + 40)) AS j)),
+seats AS (SELECT place, count(*) AS quota FROM (SELECT place FROM q ORDER BY quotient DESC, place LIMIT (SELECT blocks FROM n))
+          GROUP BY place),
+p AS (SELECT t.*, coalesce(quota, 0) AS quota, least(coalesce(quota, 0) * 32, source_size * 2) AS words FROM t LEFT JOIN seats USING (place)),
+r AS (SELECT d.doc_id, d.source, d.size, p.source_size, p.target, p.quota, p.words // greatest(p.source_size, 1) AS copies,
+             p.words - (p.words // greatest(p.source_size, 1)) * p.source_size AS over,
+             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.draw, d.doc_id
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+      FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, CAST(round(CAST(target AS DECIMAL(28,8)), 6) AS DOUBLE) AS target,
+       CAST(copies * size + greatest(0, least(over - start, size)) AS BIGINT) AS taken, source, CAST(quota AS BIGINT) AS quota
+FROM r"""
+
+_RULES = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '{_W}') AS words,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+v AS (SELECT rid, i, array_to_string(list_slice(words, i, i + 7), ' ') AS g
+      FROM w, LATERAL (SELECT unnest(range(1, len(words) - 6)) AS i) WHERE len(words) >= 8),
+again AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM v) WHERE c > 1),
+covered AS (SELECT rid, count(DISTINCT i + o) AS n FROM again, range(0, 8) t(o) GROUP BY rid),
+line AS (SELECT rid, source, text, len(regexp_extract_all(x, '{_W}')) AS n,
+                regexp_replace(lower(trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g'), ' ')), '[0-9]', '0', 'g') AS k
+         FROM (SELECT rid, source, text, unnest(lines) AS x FROM w)),
+hosts AS (SELECT source, count(DISTINCT text) AS total FROM d GROUP BY source),
+frequent AS (SELECT l.source, k FROM line l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source GROUP BY l.source, k
+             HAVING count(DISTINCT text) > 5 AND count(DISTINCT text) > any_value(total) * 0.02::DOUBLE),
+removed AS (SELECT rid, sum(n) AS n FROM line l JOIN frequent f ON l.k = f.k AND l.source IS NOT DISTINCT FROM f.source
+            GROUP BY rid),
+b AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+             CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(r.n, 0) AS BIGINT) AS words_removed
+      FROM w LEFT JOIN covered c USING (rid) LEFT JOIN removed r USING (rid)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM b)
+SELECT *, NOT base_failed AND n_words - words_removed >= 20 AND n_words - words_removed >= n_words * 0.5::DOUBLE AS kept FROM f"""
+
+_VECTORS = """
+WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id <> b.vec_id
+          WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reach AS (SELECT vec_id, vec_id AS low FROM e UNION SELECT l.a, r.low FROM links l JOIN reach r ON r.vec_id = l.b),
+c AS (SELECT vec_id, min(low) AS component_id FROM reach GROUP BY vec_id),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT c.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, c.vec_id = component_id AS kept
+FROM c LEFT JOIN n ON n.a = c.vec_id"""
+
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE = {"op9_chat_prefix_tree": r"""
+ORACLE = {"op1_mix_sources": _MIX, "op5_line_rules": _RULES, "op8_embedding_forest": _VECTORS, "op9_chat_prefix_tree": r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
