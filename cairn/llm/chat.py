@@ -74,7 +74,7 @@ def build(conversations: DataFrame, *, tokenizer: str | None = None, conv_col: s
     else:
         turns = turns.withColumn("tokens", F.char_length("segment").cast("long"))
     turns = durable(turns.withColumn("rid", F.monotonically_increasing_id()))
-    # "tag" keeps a trained turn apart from an equal text in another role (the role is in the segment)
+    # the segment holds role and text, so equal segments are equal turns
     narrow = turns.select("conv", "turn", "rid", "tokens", F.xxhash64("segment", F.lit(1)).alias("h1"),
                           F.xxhash64(F.lit(2), "segment").alias("h2"))
     placed = grouped_prefix(narrow, ["turn", "h1", "rid"], group=["conv"], sums={"position": "tokens"}, index="depth")

@@ -203,7 +203,6 @@ def fit(graphs: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], *,
     f, y = np.concatenate(features), np.concatenate(labels)
     c, s = np.concatenate(chain), np.concatenate(skip)
     truth = np.eye(LABELS)[y]
-    weight = np.where(y == 0, 1.0, 1.0) / len(y)
     unary, a, b = np.zeros((1 << BITS, LABELS)), np.zeros((LABELS, LABELS)), np.zeros((LABELS, LABELS))
     squares = [np.full(x.shape, 1e-8) for x in (unary, a, b)]
     for _ in range(steps):
@@ -213,7 +212,7 @@ def fit(graphs: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], *,
             np.add.at(z, e[:, 0], m.T[y[e[:, 1]]])
         z -= z.max(axis=1, keepdims=True)
         p = np.exp(z)
-        r = (p / p.sum(axis=1, keepdims=True) - truth) * weight[:, None]
+        r = (p / p.sum(axis=1, keepdims=True) - truth) / len(y)
         gu, ga, gb = np.zeros_like(unary), np.zeros_like(a), np.zeros_like(b)
         for k in range(f.shape[1]):
             np.add.at(gu, f[:, k], r)
