@@ -206,13 +206,14 @@ def _anova_from_groups(groups: DataFrame, by: Sequence[str], alpha: float, scale
     """One-way ANOVA from per-group (n, mean, var) rows, one result per ``by``.
 
     The group table (one row per group) is needed twice — for the segment
-    totals (N, k, grand mean) and to centre each group mean; both read the
-    same exchange, so the input is scanned once.  With ``by`` the totals (one row per
+    totals (N, k, grand mean) and to centre each group mean — so it is kept
+    durably: the input is scanned once, and anew at every call.  With ``by`` the totals (one row per
     segment) are joined back on ``by``; without, the single totals row is
     attached as a scalar subquery (no join).  No step gathers all groups of
     a segment into one task, even for an ANOVA over millions of groups.
     """
     by = list(by)
+    groups = durable(groups)
     sums = [F.sum("n").alias("_N"), F.count(F.lit(1)).alias("_k"),
             F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("_grand")]
     if by:
