@@ -4,7 +4,7 @@ Patterns find e-mail addresses, IP addresses, payment cards (Luhn) and telephone
 tokens of each document that hold a digit or an ``@`` (all others are outside by definition): a token's potential comes
 from its form, neighbouring tokens share a chain potential, and distant tokens of the same normal form (letters in lower
 case, or the same four or more digits however they are written) share a skip potential.  Tokens inside pattern spans
-are observed.  Loopy belief propagation over all edges of a document makes its labels agree, so a number that is
+are observed.  Loopy belief propagation over all edges of a document, run until it settles, makes its labels agree, so a number that is
 written out as a telephone number once is found again where only its local part stands.  A token whose marginal reaches
 ``belief`` is added as a span; pattern spans always stay.
 
@@ -157,8 +157,13 @@ class Field:
     chain: np.ndarray  # labels x labels
     skip: np.ndarray  # labels x labels, symmetric
 
-    def marginals(self, g: Graph, rounds: int = 12, damping: float = 0.3) -> np.ndarray:
-        """Loopy sum-product messages over all chain and skip edges at once."""
+    def marginals(self, g: Graph, rounds: int | None = None, damping: float = 0.3, tolerance: float = 1e-4) -> np.ndarray:
+        """Loopy sum-product messages over all chain and skip edges, until none changes by more than ``tolerance``.
+
+        A round sends only the messages whose source or own value still moves, so evidence that walks along a chain of
+        n repeats costs n short rounds.  Where loops keep messages from settling, damping rises after 200 updates a
+        message on average and the last beliefs stand after 400; ``rounds`` stops earlier.
+        """
         n = len(g.place)
         at = np.asarray(g.features, np.int64)
         own = self.unary[at].sum(axis=1)
@@ -167,19 +172,35 @@ class Field:
         edges = np.asarray(g.chain + g.skip, np.int64).reshape(-1, 2)
         if len(edges):
             kind = np.repeat([0, 1], [len(g.chain), len(g.skip)])
-            forward = np.stack([self.chain, self.skip])[kind]
             source, target = np.concatenate((edges[:, 0], edges[:, 1])), np.concatenate((edges[:, 1], edges[:, 0]))
-            potential = np.concatenate((forward, forward.transpose(0, 2, 1)))
+            potentials = np.stack([self.chain, self.skip, self.chain.T, self.skip.T])
+            potential = np.concatenate((kind, kind + 2))
             back = np.concatenate((np.arange(len(edges)) + len(edges), np.arange(len(edges))))
-            message = np.zeros((len(source), LABELS))
-            for _ in range(rounds):
-                belief = own.copy()
-                np.add.at(belief, target, message)
-                inner = (belief[source] - message[back])[:, :, None] + potential
+            order = np.argsort(source, kind="stable")  # messages by source: those of a node are a run of this list
+            first = np.searchsorted(source[order], np.arange(n + 1))
+            message, belief = np.zeros((len(source), LABELS)), own.copy()
+            everything = np.arange(len(source))
+            live, whole, sent, done = everything, True, 0, 0
+            while done != rounds and sent < 400 * len(source):
+                keep = damping if sent < 200 * len(source) else 0.9
+                inner = (belief[source[live]] - message[back[live]])[:, :, None] + potentials[potential[live]]
                 top = inner.max(axis=1)
                 new = top + np.log(np.exp(inner - top[:, None, :]).sum(axis=1))
                 new -= new.max(axis=1, keepdims=True)
-                message = damping * message + (1 - damping) * new
+                change = (1 - keep) * (new - message[live])
+                message[live] += change
+                np.add.at(belief, target[live], change)
+                sent, done = sent + len(live), done + 1
+                moved = live[np.abs(change).max(axis=1) > tolerance]
+                if len(moved):
+                    nodes = np.unique(target[moved])
+                    size = first[nodes + 1] - first[nodes]
+                    run = np.repeat(first[nodes] - np.cumsum(size) + size, size) + np.arange(size.sum())
+                    live, whole = np.unique(np.concatenate((moved, order[run]))), False
+                elif whole:
+                    break
+                else:  # small changes may have added up: settled only if a round of all messages moves none
+                    live, whole = everything, True
             own = own + 0.0
             np.add.at(own, target, message)
         own -= own.max(axis=1, keepdims=True)

@@ -179,6 +179,34 @@ def test_a_repeated_number_is_found_by_its_skip_edge():
     assert pii.redacted(text, spans) == "call <PHONE> now or later <PHONE> again, not 777-1212"
 
 
+def test_a_number_repeated_fifty_times_is_found_at_every_place():
+    field = pii.Field(np.zeros((1 << pii.BITS, 5)), np.zeros((5, 5)), np.eye(5) * 12)
+    for before, after in ((0, 50), (50, 0), (20, 30)):
+        text = "555-6503 again, " * before + "call +1 (499) 555-6503 now, " + "or 555-6503 later " * after + "not 777-1212"
+        _, spans = pii.all_spans(text, field, 0.9)
+        assert [text[s:e] for _, s, e in spans] == ["555-6503"] * before + ["+1 (499) 555-6503"] + ["555-6503"] * after
+
+
+def test_settled_messages_equal_a_thousand_full_rounds():
+    rng = np.random.default_rng(5)
+    skip = rng.normal(size=(5, 5))
+    field = pii.Field(rng.normal(size=(20, 5)), rng.normal(size=(5, 5)) * 0.5, (skip + skip.T) * 0.3)
+    n = 300
+    pairs = sorted({tuple(sorted(map(int, rng.choice(n, 2, replace=False)))) for _ in range(200)})
+    g = pii.Graph([(k, k + 1) for k in range(n)], [[int(k)] for k in rng.integers(0, 20, n)],
+                  [2 if k % 50 == 7 else -1 for k in range(n)], [(k, k + 1) for k in range(n - 1)], pairs)
+    assert np.allclose(field.marginals(g), field.marginals(g, rounds=1000, tolerance=0.0), atol=1e-3)
+
+
+def test_messages_that_never_settle_end():
+    field = pii.Field(np.zeros((20, 5)), np.roll(np.eye(5), 1, axis=1) * 9, -np.eye(5) * 9)
+    n = 400
+    g = pii.Graph([(k, k + 1) for k in range(n)], [[k % 20] for k in range(n)], [1] + [-1] * (n - 1),
+                  [(k, k + 1) for k in range(n - 1)], [(k, k + 7) for k in range(n - 7)])
+    p = field.marginals(g)
+    assert np.isfinite(p).all() and np.allclose(p.sum(axis=1), 1)
+
+
 def test_all_documents_keep_their_pattern_spans(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in op7_personal_data(spark, SF).collect():
