@@ -8,8 +8,9 @@ are observed.  Loopy belief propagation over all edges of a document, run until
 written out as a telephone number once is found again where only its local part stands.  A token whose marginal reaches
 ``belief`` is added as a span; pattern spans always stay.
 
-The field learns without hand labels: pattern spans of a bounded sample (at most ``fit_documents`` documents with at most
-``fit_tokens`` tokens each) are its training labels, by pseudo-likelihood.
+The field learns without hand labels: pattern spans of a bounded sample (at most ``fit_documents`` distinct texts, drawn by
+their hash over the whole table, with places kept for every kind; at most ``fit_tokens`` tokens of each, around its spans)
+are its training labels, by pseudo-likelihood.
 
 Defined results: null and empty texts have no spans; whole texts are read, whatever their length; repeated rows are read
 each; null ids stay null; extra columns are ignored; an empty table gives an empty table, and without a sample only
@@ -248,24 +249,73 @@ def fit(graphs: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], *,
     return Field(unary, a, b)
 
 
+def drawn(marked: DataFrame, fit_documents: int) -> list[int]:
+    """Hashes of the texts to learn from: the smallest of all distinct texts, and of those with each kind.
+
+    A tenth of the places is kept for each kind, as far as there are such texts; the others go by hash alone.  Only the
+    smallest distinct hashes of a task, and then of a hash partition, go on, so neither order nor copies have a say.
+    """
+    bounds = [fit_documents] + [max(1, fit_documents // 10)] * len(KINDS)
+
+    def kinds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(k, h) for h, text in zip(batch["h"], batch["text"])
+                    for k in {0} | {span[0] + 1 for span in pattern_spans(text)}]
+            yield pd.DataFrame(rows, columns=["k", "h"])
+
+    def lowest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        least = [np.empty(0, np.int64) for _ in bounds]
+        for batch in batches:
+            for k, bound in enumerate(bounds):
+                least[k] = np.unique(np.concatenate((least[k], batch["h"][batch["k"] == k].to_numpy(np.int64))))[:bound]
+        yield pd.DataFrame({"k": np.repeat(np.arange(len(bounds)), [len(x) for x in least]), "h": np.concatenate(least)})
+
+    found = marked.mapInPandas(lambda batches: lowest(kinds(batches)), "k int, h long")
+    got = found.repartition("h").mapInPandas(lowest, "k int, h long").toPandas()
+    least = [np.unique(got["h"][got["k"] == k].to_numpy(np.int64))[:bound] for k, bound in enumerate(bounds)]
+    kept = dict.fromkeys(int(h) for k in range(1, len(bounds)) for h in least[k])
+    return list(dict.fromkeys([*kept, *map(int, least[0])]))[:fit_documents]
+
+
+def window(observed: list[int], seed: int, most: int) -> list[int]:
+    """At most ``most`` places of a document: runs around a drawn token of each kind in it, or one drawn run."""
+    n = len(observed)
+    if n <= most:
+        return list(range(n))
+    kinds = sorted({o for o in observed if o > 0})
+    size = max(1, most // max(1, len(kinds)))
+    where = [[i for i, o in enumerate(observed) if o == k] for k in kinds] or [range(n)]
+    starts = [min(max(at[seed % len(at)] - size // 2, 0), n - size) for at in where]
+    return sorted({i for start in starts for i in range(start, start + size)})[:most]
+
+
 def learn(docs: DataFrame, *, text_col: str = "text", fit_documents: int = 2000, fit_tokens: int = 500,
           **options) -> Field | None:
-    """The field of a bounded sample of documents that hold a digit or ``@``; None without one."""
-    total = docs.count()
-    draw = F.pmod(F.xxhash64(text_col, F.lit(5)), F.lit(1_000_000)) < F.lit(int(min(1.0, 20 * fit_documents / max(total, 1)) * 1_000_000))
-    sample = docs.where(draw & F.col(text_col).rlike("[0-9@]")).select(F.col(text_col).alias("text")).limit(fit_documents)
+    """The field of a bounded sample of distinct texts that hold a digit or ``@``; None without one."""
+    marked = (docs.where(F.col(text_col).rlike("[0-9@]"))
+              .select(F.xxhash64(F.col(text_col), F.lit(5)).alias("h"), F.col(text_col).alias("text")))
+    chosen = drawn(marked, fit_documents)
+    if not chosen:
+        return None
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        met = set()
         for batch in batches:
             rows = []
-            for text in batch["text"]:
+            for h, text in zip(batch["h"], batch["text"]):
+                if h in met:
+                    continue
+                met.add(h)
                 g = graph_of(text, pattern_spans(text))
-                if 0 < len(g.place) <= fit_tokens:
-                    rows.append(([x for f in g.features for x in f], [max(o, 0) for o in g.observed],
-                                 [x for e in g.chain for x in e], [x for e in g.skip for x in e]))
-            yield pd.DataFrame(rows, columns=["f", "y", "c", "s"])
-
-    got = sample.mapInPandas(read, "f array<int>, y array<int>, c array<int>, s array<int>").toPandas()
+                at = {i: k for k, i in enumerate(window(g.observed, h, fit_tokens))}
+                if at:
+                    inside = lambda edges: [at[x] for e in edges if e[0] in at and e[1] in at for x in e]  # noqa: E731, B023
+                    rows.append((h, [x for i in at for x in g.features[i]], [max(g.observed[i], 0) for i in at],
+                                 inside(g.chain), inside(g.skip)))
+            yield pd.DataFrame(rows, columns=["h", "f", "y", "c", "s"])
+
+    got = (marked.where(F.col("h").isin(chosen))
+           .mapInPandas(read, "h long, f array<int>, y array<int>, c array<int>, s array<int>").dropDuplicates(["h"]).toPandas())
     rows = sorted(zip(*(got[c].map(lambda v: tuple(int(x) for x in v)) for c in "fycs")))  # reruns agree
     if not rows:
         return None

@@ -207,6 +207,29 @@ def test_messages_that_never_settle_end():
     assert np.isfinite(p).all() and np.allclose(p.sum(axis=1), 1)
 
 
+def sampled(df, monkeypatch, **options):
+    """Labels of the documents that the field is fitted on."""
+    monkeypatch.setattr(pii, "fit", lambda graphs: [y.tolist() for _, y, _, _ in graphs])
+    return pii.learn(df, **options)
+
+
+def test_kinds_of_late_rows_and_long_documents_are_learned(documents, monkeypatch):
+    texts = [f"number {k} of many" for k in range(3000)] + ["the same 12 words"] * 3000
+    texts += ["9 " * 40 + f"mail a{k}@b.example now" for k in range(30)] + ["7 " * 900 + "ip 10.1.2.3 " + "8 " * 900]
+    df = documents(texts).coalesce(1)
+    got = sampled(df, monkeypatch, fit_documents=100, fit_tokens=50)
+    assert len(got) == 100 and max(map(len, got)) <= 50
+    assert sum(1 in y for y in got) >= 10 and sum(2 in y for y in got) == 1
+    again = sampled(df.orderBy(F.col("doc_id").desc()).repartition(7), monkeypatch, fit_documents=100, fit_tokens=50)
+    assert sorted(got) == sorted(again)  # the order of the rows has no say
+
+
+def test_copies_take_one_place_of_the_sample(documents, monkeypatch):
+    texts = ["call +1 (499) 555-6503"] * 500 + [f"room {k}" for k in range(20)]
+    got = sampled(documents(texts), monkeypatch, fit_documents=30)
+    assert len(got) == 21 and sum(4 in y for y in got) == 1
+
+
 def test_all_documents_keep_their_pattern_spans(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in op7_personal_data(spark, SF).collect():
