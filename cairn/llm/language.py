@@ -3,12 +3,13 @@
 Features are hashed runs of one to three characters of the lower-cased text (letters as they are, all else one space),
 as ``log(1 + count) x idf`` scaled to unit length; document frequencies are counted over every text learned from.  The
 weights are trained by follow-the-regularised-leader (per-coordinate steps, L1 and L2 penalties) on at most ``per_class``
-texts a language (a documented bound; drawn by hash), and a temperature fitted on a held-back fifth of them calibrates
-the probabilities.  A prediction uses the text alone.
+distinct texts a language (a documented bound; the smallest hashes, and evenly fewer a language where all would pass
+``max_rows``), and a temperature fitted on a held-back fifth of them calibrates the probabilities.  A prediction uses the
+text alone.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, and so is every text when no labelled row
-exists; null labels are not learned from; repeated rows are predicted each; extra columns are ignored; an empty table
-gives an empty table.
+exists; null labels are not learned from; more than ``max_languages`` labels raise an error; repeated rows are predicted
+each; extra columns are ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -20,7 +21,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from cairn.operators.prefix import durable
 from cairn.session import ship_by_value
 
 BITS = 14
@@ -112,15 +115,16 @@ def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 
 
 def learn(docs: DataFrame, *, text_col: str = "text", label_col: str = "lang", per_class: int = 800,
-          max_rows: int = 20_000, **options) -> LanguageModel | None:
+          max_rows: int = 20_000, max_languages: int = 1000, **options) -> LanguageModel | None:
     """Model of the labelled rows: document frequencies over all of them, weights from a bounded sample."""
     known = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label"))
-    names = [r["label"] for r in known.groupBy("label").count().orderBy(F.desc("count"), "label").limit(1000).collect()]
+    names = [r["label"] for r in known.select("label").distinct().limit(max_languages + 1).collect()]
     if not names:
         return None
-    sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().where(F.col("label").isin(names)).collect()}
-    share = min(1.0, max_rows / (per_class * len(names)))
+    if len(names) > max_languages:
+        raise ValueError(f"more than {max_languages} labels; give a larger max_languages or fewer labels")
+    bound = max(1, min(per_class, max_rows // len(names)))
     names.sort()
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -139,9 +143,17 @@ def learn(docs: DataFrame, *, text_col: str = "text", label_col: str = "lang", p
     count = {r["feature"]: r["documents"] for r in idf_rows}
     idf = np.log((1.0 + count.get(-1, 0)) / (1.0 + np.array([count.get(k, 0) for k in range(1 << BITS)]))) + 1.0
 
-    draw = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1_000_000)) / 1_000_000.0
-    part = F.create_map(*(F.lit(v) for name in names for v in (name, min(1.0, share * per_class / sizes[name]))))
-    sample = known.where(draw < F.coalesce(F.element_at(part, F.col("label")), F.lit(0.0))).limit(2 * max_rows)
+    # the smallest hashes of each label's distinct texts; a threshold well above them keeps the ranked rows few
+    keys = known.select("label", F.xxhash64("text", F.lit(11)).alias("h")).distinct()
+    sizes = {r["label"]: r["count"] for r in keys.groupBy("label").count().collect()}
+    below = F.create_map(*(F.lit(v) for name in names for v in (
+        name, min(2 ** 63 - 1, -2 ** 63 + 2 ** 64 * (2 * bound + 100) // max(sizes[name], 1)))))
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("h"))
+    drawn = durable(keys.where(F.col("h") <= F.element_at(below, F.col("label"))).withColumn("rank", rank)
+                    .where(F.col("rank") <= bound).select("label", "h"))
+    of_label = Window.partitionBy("label", "h").orderBy("text")
+    sample = (known.withColumn("h", F.xxhash64("text", F.lit(11))).join(F.broadcast(drawn), ["label", "h"])
+              .withColumn("copy", F.row_number().over(of_label)).where("copy = 1").select("text", "label"))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         letters = letters_below()

@@ -111,6 +111,22 @@ def test_awkward_languages(awkward, nothing):
     assert len(got) == awkward.count() and language.identify(nothing).count() == 0
 
 
+def test_copies_are_one_text_of_their_language(documents, monkeypatch):
+    used = []
+    fit = language.train
+    monkeypatch.setattr(language, "train", lambda rows, classes: used.extend(r[2] for r in rows) or fit(rows, classes))
+    texts = ["one two three four"] * 3000 + [f"cinco seis {chr(97 + k % 26)}{chr(97 + k // 26)} siete" for k in range(60)]
+    model = language.learn(documents(texts, lang=["en"] * 3000 + ["es"] * 60), per_class=40, max_rows=100)
+    assert model.names == ["en", "es"] and used.count(0) == 1 and used.count(1) == 32
+
+
+def test_too_many_languages_are_refused(documents):
+    df = documents(["one two", "uno dos", "un deux"], lang=["en", "es", "fr"])
+    with pytest.raises(ValueError, match="max_languages"):
+        language.learn(df, max_languages=2)
+    assert language.learn(df, max_languages=3).names == ["en", "es", "fr"]
+
+
 # personal data ---------------------------------------------------------------------------------------------------
 
 def plain_spans(text):
