@@ -31,6 +31,13 @@ def test_ids_are_those_of_the_named_library(text):
     assert held["own"].encode(text).tolist() == held["coder"].encode(text, add_special_tokens=False).ids
 
 
+def test_ids_against_an_unmodified_tokenizer():
+    default, own = Tokenizer.from_file(PATH), Encoder(PATH)
+    same = lambda t: own.encode(t).tolist() == default.encode(t, add_special_tokens=False).ids
+    assert all(same(t) for t in ("", "plain text, 12 é", "<|im_end|> <| endoftext |>", "a  b\n\tc's"))
+    assert not same("a <|endoftext|> b")  # the stated choice: the string of an added token is ordinary text
+
+
 def is_packing(bins, lengths, capacity):
     return sorted(i for b in bins for i in b) == list(range(len(lengths))) and all(sum(lengths[i] for i in b) <= capacity for b in bins)
 
