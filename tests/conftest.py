@@ -6,8 +6,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -17,9 +15,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *cols):
-    """Sorted list of tuples for order-insensitive comparison."""
-    cols = cols or tuple(df.columns)
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)

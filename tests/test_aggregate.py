@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from cairn.operators.aggregate import category_counts, frequency_topk
 from cairn.operators.combine import outer_merge
-from conftest import rows
+from frames import rows
 
 
 def _medals(spark):

@@ -2,7 +2,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cairn.operators.cleaning import dedupe_first, fill_missing, replace_token
-from conftest import rows
+from frames import rows
 
 
 def test_fill_missing_keeps_types_and_only_fills_nulls(spark):

@@ -1,7 +1,7 @@
 import pytest
 
 from cairn.operators.combine import append_rows, broadcast_if_small, lookup_enrich, null_safe_join, outer_merge
-from conftest import rows
+from frames import rows
 
 
 def _sides(spark):

@@ -4,7 +4,7 @@ import pytest
 import __spark_entry__ as entry
 from cairn.plans.oracle import ORACLE
 from cairn.plans.queries import QUERIES
-from conftest import SF_SMALL
+from frames import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from cairn.functions.numeric import add_total, band, difference, mean_from_totals, rounded
-from conftest import rows
+from frames import rows
 
 BANDS = [(1900, 1950, "20th c - first half"), (1951, 2000, "20th c - second half"), (2001, None, "21th")]
 

@@ -3,7 +3,7 @@
 import pytest
 
 from cairn.plans.queries import QUERIES
-from conftest import SF_SMALL
+from frames import SF_SMALL
 
 TOPK = ["frequency_topk", "composite_frequency_topk", "distinct_then_count_topk", "topk_multi_measure", "bottomk",
         "participation_topk"]

@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cairn.operators.ranking import rank_within, top_k
-from conftest import rows
+from frames import rows
 
 
 def _reference(df, part, col, ascending, method):

@@ -1,14 +1,14 @@
-import pytest
 import os
 
+import pytest
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from cairn.session import scratch_path, shared_dir
 from cairn.sources.files import HeaderMismatchError, read_stage, read_typed_csv, split_write, write_stage
-from conftest import rows
+from frames import rows
 
-SCHEMA = StructType([StructField("ID", IntegerType()), StructField("Name", StringType()),
-                     StructField("Age", IntegerType()), StructField("Weight After", DoubleType())])
+SCHEMA = StructType([StructField("parcel", IntegerType()), StructField("street", StringType()),
+                     StructField("floors", IntegerType()), StructField("net load", DoubleType())])
 
 
 def _write_text(path, text):
@@ -28,15 +28,15 @@ def test_shared_dir_comes_from_session(spark):
 
 def test_permissive_na_becomes_null_and_corrupt_line_is_kept(spark):
     path = _local(spark, "t-na")
-    _write_text(path, "ID,Name,Age,Weight After\n1,Ann,NA,60.5\n2,Bo,31,70\n")
+    _write_text(path, "parcel,street,floors,net load\n1,Ann,NA,60.5\n2,Bo,31,70\n")
     df = read_typed_csv(spark, path, SCHEMA, corrupt_col="_bad")
-    got = rows(df, "ID", "Age", "Weight After", "_bad")
+    got = rows(df, "parcel", "floors", "net load", "_bad")
     assert got == [(1, None, 60.5, "1,Ann,NA,60.5"), (2, 31, 70.0, None)]
 
 
 def test_failfast_raises_on_bad_cell(spark):
     path = _local(spark, "t-ff")
-    _write_text(path, "ID,Name,Age,Weight After\n1,Ann,NA,60.5\n")
+    _write_text(path, "parcel,street,floors,net load\n1,Ann,NA,60.5\n")
     try:
         read_typed_csv(spark, path, SCHEMA, mode="FAILFAST").collect()
     except Exception:
@@ -46,10 +46,10 @@ def test_failfast_raises_on_bad_cell(spark):
 
 def test_narrow_schema_is_positional_and_header_check(spark):
     path = _local(spark, "t-wide")
-    _write_text(path, "ID,Name,Age,Weight After,Old\n1,Ann,30,60.5,21th\n")
+    _write_text(path, "parcel,street,floors,net load,Old\n1,Ann,30,60.5,21th\n")
     narrow = StructType(SCHEMA.fields[:3])
     assert rows(read_typed_csv(spark, path, narrow, check_header=True)) == [(1, "Ann", 30)]
-    renamed = StructType([StructField("ID", IntegerType()), StructField("Nom", StringType())])
+    renamed = StructType([StructField("parcel", IntegerType()), StructField("Nom", StringType())])
     try:
         read_typed_csv(spark, path, renamed, check_header=True)
     except HeaderMismatchError:
@@ -59,9 +59,9 @@ def test_narrow_schema_is_positional_and_header_check(spark):
 
 def test_untyped_read_gives_strings(spark):
     path = _local(spark, "t-str")
-    _write_text(path, "ID,Weight After\n1,60.5\n")
+    _write_text(path, "parcel,net load\n1,60.5\n")
     df = read_typed_csv(spark, path, schema=None)
-    assert df.dtypes == [("ID", "string"), ("Weight After", "string")]
+    assert df.dtypes == [("parcel", "string"), ("net load", "string")]
 
 
 def test_stage_round_trip_parquet_and_csv(spark):

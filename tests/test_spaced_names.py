@@ -8,7 +8,7 @@ from cairn.operators.cleaning import dedupe_first, fill_missing, replace_token
 from cairn.operators.combine import lookup_enrich, outer_merge
 from cairn.operators.ranking import rank_within
 from cairn.operators.stats import anova_columns, anova_oneway, check_assumptions, pearson_matrix, welch_t
-from conftest import rows
+from frames import rows
 
 
 def _df(spark):

@@ -5,7 +5,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from cairn.session import scratch_path
 from cairn.streaming.replay import mean_from_running, read_complete, read_latest, replay_files, run_to_end, running_totals
-from conftest import rows
+from frames import rows
 
 SCHEMA = StructType([StructField("Price", DoubleType()), StructField("Old", StringType())])
 
