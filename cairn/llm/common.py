@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.operators.prefix import durable
+from cairn.operators.prefix import durable, task_count
 
 #: White space that separates words, and a word (fixed by the task).
 SPACE = r"[\x20\x09-\x0D]"
@@ -60,3 +60,17 @@ def component_of(nodes: DataFrame, key: str, edges: DataFrame, out: str = "compo
             .withColumn(out, F.coalesce("__r", F.col(key))).drop("__n", "__r"))
 
 
+def dealt_join(rows: DataFrame, per_key: DataFrame, on: list[str], count: str) -> DataFrame:
+    """Inner equi-join of ``rows`` with one row per key, however many rows share a key.
+
+    ``per_key`` names in ``count`` how many rows have its key (a column that the result does not keep).  Keys with more
+    rows than a quarter of a task's fair part are fewer than four a task, so they are broadcast and their rows stay
+    where they are; the rows of all other keys meet by a shuffle in which none stands out.  Both inputs are read twice:
+    pass durable ones.  Null keys join nothing.
+    """
+    tasks = task_count(rows.sparkSession)
+    total = per_key.agg(F.sum(count)).first()[0] or 0
+    hot = F.col(count) > F.lit(max(total // (4 * tasks), 1))
+    few = F.broadcast(per_key.where(hot).drop(count))
+    return rows.join(few, on).unionByName(
+        rows.join(F.broadcast(per_key.where(hot).select(*on)), on, "left_anti").join(per_key.where(~hot).drop(count), on))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions.numeric import rounded
-from cairn.llm import chat, pii
+from cairn.llm import chat, pii, trie
 from cairn.llm.common import table
 from cairn.llm.forest import near_vectors
 from cairn.llm.language import identify
@@ -89,12 +89,19 @@ def op9_chat_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_back(chat.build(given.unionByName(extra), tokenizer=bpe_path())))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all conversations, each with its first turns replaced by those of its group of five."""
+    given = trie.turn_strings(table(spark, sf_dir, "conversations"))
+    return trie.trie(trie.classes_of(trie.graft(given)))
+
+
 QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_byte_shards": op2_byte_shards,
            "op3_simhash": op3_simhash, "op8_embedding_forest": op8_embedding_forest,
            "op5_line_rules": op5_line_rules,
            "op4_ordinal_quality": op4_ordinal_quality, "op6_language": op6_language,
            "op7_personal_data": op7_personal_data,
-           "op9_chat_prefix_tree": op9_chat_prefix_tree, "op10_pack_documents": op10_pack_documents}
+           "op9_chat_prefix_tree": op9_chat_prefix_tree, "op10_pack_documents": op10_pack_documents,
+           "op13_conversation_trie": op13_conversation_trie}
 _W = r"[^\x20\x09-\x0D]+"
 
 _MIX = rf"""
@@ -159,8 +166,39 @@ n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT c.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, c.vec_id = component_id AS kept
 FROM c LEFT JOIN n ON n.a = c.vec_id"""
 
+_TRIE = r"""
+WITH t AS (SELECT conv_id, turn, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id,
+                  strlen(coalesce(text, '')) AS bytes FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'id': id, 'bytes': bytes} ORDER BY turn NULLS FIRST, id) AS x FROM t GROUP BY conv_id),
+crc AS (SELECT 0::BIGINT AS i, range::BIGINT AS b, range::BIGINT AS v FROM range(256)),
+crc8 AS (SELECT b, list_reduce([v, 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END) AS v FROM crc),
+tab AS (SELECT list(v ORDER BY b) AS v FROM crc8),
+chars AS (SELECT conv_id, v AS table_, list_prepend(4294967295::BIGINT,
+                 list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)) AS c FROM own, tab),
+hash AS (SELECT conv_id, list_reduce(c, lambda x, y: xor(x // 256, table_[xor(x % 256, y) + 1])) AS raw FROM chars),
+h AS (SELECT conv_id, xor(raw, 4294967295) % 9 AS h FROM hash),
+built AS (SELECT o.conv_id, list_concat(coalesce(list_slice(b.x, 1, h.h), []), list_slice(o.x, h.h + 1, len(o.x))) AS x
+          FROM own o JOIN h USING (conv_id) LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5),
+steps AS (SELECT conv_id, len(x) AS n, d,
+                 md5(array_to_string(list_transform(list_slice(x, 1, d), lambda t: t.id), '')) AS node,
+                 CASE WHEN d > 0 THEN md5(array_to_string(list_transform(list_slice(x, 1, d - 1), lambda t: t.id), '')) END AS up,
+                 CASE WHEN d > 0 THEN x[d].bytes ELSE 0 END AS bytes
+          FROM built, LATERAL (SELECT unnest(range(0, len(x) + 1)) AS d)),
+nodes AS (SELECT d, node, min(conv_id) AS conv_id, any_value(up) AS up, count(*) AS n_convs, any_value(bytes) AS bytes,
+                 sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) AS ends
+          FROM steps GROUP BY d, node),
+kids AS (SELECT d - 1 AS d, up AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+whole AS (SELECT n.*, coalesce(k.n, 0) AS n_children, (n.n_convs - 1) * n.bytes AS saved FROM nodes n LEFT JOIN kids k USING (d, node)),
+below AS (SELECT s.d, s.node, count(*) FILTER (WHERE w.n_children = 0) AS n_leaves, sum(w.saved) AS saved
+          FROM whole w JOIN steps s ON s.conv_id = w.conv_id AND s.d <= w.d GROUP BY s.d, s.node)
+SELECT w.conv_id, CAST(w.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, b.n_leaves,
+       CAST(b.saved AS BIGINT) AS saved_tokens, w.ends AS ends_sha256
+FROM whole w JOIN below b USING (d, node) LEFT JOIN nodes p ON p.d = w.d - 1 AND p.node = w.up"""
+
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE = {"op1_mix_sources": _MIX, "op5_line_rules": _RULES, "op8_embedding_forest": _VECTORS, "op9_chat_prefix_tree": r"""
+ORACLE = {"op1_mix_sources": _MIX, "op5_line_rules": _RULES, "op8_embedding_forest": _VECTORS,
+          "op13_conversation_trie": _TRIE, "op9_chat_prefix_tree": r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
