@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cairn.functions.numeric import rounded
 from cairn.llm import chat, pii, trie
+from cairn.llm.collocations import collocations
 from cairn.llm.common import table
 from cairn.llm.forest import near_vectors
 from cairn.llm.language import identify
@@ -89,6 +90,11 @@ def op9_chat_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_back(chat.build(given.unionByName(extra), tokenizer=bpe_path())))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest phrases of 2 to 5 words in each language, counted over all documents."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prefix trie of all conversations, each with its first turns replaced by those of its group of five."""
     given = trie.turn_strings(table(spark, sf_dir, "conversations"))
@@ -101,7 +107,7 @@ QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_byte_shards": op2_byte_shard
            "op4_ordinal_quality": op4_ordinal_quality, "op6_language": op6_language,
            "op7_personal_data": op7_personal_data,
            "op9_chat_prefix_tree": op9_chat_prefix_tree, "op10_pack_documents": op10_pack_documents,
-           "op13_conversation_trie": op13_conversation_trie}
+           "op11_collocations": op11_collocations, "op13_conversation_trie": op13_conversation_trie}
 _W = r"[^\x20\x09-\x0D]+"
 
 _MIX = rf"""
@@ -196,9 +202,32 @@ SELECT w.conv_id, CAST(w.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, w.n
        CAST(b.saved AS BIGINT) AS saved_tokens, w.ends AS ends_sha256
 FROM whole w JOIN below b USING (d, node) LEFT JOIN nodes p ON p.d = w.d - 1 AND p.node = w.up"""
 
+_COLLOCATIONS = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+                  unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS x FROM d),
+n AS (SELECT lang, CAST(sum(len(x)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, list_slice(x, i, i + m - 1) AS p FROM w, range(1, 6) t(m), LATERAL (SELECT unnest(range(1, len(x) - m + 2)) AS i)),
+f AS (SELECT lang, p, count(*) AS f FROM g GROUP BY lang, p HAVING count(*) >= 100),
+sub AS (SELECT DISTINCT b.lang, list_slice(b.p, i, i + m - 1) AS p, b.f
+        FROM f b, range(2, 5) t(m), LATERAL (SELECT unnest(range(1, len(b.p) - m + 2)) AS i) WHERE len(b.p) > m),
+longer AS (SELECT lang, p, max(f) AS f FROM sub GROUP BY lang, p),
+kept AS (SELECT c.lang, c.p, c.f AS a FROM f c LEFT JOIN longer o ON o.lang = c.lang AND o.p = c.p
+         WHERE len(c.p) > 1 AND (o.f IS NULL OR 100 * o.f < 100 * c.f)),
+cuts AS (SELECT c.*, k, l.f AS l, r.f AS r, n.n,
+                CAST((1000::HUGEINT * c.a * n.n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+         FROM kept c JOIN n ON n.lang = c.lang, LATERAL (SELECT unnest(range(1, len(c.p))) AS k)
+         JOIN f l ON l.lang = c.lang AND l.p = list_slice(c.p, 1, k)
+         JOIN f r ON r.lang = c.lang AND r.p = list_slice(c.p, k + 1, len(c.p))),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
+       array_to_string(p, ' ') AS phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000"""
+
 #: DuckDB SQL for the queries that SQL can express.
 ORACLE = {"op1_mix_sources": _MIX, "op5_line_rules": _RULES, "op8_embedding_forest": _VECTORS,
-          "op13_conversation_trie": _TRIE, "op9_chat_prefix_tree": r"""
+          "op11_collocations": _COLLOCATIONS, "op13_conversation_trie": _TRIE, "op9_chat_prefix_tree": r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'

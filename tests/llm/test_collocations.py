@@ -1,0 +1,127 @@
+"""Collocations against plain counting of every phrase."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from cairn.llm import collocations as co
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def pieces(text):
+    return [re.findall(r"[^\x20\x09]+", p) for p in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER))]
+
+
+def plain(rows, min_count, top=2000, max_words=5):
+    f, n = Counter(), Counter()
+    for text, lang in rows:
+        lang = lang or "und"
+        for p in pieces(text):
+            n[lang] += len(p)
+            for m in range(1, max_words + 1):
+                for i in range(len(p) - m + 1):
+                    f[lang, tuple(p[i:i + m])] += 1
+    often = {k: v for k, v in f.items() if len(k[1]) > 1 and v >= min_count}
+    inside = lambda a, b: any(b[i:i + len(a)] == a for i in range(len(b) - len(a) + 1))
+    out = []
+    for (lang, p), a in often.items():
+        if any(g == lang and len(q) > len(p) and v >= a and inside(p, q) for (g, q), v in often.items()):
+            continue
+        score, k = min((1000 * a * n[lang] // (f[lang, p[:k]] * f[lang, p[k:]]), k) for k in range(1, len(p)))
+        out.append((lang, " ".join(p), a, f[lang, p[:k]], f[lang, p[k:]], n[lang], score))
+    ranked = []
+    for lang in {x[0] for x in out}:
+        own = sorted((x for x in out if x[0] == lang), key=lambda x: (-x[6], -x[2], x[1].encode()))
+        ranked += [(lang, i + 1, *x[1:]) for i, x in enumerate(own[:top])]
+    return sorted(ranked)
+
+
+def found(docs, **options):
+    return sorted(tuple(r) for r in co.collocations(docs, **options).collect())
+
+
+def speech(seed, docs, words=12):
+    rng = random.Random(seed)
+    stock = ["new", "york", "city", "the", "of", "Ä", "é́", "a\x01", "x" * 70, "Big"][:words]
+    idioms = ["New York City", "the\tcity of", "once upon a time there", "é́ Ä é́ Ä é́ Ä"]
+    rows = []
+    for _ in range(docs):
+        text = "".join(rng.choice(idioms if rng.random() < 0.3 else stock) + rng.choice([" ", " ", "  ", ", ", ".\n", "\r\x0b", "? "])
+                       for _ in range(rng.randint(0, 60)))
+        rows.append((text, rng.choice(["en", "en", "de", None])))
+    return rows
+
+
+@pytest.mark.parametrize("seed, min_count, options", [
+    (1, 5, {}), (2, 20, {"chunk_bytes": 2_000, "range_words": 500}), (3, 3, {"top": 7}), (4, 2, {"max_words": 3})])
+def test_equals_plain_counting(spark, seed, min_count, options):
+    rows = speech(seed, 60)
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    limits = {k: v for k, v in options.items() if k in ("top", "max_words")}
+    assert found(docs, min_count=min_count, **options) == plain(rows, min_count, **limits)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(2, 6), st.sampled_from([1, 3, 13, 14, 16, 21, 25, 31]), st.integers(0, 40), st.integers(0, 2 ** 31))
+def test_filters_are_lossless(m, bits, n, seed):
+    rng = np.random.default_rng(seed)
+    digits = [rng.integers(0, 2 ** bits, n).astype(np.uint64) for _ in range(m)]
+    mixed = co.permute(digits, bits)
+    assert all((a == b).all() for a, b in zip(co.permute(mixed, bits, back=True), digits))
+    f = co.QuotientFilter.of(co.limbs_of(mixed, bits), m, bits)
+    again = co.QuotientFilter.read(*f.part(0, len(f.counts)), m, bits)
+    assert all((a == b).all() for a, b in zip(f.limbs, again.limbs)) and (f.counts == again.counts).all()
+    plain_digits = np.stack(co.permute(co.digits_of(again.limbs, m, bits), bits, back=True), axis=1)
+    assert Counter({tuple(map(int, k)): int(c) for k, c in zip(plain_digits, again.counts)}) == Counter(zip(*(map(int, d) for d in digits)))
+    assert (np.diff(f.quotients().astype(np.int64)) >= 0).all()
+
+
+def test_permuting_spreads_neighbouring_keys():
+    ids = np.arange(1, 5_001, dtype=np.uint64)
+    quotient = co.permute([np.full(5_000, 7, np.uint64), ids], 16)[0] >> np.uint64(12)
+    share = np.bincount(quotient.astype(int), minlength=16)
+    assert share.min() > 200 and share.max() < 430
+
+
+@given(st.binary(max_size=200))
+def test_words_of_bytes(text):
+    plain_pieces = re.split(rb"[.,;:!?\x0A-\x0D]", text.lower())
+    want = [(w, k) for k, p in enumerate(plain_pieces) for w in re.findall(rb"[^\x20\x09]+", p)]
+    words, piece = co.split_words(text)
+    assert words == [w for w, _ in want]
+    assert [a == b for a, b in zip(piece, piece[1:])] == [a[1] == b[1] for a, b in zip(want, want[1:])]
+
+
+def test_scores_beyond_64_bits(spark):
+    rows = [(9 * 10 ** 14, 10 ** 18, 9 * 10 ** 14, 10 ** 15), (100, 10 ** 13, 100, 100), (7, 10, 3, 11), (10 ** 12, 10 ** 13, 10 ** 13, 10 ** 13)]
+    got = spark.createDataFrame(rows, "a long, n long, l long, r long").select(
+        "a", "n", "l", "r", co.association(F.col("a"), F.col("n"), F.col("l"), F.col("r")).alias("s")).collect()
+    assert [r.s for r in got] == [1000 * a * n // (b * c) for a, n, b, c in rows]
+
+
+def test_awkward_rows_and_extra_columns(spark, awkward):
+    rows = [(r.text, r.lang) for r in awkward.collect()]
+    docs = awkward.withColumns({c: F.lit("clash") for c in ("f", "n", "word", "ids", "chunk", "rank", "score")})
+    assert found(docs, min_count=2) == plain(rows, 2)
+    assert found(docs, min_count=3, chunk_bytes=1) == plain(rows, 3)
+
+
+def test_common_phrase_of_a_third_of_all_rows(spark):
+    docs = spark.range(3_000).select(F.when(F.col("id") % 3 == 0, F.lit("so it goes")).otherwise(
+        F.concat(F.lit("w"), F.col("id"), F.lit(" z"))).alias("text"), F.lit("en").alias("lang")).repartition(6)
+    assert found(docs) == [("en", 1, "so it goes", 1000, 1000, 1000, 7000, 7000)]
+
+
+def test_empty_tables_and_no_candidates(spark, nothing, documents):
+    assert found(nothing) == []
+    assert found(documents(["a b c", "", None])) == []
+    assert found(documents(["", None]), min_count=1) == []
