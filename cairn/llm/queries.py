@@ -9,6 +9,7 @@ from cairn.functions.numeric import rounded
 from cairn.llm import chat, pii, trie
 from cairn.llm.collocations import collocations
 from cairn.llm.common import table
+from cairn.llm.curves import nearest_neighbours
 from cairn.llm.forest import near_vectors
 from cairn.llm.language import identify
 from cairn.llm.mixing import mix
@@ -95,6 +96,11 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of all embeddings to each whose id is divisible by 100, from twelve shifted Hilbert orderings."""
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prefix trie of all conversations, each with its first turns replaced by those of its group of five."""
     given = trie.turn_strings(table(spark, sf_dir, "conversations"))
@@ -107,7 +113,8 @@ QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_byte_shards": op2_byte_shard
            "op4_ordinal_quality": op4_ordinal_quality, "op6_language": op6_language,
            "op7_personal_data": op7_personal_data,
            "op9_chat_prefix_tree": op9_chat_prefix_tree, "op10_pack_documents": op10_pack_documents,
-           "op11_collocations": op11_collocations, "op13_conversation_trie": op13_conversation_trie}
+           "op11_collocations": op11_collocations, "op12_nearest_vectors": op12_nearest_vectors,
+           "op13_conversation_trie": op13_conversation_trie}
 _W = r"[^\x20\x09-\x0D]+"
 
 _MIX = rf"""
@@ -225,9 +232,19 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, a
        array_to_string(p, ' ') AS phrase, a, l, r, n, score
 FROM best QUALIFY rank <= 2000"""
 
+#: Brute force; the query compares a table of up to ``min_window`` vectors whole, and larger ones by measured windows.
+_NEAREST = """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_transform(list_zip(q.v, c.v), lambda x: (x[1] - x[2]) * (x[1] - x[2])) AS s
+      FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+d AS (SELECT query_id, vec_id, sqrt(list_reduce(s, lambda x, y: x + y)) AS score FROM p)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM d QUALIFY rank <= 10"""
+
 #: DuckDB SQL for the queries that SQL can express.
 ORACLE = {"op1_mix_sources": _MIX, "op5_line_rules": _RULES, "op8_embedding_forest": _VECTORS,
-          "op11_collocations": _COLLOCATIONS, "op13_conversation_trie": _TRIE, "op9_chat_prefix_tree": r"""
+          "op11_collocations": _COLLOCATIONS,
+          "op12_nearest_vectors": _NEAREST, "op13_conversation_trie": _TRIE, "op9_chat_prefix_tree": r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
