@@ -4,7 +4,8 @@ Targets: sources in code-point order (null last) get cyclic weights; a source's
 size and the excess goes to the others by weight.  Quotas: blocks of ``block_tokens`` words go to sources one by one by
 the highest quotient ``target / (2 j - 1)``.  The method is house-monotone, so the first ``k / n_shards`` of the
 blocks are an apportionment too, and the differences are the integer quotas of each shard of the mix.  Selection: the
-documents of a source are laid out in a seeded order, and its blocks cover that stream from the start, around and around.
+documents of a source are laid out as a stream in a seeded order.  Each shard draws from its own strip of that stream, cut in
+proportion to the quotas: whole copies as far as its quota goes, and a run of blocks that starts at a seeded one.
 
 Defined results: null text counts 0 words and takes none; null sources form one source; repeated rows and
 repeated or null ids count as rows of their own; extra columns are ignored; an empty table gives an empty table.
@@ -16,41 +17,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cairn.llm.common import word_count
+from cairn.llm.common import dealt_join, word_count
 from cairn.operators.prefix import durable, grouped_prefix
 
 #: A word with the white space before it.
 SPACED_WORD = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
+PARTS = "array<struct<shard:int,block:bigint,begin:bigint,end:bigint,full:bigint,ranges:array<struct<a:bigint,b:bigint>>>>"
 
 
 def source_targets(sizes: DataFrame, *, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5,
                    max_repeat: float = 2.0) -> DataFrame:
     """source, source_size, place (0-based), weight, target: water-filling of ``share`` x all words under the caps.
 
-    One row per source from here on; every pass is one aggregate over them.
+    Sources in the order of cap over weight reach their caps one after the other, so the level of the water is that
+    of the first source which does not; two prefix sums over one row per source give it.
     """
     per = sizes.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
     per = grouped_prefix(per.withColumn("__null", F.col("source").isNull()), ["__null", "source"], index="place")
     cyclic = F.array(*(F.lit(float(w)) for w in weights))
-    per = durable(per.drop("__null").withColumn("weight", F.get(cyclic, (F.col("place") % len(weights)).cast("int")))
-                  .withColumn("cap", F.col("source_size") * float(max_repeat)))
-    total = per.agg(F.sum("source_size")).first()[0] or 0
-    budget, level, capped = float(share) * total, 0.0, -1
-    while True:  # each pass caps at least one more source or ends
-        below = F.col("weight") * F.lit(level) >= F.col("cap")
-        n, held, rest = per.agg(F.sum(below.cast("long")), F.sum(F.when(below, F.col("cap"))),
-                                F.sum(F.when(~below, F.col("weight")))).first()
-        if (n or 0) == capped or not rest:
-            level = level if rest else float("inf")
-            break
-        capped, level = n, (budget - (held or 0.0)) / rest
-    return per.withColumn("target", F.least("cap", F.col("weight") * F.lit(level))).drop("cap")
+    per = (per.drop("__null").withColumn("weight", F.get(cyclic, (F.col("place") % len(weights)).cast("int")))
+           .withColumn("cap", F.col("source_size") * float(max_repeat)).withColumn("ratio", F.col("cap") / F.col("weight")))
+    per = durable(grouped_prefix(per, ["ratio", "place"], sums={"held": "cap", "lighter": "weight"}))
+    total, weight = per.agg(F.sum("source_size"), F.sum("weight")).first()
+    level = (F.lit(float(share) * (total or 0)) - F.col("held")) / (F.lit(weight or 1.0) - F.col("lighter"))
+    open_ = per.withColumn("level", level).where(F.col("level") < F.col("ratio"))
+    first = open_.agg(F.min_by("level", F.struct("ratio", "place"))).first()[0]
+    target = F.col("cap") if first is None else F.least("cap", F.col("weight") * F.lit(first))
+    return per.select("source", "source_size", "place", "weight", target.alias("target"))
 
 
 def apportion(targets: DataFrame, houses: list[int]) -> DataFrame:
     """house, place, seats: Sainte-Laguë seats of every source for each house size (ties: the earlier place).
 
-    The divisor bounds ``T / (n ± S / 2)`` settle all but about two seats per source; only those compete.
+    The divisor bounds ``T / (n ± S / 2)`` settle all but about two seats per source; only those compete, ranked by a
+    distributed prefix count.
     """
     total, sources = targets.agg(F.sum("target"), F.count(F.lit(1))).first()
     total = float(total or 0.0)
@@ -64,17 +64,15 @@ def apportion(targets: DataFrame, houses: list[int]) -> DataFrame:
     bounds = F.array(*(F.struct(F.lit(n).cast("long").alias("house"), F.lit(high).cast("double").alias("high"),
                                 F.lit(low).cast("double").alias("low")) for n, high, low in rows))
     seats = lambda d: F.floor(F.col("target") / d + 0.5).cast("long")
-    each = (targets.select("place", "target", F.explode(bounds).alias("h")).select("place", "target", "h.*")
-            .withColumn("base", F.coalesce(F.greatest(seats(F.col("high")) - 1, F.lit(0)), F.lit(0)))
-            .withColumn("most", F.coalesce(seats(F.col("low")) + 1, F.lit(0))))
-    sure = Window.partitionBy("house")
-    each = each.withColumn("open", F.col("house") - F.sum("base").over(sure))
-    asked = (each.where("most > base").select("house", "place", "target", "open",
-                                              F.explode(F.sequence(F.col("base") + 1, F.col("most"))).alias("j"))
-             .withColumn("quotient", F.col("target") / (2 * F.col("j") - 1)))
-    rank = F.row_number().over(Window.partitionBy("house").orderBy(F.desc("quotient"), "place"))
-    won = (asked.withColumn("rank", rank).where("rank <= open").where("target > 0")
-           .groupBy("house", "place").agg(F.count(F.lit(1)).alias("won")))
+    each = durable(targets.select("place", "target", F.explode(bounds).alias("h")).select("place", "target", "h.*")
+                   .withColumn("base", F.coalesce(F.greatest(seats(F.col("high")) - 1, F.lit(0)), F.lit(0)))
+                   .withColumn("most", F.coalesce(seats(F.col("low")) + 1, F.lit(0))))
+    sure = each.groupBy("house").agg((F.col("house") - F.sum("base")).alias("open"))  # one row per house
+    asked = (each.where("most > base and target > 0")
+             .select("house", "place", F.explode(F.sequence(F.col("base") + 1, F.col("most"))).alias("j"), "target")
+             .withColumn("falling", -F.col("target") / (2 * F.col("j") - 1)))
+    won = (grouped_prefix(asked, ["falling", "place"], group=["house"], index="rank").join(F.broadcast(sure), "house")
+           .where("rank < open").groupBy("house", "place").agg(F.count(F.lit(1)).alias("won")))
     return (each.join(won, ["house", "place"], "left")
             .select("house", "place", (F.col("base") + F.coalesce("won", F.lit(0))).cast("long").alias("seats")))
 
@@ -92,50 +90,93 @@ def shard_quotas(targets: DataFrame, *, block_tokens: int = 32, n_shards: int =
     return upto.select("shard", "place", (F.col("seats") - last).alias("blocks"))
 
 
+def strips_of(targets: DataFrame, quotas: DataFrame, *, block_tokens: int, max_repeat: float, seed: int) -> DataFrame:
+    """place, quota, strips: for each shard of the mix the part of a source's stream that it draws from, in words.
+
+    A source's stream is cut into strips in proportion to its quotas.  Of its strip [``begin``, ``end``) a shard takes
+    ``full`` whole copies, and ``rest`` words more: the blocks from a seeded one on, around the strip's end if need be,
+    which are the ranges [``a0``, ``a1``) and [``b0``, ``b1``).
+    """
+    at = Window.partitionBy("place").orderBy("shard")  # n_shards rows
+    q = quotas.withColumns({"upto": F.sum("blocks").over(at.rowsBetween(Window.unboundedPreceding, 0)),
+                            "quota": F.sum("blocks").over(Window.partitionBy("place"))}).where("quota > 0")
+    q = q.join(targets.select("place", "source", "source_size"), "place")
+    edge = lambda c: F.expr(f"cast(cast(source_size as decimal(19,0)) * ({c}) div quota as long)")
+    q = q.withColumns({"begin": edge("upto - blocks"), "end": edge("upto")}).withColumn("size", F.col("end") - F.col("begin"))
+    q = q.withColumn("words", F.least(F.col("blocks") * block_tokens, (F.col("size") * F.lit(float(max_repeat))).cast("long")))
+    name = F.concat_ws(":", F.lit(seed), F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), "source")), "shard")
+    draw = F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("long")
+    q = q.where("size > 0").withColumns({"full": F.expr("words div size"), "rest": F.expr("words % size"),
+                                         "a0": draw % F.ceil(F.col("size") / block_tokens) * block_tokens})
+    a1 = F.least(F.col("size"), F.col("a0") + F.col("rest"))
+    strip = F.struct("shard", "begin", "end", "full", (F.col("begin") + F.col("a0")).alias("a0"), (F.col("begin") + a1).alias("a1"),
+                     F.col("begin").alias("b0"), (F.col("begin") + F.greatest(F.lit(0), F.col("a0") + F.col("rest") - F.col("size"))).alias("b1"))
+    return q.groupBy("place").agg(F.first("quota").alias("quota"), F.array_sort(F.collect_list(strip)).alias("strips"))
+
+
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, max_repeat: float = 2.0, block_tokens: int = 32,
         n_shards: int = 8, seed: int = 1) -> DataFrame:
-    """One row per document: id, source, key, size, source_size, target, quota (blocks), full (whole copies), rest
-    (words of one more, from the start), taken.
+    """One row per document: id, source, key (hash of the row), size, source_size, target, quota (blocks), taken, parts.
 
-    A source of a third of all rows is summed before the shuffle, and its seeded stream is a distributed prefix sum.
-    Broadcast: one row per source, only where Spark measures it to be small.
+    ``parts`` has a struct for each shard that draws from the document: shard, block (the first one, counted in the
+    source's stream), begin and end (the document's words in the shard's strip), full (whole copies of them) and ranges
+    (the words of one copy more).  A source of a third of all rows is summed before the shuffle, and its seeded stream
+    is a distributed prefix sum; its one row of strips reaches its documents without a shuffle of them.
     """
     sizes = durable(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-        F.xxhash64(text_col).alias("key"), word_count(F.col(text_col)).alias("size"),
+        F.xxhash64(*docs.columns).alias("key"), F.xxhash64(text_col).alias("__text"), word_count(F.col(text_col)).alias("size"),
         F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string"))).alias("__draw")))
     targets = durable(source_targets(sizes, weights=weights, share=share, max_repeat=max_repeat))
-    quota = (shard_quotas(targets, block_tokens=block_tokens, n_shards=n_shards)
-             .groupBy("place").agg(F.sum("blocks").alias("quota")))
-    words = F.least(F.col("quota") * block_tokens, (F.col("source_size") * float(max_repeat)).cast("long"))
-    plan = durable(targets.join(quota, "place").withColumn("words", words)
-                   .withColumn("full", F.expr("coalesce(try_divide(words, source_size), 0)").cast("long"))
-                   .withColumn("over", F.col("words") - F.col("full") * F.col("source_size")).drop("words", "weight"))
-    laid = grouped_prefix(sizes, ["__draw", "doc_id", "size", "key"], group=["source"], sums={"start": "size"}).drop("__draw")
-    joined = laid.join(plan.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s")))
-    rest = F.greatest(F.lit(0), F.least(F.col("over") - F.col("start"), F.col("size"))).cast("long")
-    return (joined.withColumn("rest", rest).withColumn("taken", F.col("full") * F.col("size") + F.col("rest"))
-            .select("doc_id", "source", "key", "size", "source_size", "target", "quota", "full", "rest", "taken"))
+    quotas = durable(shard_quotas(targets, block_tokens=block_tokens, n_shards=n_shards))
+    strips = strips_of(targets, quotas, block_tokens=block_tokens, max_repeat=max_repeat, seed=seed)
+    name = F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), "source"))
+    rows = sizes.groupBy(name.alias("__s")).agg(F.count(F.lit(1)).alias("__n"))
+    plan = durable(targets.select("source", "place", "source_size", "target").withColumn("__s", name).drop("source")
+                   .join(strips, "place", "left").join(rows, "__s").drop("place"))
+    laid = durable(grouped_prefix(sizes.withColumn("__s", name), ["__draw", "doc_id", "size", "__text", "key"], group=["source"],
+                                  sums={"start": "size"}).drop("__draw", "__text"))
+    joined = dealt_join(laid, plan, ["__s"], "__n")
+    word = lambda x: F.greatest(F.lit(0), F.least(x - F.col("start"), F.col("size"))).cast("long")
+    own = F.filter("strips", lambda s: (s["begin"] < F.col("start") + F.col("size")) & (s["end"] > F.col("start")))
+    cut = F.transform(own, lambda s: F.struct(
+        s["shard"].alias("shard"), F.floor(F.greatest(s["begin"], F.col("start")) / block_tokens).cast("long").alias("block"),
+        word(s["begin"]).alias("begin"), word(s["end"]).alias("end"), s["full"].alias("full"),
+        F.filter(F.array(F.struct(word(s["b0"]).alias("a"), word(s["b1"]).alias("b")),
+                         F.struct(word(s["a0"]).alias("a"), word(s["a1"]).alias("b"))), lambda r: r["a"] < r["b"]).alias("ranges")))
+    none = F.slice(cut, 1, 0)
+    joined = joined.withColumn("parts", F.coalesce(F.when(F.col("size") > 0, cut), none, F.array().cast(PARTS)))
+    zero = F.lit(0).cast("long")
+    taken = F.aggregate("parts", zero, lambda n, p: n + p["full"] * (p["end"] - p["begin"]) + F.aggregate(
+        p["ranges"], zero, lambda m, r: m + r["b"] - r["a"]))
+    return joined.select("doc_id", "source", "key", "size", "source_size", "target",
+                         F.coalesce("quota", zero).alias("quota"), taken.alias("taken"), "parts")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each document as often as it is taken whole, and the last one of a source cut at its last word.
+    """The mix itself: each document as often as shards take words of it, cut only where a strip or a run of blocks ends.
 
-    Returns the columns of ``docs`` (doc_id, text, lang, source, n_chars); ``n_chars`` follows the text.  Documents
-    without words hold nothing to weigh and stay once.
+    Copy c holds a document's words from the strips that are taken c times or more whole, and copy ``full`` + 1 those of
+    the runs.  Returns the columns of ``docs`` (doc_id, text, lang, source, n_chars); ``n_chars`` follows the text.
+    Documents without words hold nothing to weigh and stay once; rows equal in every column are interchangeable.
     """
-    plan = mix(docs, **options).withColumn("__id", F.col("doc_id")).drop("doc_id")
-    plan = plan.select("__id", F.col("source").alias("__source"), F.col("key").alias("__key"), "size", "full", "rest")
-    whole = docs.withColumn("__key", F.xxhash64("text")).dropDuplicates(["doc_id", "source", "__key"])
-    plan = plan.withColumnRenamed("__key", "__k")
-    both = whole.join(plan, (F.col("__key") == F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-                      & F.col("source").eqNullSafe(F.col("__source")))
-    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("full") + (F.col("rest") > 0).cast("long"))
-    copies = both.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(times, F.lit(1).cast("long")))))
-    copies = copies.where(F.col("__copy") <= times)
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0)), 1, F.col("rest").cast("int")), "")
-    partial = (F.col("__copy") > F.col("full")) & (F.col("rest") < F.col("size"))
-    text = F.when(partial, cut).otherwise(F.col("text"))
+    plan = mix(docs, **options).select(F.col("doc_id").alias("__id"), F.col("key").alias("__k"), "size", "parts")
+    whole = docs.withColumn("__key", F.xxhash64(*docs.columns)).dropDuplicates(["doc_id", "__key"])
+    both = whole.join(plan, (F.col("__key") == F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+    times = F.array_max(F.transform("parts", lambda p: p["full"] + (F.size(p["ranges"]) > 0).cast("long")))
+    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.coalesce(times, F.lit(0)))
+    copies = (both.withColumn("__times", times).where("__times > 0")
+              .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times").cast("long")))))
+    here = F.flatten(F.transform("parts", lambda p: F.when(
+        p["full"] >= F.col("__copy"), F.array(F.struct(p["begin"].alias("a"), p["end"].alias("b"))))
+        .when(p["full"] + 1 == F.col("__copy"), p["ranges"]).otherwise(F.slice(p["ranges"], 1, 0))))
+    held = F.aggregate("__ranges", F.lit(0).cast("long"), lambda n, r: n + r["b"] - r["a"])
+    words = F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0))
+    cut = F.array_join(F.flatten(F.transform("__ranges", lambda r: F.slice(
+        F.col("__words"), (r["a"] + 1).cast("int"), (r["b"] - r["a"]).cast("int")))), "")
+    copies = copies.withColumn("__ranges", here).withColumn("__held", held)
+    copies = copies.withColumn("__words", F.when(F.col("__held") < F.col("size"), words))
+    text = F.when(F.col("__held") < F.col("size"), cut).otherwise(F.col("text"))
     return (copies.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long"))
             .select(*docs.columns))

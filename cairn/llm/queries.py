@@ -23,7 +23,8 @@ from cairn.llm.simhash import near_duplicates
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sainte-Laguë mix of all documents: 150 % of all words, weights 3, 1, 2, at most twice a source."""
     return mix(table(spark, sf_dir, "documents")).select(
-        "doc_id", "size", "source_size", rounded("target", 6).alias("target"), "taken", "source", "quota")
+        "doc_id", "size", "source_size", rounded("target", 6).alias("target"), "taken", "source", "quota",
+        F.array_join(F.transform("parts", lambda p: F.concat_ws(":", p["shard"], p["block"], p["full"])), " ").alias("shards"))
 
 
 def op2_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,17 +134,33 @@ t AS (SELECT source, place, source_size, least(cap, weight * (SELECT level FROM
 n AS (SELECT CAST(round_even(sum(target) / 32, 0) AS BIGINT) AS blocks FROM t),
 q AS (SELECT place, target / (2 * j - 1) AS quotient
       FROM t, LATERAL (SELECT unnest(range(1, CAST(floor(target / 32) AS BIGINT) + 40)) AS j)),
-seats AS (SELECT place, count(*) AS quota FROM (SELECT place FROM q ORDER BY quotient DESC, place LIMIT (SELECT blocks FROM n))
-          GROUP BY place),
-p AS (SELECT t.*, coalesce(quota, 0) AS quota, least(coalesce(quota, 0) * 32, source_size * 2) AS words FROM t LEFT JOIN seats USING (place)),
-r AS (SELECT d.doc_id, d.source, d.size, p.source_size, p.target, p.quota, p.words // greatest(p.source_size, 1) AS copies,
-             p.words - (p.words // greatest(p.source_size, 1)) * p.source_size AS over,
+houses AS (SELECT CAST(k AS INTEGER) AS shard, (SELECT blocks FROM n) * (k + 1) // 8 AS house FROM range(8) t(k)),
+ranked AS (SELECT place, row_number() OVER (ORDER BY quotient DESC, place) AS rank FROM q),
+upto AS (SELECT t.place, shard, house, count(r.rank) AS seats FROM t CROSS JOIN houses
+         LEFT JOIN ranked r ON r.place = t.place AND r.rank <= house GROUP BY t.place, shard, house),
+quotas AS (SELECT place, shard, seats AS upto, seats - coalesce(lag(seats) OVER (PARTITION BY place ORDER BY shard), 0) AS blocks,
+                  max(seats) OVER (PARTITION BY place) AS quota FROM upto),
+edges AS (SELECT z.*, t.source, CAST(source_size::HUGEINT * (upto - blocks) // quota AS BIGINT) AS b,
+                 CAST(source_size::HUGEINT * upto // quota AS BIGINT) AS e
+          FROM quotas z JOIN t USING (place) WHERE quota > 0),
+strips AS (SELECT *, least(blocks * 32, (e - b) * 2) // (e - b) AS f, least(blocks * 32, (e - b) * 2) % (e - b) AS rest,
+                  CAST('0x' || left(md5('1:' || CASE WHEN source IS NULL THEN '-' ELSE '+' || source END || ':' || shard), 8) AS BIGINT)
+                  % CAST(ceil((e - b) / 32) AS BIGINT) * 32 AS a FROM edges WHERE e > b),
+r AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target, t.place,
              coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.draw, d.doc_id
                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-      FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
-SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, CAST(round(CAST(target AS DECIMAL(28,8)), 6) AS DOUBLE) AS target,
-       CAST(copies * size + greatest(0, least(over - start, size)) AS BIGINT) AS taken, source, CAST(quota AS BIGINT) AS quota
-FROM r"""
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+cut AS (SELECT r.*, shard, f, greatest(b, start) // 32 AS block,
+               greatest(0, least(e, start + size) - greatest(b, start)) AS inside,
+               greatest(0, least(b + least(e - b, a + rest), start + size) - greatest(b + a, start))
+               + greatest(0, least(b + greatest(0, a + rest - (e - b)), start + size) - greatest(b, start)) AS run
+        FROM r LEFT JOIN strips x ON x.place = r.place AND b < start + size AND e > start AND size > 0)
+SELECT doc_id, CAST(any_value(size) AS BIGINT) AS size, any_value(source_size) AS source_size,
+       CAST(round(CAST(any_value(target) AS DECIMAL(28,8)), 6) AS DOUBLE) AS target,
+       CAST(coalesce(sum(f * inside + run), 0) AS BIGINT) AS taken, any_value(source) AS source,
+       CAST((SELECT max(seats) FROM upto u WHERE u.place = cut.place) AS BIGINT) AS quota,
+       coalesce(string_agg(shard || ':' || block || ':' || f, ' ' ORDER BY shard), '') AS shards
+FROM cut GROUP BY doc_id, start, cut.place"""
 
 _RULES = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents),
