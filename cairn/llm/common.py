@@ -27,8 +27,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
 
     Alternating large-star / small-star contraction (Kiveris et al. 2014):
     per round two partial aggregates (``min`` per node, combined before the
-    shuffle) and two joins, whose hot nodes AQE splits; each round is cut by a
-    checkpoint.  Only nodes with an edge appear; self-loops and null ends are
+    shuffle) and two joins, whose hot nodes are dealt out; each round is cut by
+    checkpoints.  Only nodes with an edge appear; self-loops and null ends are
     ignored.  The number of rounds is logarithmic; ``max_rounds`` guards
     against a broken session and raises rather than returning a wrong answer.
     """
@@ -37,9 +37,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     e, state = durable(e), None
     for _ in range(max_rounds):
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = (both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u != v").distinct())
+        low = durable(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n")))
+        large = (dealt_join(both, low, ["u"], "n").where(F.col("v") > F.col("u"))
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct())
         # small star: each node u links its smaller neighbours and itself to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")

@@ -5,8 +5,8 @@ Two 64-bit fingerprints within ``max_bits`` (at most 3) differ in as many bytes
 its pairs would grow with their square.  The index therefore keys a fingerprint by the fourteen sets of four positions
 whose numbers xor to zero (the Steiner system S(3,4,8)): whichever three positions differ, one of the sets avoids them,
 so every pair within reach meets in a list, and lists are 32 bits narrow.  Within a list the shared positional bytes of
-each pair are tallied, pairs under the guaranteed minimum go, the rest are verified by their bit distance, and only a
-forest of the list's links leaves the task.  A list of more than ``list_limit`` fingerprints is dealt to four
+each pair are tallied byte position by byte position; pairs under the guaranteed minimum go, only the rest are verified by
+their bit distance, and only a forest of the list's links leaves the task.  A list of more than ``list_limit`` fingerprints is dealt to four
 narrower lists by further equal bits (at most three of four blocks can differ), and so on until at most 14 bits are
 free: the last lists are bounded by their 16,384 possible fingerprints.
 
@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import connected_components
+from cairn.llm.common import connected_components, dealt_join
 from cairn.operators.prefix import durable, task_count
 from cairn.session import ship_by_value
 
@@ -88,20 +88,43 @@ def narrower(mask: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in out]
 
 
+def tally(values: np.ndarray, a: int, b: int) -> np.ndarray:
+    """How many positional bytes each of the rows a..b shares with each value: a posting list per byte position."""
+    shared = np.zeros((b - a, len(values)), np.uint8)
+    for byte in values.view(np.uint8).reshape(-1, 8).T:
+        shared += byte[a:b, None] == byte[None, :]
+    return shared
+
+
+def near_pairs(values: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(i, j, verified): index pairs i < j within ``max_bits``, and how many pairs the tally left to verify.
+
+    Only pairs with the guaranteed minimum of shared bytes are compared bit by bit.
+    """
+    found, verified, step = [], 0, max(1, 4_000_000 // len(values))
+    for a in range(0, len(values), step):
+        i, j = np.nonzero(tally(values, a, min(a + step, len(values))) >= 8 - max_bits)
+        i += a
+        i, j = i[i < j], j[i < j]
+        verified += len(i)
+        near = np.bitwise_count(values[i] ^ values[j]) <= max_bits
+        found.append((i[near], j[near]))
+    return np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]), verified
+
+
 def forest(values: np.ndarray, max_bits: int) -> np.ndarray:
     """For distinct sorted fingerprints: index of the smallest one that links reach within the list."""
-    n = len(values)
-    label, step = np.arange(n), max(1, 2_000_000 // n)
-    while True:
+    i, j, _ = near_pairs(values, max_bits)
+    label = np.arange(len(values))
+    while len(i):
         before = label.copy()
-        for a in range(0, n, step):
-            differ = values[a:a + step, None] ^ values[None, :]
-            shared = (differ.view(np.uint8).reshape(*differ.shape, 8) == 0).sum(axis=2)  # tally of positional bytes
-            near = (shared >= 8 - max_bits) & (np.bitwise_count(differ) <= max_bits)
-            label[a:a + step] = np.minimum(label[a:a + step], np.where(near, label[None, :], n).min(axis=1))
+        low = np.minimum(label[i], label[j])
+        np.minimum.at(label, i, low)
+        np.minimum.at(label, j, low)
         label = label[label]
         if (label == before).all():
-            return label
+            break
+    return label
 
 
 def _lists(batches: Iterator[pd.DataFrame], max_bits: int, list_limit: int) -> Iterator[pd.DataFrame]:
@@ -172,17 +195,18 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, max_bits: int = 3, id_
                     text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, key (hash of its text), fp, root (fingerprint naming the component), component_id.
 
-    Copies are one fingerprint before anything is compared; documents meet their component by an equi-join whose hot
-    fingerprints AQE splits.
+    Copies are one fingerprint before anything is compared; documents meet their component by joins that deal out
+    the documents of a hot fingerprint and the fingerprints of a hot component.
     """
     rows = durable(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("key"),
                                fingerprint_column(F.col(text_col), shingle).alias("fp")))
-    distinct = durable(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
+    distinct = durable(rows.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n")))
     comp = connected_components(links(distinct.select("fp"), max_bits=max_bits))
-    near = distinct.join(comp.withColumnsRenamed({"node": "fp", "root": "r"}), "fp", "left").withColumn(
-        "root", F.coalesce("r", "fp")).drop("r")
-    lowest = near.groupBy("root").agg(F.min("low").alias("component_id"))
-    return rows.join(near.select("fp", "root").join(lowest, "root"), "fp")
+    near = durable(distinct.join(comp.withColumnsRenamed({"node": "fp", "root": "r"}), "fp", "left").withColumn(
+        "root", F.coalesce("r", "fp")).drop("r"))
+    lowest = durable(near.groupBy("root").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("m")))
+    named = durable(dealt_join(near.select("fp", "root", "n"), lowest, ["root"], "m"))
+    return dealt_join(rows, named, ["fp"], "n")
 
 
 def drop_near_duplicates(docs: DataFrame, *, shingle: int = 3, max_bits: int = 3) -> DataFrame:
