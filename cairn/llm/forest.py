@@ -3,7 +3,8 @@
 Equal vectors are one class.  Each tree splits by random directions, round by round: a node of more than ``leaf_size``
 classes gets a subtree of up to ``DEPTH`` levels whose thresholds are fitted on a bounded sample of it
 (``fit_sample`` rows a node, drawn by hash) on the executors, and every row of the node is routed down.  A row within the
-spill margin of a threshold goes to both sides.  A node that no direction splits (a dense ball) stays whole.
+spill margin of a threshold goes to both sides.  A node whose children would hold more pairs than it has itself (a dense
+ball, or nearly so) stays whole and is compared in blocks; so rows multiply only where comparisons are saved.
 Within a leaf all classes are compared in blocks of ``block`` rows, so no task holds more than two blocks; a pair is
 counted in the first leaf that it shares, and only counts and a forest of links leave the task.  Links are verified by
 cosine in double precision.
@@ -24,12 +25,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import connected_components
+from cairn.llm.common import connected_components, dealt_join
 from cairn.operators.prefix import durable, task_count
 from cairn.session import ship_by_value
 
 #: Levels of a subtree that one round fits; a node has 2 ** DEPTH children at most.
 DEPTH = 6
+#: Children of 0.71 of a node each have as many pairs as it has; with this share a level saves a quarter of them and more.
+MOST = 0.62
 
 
 def directions(seed: int, node: int, depth: int, dim: int) -> np.ndarray:
@@ -39,6 +42,8 @@ def directions(seed: int, node: int, depth: int, dim: int) -> np.ndarray:
 
 def unit(vectors: pd.Series) -> np.ndarray:
     x = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+    top = np.abs(x).max(axis=1, keepdims=True)
+    x = x / np.where((top > 1e100) | (top < 1e-100), top, 1.0)  # squares of such components leave the range of doubles
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -54,7 +59,7 @@ def fit(x: np.ndarray, node: int, rows: int, leaf_size: int, margin: float, seed
         v = p[own, (at + 1).bit_length() - 1]
         tries = np.quantile(v, [0.5, 0.4, 0.6, 0.25, 0.75, 0.1, 0.9])
         larger = [max((v <= t + margin).sum(), (v >= t - margin).sum()) for t in tries]
-        if min(larger) > 0.9 * len(own):
+        if min(larger) > MOST * len(own):
             continue
         out[at] = t = float(tries[int(np.argmin(larger))])
         if 2 * at + 2 < len(out):
@@ -80,7 +85,7 @@ def route(x: np.ndarray, node: int, thresholds: np.ndarray, margin: float, seed:
 
 def grow(classes: DataFrame, *, trees: int, leaf_size: int, fit_sample: int, margin: float, seed: int) -> DataFrame:
     """cid, leaf: every class in every leaf that it reaches in any tree."""
-    width = task_count(classes.sparkSession)
+    width, kind = task_count(classes.sparkSession), classes.schema["vector"].dataType.simpleString()
 
     def fitted(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         t = fit(unit(pdf["vector"]), int(key[0]), int(pdf["rows"].iloc[0]), leaf_size, margin, seed)
@@ -116,7 +121,7 @@ def grow(classes: DataFrame, *, trees: int, leaf_size: int, fit_sample: int, mar
         none = F.array(*[F.lit(float("nan"))] * (2 ** DEPTH - 1))
         large = large.join(models, "node", "left").withColumn("thresholds", F.coalesce("thresholds", none))
         here = (large.select("cid", "node", "vector", "thresholds").repartition(width, "cid").sortWithinPartitions("node")
-                .mapInPandas(routed, "cid long, node long, vector array<float>, whole boolean"))
+                .mapInPandas(routed, f"cid long, node long, vector {kind}, whole boolean"))
     part = here.select("cid", F.col("node").alias("leaf"))
     return part if leaves is None else leaves.union(part)
 
@@ -164,7 +169,9 @@ def near_vectors(vectors: DataFrame, *, limit: float = 0.95, trees: int = 5, lea
                  fit_sample: int = 2048, spill: float = 1.0, seed: int = 1, id_col: str = "vec_id",
                  vector_col: str = "embedding") -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
-    rows = durable(vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast("array<float>").alias("vector")))
+    given = vectors.schema[vector_col].dataType.simpleString()
+    kind = given if given in ("array<float>", "array<double>") else "array<double>"  # as given; all arithmetic is double
+    rows = durable(vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast(kind).alias("vector")))
     fine = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     usable = F.coalesce(fine & F.exists("vector", lambda v: v != 0) & F.col("vec_id").isNotNull(), F.lit(False))
     keys = {"h1": F.xxhash64("vector"), "h2": F.xxhash64(F.lit(1), "vector")}
@@ -173,7 +180,7 @@ def near_vectors(vectors: DataFrame, *, limit: float = 0.95, trees: int = 5, lea
                                                    F.first("vector").alias("vector"))
                       .withColumn("cid", F.monotonically_increasing_id()))
     dim = classes.agg(F.max(F.size("vector"))).first()[0] or 1
-    classes = classes.withColumn("vector", F.concat("vector", F.array_repeat(F.lit(0.0).cast("float"), F.lit(dim) - F.size("vector"))))
+    classes = classes.withColumn("vector", F.concat("vector", F.array_repeat(F.lit(0.0).cast(kind[6:-1]), F.lit(dim) - F.size("vector"))))
     margin = spill * 0.5 * float(np.sqrt(max(2 - 2 * limit, 0.0) / dim))
     leaves = durable(grow(classes, trees=trees, leaf_size=leaf_size, fit_sample=fit_sample, margin=margin, seed=seed))
     held = leaves.groupBy("cid").agg(F.array_sort(F.collect_set("leaf")).alias("leaves"))  # a few per tree
@@ -196,12 +203,12 @@ def near_vectors(vectors: DataFrame, *, limit: float = 0.95, trees: int = 5, lea
                     .applyInPandas(compared, "cid long, links long, root long"))
     comp = connected_components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("cid").agg(F.sum("links").alias("links"))
-    near = (classes.select("cid", "h1", "h2", "low", "n").join(counts, "cid", "left")
-            .join(comp.withColumnsRenamed({"node": "cid"}), "cid", "left").withColumn("root", F.coalesce("root", "cid")))
-    lowest = near.groupBy("root").agg(F.min("low").alias("component_id"))
-    near = near.join(lowest, "root").select(
-        "h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
-    linked = good.select("vec_id", "h1", "h2").join(near, ["h1", "h2"]).select("vec_id", "n_links", "component_id")
+    near = durable(classes.select("cid", "h1", "h2", "low", "n").join(counts, "cid", "left")
+                   .join(comp.withColumnsRenamed({"node": "cid"}), "cid", "left").withColumn("root", F.coalesce("root", "cid")))
+    lowest = durable(near.groupBy("root").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("m")))
+    near = durable(dealt_join(near, lowest, ["root"], "m").select(
+        "h1", "h2", "n", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id"))
+    linked = dealt_join(good.select("vec_id", "h1", "h2"), near, ["h1", "h2"], "n").select("vec_id", "n_links", "component_id")
     alone = rows.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
 

@@ -140,3 +140,61 @@ def test_no_vectors(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert near_vectors(none).count() == 0
     assert near_vectors(spark.createDataFrame([(1, None)], "vec_id long, embedding array<float>")).first().kept
+
+
+def test_the_tally_decides_which_pairs_are_verified():
+    rng = random.Random(11)
+    low = rng.getrandbits(32)  # a list: four equal bytes, the others free
+    values = np.array(sorted({low | rng.getrandbits(32) << 32 for _ in range(600)}
+                             | {low | (7 << 40) ^ (1 << rng.randrange(32, 64)) ^ (1 << rng.randrange(32, 64)) for _ in range(60)}), np.uint64)
+    i, j, verified = simhash.near_pairs(values, 3)
+    pairs = list(itertools.combinations(range(len(values)), 2))
+    shared = lambda a, b: sum((int(a) ^ int(b)) >> (8 * k) & 255 == 0 for k in range(8))
+    want = {(a, b) for a, b in pairs if (int(values[a]) ^ int(values[b])).bit_count() <= 3}
+    assert set(zip(i.tolist(), j.tolist())) == want and want
+    assert verified == sum(shared(values[a], values[b]) >= 5 for a, b in pairs) < len(pairs) / 10
+    assert (simhash.tally(values, 3, 5)[1] == [shared(values[4], v) for v in values]).all()
+
+
+def at_cosine(rng, a, cosine):
+    b = rng.standard_normal(len(a))
+    b -= (b @ a) * a
+    return cosine * a + np.sqrt(1 - cosine ** 2) * b / np.linalg.norm(b)
+
+
+def test_cosines_in_double_precision(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(20):
+        a = rng.standard_normal(16)
+        a /= np.linalg.norm(a)
+        rows += [(4 * k, a.tolist()), (4 * k + 1, at_cosine(rng, a, 0.95 + 1e-9).tolist())]
+        a = -a
+        rows += [(4 * k + 2, (1e200 * a).tolist()), (4 * k + 3, (1e-200 * at_cosine(rng, a, 0.95 + 1e-9)).tolist())]
+    rows += [(100, [1e300] + [0.0] * 15), (101, [1e-300] + [0.0] * 15)]
+    got = {r.vec_id: r.component_id for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert all(got[4 * k + 1] == 4 * k and got[4 * k + 3] == 4 * k + 2 for k in range(20))
+    assert got[101] == got[100] == 100
+
+
+def test_recall_of_pairs_at_the_limit(spark):
+    rng = np.random.default_rng(6)
+    a = rng.standard_normal((8_000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    pairs = [(x, at_cosine(rng, x, rng.uniform(0.9502, 0.956))) for x in a]
+    df = spark.createDataFrame([(2 * k + s, p[s].tolist()) for k, p in enumerate(pairs) for s in (0, 1)], "vec_id long, embedding array<double>")
+    linked = near_vectors(df).where("n_links = 1 and component_id = vec_id - vec_id % 2").count()
+    assert linked >= 0.995 * 16_000
+
+
+def test_a_dense_ball_does_not_multiply_its_rows(spark):
+    from cairn.llm.forest import grow
+
+    rng = np.random.default_rng(7)
+    centre = rng.standard_normal(64)
+    centre /= np.linalg.norm(centre)
+    for spread in (0.42, 0.30):  # mean cosine 0.85 and 0.92
+        x = centre + spread * rng.standard_normal((4_000, 64)) / 8
+        df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "cid long, vector array<double>")
+        margin = 0.5 * float(np.sqrt(0.1 / 64))
+        assert grow(df, trees=5, leaf_size=256, fit_sample=2048, margin=margin, seed=1).count() < 20 * 4_000
