@@ -175,7 +175,7 @@ line AS (SELECT rid, source, text, len(regexp_extract_all(x, '{_W}')) AS n,
          FROM (SELECT rid, source, text, unnest(lines) AS x FROM w)),
 hosts AS (SELECT source, count(DISTINCT text) AS total FROM d GROUP BY source),
 frequent AS (SELECT l.source, k FROM line l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source GROUP BY l.source, k
-             HAVING count(DISTINCT text) > 5 AND count(DISTINCT text) > any_value(total) * 0.02::DOUBLE),
+             HAVING count(DISTINCT text) > 5 AND count(DISTINCT text) > least(any_value(total) * 0.02::DOUBLE, 100)),
 removed AS (SELECT rid, sum(n) AS n FROM line l JOIN frequent f ON l.k = f.k AND l.source IS NOT DISTINCT FROM f.source
             GROUP BY rid),
 b AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,

@@ -2,8 +2,9 @@
 
 Lines are normalised (white space runs to one space, ends trimmed, lower case, digits to 0) and hashed.  The distinct
 documents (texts) that hold a line are counted per host, here the source: copies of one text are one document.  A line
-in more than ``max(min_documents, max_share x documents of the host)`` of them is removed, and a document of which less
-than ``min_left`` of its words, or under ``min_words`` of them, is left is rejected as depleted.
+in more than ``max(min_documents, max_share x documents of the host)`` of them, and anyhow one in more than
+``max_documents``, is removed, so that a host's size does not excuse repetition.  A document of which less than
+``min_left`` of its words, or under ``min_words`` of them, is left is rejected as depleted.
 
 Defined results: null, empty and word-less texts have no words, fail the base rule and are rejected; null hosts form one
 host; repeated rows get a row each and count as one document; null and repeated ids are fine; extra columns are ignored;
@@ -63,7 +64,7 @@ def repeated_words(word_hashes: Column, window: int) -> Column:
 
 def judge(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
           window: int = 8, min_words: int = 20, max_repeat_percent: int = 30, min_documents: int = 5,
-          max_share: float = 0.02, min_left: float = 0.5, with_text: bool = False) -> DataFrame:
+          max_share: float = 0.02, max_documents: int = 100, min_left: float = 0.5, with_text: bool = False) -> DataFrame:
     """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     words_removed, kept (and the text without its removed lines).
 
@@ -89,7 +90,8 @@ def judge(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ho
     seen = lines.distinct().groupBy("key").agg(F.first("host").alias("host"), F.count(F.lit(1)).alias("documents"))
     hosts = base.select("host", "doc").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("all"))
     frequent = durable(seen.where(F.col("documents") > min_documents).join(hosts, "host")
-                       .where(F.col("documents") > F.col("all") * F.lit(float(max_share))).select("key"))
+                       .where(F.col("documents") > F.least(F.col("all") * F.lit(float(max_share)), F.lit(float(max_documents))))
+                       .select("key"))
     met = base.select("rid", F.explode("lines").alias("x")).select("rid", "x.key", "x.words").join(frequent, "key")
     removed = met.groupBy("rid").agg(F.sum("words").alias("words_removed"), F.collect_set("key").alias("bad"))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
