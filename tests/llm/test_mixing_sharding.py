@@ -1,6 +1,7 @@
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+from hashlib import md5
 
 import pytest
 
@@ -71,33 +72,83 @@ def targets_by_hand(sizes, share=1.5):
     return target
 
 
-def test_mix_targets_and_words(documents):
+def plain_mix(rows, block, n_shards, seed=1):
+    """(size, taken, shards with their ranges) by row, from sorted streams and highest quotients one by one."""
+    size = [len(WORD.findall(t or "")) for _, t, _ in rows]
+    total = defaultdict(int)
+    for (_, _, s), n in zip(rows, size):
+        total[s] += n
+    order = sorted(total, key=lambda s: (s is None, s))
+    target = targets_by_hand(total)
+    blocks = round(sum(target.values()) / block)
+    out = {k: (n, 0, []) for k, n in enumerate(size)}
+    upto = [seats_by_hand([target[s] for s in order], blocks * (k + 1) // n_shards) for k in range(n_shards)]
+    for p, s in enumerate(order):
+        own = sorted((k for k, r in enumerate(rows) if r[2] == s), key=lambda k: (md5(f"{seed}:{rows[k][0]}".encode()).hexdigest(), rows[k][0]))
+        stream = [(k, w) for k in own for w in range(size[k])]
+        quota, taken = upto[-1][p], Counter()
+        for shard in range(n_shards):
+            high, low = upto[shard][p], upto[shard - 1][p] if shard else 0
+            if not quota:
+                continue
+            strip = stream[total[s] * low // quota:total[s] * high // quota]
+            words = min((high - low) * block, 2 * len(strip))
+            name = f"{seed}:{'-' if s is None else '+' + s}:{shard}"
+            first = int(md5(name.encode()).hexdigest()[:8], 16) % max(-(-len(strip) // block), 1) * block
+            full = words // len(strip) if strip else 0
+            for x in strip:
+                taken[x] += full
+            for j in range(words - full * len(strip)):
+                taken[strip[(first + j) % len(strip)]] += 1
+            for k in {k for k, _ in strip}:
+                out[k][2].append(shard)
+        for k in own:
+            out[k] = (size[k], sum(taken[k, w] for w in range(size[k])), sorted(out[k][2]), {w: taken[k, w] for w in range(size[k])})
+    return out
+
+
+@pytest.mark.parametrize("block, n_shards", [(8, 8), (32, 3), (5, 1)])
+def test_mix_against_plain_streams(documents, block, n_shards):
     sources = ["b", "a", None, "c", "a", "é", "B"]
-    texts = ["w " * (50 + 37 * k % 400) for k in range(70)]
-    df = documents(texts, source=[sources[k % 7] for k in range(70)])
-    rows = mix(df, block_tokens=8).collect()
-    sizes = defaultdict(int)
-    for r in rows:
+    texts = [" ".join(f"w{k}x{j}" for j in range(37 * k % 400 if k % 9 else 0)) for k in range(70)]
+    rows = [(k, t, sources[k % 7]) for k, t in enumerate(texts)]
+    df = documents(texts, source=[r[2] for r in rows])
+    options = dict(block_tokens=block, n_shards=n_shards)
+    got, want = {r.doc_id: r for r in mix(df, **options).collect()}, plain_mix(rows, block, n_shards)
+    sizes, taken = defaultdict(int), defaultdict(int)
+    for k, r in got.items():
+        assert (r.size, r.taken, [p.shard for p in r.parts]) == want[k][:3], k
+        assert r.taken <= 2 * r.size
         sizes[r.source] += r.size
-        assert 0 <= r.taken <= 2 * r.size
-    want, taken = targets_by_hand(sizes), defaultdict(int)
-    for r in rows:
-        assert r.source_size == sizes[r.source] and r.target == pytest.approx(want[r.source])
         taken[r.source] += r.taken
-    assert all(abs(taken[s] - want[s]) <= 8 for s in want)
-    assert sorted(map(tuple, mix(df, block_tokens=8).collect()), key=str) == sorted(map(tuple, rows), key=str)
-
-
-def test_mixed_documents_hold_the_taken_words(documents):
-    texts = [" ".join(f"w{k}x{j}" for j in range(20 + k % 50)) for k in range(60)]
-    df = documents(texts, source=["abcdef"[k % 6] for k in range(60)])
-    taken = {r.doc_id: r.taken for r in mix(df).collect()}
-    words, out = defaultdict(int), mixed_documents(df)
+    target = targets_by_hand(sizes)
+    for r in got.values():
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(target[r.source])
+    assert all(abs(taken[s] - target[s]) <= block + n_shards for s in target)
+    # the documents of the mix hold each word as often as it is taken
+    held, out = defaultdict(Counter), mixed_documents(df, **options)
     assert out.columns == df.columns
     for r in out.collect():
-        words[r.doc_id] += len(WORD.findall(r.text))
-        assert texts[r.doc_id].startswith(r.text) and r.n_chars == len(r.text)
-    assert {k: v for k, v in taken.items() if v} == dict(words)
+        held[r.doc_id].update(WORD.findall(r.text))
+        assert r.n_chars == len(r.text)
+    for k in range(70):
+        words = WORD.findall(texts[k])
+        assert {w: n for w, n in held[k].items()} == {words[j]: n for j, n in want[k][3].items() if n}
+
+
+def test_the_number_of_shards_changes_what_is_taken(documents):
+    df = documents([f"w{k} " * (10 + k % 90) for k in range(300)], source=["abc"[k % 3] for k in range(300)])
+    taken = lambda n: {r.doc_id: (r.taken, len(r.parts)) for r in mix(df, n_shards=n).collect()}
+    one, eight = taken(1), taken(8)
+    assert one != eight and taken(8) == eight
+    assert abs(sum(v[0] for v in one.values()) - sum(v[0] for v in eight.values())) <= 3 * 8
+
+
+def test_rows_that_differ_in_other_columns_stay_apart(spark):
+    rows = [(1, "a b c", "en", "s", 5), (1, "a b c", "de", "s", 5), (1, "a b c", "de", "s", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = mixed_documents(docs, share=2.0).collect()
+    assert sorted(r.lang for r in got) == ["de"] * 4 + ["en"] * 2
 
 
 def test_targets_of_one_and_of_no_source(spark):
@@ -106,22 +157,35 @@ def test_targets_of_one_and_of_no_source(spark):
     assert source_targets(one.where("false")).count() == 0
 
 
-def test_shards_are_contiguous_near_equal_and_keep_small_groups(documents):
-    texts = [f"text {k} " * (1 + k % 40) for k in range(800)]
+def plain_shards(texts, n):
+    """shard and slot of every document (ids are places) by one sort."""
+    first = {}
+    for k, t in enumerate(texts):
+        first.setdefault(t, k)
+    size = [len((t or "").encode()) + 1 for t in texts]
+    order = sorted(range(len(texts)), key=lambda k: (first[texts[k]], k))
+    at, total, slots, out = 0, sum(size), Counter(), {}
+    for k in order:
+        shard = min(int((at + size[k] / 2) * n // total), n - 1)
+        out[k] = (size[k], at, shard, slots[shard])
+        slots[shard] += 1
+        at += size[k]
+    return out
+
+
+def test_shards_against_a_sort(documents):
+    texts = [f"text {k} é" * (1 + k % 40) for k in range(800)] + [None, "", None]
     for k in (5, 300, 700):
         texts[k] = texts[250]
     rows = byte_shards(documents(texts), 8).collect()
-    per, slots, of_text = defaultdict(int), defaultdict(list), defaultdict(set)
+    assert {r.doc_id: (r.size, r.start, r.shard, r.slot) for r in rows} == plain_shards(texts, 8)
+    assert all(r.text_crc32 == (None if texts[r.doc_id] is None else zlib.crc32(texts[r.doc_id].encode())) for r in rows)
+    per, of_text = defaultdict(int), defaultdict(set)
     for r in rows:
-        size = len(texts[r.doc_id].encode())
-        assert r.size == size + 1 and r.text_crc32 == zlib.crc32(texts[r.doc_id].encode())
         per[r.shard] += r.size
-        slots[r.shard].append((r.slot, r.start))
         of_text[texts[r.doc_id]].add(r.shard)
-    assert sorted(per) == list(range(8))
-    assert max(per.values()) - min(per.values()) <= 2 * max(r.size for r in rows)
-    assert all([s for s, _ in sorted(v)] == list(range(len(v))) and sorted(v) == sorted(v, key=lambda x: x[1]) for v in slots.values())
-    assert all(len(s) == 1 for s in of_text.values())
+    assert sorted(per) == list(range(8)) and max(per.values()) - min(per.values()) <= 2 * max(r.size for r in rows)
+    assert sum(len(s) - 1 for s in of_text.values()) <= 7  # a border cuts one group of equal texts at most
 
 
 def test_a_hot_group_of_copies_is_cut(documents):
