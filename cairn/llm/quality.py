@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cairn.session import ship_by_value
 
@@ -74,13 +75,13 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -500, 500)))
 
 
-def telling(rows: list[np.ndarray], grade: np.ndarray, evidence: float, lift: float) -> np.ndarray:
+def telling(rows: list[np.ndarray], grade: np.ndarray, times: np.ndarray, evidence: float, lift: float) -> np.ndarray:
     """Features that tell grades apart: likelihood-ratio statistic G2 of presence by grade above ``evidence``, and in one
     grade at least ``lift`` times as frequent as over all grades.  Words that merely follow a text's length fail the latter."""
-    size = np.bincount(grade).astype(float)
+    size = np.bincount(grade, times)
     flat, row = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     used, column = np.unique(flat, return_inverse=True)
-    held = np.stack([np.bincount(column[grade[row] == g], minlength=len(used)) for g in range(len(size))], axis=1)
+    held = np.stack([np.bincount(column, times[row] * (grade[row] == g), len(used)) for g in range(len(size))], axis=1)
     g2, mean = np.zeros(len(used)), held.sum(axis=1) / size.sum()
     for table, share in ((held, mean), (size - held, 1 - mean)):
         expected = np.maximum(share[:, None] * size, 1e-12)
@@ -89,18 +90,19 @@ def telling(rows: list[np.ndarray], grade: np.ndarray, evidence: float, lift: fl
     return used[(g2 > evidence) & (rate.max(axis=1) > lift * rate.mean(axis=1))]
 
 
-def fit(rows: list[np.ndarray], grade: np.ndarray, prior: list[float], *, evidence: float = 12.0, lift: float = 1.8, l1: float = 2e-4,
+def fit(rows: list[np.ndarray], grade: np.ndarray, prior: list[float], times: np.ndarray | None = None, *, evidence: float = 12.0, lift: float = 1.8, l1: float = 2e-4,
         steps: int = 600, rate: float = 0.2) -> OrdinalModel:
     """Proximal gradient steps with a step size per weight (Adagrad), over the features that tell grades apart.
 
-    ``prior``: the share of each grade among all ratings; the sample may hold others.
+    ``prior``: the share of each grade among all ratings; the sample may hold others.  ``times``: ratings of each row.
     """
-    used, grades = telling(rows, grade, evidence, lift), int(grade.max()) + 1
+    times = np.ones(len(grade)) if times is None else np.asarray(times, float)
+    used, grades = telling(rows, grade, times, evidence, lift), int(grade.max()) + 1
     kept = [np.searchsorted(used, r[np.isin(r, used)]) for r in rows]
     column = np.concatenate(kept)
     row = np.repeat(np.arange(len(rows)), [len(r) for r in kept])
-    share = np.bincount(grade, minlength=grades).astype(float)
-    weight = (np.asarray(prior) / np.maximum(share, 1))[grade]  # as common as among all ratings
+    share = np.bincount(grade, times, grades)
+    weight = (np.asarray(prior) / np.maximum(share, 1))[grade] * times  # as common as among all ratings
     below = np.clip(np.cumsum(prior)[:-1], 1e-6, 1 - 1e-6)
     theta = np.log(below / (1 - below))  # what the grades' shares alone say
     sigmoid = lambda v: 1 / (1 + np.exp(-np.clip(v, -40, 40)))
@@ -133,27 +135,30 @@ def learn(docs: DataFrame, ratings: DataFrame, *, grade_col: str = "grade", id_c
     number = {r[0]: r[1] for r in rated.groupBy("__grade").count().collect()}  # one row per grade
     if len(number) < 2:
         return None
-    draw = F.pmod(F.xxhash64("__id", F.lit(7)), F.lit(1_000_000)) / 1_000_000.0
-    share = F.create_map(*(F.lit(v) for g, n in number.items() for v in (g, min(1.0, per_grade / n))))
-    sample = rated.where(draw < F.element_at(share, F.col("__grade"))).limit(2 * per_grade * len(number))
+    # smallest hashes of each grade, twice as many as are used: copies of a text take one place, and weigh as often as drawn
+    drawn = F.row_number().over(Window.partitionBy("__grade").orderBy(F.xxhash64("__id", F.lit(7)), "__id"))
+    sample = rated.withColumn("__r", drawn).where(F.col("__r") <= 2 * per_grade).drop("__r")
     texts = docs.join(F.broadcast(sample), F.col(id_col) == F.col("__id")).select(
-        F.col(text_col).alias("text"), F.col("__grade").alias("grade"))
+        F.col(text_col).alias("text"), F.col("__grade").alias("grade"), F.xxhash64(text_col, F.lit(7)).alias("h"))
+    place = F.row_number().over(Window.partitionBy("grade").orderBy("h"))
+    texts = (texts.groupBy("grade", "h").agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("times"))
+             .withColumn("place", place).where(F.col("place") <= per_grade).select("grade", "text", "times"))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, tuple[int, ...]] = {}
         for batch in batches:
             found = [np.sort(hashed_tokens(t, known)) if isinstance(t, str) else np.zeros(0) for t in batch["text"]]
-            yield pd.DataFrame({"grade": batch["grade"], "at": [f.astype("i4") for f in found]})
+            yield pd.DataFrame({"grade": batch["grade"], "times": batch["times"], "at": [f.astype("i4") for f in found]})
 
-    got = texts.limit(2 * per_grade * len(number)).mapInPandas(features, "grade int, at array<int>").toPandas()
+    got = texts.mapInPandas(features, "grade int, times long, at array<int>").toPandas()
     rank = {g: k for k, g in enumerate(sorted(number))}
-    rows = sorted((rank[g], tuple(a)) for g, a in zip(got["grade"], got["at"]) if len(a))  # sorted, so that reruns agree
+    rows = sorted((rank[g], tuple(a), n) for g, a, n in zip(got["grade"], got["at"], got["times"]) if len(a))  # reruns agree
     grade = np.array([r[0] for r in rows])
     if len(set(grade.tolist())) < 2:
         return None
     total = sum(number.values())
     prior = [number[g] / total for g in sorted(number)]
-    return fit([np.asarray(r[1], np.int64) for r in rows], grade, prior, **options)
+    return fit([np.asarray(r[1], np.int64) for r in rows], grade, prior, np.array([r[2] for r in rows]), **options)
 
 
 def scores(text: Column, model: OrdinalModel | None) -> Column:
@@ -181,7 +186,10 @@ def scores(text: Column, model: OrdinalModel | None) -> Column:
 
 def grade_documents(docs: DataFrame, ratings: DataFrame, *, at_least: int | None = None, tail: float = 0.5,
                     text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with expected_grade, tail_probability (of the grade ``at_least``, by default the best) and kept."""
+    """``docs`` with expected_grade, tail_probability (of the grade ``at_least``, by default the best) and kept.
+
+    Columns of ``docs`` that have one of these three names are replaced; all others are passed on.
+    """
     model = learn(docs, ratings, text_col=text_col, **options)
     out = docs.withColumn("__s", scores(F.col(text_col), model))
     place = F.lit(-1) if at_least is None or model is None else F.lit(at_least)
