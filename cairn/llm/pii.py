@@ -28,6 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cairn.session import ship_by_value
 
@@ -104,12 +105,11 @@ def tokens_of(text: str) -> list[tuple[int, int]]:
 
 def form_features(token: str) -> list[int]:
     """Hashed features of how a token is written."""
-    head = token[:64]
-    shape = re.sub(r"a+", "a", re.sub(r"[^\W\d_]", "a", re.sub(r"[0-9]", "d", head)))
-    digits = sum("0" <= c <= "9" for c in head)
+    shape = re.sub(r"[^\W\d_]+", "a", re.sub(r"[0-9]", "0", token)).replace("0", "d")
+    digits = shape.count("d")
     short = re.sub(r"d+", "d", shape)
-    parts = (f"s{shape}", f"c{short}", f"n{digits}", f"l{min(len(token), 64) // 4}", f"@{'@' in head}{head.count('.')}",
-             f"+{head[:1] in '+('}{head[-1:] == ')'}{'-' in head}")
+    parts = (f"s{shape}", f"c{short}", f"n{digits}", f"l{min(len(token), 64) // 4}", f"@{'@' in token}{token.count('.')}",
+             f"+{token[:1] in '+('}{token[-1:] == ')'}{'-' in token}")
     return [zlib.crc32(p.encode()) & ((1 << BITS) - 1) for p in parts]
 
 
@@ -252,8 +252,9 @@ def fit(graphs: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], *,
 def drawn(marked: DataFrame, fit_documents: int) -> list[int]:
     """Hashes of the texts to learn from: the smallest of all distinct texts, and of those with each kind.
 
-    A tenth of the places is kept for each kind, as far as there are such texts; the others go by hash alone.  Only the
-    smallest distinct hashes of a task, and then of a hash partition, go on, so neither order nor copies have a say.
+    A tenth of the places is kept for each kind, as far as there are such texts; the others go by hash alone.  Ranks
+    within a kind are limited before the shuffle, so a task sends no more than its smallest, and the driver gets no
+    more than the places; neither order nor copies have a say.
     """
     bounds = [fit_documents] + [max(1, fit_documents // 10)] * len(KINDS)
 
@@ -263,16 +264,11 @@ def drawn(marked: DataFrame, fit_documents: int) -> list[int]:
                     for k in {0} | {span[0] + 1 for span in pattern_spans(text)}]
             yield pd.DataFrame(rows, columns=["k", "h"])
 
-    def lowest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        least = [np.empty(0, np.int64) for _ in bounds]
-        for batch in batches:
-            for k, bound in enumerate(bounds):
-                least[k] = np.unique(np.concatenate((least[k], batch["h"][batch["k"] == k].to_numpy(np.int64))))[:bound]
-        yield pd.DataFrame({"k": np.repeat(np.arange(len(bounds)), [len(x) for x in least]), "h": np.concatenate(least)})
-
-    found = marked.mapInPandas(lambda batches: lowest(kinds(batches)), "k int, h long")
-    got = found.repartition("h").mapInPandas(lowest, "k int, h long").toPandas()
-    least = [np.unique(got["h"][got["k"] == k].to_numpy(np.int64))[:bound] for k, bound in enumerate(bounds)]
+    place = F.dense_rank().over(Window.partitionBy("k").orderBy("h"))
+    limit = F.element_at(F.array(*map(F.lit, bounds)), F.col("k") + 1)
+    got = (marked.mapInPandas(kinds, "k int, h long").withColumn("place", place).where(F.col("place") <= max(bounds))
+           .where(F.col("place") <= limit).select("k", "h").distinct().toPandas())
+    least = [np.unique(got["h"][got["k"] == k].to_numpy(np.int64)) for k in range(len(bounds))]
     kept = dict.fromkeys(int(h) for k in range(1, len(bounds)) for h in least[k])
     return list(dict.fromkeys([*kept, *map(int, least[0])]))[:fit_documents]
 
