@@ -119,7 +119,10 @@ def learn(docs: DataFrame, *, text_col: str = "text", label_col: str = "lang", p
     """Model of the labelled rows: document frequencies over all of them, weights from a bounded sample."""
     known = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label"))
-    names = [r["label"] for r in known.select("label").distinct().limit(max_languages + 1).collect()]
+    # labels, their sizes and the draw come from one pass, the document frequencies from another
+    keys = durable(known.select("label", F.xxhash64("text", F.lit(11)).alias("h")).distinct())
+    sizes = {r["label"]: r["count"] for r in keys.groupBy("label").count().limit(max_languages + 1).collect()}
+    names = list(sizes)
     if not names:
         return None
     if len(names) > max_languages:
@@ -144,8 +147,6 @@ def learn(docs: DataFrame, *, text_col: str = "text", label_col: str = "lang", p
     idf = np.log((1.0 + count.get(-1, 0)) / (1.0 + np.array([count.get(k, 0) for k in range(1 << BITS)]))) + 1.0
 
     # the smallest hashes of each label's distinct texts; a threshold well above them keeps the ranked rows few
-    keys = known.select("label", F.xxhash64("text", F.lit(11)).alias("h")).distinct()
-    sizes = {r["label"]: r["count"] for r in keys.groupBy("label").count().collect()}
     below = F.create_map(*(F.lit(v) for name in names for v in (
         name, min(2 ** 63 - 1, -2 ** 63 + 2 ** 64 * (2 * bound + 100) // max(sizes[name], 1)))))
     rank = F.row_number().over(Window.partitionBy("label").orderBy("h"))

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -52,8 +53,89 @@ def test_ratings_that_teach_nothing(documents, awkward, spark):
     assert all(r.s.expected_grade == 0 and r.s.tails == [0.0] for r in got if not (r.text or "").strip())
 
 
+def test_tails_against_plain_sums(documents, spark):
+    """Expected grade and tail probability from the model's weights and thresholds, one document at a time."""
+    rated = spark.createDataFrame([(k, k % 3) for k in range(90)], "doc_id long, grade int")
+    docs = documents([("awful bad " if k % 3 == 0 else "plain dull " if k % 3 == 1 else "lovely fine ") * 4 + f"x{k} y{k % 5}" for k in range(120)]
+                     + [None, "", "12 !"])
+    model = quality.learn(docs, rated)
+    got = {r.doc_id: r for r in quality.grade_documents(docs.withColumn("kept", F.lit("old")), rated).collect()}
+    for r in docs.collect():
+        features = quality.hashed_tokens(r.text, {}) if r.text else []
+        s = sum(float(model.weights[f]) for f in features)
+        tails = [1 / (1 + math.exp(t - s)) for t in model.thresholds] if len(features) else [0.0, 0.0]
+        assert got[r.doc_id].expected_grade == pytest.approx(sum(tails), abs=1e-9)
+        assert got[r.doc_id].tail_probability == pytest.approx(tails[1], abs=1e-9)
+        assert got[r.doc_id].kept == (got[r.doc_id].tail_probability >= 0.5)
+    assert [got[k].kept for k in range(90, 120)] == [k % 3 == 2 for k in range(90, 120)]
+
+
+def test_ordinal_thresholds_and_gradient_against_the_likelihood():
+    """At the fitted model the likelihood cannot be raised by moving a threshold."""
+    rng = np.random.default_rng(5)
+    grade = rng.integers(0, 3, 600)
+    rows = [np.array(sorted({int(x) for x in rng.integers(10, 60, 8)} | ({1} if g == 2 else {2} if g == 0 else set()))) for g in grade]
+    model = quality.fit(rows, grade, [1 / 3] * 3, l1=0.0, steps=3000)
+    s = np.array([model.weights[r].sum() for r in rows])
+
+    def loss(theta):
+        cut = np.concatenate(([-np.inf], theta, [np.inf]))
+        sigmoid = lambda v: 1 / (1 + np.exp(-np.clip(v, -700, 700)))
+        weight = (1 / 3) / np.bincount(grade)[grade]
+        return -(weight * np.log(np.maximum(sigmoid(cut[grade + 1] - s) - sigmoid(cut[grade] - s), 1e-12))).sum()
+
+    best = loss(model.thresholds)
+    for k in range(2):
+        for step in (-0.5, 0.5):
+            moved = model.thresholds.copy()
+            moved[k] += step
+            assert loss(np.sort(moved)) >= best - 1e-6
+
+
+def test_the_quality_sample_counts_copies_once(documents, spark):
+    rated = spark.createDataFrame([(k, 0 if k < 300 else 1) for k in range(600)], "doc_id long, grade int")
+    docs = documents(["same bad text"] * 290 + [f"bad thing {k}" for k in range(10)] + [f"good thing {k}" for k in range(300)])
+    one, two = (quality.learn(docs.repartition(n), rated, per_grade=300) for n in (1, 7))
+    assert (one.weights == two.weights).all() and (one.thresholds == two.thresholds).all()
+
+
+def test_no_documents_to_grade(nothing, spark):
+    rated = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, grade int")
+    assert quality.grade_documents(nothing, rated).count() == 0
+
+
 # language --------------------------------------------------------------------------------------------------------
 
+def test_training_against_plain_ftrl():
+    """Coordinate by coordinate: the proximal leader with elastic net, in the same order of rows."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for k in range(40):
+        at = np.sort(rng.choice(30, 6, replace=False))
+        rows.append((at, rng.random(6), int(at[0] % 3)))
+    alpha, beta, l1, l2 = 0.5, 1.0, 0.02, 0.1
+    z, n, w = ({} for _ in range(3))
+    order = np.random.default_rng(1)
+    for _ in range(4):
+        for k in order.permutation(len(rows)):
+            at, value, label = rows[k]
+            logit = [sum(v * w.get((f, c), 0.0) for f, v in zip(at, value)) for c in range(3)]
+            e = [math.exp(x - max(logit)) for x in logit]
+            for c in range(3):
+                error = e[c] / sum(e) - (c == label)
+                for f, v in zip(at, value):
+                    g, old = v * error, n.get((f, c), 0.0)
+                    sigma = (math.sqrt(old + g * g) - math.sqrt(old)) / alpha
+                    z[f, c] = z.get((f, c), 0.0) + g - sigma * w.get((f, c), 0.0)
+                    n[f, c] = old + g * g
+                    x = z[f, c]
+                    w[f, c] = 0.0 if abs(x) <= l1 else -(x - math.copysign(l1, x)) / ((beta + math.sqrt(n[f, c])) / alpha + l2)
+    got = language.train(rows, 3)
+    for (f, c), x in w.items():
+        assert got[f, c] == pytest.approx(x, abs=1e-9)
+    assert np.count_nonzero(got[30:]) == 0
+
+
 def plain_ngrams(text):
     kept = re.sub(" +", " ", "".join(c.lower() if c.isalpha() else " " for c in f" {text} "))
     return [sum(len(kept) - n + 1 for n in (1, 2, 3))]
