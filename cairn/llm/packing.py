@@ -4,7 +4,8 @@ Full pieces are sequences of their own.  The others are dealt in a seeded order
 pieces.  Each group is packed by ``islands`` populations, rows of their own that Spark spreads over tasks.  A child takes
 whole well-filled bins of one parent, drops the bins of the other that hold the same pieces, and best-fits the displaced
 pieces; the fitness is the mean squared fill.  Between epochs every island sends its elite to the next one.  A group
-stops early only once its number of bins is the proven least (total length over capacity).
+stops early only once its number of bins is the proven least (total length over capacity).  The poorly filled bins of all
+groups are then packed again together.
 
 Defined results: null and empty texts are the end id alone; repeated rows and ids are pieces of their own; null ids stay
 null; extra columns are ignored; an empty table gives an empty table.
@@ -31,7 +32,7 @@ def best_fit(items: list[int], lengths: list[int], capacity: int, bins: Bins) ->
     room: dict[int, list[int]] = {}
     mask = 0
     for k, b in enumerate(bins):
-        left = capacity - sum(lengths[i] for i in b)
+        left = capacity - filled(b, lengths)
         room.setdefault(left, []).append(k)
         mask |= 1 << left
     for i in items:
@@ -51,13 +52,17 @@ def best_fit(items: list[int], lengths: list[int], capacity: int, bins: Bins) ->
     return bins
 
 
+def filled(b: list[int], lengths: list[int]) -> int:
+    return sum(map(lengths.__getitem__, b))
+
+
 def fitness(bins: Bins, lengths: list[int], capacity: int) -> float:
-    return sum(sum(lengths[i] for i in b) ** 2 for b in bins) / (max(len(bins), 1) * capacity * capacity)
+    return sum(filled(b, lengths) ** 2 for b in bins) / (max(len(bins), 1) * capacity * capacity)
 
 
 def crossover(a: Bins, b: Bins, lengths: list[int], capacity: int, rng: random.Random) -> Bins:
     """``a`` with a draw of the well-filled bins of ``b`` injected."""
-    ranked = sorted(b, key=lambda x: -sum(lengths[i] for i in x))
+    ranked = sorted(b, key=lambda x: -filled(x, lengths))
     top = ranked[:max(1, len(ranked) // 2)]
     taken = rng.sample(top, rng.randint(1, len(top)))
     inside = {i for x in taken for i in x}
@@ -73,7 +78,7 @@ def crossover(a: Bins, b: Bins, lengths: list[int], capacity: int, rng: random.R
 
 def mutate(bins: Bins, lengths: list[int], capacity: int, rng: random.Random) -> Bins:
     """Empty a few of the least filled bins and one other, and best-fit their pieces again."""
-    ranked = sorted(bins, key=lambda x: sum(lengths[i] for i in x))
+    ranked = sorted(bins, key=lambda x: filled(x, lengths))
     out = max(1, len(ranked) // 20)
     if len(ranked) > out:
         ranked.insert(0, ranked.pop(rng.randrange(out, len(ranked))))
@@ -94,17 +99,19 @@ def evolve(lengths: list[int], capacity: int, start: list[Bins], seed: str, popu
     while len(people) < population:
         noisy = sorted(order, key=lambda i: -lengths[i] * rng.uniform(0.7, 1.0))
         people.append(best_fit(noisy, lengths, capacity, []))
-    score = lambda p: (len(p), -fitness(p, lengths, capacity))
-    people.sort(key=score)
+    # an individual is (bins, -fitness, packing); its score is formed once
+    scored = lambda p: (len(p), -fitness(p, lengths, capacity), p)
+    score = lambda x: x[:2]
+    ranked = sorted(map(scored, people), key=score)
     for _ in range(generations):
-        if len(people[0]) <= least:
+        if ranked[0][0] <= least:
             break
-        children = [mutate(people[0], lengths, capacity, rng)]
+        children = [mutate(ranked[0][2], lengths, capacity, rng)]
         while len(children) < population // 2:
-            a, b = (min(rng.sample(people, 2), key=score) for _ in range(2))
+            a, b = (min(rng.sample(ranked, 2), key=score)[2] for _ in range(2))
             children.append(crossover(a, b, lengths, capacity, rng))
-        people = sorted(people + children, key=score)[:population]
-    return people[0]
+        ranked = sorted(ranked + [scored(c) for c in children], key=score)[:population]
+    return ranked[0][2]
 
 
 def _bins_of(labels: list[int]) -> Bins:
@@ -114,17 +121,12 @@ def _bins_of(labels: list[int]) -> Bins:
     return list(out.values())
 
 
-def pack(pieces: DataFrame, *, capacity: int = 1024, group_items: int = 1536, islands: int = 3, epochs: int = 2,
-         population: int = 6, generations: int = 5, seed: int = 1) -> DataFrame:
-    """``pieces`` (doc_id, piece, start, length, ids_crc32, ...) with sequence_id and offset."""
-    spark, pieces = pieces.sparkSession, durable(pieces)
-    drawn = pieces.withColumn("__full", F.col("length") >= capacity).withColumn(
-        "__draw", F.xxhash64(F.lit(seed), "doc_id", "piece", "start", "length", "ids_crc32"))
-    laid = durable(grouped_prefix(drawn, ["__draw", "doc_id", "piece"], group=["__full"], index="__i"))
-    n = laid.where("not __full").count()
-    groups = max(1, -(-n // group_items))
-    loose = laid.where("not __full").select((F.col("__i") % groups).alias("g"), F.struct("__i", "length").alias("x"))
-    rows = (loose.groupBy("g").agg(F.array_sort(F.collect_list("x")).alias("x"))  # at most group_items each
+def evolve_groups(loose: DataFrame, n: int, *, capacity: int, group_items: int, islands: int, epochs: int, population: int,
+                  generations: int, seed: str) -> DataFrame:
+    """g, bin, __i, __len: ``loose`` (__i, length and a place ``at`` of 0..n-1) packed in groups that evolve on islands."""
+    spark, groups = loose.sparkSession, max(1, -(-n // group_items))
+    dealt = loose.select((F.col("at") % groups).alias("g"), F.struct("__i", "length").alias("x"))
+    rows = (dealt.groupBy("g").agg(F.array_sort(F.collect_list("x")).alias("x"))  # at most group_items each
             .select("g", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), "x",
                     F.array().cast("array<array<int>>").alias("start")))
     rows = rows.repartition(task_count(spark, groups * islands, 4), "g", "island")
@@ -153,13 +155,46 @@ def pack(pieces: DataFrame, *, capacity: int = 1024, group_items: int = 1536, is
             rows = (elite.select("g", to.alias("island"), "x", "best").groupBy("g", "island")
                     .agg(F.first("x").alias("x"), F.array_sort(F.collect_list("best")).alias("start")))
     fewest = (elite.withColumn("bins", F.array_max("best")).groupBy("g")
-              .agg(F.min(F.struct("bins", "island")).alias("m"), F.min_by("best", F.struct("bins", "island")).alias("best"),
-                   F.first("x").alias("x")))
-    placed = (fewest.select("g", F.explode(F.arrays_zip("x", "best")).alias("p"))
-              .select("g", F.col("p.x.__i").alias("__i"), F.col("p.x.length").alias("__len"), F.col("p.best").alias("bin")))
-    inside = F.expr("sum(__len) over (partition by g, bin order by __i rows between unbounded preceding and current row)")
-    placed = placed.select("__i", (F.col("g") * (group_items + 1) + F.col("bin")).cast("long").alias("sequence_id"),
-                           (inside - F.col("__len")).cast("long").alias("offset"))
+              .agg(F.min_by("best", F.struct("bins", "island")).alias("best"), F.first("x").alias("x")))
+    return (fewest.select("g", F.explode(F.arrays_zip("x", "best")).alias("p"))
+            .select("g", F.col("p.best").alias("bin"), F.col("p.x.__i").alias("__i"), F.col("p.x.length").alias("__len")))
+
+
+def pack(pieces: DataFrame, *, capacity: int = 1024, group_items: int = 1536, islands: int = 3, epochs: int = 2,
+         population: int = 6, generations: int = 5, poor: float = 0.99, seed: int = 1) -> DataFrame:
+    """``pieces`` (doc_id, piece, start, length, ids_crc32, ...) with sequence_id and offset.
+
+    Groups do not see each other's pieces, so each may end with a few sequences that are filled to less than ``poor``.
+    Their pieces are dealt to new groups and packed again, until one group holds all of them or a round saves nothing.
+    """
+    options = dict(capacity=capacity, group_items=group_items, islands=islands, epochs=epochs, population=population,
+                   generations=generations)
+    pieces = durable(pieces)
+    drawn = pieces.withColumn("__full", F.col("length") >= capacity).withColumn(
+        "__draw", F.xxhash64(F.lit(seed), "doc_id", "piece", "start", "length", "ids_crc32"))
+    laid = durable(grouped_prefix(drawn, ["__draw", "doc_id", "piece"], group=["__full"], index="__i"))
+    n = laid.where("not __full").count()
+    placed = durable(evolve_groups(laid.where("not __full").select("__i", "length", F.col("__i").alias("at")), n,
+                                   seed=str(seed), **options).withColumn("round", F.lit(0)))
+    settled, turn = None, 0
+    while n > group_items:  # more than one group: pieces of poor bins of all of them meet
+        turn += 1
+        bins = placed.groupBy("g", "bin").agg(F.sum("__len").alias("fill"), F.count(F.lit(1)).alias("items"))
+        low = durable(bins.where(F.col("fill") < poor * capacity))
+        before, items = low.agg(F.count(F.lit(1)), F.sum("items")).first()
+        if before < 2:
+            break
+        loose = placed.join(low.select("g", "bin"), ["g", "bin"]).select("__i", F.col("__len").alias("length"))
+        loose = grouped_prefix(loose, [F.xxhash64(F.lit(turn), "__i")], index="at")
+        again = durable(evolve_groups(loose, items, seed=f"{seed}/{turn}", **options).withColumn("round", F.lit(turn)))
+        if again.select("g", "bin").distinct().count() >= before:
+            break
+        good = placed.join(low.select("g", "bin"), ["g", "bin"], "left_anti")
+        settled, placed, n = good if settled is None else settled.unionByName(good), again, items
+    placed = placed if settled is None else settled.unionByName(placed)
+    inside = F.expr("sum(__len) over (partition by round, g, bin order by __i rows between unbounded preceding and current row)")
+    number = (F.col("g") * (group_items + 1) + F.col("bin")) * 64 + F.col("round")  # rounds shrink at least by halves
+    placed = placed.select("__i", number.cast("long").alias("sequence_id"), (inside - F.col("__len")).cast("long").alias("offset"))
     loose = laid.where("not __full").join(placed, "__i").select(*pieces.columns, "sequence_id", "offset")
     full = laid.where("__full").select(*pieces.columns, (-1 - F.col("__i")).cast("long").alias("sequence_id"),
                                        F.lit(0).cast("long").alias("offset"))

@@ -29,27 +29,39 @@ def byte_symbols() -> dict[str, int]:
 
 
 class Encoder:
-    """Ids as little-endian unsigned 32-bit numbers; strings of special tokens in a text are ordinary text."""
+    """Ids as little-endian unsigned 32-bit numbers; the file's added tokens inside a text are their own ids."""
 
     def __init__(self, path: str) -> None:
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
             given = json.load(f)
-        special = {t["content"] for t in given.get("added_tokens", [])}
+        self.special = {t["content"]: t["id"] for t in given.get("added_tokens", [])}
         symbol = byte_symbols()
-        ranks = {bytes(symbol[c] for c in token): k for token, k in given["model"]["vocab"].items() if token not in special}
-        self.coder = tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        ranks = {bytes(symbol[c] for c in token): k for token, k in given["model"]["vocab"].items() if token not in self.special}
+        self.coder = tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
 
     def encode(self, text: str) -> np.ndarray:
+        if any(s in text for s in self.special):
+            return np.asarray(self.coder.encode(text, allowed_special="all"), dtype="<u4")
         return np.asarray(self.coder.encode_ordinary(text), dtype="<u4")
 
 
+def encoder_of(path: str) -> Encoder:
+    """One encoder for each Python worker: building its tables takes longer than many a task, and workers are reused."""
+    import tiktoken
+
+    held = tiktoken.__dict__.setdefault("_encoders_by_path", {})
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
+
+
 def token_lengths(texts: DataFrame, text_col: str, tokenizer: str, out: str = "tokens") -> DataFrame:
     """``texts`` with the number of token ids of ``text_col`` (null: 0)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         for batch in batches:
             batch[out] = [len(encoder.encode(t)) if isinstance(t, str) and t else 0 for t in batch[text_col]]
             yield batch
@@ -65,7 +77,7 @@ def token_pieces(docs: DataFrame, *, tokenizer: str, capacity: int, end_id: int,
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, end, none = Encoder(tokenizer), np.array([end_id], "<u4"), np.zeros(0, "<u4")
+        encoder, end, none = encoder_of(tokenizer), np.array([end_id], "<u4"), np.zeros(0, "<u4")
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):

@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cairn.llm.packing import best_fit, crossover, evolve, mutate, pack, pack_documents
@@ -16,26 +17,24 @@ PATH = str(public_tokenizers.path("byte_bpe_50k.json"))
 
 @pytest.fixture(scope="module")
 def coder():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
-@given(st.text(max_size=60))
-@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=20), st.sampled_from(["<|endoftext|>", "<|endof", "text|>", " "])), max_size=6).map("".join))
+@settings(max_examples=200, deadline=None)
 def test_ids_are_those_of_the_named_library(text):
     held = test_ids_are_those_of_the_named_library.__dict__
     if "coder" not in held:
         held["coder"], held["own"] = Tokenizer.from_file(PATH), Encoder(PATH)
-        held["coder"].encode_special_tokens = True
     assert held["own"].encode(text).tolist() == held["coder"].encode(text, add_special_tokens=False).ids
 
 
-def test_ids_against_an_unmodified_tokenizer():
+def test_added_tokens_in_a_text_are_their_own_ids():
     default, own = Tokenizer.from_file(PATH), Encoder(PATH)
-    same = lambda t: own.encode(t).tolist() == default.encode(t, add_special_tokens=False).ids
-    assert all(same(t) for t in ("", "plain text, 12 é", "<|im_end|> <| endoftext |>", "a  b\n\tc's"))
-    assert not same("a <|endoftext|> b")  # the stated choice: the string of an added token is ordinary text
+    for t in ("", "plain text, 12 é", "<|im_end|> <| endoftext |>", "a  b\n\tc's", "a <|endoftext|> b", "<|endoftext|>",
+              "x<|endoftext|><|endoftext|>\n y", "<|endoftext|", "  <|endoftext|>  "):
+        assert own.encode(t).tolist() == default.encode(t, add_special_tokens=False).ids
+    assert own.encode("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
 
 
 def is_packing(bins, lengths, capacity):
@@ -93,6 +92,19 @@ def test_equal_pieces_by_the_thousand(spark):
     assert 1000 <= len(got) <= 1012 and sum(r["count"] for r in got) == 3000  # one short sequence a group at most
 
 
+def test_poor_bins_of_all_groups_are_packed_again(spark):
+    rng = random.Random(8)
+    lengths = [rng.choice([rng.randint(1, 40), rng.randint(1, 1023)]) for _ in range(3000)]
+    df = spark.createDataFrame([(k, 0, 0, n, k) for k, n in enumerate(lengths)],
+                               "doc_id long, piece int, start long, length long, ids_crc32 long")
+    used = lambda **o: {r.sequence_id: r.s for r in pack(df, group_items=64, **o).groupBy("sequence_id").agg(
+        F.sum("length").alias("s")).collect()}
+    apart, together = used(poor=0.0), used()
+    least = -(-sum(lengths) // 1024)
+    assert sum(together.values()) == sum(lengths) and max(together.values()) <= 1024
+    assert len(together) < len(apart) and len(together) - least <= (len(apart) - least) / 3
+
+
 def test_awkward_rows(awkward, nothing):
     rows = pack_documents(awkward, tokenizer=PATH).collect()
     assert sum(r.piece == 0 for r in rows) == awkward.count()
