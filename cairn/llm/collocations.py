@@ -1,8 +1,8 @@
 """Collocations counted by quotient filters.
 
-Texts are cut into words once, chunk by chunk (about ``chunk_bytes`` of text of one language, never a part of a document's
-piece), as numbers of the chunk's own vocabulary; word counts are summed from these vocabularies, and the words with at
-least ``min_count`` occurrences get global ids.  Then, level by level, the m-word phrases are counted whose both
+Texts are cut into words once, chunk by chunk (about ``chunk_bytes`` of text of one language, whole texts only), as numbers
+of the chunk's own vocabulary; word counts are summed from these vocabularies, range by range of a checksum, and the words
+with at least ``min_count`` occurrences get global ids.  Then, level by level, the m-word phrases are counted whose both
 (m - 1)-word parts are frequent; no other phrase can be:
 
 * a chunk packs the ids of each phrase and permutes them by an invertible Feistel network of their m digits.  The first
@@ -21,6 +21,7 @@ byte order; extra columns are ignored; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,21 +32,71 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cairn.operators.combine import broadcast_if_small
-from cairn.operators.prefix import durable, grouped_prefix, task_count
+from cairn.operators.prefix import durable, task_count
 from cairn.session import ship_by_value
 
 #: Bytes between pieces, and between words of a piece (fixed by the task).
 PIECE_ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 ROUNDS = 3
+#: Windows that are permuted at a time, and the most ranges (each chunk has a row in each).
+SLICE, MOST_RANGES = 2 ** 18, 2 ** 14
 
 
 def packed(a: np.ndarray) -> bytes:
-    return pa.compress(np.ascontiguousarray(a).tobytes(), codec="zstd", asbytes=True)
+    """Numbers as compressed byte planes: the high bytes, mostly zero, come together and vanish."""
+    planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T if len(a) else np.zeros((0, 0), np.uint8)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
 def unpacked(b: bytes, dtype: str, n: int) -> np.ndarray:
     dtype = np.dtype(dtype)
-    return np.frombuffer(pa.decompress(b, decompressed_size=n * dtype.itemsize, codec="zstd", asbytes=True), dtype)
+    raw = pa.decompress(b, decompressed_size=n * dtype.itemsize, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(dtype.itemsize, n).T).view(dtype).reshape(n)
+
+
+def packed_words(words: list[bytes]) -> bytes:
+    lines = b"\n".join(words)
+    return len(lines).to_bytes(8, "little") + pa.compress(lines, codec="zstd", asbytes=True)
+
+
+def unpacked_words(b: bytes) -> list[bytes]:
+    size = int.from_bytes(b[:8], "little")
+    return pa.decompress(b[8:], decompressed_size=size, codec="zstd", asbytes=True).split(b"\n") if size else []
+
+
+def joined(parts: list[bytes]) -> bytes:
+    return b"".join(len(x).to_bytes(4, "little") + x for x in parts)
+
+
+def parted(data: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(data):
+        size = int.from_bytes(data[at:at + 4], "little")
+        out.append(data[at + 4:at + 4 + size])
+        at += 4 + size
+    return out
+
+
+def by_frequency(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids as their ranks (from 1; 0 stays) in falling frequency, which compress best, and the id of each rank."""
+    counts = np.bincount(ids, minlength=1)
+    counts[0] = 0
+    used = np.flatnonzero(counts)
+    used = used[np.argsort(-counts[used], kind="stable")]
+    rank = np.zeros(len(counts), np.uint32)
+    rank[used] = np.arange(1, len(used) + 1)
+    return rank[ids], used
+
+
+def packed_ids(ids: np.ndarray) -> bytes:
+    ranks, used = by_frequency(ids)
+    return joined([len(used).to_bytes(8, "little"), packed(used.astype("<u4")), packed(ranks)])
+
+
+def unpacked_ids(data: bytes, n: int) -> np.ndarray:
+    size, used, ranks = parted(data)
+    used = unpacked(used, "<u4", int.from_bytes(size, "little"))
+    return np.concatenate((np.zeros(1, np.uint32), used))[unpacked(ranks, "<u4", n)]
 
 
 def split_words(text: bytes) -> tuple[list[bytes], np.ndarray]:
@@ -80,7 +131,9 @@ class Chunk:
 
 
 def chunks_of(texts: DataFrame, chunk_bytes: int) -> DataFrame:
-    """chunk, lang, n (words), words, counts, size, ids: the whole corpus as chunks."""
+    """chunk, lang, n (words), size, ids, vocabulary (words, a line each), counts: the whole corpus as chunks."""
+    schema = "chunk long, lang string, n long, size long, ids binary, vocabulary binary, counts binary"
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -90,18 +143,20 @@ def chunks_of(texts: DataFrame, chunk_bytes: int) -> DataFrame:
         def close(lang: str) -> pd.DataFrame:
             nonlocal number
             c = held.pop(lang)
-            ids = np.concatenate(c.parts) if c.parts else np.zeros(0, np.int32)
-            counts = np.bincount(ids, minlength=len(c.words) + 1)[1:]
+            ids = np.concatenate(c.parts)
+            ids, used = by_frequency(ids)
+            words, counts = list(c.words), np.bincount(ids, minlength=len(used) + 1)[1:]
             number += 1
-            return pd.DataFrame([(task * 2 ** 32 + number, lang, int(counts.sum()), list(c.words), counts, len(ids), packed(ids))],
-                                columns=["chunk", "lang", "n", "words", "counts", "size", "ids"])
+            row = (task * 2 ** 32 + number, lang, int(counts.sum()), len(ids), packed(ids),
+                   packed_words([words[k - 1] for k in used]), packed(counts))
+            return pd.DataFrame([row], columns=names)
 
         for batch in batches:
             for lang, group in batch.groupby("lang", sort=False):
                 given, at = group["text"].tolist(), 0
-                while at < len(given):  # a few megabytes at a time, one text at least
+                while at < len(given):  # about a megabyte at a time, one text at least
                     end, size = at, 0
-                    while end < len(given) and (end == at or size + len(given[end]) < chunk_bytes // 4):
+                    while end < len(given) and (end == at or size + len(given[end]) < min(chunk_bytes, 1_000_000)):
                         size += len(given[end])
                         end += 1
                     chunk = held.setdefault(lang, Chunk())
@@ -114,7 +169,47 @@ def chunks_of(texts: DataFrame, chunk_bytes: int) -> DataFrame:
         for lang in list(held):
             yield close(lang)
 
-    return texts.mapInPandas(run, "chunk long, lang string, n long, words array<binary>, counts array<long>, size long, ids binary")
+    return texts.mapInPandas(run, schema)
+
+
+def word_ranges(batches: Iterator[pd.DataFrame], ranges: int) -> Iterator[pd.DataFrame]:
+    """Each chunk's vocabulary cut by a checksum of the word: range, chunk, lang, words, places, counts."""
+    for batch in batches:
+        for chunk, lang, vocabulary, counts in zip(*(batch[c] for c in ("chunk", "lang", "vocabulary", "counts"))):
+            words = unpacked_words(vocabulary)
+            counts = unpacked(counts, "<i8", len(words))
+            to = np.fromiter((zlib.crc32(w) % ranges for w in words), np.int64, len(words))
+            order = np.argsort(to, kind="stable")
+            edges = np.searchsorted(to[order], np.arange(ranges + 1))
+            rows = []
+            for r in np.flatnonzero(np.diff(edges)):
+                at = order[edges[r]:edges[r + 1]]
+                rows.append((int(r), chunk, lang, len(at), packed_words([words[k] for k in at]), packed(at), packed(counts[at])))
+            yield pd.DataFrame(rows, columns=["range", "chunk", "lang", "size", "words", "places", "counts"])
+
+
+def merge_words(pdf: pd.DataFrame, min_count: int) -> pd.DataFrame:
+    """The frequent words of a range, ranked, and for each chunk the ranks of those that it has (places, ranks)."""
+    rows, back, rank = [], [], 0
+    for lang, part in pdf.groupby("lang", sort=True):
+        sizes = part["size"].to_numpy(np.int64)
+        codes, words = pd.factorize(np.array([w for x in part["words"] for w in unpacked_words(x)], object))
+        totals = np.zeros(len(words), np.int64)
+        np.add.at(totals, codes, np.concatenate([unpacked(c, "<i8", int(n)) for c, n in zip(part["counts"], sizes)]))
+        often = np.flatnonzero(totals >= min_count)
+        often = often[np.argsort(words[often])]  # ranks do not depend on the order of arrival
+        ranks = np.full(len(words), -1, np.int64)
+        ranks[often] = rank + np.arange(len(often))
+        rows += [(None, lang, int(ranks[k]), words[k], int(totals[k]), None, None, None) for k in often]
+        rank += len(often)
+        for chunk, n, places, own in zip(part["chunk"], sizes, part["places"], np.split(codes, np.cumsum(sizes)[:-1])):
+            has = ranks[own] >= 0
+            if has.any():
+                back.append((int(chunk), lang, None, None, None, int(has.sum()), packed(unpacked(places, "<i8", int(n))[has]),
+                             packed(ranks[own][has])))
+    out = pd.DataFrame(rows + back, columns=["chunk", "lang", "rank", "word", "f", "size", "places", "ranks"])
+    out["range"] = int(pdf["range"].iloc[0])
+    return out.astype({c: "Int64" for c in ("chunk", "rank", "f", "size")})
 
 
 def permute(digits: list[np.ndarray], bits: int, back: bool = False) -> list[np.ndarray]:
@@ -160,7 +255,7 @@ def sorted_groups(limbs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class QuotientFilter:
-    """Sorted permuted keys with counts; kept as differences of quotients, remainders in as few bytes as hold them, counts."""
+    """Sorted permuted keys with counts; kept as differences of quotients, full remainders and counts."""
 
     def __init__(self, limbs: list[np.ndarray], counts: np.ndarray, m: int, bits: int) -> None:
         self.limbs, self.counts, self.m, self.bits = limbs, counts, m, bits
@@ -175,47 +270,39 @@ class QuotientFilter:
     def quotients(self) -> np.ndarray:
         return digits_of(self.limbs[:1], min(self.m, 64 // self.bits), self.bits)[0]
 
-    def shapes(self) -> list[tuple[int, int]]:
-        """(bits, bytes) of the remainder's part in each limb."""
+    def low_bits(self) -> list[int]:
+        """Bits of the remainder's part in each limb."""
         per = 64 // self.bits
         held = [min(per, self.m - k) for k in range(0, self.m, per)]
-        held[0] -= 1
-        return [(h * self.bits, -(-h * self.bits // 8)) for h in held]
+        return [(h - (k == 0)) * self.bits for k, h in enumerate(held)]
 
     def part(self, a: int, b: int) -> tuple[int, bytes]:
         """Number of keys and bytes of the keys a..b."""
         out = [packed(np.diff(self.quotients()[a:b], prepend=np.uint64(0)).astype("<u8"))]
-        for x, (low, size) in zip(self.limbs, self.shapes()):
-            rest = x[a:b] & np.uint64(2 ** low - 1)
-            out.append(packed(rest.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T))
+        out += [packed((x[a:b] & np.uint64(2 ** low - 1)).astype("<u8")) for x, low in zip(self.limbs, self.low_bits())]
         out.append(packed(self.counts[a:b].astype("<u8")))
-        return b - a, b"".join(len(x).to_bytes(4, "little") + x for x in out)
+        return b - a, joined(out)
 
     @classmethod
     def read(cls, n: int, data: bytes, m: int, bits: int) -> QuotientFilter:
-        blobs, at = [], 0
-        while at < len(data):
-            size = int.from_bytes(data[at:at + 4], "little")
-            blobs.append(data[at + 4:at + 4 + size])
-            at += 4 + size
+        blobs = parted(data)
         out = cls([], unpacked(blobs[-1], "<u8", n).astype(np.int64), m, bits)
         quotient = np.cumsum(unpacked(blobs[0], "<u8", n), dtype=np.uint64)
-        for k, (low, size) in enumerate(out.shapes()):
-            wide = np.zeros((n, 8), np.uint8)
-            wide[:, :size] = unpacked(blobs[1 + k], "u1", n * size).reshape(size, n).T
-            x = wide.view("<u8").ravel().astype(np.uint64)
-            out.limbs.append(x | (quotient << np.uint64(low)) if k == 0 else x)
+        rest = [unpacked(x, "<u8", n).astype(np.uint64) for x in blobs[1:-1]]
+        out.limbs = [x | (quotient << np.uint64(low)) if k == 0 else x for k, (x, low) in enumerate(zip(rest, out.low_bits()))]
         return out
 
 
 def windows(ids: np.ndarray, m: int, bits: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Places of all m-word windows without a 0, and their permuted keys."""
+    """Places of all m-word windows without a 0, and their permuted keys (a slice at a time)."""
     n = max(len(ids) - m + 1, 0)
     fine = np.ones(n, bool)
     for j in range(m):
         fine &= ids[j:j + n] > 0
     at = np.flatnonzero(fine)
-    return at, limbs_of(permute([ids[at + j] for j in range(m)], bits), bits)
+    slices = [at[a:a + SLICE] for a in range(0, len(at), SLICE)] or [at]
+    parts = [limbs_of(permute([ids[x + j] for j in range(m)], bits), bits) for x in slices]
+    return at, [np.concatenate(x) for x in zip(*parts)]
 
 
 def runs_of(ids: np.ndarray, at: np.ndarray, m: int) -> np.ndarray:
@@ -237,24 +324,24 @@ def runs_of(ids: np.ndarray, at: np.ndarray, m: int) -> np.ndarray:
 
 
 #: A chunk's words left ("words"), and its filter, by range ("filter").
-STATE = "kind string, chunk long, range int, size long, data binary"
+STATE = "kind string, chunk long, lang string, range int, size long, data binary"
 
 
-def chunk_rows(chunk: int, ids: np.ndarray, m: int, bits: int, range_bits: int) -> Iterator[tuple]:
+def chunk_rows(chunk: int, lang: str, ids: np.ndarray, m: int, bits: int, range_bits: int) -> Iterator[tuple]:
     """The chunk's words and its filter of m-word phrases."""
     _, limbs = windows(ids, m, bits)
     if not len(limbs[0]):
         return
-    yield "words", chunk, -1, len(ids), packed(ids.astype("<u4"))
+    yield "words", chunk, lang, -1, len(ids), packed_ids(ids)
     f = QuotientFilter.of(limbs, m, bits)
     cut = f.quotients() >> np.uint64(bits - range_bits)
     edges = np.searchsorted(cut, np.arange(2 ** range_bits + 1, dtype=np.uint64))
     for r in np.flatnonzero(np.diff(edges)):
-        yield "filter", chunk, int(r), *f.part(int(edges[r]), int(edges[r + 1]))
+        yield "filter", chunk, lang, int(r), *f.part(int(edges[r]), int(edges[r + 1]))
 
 
-def merge_range(pdf: pd.DataFrame, m: int, bits: int, min_count: int) -> tuple[QuotientFilter, list[tuple]]:
-    """The frequent phrases of a range, and for each chunk those of its keys that are frequent."""
+def merge_range(pdf: pd.DataFrame, m: int, bits: int, min_count: int) -> tuple[QuotientFilter, np.ndarray, list[tuple]]:
+    """The frequent phrases of a range, their languages, and for each chunk those of its keys that are frequent."""
     filters = [QuotientFilter.read(int(n), d, m, bits) for n, d in zip(pdf["size"], pdf["data"])]
     limbs = [np.concatenate(x) for x in zip(*(f.limbs for f in filters))]
     counts = np.concatenate([f.counts for f in filters])
@@ -270,7 +357,7 @@ def merge_range(pdf: pd.DataFrame, m: int, bits: int, min_count: int) -> tuple[Q
         f = QuotientFilter([x[own] for x in limbs], counts[own], m, bits)
         back.append((int(pdf["chunk"].iloc[k]), *f.part(0, len(own))))
     top = order[at[often]]
-    return QuotientFilter([x[top] for x in limbs], totals[often], m, bits), back
+    return QuotientFilter([x[top] for x in limbs], totals[often], m, bits), pdf["lang"].to_numpy()[owner[top]], back
 
 
 def survivors(ids: np.ndarray, m: int, bits: int, known: list[QuotientFilter]) -> np.ndarray:
@@ -291,62 +378,77 @@ def frequent_phrases(texts: DataFrame, *, max_words: int = 5, min_count: int = 1
     spark = texts.sparkSession
     chunks = durable(chunks_of(texts, chunk_bytes))
     totals = durable(chunks.groupBy("lang").agg(F.sum("n").alias("n")))
-    entry = F.explode(F.arrays_zip("words", "counts"))
-    words = (chunks.select("lang", entry.alias("x")).groupBy("lang", F.col("x.words").alias("word"))
-             .agg(F.sum("x.counts").alias("f")).where(F.col("f") >= min_count))
-    words = durable(grouped_prefix(words, ["lang", "word"], index="id").withColumn("id", (F.col("id") + 1).cast("int")))
-    size, spoken = words.count(), totals.agg(F.sum("n")).first()[0] or 0
+    spoken = totals.agg(F.sum("n")).first()[0] or 0
+    ranges = min(max(task_count(spark), -(-spoken // range_words)), MOST_RANGES)
+
+    cut = chunks.select("chunk", "lang", "vocabulary", "counts").mapInPandas(
+        lambda x: word_ranges(x, ranges), "range int, chunk long, lang string, size long, words binary, places binary, counts binary")
+    merged = durable(cut.groupBy("range").applyInPandas(
+        lambda x: merge_words(x, min_count),
+        "chunk long, lang string, rank long, word binary, f long, size long, places binary, ranks binary, range int"))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    base = durable(merged.where("chunk is null").groupBy("range").agg(F.count(F.lit(1)).alias("words"))
+                   .withColumn("base", F.coalesce(F.sum("words").over(before), F.lit(0))))  # one row per range
+    size = base.agg(F.sum("words")).first()[0] or 0
     bits = max(size.bit_length(), 1)
-    parts = max(task_count(spark), -(-spoken // range_words))
-    range_bits = min(bits, (parts - 1).bit_length())
-    here = (chunks.select("chunk", "lang", F.posexplode("words").alias("place", "word")).join(words, ["lang", "word"])
-            .groupBy("chunk").agg(F.collect_list("place").alias("places"), F.collect_list("id").alias("to")))  # <= its vocabulary
-    names = [c.split()[0] for c in STATE.split(", ")]
-
-    def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for chunk, n, data, places, to, total in zip(*(batch[c] for c in ("chunk", "size", "ids", "places", "to", "vocabulary"))):
-                number = np.zeros(int(total) + 1, np.uint32)
-                number[np.asarray(places, np.int64) + 1] = np.asarray(to, np.uint32)
-                ids = number[unpacked(data, "<i4", int(n))]
-                ids = runs_of(ids, np.flatnonzero(ids), 1)
-                yield pd.DataFrame(list(chunk_rows(int(chunk), ids, 2, bits, range_bits)), columns=names)
-
-    state = (chunks.select("chunk", "size", "ids", F.size("words").alias("vocabulary")).join(here, "chunk")
-             .repartition(task_count(spark), "chunk").mapInPandas(begin, STATE))
+    range_bits = min(bits, (ranges - 1).bit_length())
+    numbered = merged.join(F.broadcast(base.select("range", "base")), "range")
+    words = durable(numbered.where("chunk is null").select(
+        "lang", (F.col("base") + F.col("rank") + 1).cast("int").alias("id"), "word", "f"))
+    known = numbered.where("chunk is not null").select("chunk", "size", "places", "ranks", "base")
+    given = chunks.select("chunk", "lang", "size", "ids")
+    state = given.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInPandas(_begin(bits, range_bits), STATE)
     found = words.select("lang", F.array("id").alias("ids"), "f")
     for m in range(2, max_words + 1):
         state = durable(state)
-        merged = durable(state.where("kind = 'filter'").groupBy("range").applyInPandas(
-            _merged(m, bits, min_count), "kind string, chunk long, size long, data binary, ids array<int>, f long"))
-        found = found.unionByName(merged.where("kind = 'phrase'").join(
-            broadcast_if_small(words.select("lang", "id")), F.col("ids")[0] == F.col("id")).select("lang", "ids", "f"))
+        merged = durable(state.where("kind = 'filter'").select("range", "chunk", "lang", "size", "data").groupBy("range").applyInPandas(
+            _merged(m, bits, min_count), "kind string, chunk long, lang string, size long, data binary, ids array<int>, f long"))
+        found = found.unionByName(merged.where("kind = 'phrase'").select("lang", "ids", "f"))
         if m < max_words:
             back = merged.where("kind = 'back'").select("chunk", "size", "data")
-            state = (state.where("kind = 'words'").groupBy("chunk").cogroup(back.groupBy("chunk"))
-                     .applyInPandas(_advance(m, bits, range_bits), STATE))
+            left = state.where("kind = 'words'").select("chunk", "lang", "size", "data")
+            state = left.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInPandas(_advance(m, bits, range_bits), STATE)
     return words, totals, durable(found)
 
 
+def _state(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in STATE.split(", ")])
+
+
+def _begin(bits: int, range_bits: int):
+    def run(chunk: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        if not len(chunk) or not len(known):
+            return _state([])
+        first = chunk.iloc[0]
+        local = unpacked(first["ids"], "<u4", int(first["size"]))
+        number = np.zeros(int(local.max()) + 1, np.uint32)
+        for n, places, ranks, base in zip(known["size"], known["places"], known["ranks"], known["base"]):
+            number[unpacked(places, "<i8", int(n)) + 1] = unpacked(ranks, "<i8", int(n)) + int(base) + 1
+        ids = number[local]
+        ids = runs_of(ids, np.flatnonzero(ids), 1)
+        return _state(list(chunk_rows(int(first["chunk"]), first["lang"], ids, 2, bits, range_bits)))
+    return run
+
+
 def _merged(m: int, bits: int, min_count: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        top, back = merge_range(pdf, m, bits, min_count)
+        top, langs, back = merge_range(pdf, m, bits, min_count)
         ids = np.stack(permute(digits_of(top.limbs, m, bits), bits, back=True), axis=1).astype(np.int32)
-        rows = [("back", c, n, d, None, None) for c, n, d in back]
-        rows += [("phrase", None, None, None, x, int(f)) for x, f in zip(ids, top.counts)]
-        out = pd.DataFrame(rows, columns=["kind", "chunk", "size", "data", "ids", "f"])
+        rows = [("back", c, None, n, d, None, None) for c, n, d in back]
+        rows += [("phrase", None, lang, None, None, x, int(f)) for x, lang, f in zip(ids, langs, top.counts)]
+        out = pd.DataFrame(rows, columns=["kind", "chunk", "lang", "size", "data", "ids", "f"])
         return out.astype({"chunk": "Int64", "size": "Int64", "f": "Int64"})
     return run
 
 
 def _advance(m: int, bits: int, range_bits: int):
     def run(words: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        if len(words) and len(back):
-            ids = unpacked(words["data"].iloc[0], "<u4", int(words["size"].iloc[0]))
-            known = [QuotientFilter.read(int(n), d, m, bits) for n, d in zip(back["size"], back["data"])]
-            rows = list(chunk_rows(int(words["chunk"].iloc[0]), survivors(ids, m, bits, known), m + 1, bits, range_bits))
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in STATE.split(", ")])
+        if not len(words) or not len(back):
+            return _state([])
+        first = words.iloc[0]
+        ids = unpacked_ids(first["data"], int(first["size"]))
+        known = [QuotientFilter.read(int(n), d, m, bits) for n, d in zip(back["size"], back["data"])]
+        return _state(list(chunk_rows(int(first["chunk"]), first["lang"], survivors(ids, m, bits, known), m + 1, bits, range_bits)))
     return run
 
 
