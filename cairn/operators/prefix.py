@@ -74,3 +74,40 @@ def grouped_prefix(df: DataFrame, order: Sequence[str | Column], *, group: Seque
         *(F.col(f"`{c}`") for c in df.columns),
         *((F.col(f"__l_{o}") + F.coalesce(F.col(f"__b_{o}"), zero)).alias(o) for o in sums),
         *(F.col(f"__l_{o}").bitwiseXOR(F.coalesce(F.col(f"__b_{o}"), zero)).alias(o) for o in xors))
+
+
+def grouped_carry(df: DataFrame, order: Sequence[str | Column], value: str, *, group: Sequence[str] = (),
+                  name: str = "carried", width: int | None = None) -> DataFrame:
+    """The last non-null ``value`` at or before each row in its group's order, no group confined to one task.
+
+    As in :func:`grouped_prefix` rows are range-partitioned by (group, order) and kept durably.  Each partition carries
+    its own values forward; a group that began earlier gets the last value of the partitions before, which is one row
+    for each partition at most.  ``value`` may be a struct; a null struct is no value.
+    """
+    spark, group = df.sparkSession, list(group)
+    pid = "__pid"
+    ranged = durable(df.repartitionByRange(width or task_count(spark), *group, *order).withColumn(pid, F.spark_partition_id()))
+    place = F.struct(*(F.when(F.col(value).isNotNull(), c) for c in _columns(order)))
+    # in range partitions the last value of a group is that of its greatest row with one
+    last = ranged.where(F.col(value).isNotNull()).groupBy(pid, *group).agg(F.max_by(value, place).alias("__last"))
+    every = ranged.groupBy(pid, *group).agg(F.count(F.lit(1)).alias("__n")).join(
+        last.select(F.col(pid).alias("__q"), *(F.col(f"`{g}`").alias(f"__h_{g}") for g in group), "__last"),
+        _same(pid, "__q", group, "__h_"), "left").select(pid, *(f"`{g}`" for g in group), "__last")
+    before = Window.partitionBy(*(group or [F.lit(0)])).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
+    carried = every.select(F.col(pid).alias("__p"), *(F.col(f"`{g}`").alias(f"__g_{g}") for g in group),
+                           F.last("__last", ignorenulls=True).over(before).alias("__old")).where("__old is not null")
+    local = Window.partitionBy(pid, *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    run = ranged.withColumn("__own", F.last(value, ignorenulls=True).over(local))
+    out = run.join(F.broadcast(carried), _same(pid, "__p", group, "__g_"), "left")
+    return out.select(*(F.col(f"`{c}`") for c in df.columns), F.coalesce("__own", "__old").alias(name))
+
+
+def _columns(order: Sequence[str | Column]) -> list[Column]:
+    return [F.col(c) if isinstance(c, str) else c for c in order]
+
+
+def _same(pid: str, other: str, group: Sequence[str], prefix: str) -> Column:
+    cond = F.col(pid) == F.col(other)
+    for g in group:
+        cond = cond & F.col(f"`{g}`").eqNullSafe(F.col(f"`{prefix}{g}`"))
+    return cond

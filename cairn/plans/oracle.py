@@ -155,6 +155,24 @@ SELECT 'jarque_bera' AS test, event_type AS "group", n, {_round('jb', 6)} AS sta
        {_round('exp(-jb / 2)', 6)} AS p_value, exp(-jb / 2) < 0.05 AS reject_null FROM jb"""
 
 
+_ARRIVALS = """
+a AS (SELECT *, date_diff('day', TIMESTAMP '2024-01-01', date_trunc('day', ts)) // 4 + CASE WHEN event_id % 25 = 0 THEN 2 ELSE 0 END AS batch
+      FROM events),
+m AS (SELECT batch, max(max(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - INTERVAL 1 DAY AS mark
+      FROM a GROUP BY batch)"""
+
+
+def _event_windows(hours: int, slide: int) -> str:
+    """A row counts in the windows that end after the watermark with which the batch before its own ran, which the batches
+    before that one have settled."""
+    return f"""
+WITH {_ARRIVALS},
+w AS (SELECT a.*, mark, time_bucket(INTERVAL {slide} HOUR, ts, TIMESTAMP '2024-01-01') - k * INTERVAL {slide} HOUR AS window_start
+      FROM a JOIN m USING (batch), range({hours // slide}) t(k))
+SELECT window_start, event_type, count(*) AS count, {_round('SUM(value)', 2)} AS total
+FROM w WHERE mark IS NULL OR window_start + INTERVAL {hours} HOUR > mark GROUP BY window_start, event_type"""
+
+
 ORACLE: dict[str, str] = {
     "csv_typed_roundtrip": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "csv_permissive_nulls": """
@@ -355,4 +373,29 @@ FROM orders GROUP BY o_orderstatus""",
     "wide_pearson": _WIDE_PEARSON,
     "stream_sorted_memory": f"""
 SELECT event_type, COUNT(*) AS count, {_round('SUM(value) / COUNT(*)', 2)} AS avg_value FROM events GROUP BY event_type""",
+    "asof_last_order": """
+SELECT event_id, user_id, o_orderkey, o_totalprice
+FROM events LEFT JOIN orders ON o_custkey = user_id AND o_orderdate <= ts
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC) = 1""",
+    "asof_last_click": """
+SELECT p.event_id, p.user_id, c.event_id AS click_event_id, c.value AS click_value
+FROM events p LEFT JOIN events c ON c.event_type = 'click' AND c.user_id = p.user_id AND c.ts < p.ts
+                                    AND c.ts >= p.ts - INTERVAL 2 DAY
+WHERE p.event_type = 'purchase'
+QUALIFY row_number() OVER (PARTITION BY p.event_id ORDER BY c.ts DESC NULLS LAST, c.event_id DESC) = 1""",
+    "interval_errors": """
+SELECT p.event_id, e.event_id AS error_id FROM events p JOIN events e
+  ON e.event_type = 'error' AND p.ts BETWEEN e.ts AND e.ts + to_seconds(CAST(trunc(e.value * 60) AS BIGINT))
+WHERE p.event_type = 'purchase'""",
+    "interval_open_orders": f"""
+SELECT s.l_orderkey AS order_key, count(*) AS n_lines, {_round('SUM(p.l_quantity)', 2)} AS quantity
+FROM lineitem s JOIN lineitem p ON p.l_suppkey = s.l_suppkey AND p.l_shipdate BETWEEN s.l_shipdate AND s.l_shipdate + INTERVAL 30 DAY
+WHERE s.l_linenumber = 1 GROUP BY s.l_orderkey""",
+    "moving_event_stats": f"""
+SELECT event_id, lag(value) OVER w AS previous, lead(event_id) OVER w AS next_id,
+       {_round('SUM(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)', 4)} AS moving_sum,
+       max(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 10 PRECEDING AND 10 FOLLOWING) AS around
+FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)""",
+    "stream_tumbling_totals": _event_windows(6, 6),
+    "stream_sliding_totals": _event_windows(24, 8),
 }

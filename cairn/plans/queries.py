@@ -26,10 +26,13 @@ from cairn.operators.prefix import durable
 from cairn.operators.ranking import rank_within, top_k
 from cairn.operators.stats import (anova_columns, anova_oneway, check_assumptions, pearson_matrix, pearson_test,
                                    welch_t)
+from cairn.operators.temporal import as_of_join, frame, interval_join
 from cairn.plans.recipes import category_table
 from cairn.session import scratch_path
 from cairn.sources.files import read_typed_csv, split_write, write_stage
-from cairn.streaming.replay import mean_from_running, read_complete, replay_files, run_to_end, running_totals
+from cairn.streaming.replay import (mean_from_running, read_complete, read_latest, replay_files, run_to_end,
+                                    running_totals)
+from cairn.streaming.windows import windowed_totals, write_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -544,6 +547,80 @@ def stream_sorted_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type", "count", mean_from_totals("total", "count", 2).alias("avg_value"))
 
 
+# ---------------------------------------------------------------- time
+
+
+def asof_last_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with the last order of its user (as customer) at or before it; of one day's orders the greatest key."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    return as_of_join(events, orders, on=[("user_id", "o_custkey")], times=("ts", "o_orderdate"),
+                      take=["o_orderkey", "o_totalprice"], tie=["o_orderkey"]).drop("ts")
+
+
+def asof_last_click(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each purchase with the user's last strictly earlier click of the two days before it."""
+    events = table(spark, sf_dir, "events")
+    clicks = events.where("event_type = 'click'").select("user_id", "ts", "event_id", "value")
+    return as_of_join(events.where("event_type = 'purchase'").select("event_id", "user_id", "ts"), clicks,
+                      on=[("user_id", "user_id")], times=("ts", "ts"), take=["event_id", "value"], tie=["event_id"],
+                      strict=True, within=F.expr("interval 2 days"), prefix="click_").drop("ts")
+
+
+def interval_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every purchase that falls into the time after an error, which lasts as many minutes as the error's value says."""
+    events = table(spark, sf_dir, "events")
+    errors = events.where("event_type = 'error'").select(
+        F.col("event_id").alias("error_id"), F.col("ts").alias("begins"),
+        F.expr("ts + make_dt_interval(0, 0, 0, cast(cast(value * 60 as bigint) as decimal(18, 6)))").alias("ends"))
+    purchases = events.where("event_type = 'purchase'").select("event_id", "ts")
+    return interval_join(purchases, errors, "ts", ("begins", "ends")).select("event_id", "error_id")
+
+
+def interval_open_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order: line items of the same supplier shipped within its line's month (equal keys and an interval)."""
+    lines = table(spark, sf_dir, "lineitem")
+    spans = lines.where("l_linenumber = 1").select(
+        F.col("l_orderkey").alias("order_key"), F.col("l_suppkey").alias("supplier"), F.col("l_shipdate").alias("begins"),
+        (F.col("l_shipdate") + F.expr("interval 30 days")).alias("ends"))
+    met = interval_join(lines.select("l_suppkey", "l_shipdate", "l_quantity"), spans, "l_shipdate", ("begins", "ends"),
+                        on=[("l_suppkey", "supplier")])
+    return met.groupBy("order_key").agg(F.count(F.lit(1)).alias("n_lines"), rounded(F.sum("l_quantity"), 2).alias("quantity"))
+
+
+def moving_event_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event type in time order: previous value, next event, moving sum of ten values, greatest of the 21 around."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
+    out = frame(events, ["event_type"], ["ts", "event_id"], (10, 10), lambda w: {
+        "previous": F.lag("value").over(w), "next_id": F.lead("event_id").over(w),
+        "moving_sum": F.sum("value").over(w.rowsBetween(-9, 0)), "around": F.max("value").over(w.rowsBetween(-10, 10))})
+    return out.select("event_id", "previous", "next_id", rounded("moving_sum", 4).alias("moving_sum"), "around")
+
+
+def _event_windows(spark: SparkSession, sf_dir: str, width: str, slide: str | None) -> DataFrame:
+    """Events replayed in four-day batches, every 25th two batches late; windows with a watermark of one day."""
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    source = scratch_path(spark, "event-arrivals")
+    day = F.datediff(F.col("ts"), F.lit("2024-01-01"))
+    write_arrivals(events, source, F.floor(day / 4) + 2 * (F.col("event_id") % 25 == 0).cast("int"))
+    stream = replay_files(spark, f"{source}/*", events.schema, fmt="parquet")
+    path = scratch_path(spark, "event-windows")
+    totals = windowed_totals(stream, "ts", width, ["event_type"], "value", delay="1 day", slide=slide)
+    run_to_end(totals, f"event_windows_{uuid.uuid4().hex[:8]}", mode="update", sink="table", path=path, state_partitions=4)
+    latest = read_latest(spark, path, ["window_start", "window_end", "event_type"])
+    return latest.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "count", rounded("total", 2).alias("total"))
+
+
+def stream_tumbling_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by type in six-hour windows of event time; rows of windows that the watermark has passed are dropped."""
+    return _event_windows(spark, sf_dir, "6 hours", None)
+
+
+def stream_sliding_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in windows of a day that begin every eight hours: a late row may be in time for some of its windows."""
+    return _event_windows(spark, sf_dir, "24 hours", "8 hours")
+
+
 # ---------------------------------------------------------------- flagship recipe
 
 
@@ -613,4 +690,11 @@ QUERIES: dict[str, Query] = {
     "perfect_correlation": perfect_correlation,
     "wide_pearson": wide_pearson,
     "stream_sorted_memory": stream_sorted_memory,
+    "asof_last_order": asof_last_order,
+    "asof_last_click": asof_last_click,
+    "interval_errors": interval_errors,
+    "interval_open_orders": interval_open_orders,
+    "moving_event_stats": moving_event_stats,
+    "stream_tumbling_totals": stream_tumbling_totals,
+    "stream_sliding_totals": stream_sliding_totals,
 }

@@ -1,0 +1,83 @@
+"""Event-time windows: late rows, evicted state, a restart from the checkpoint."""
+
+from datetime import datetime, timedelta
+
+from pyspark.sql import functions as F
+
+from cairn.session import scratch_path
+from cairn.streaming.replay import read_latest, replay_files, run_to_end
+from cairn.streaming.windows import windowed_totals, write_arrivals
+from frames import rows
+
+DAY = datetime(2024, 1, 1)
+SCHEMA = "batch int, ts timestamp, kind string, value double"
+
+
+def _frame(spark, data):
+    return spark.createDataFrame([(b, DAY + timedelta(hours=h), k, v) for b, h, k, v in data], SCHEMA)
+
+
+def _arrive(spark, data):
+    source = scratch_path(spark, "t-arrivals")
+    df = _frame(spark, data)
+    assert write_arrivals(df, source, F.col("batch")) == len({b for b, *_ in data})
+    return replay_files(spark, f"{source}/*", df.schema, fmt="parquet")
+
+
+def _hours(df):
+    return rows(df.select(((F.unix_timestamp("window_start") - F.unix_timestamp(F.lit(DAY))) / 3600).cast("int").alias("h"),
+                          "kind", "total", "count", "count_values"))
+
+
+ROWS = [(0, 0, "a", 1.0), (0, 1, "a", None), (0, 5, "b", 2.0),
+        (1, 30, "a", 3.0),
+        (2, 2, "a", 4.0),  # late, but the watermark of batch 1 closes nothing before batch 2 has run
+        (2, 31, "a", 5.0),
+        (3, 3, "a", 6.0),  # its window is closed
+        (3, 29, "b", 7.0)]  # behind the latest time, in a window that ends after the watermark
+
+
+def test_late_rows_are_dropped_once_their_window_is_closed(spark):
+    out = scratch_path(spark, "t-windows")
+    stream = _arrive(spark, ROWS)
+    q = run_to_end(windowed_totals(stream, "ts", "6 hours", ["kind"], "value", delay="6 hours"), "t_windows", mode="update",
+                   sink="table", path=out, state_partitions=2)
+    got = _hours(read_latest(spark, out, ["window_start", "window_end", "kind"]))
+    assert got == sorted([(0, "a", 5.0, 3, 2), (0, "b", 2.0, 1, 1), (30, "a", 8.0, 2, 2), (24, "b", 7.0, 1, 1)], key=repr)
+    dropped = sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in q.recentProgress if p["stateOperators"])
+    assert dropped == 1
+
+
+def test_state_is_evicted_behind_the_watermark(spark):
+    data = [(b, 6 * b + 1, "a", 1.0) for b in range(12)]
+    stream = _arrive(spark, data)
+    q = run_to_end(windowed_totals(stream, "ts", "6 hours", ["kind"], "value", delay="1 hour"), "t_evict", mode="append",
+                   sink="table", path=(out := scratch_path(spark, "t-evict")), state_partitions=2)
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    assert max(kept) <= 3  # never all of the twelve windows
+    closed = spark.read.parquet(out)
+    assert closed.count() == closed.select("window_start").distinct().count() >= 10  # each emitted once
+
+
+def test_sliding_windows_of_a_static_frame(spark):
+    df = _frame(spark, [(0, 5, "a", 1.0), (0, 7, "a", 2.0)])
+    got = _hours(windowed_totals(df, "ts", "6 hours", ["kind"], "value", delay="1 hour", slide="3 hours"))
+    assert got == sorted([(0, "a", 1.0, 1, 1), (3, "a", 3.0, 2, 2), (6, "a", 2.0, 1, 1)], key=repr)
+
+
+def test_a_restart_goes_on_from_the_checkpoint(spark):
+    source, out, checkpoint = (scratch_path(spark, x) for x in ("t-restart", "t-restart-out", "t-restart-check"))
+    schema = _frame(spark, []).schema
+
+    def run():
+        stream = replay_files(spark, f"{source}/*", schema, fmt="parquet")
+        run_to_end(windowed_totals(stream, "ts", "6 hours", ["kind"], "value", delay="6 hours"), "t_restart", mode="update",
+                   sink="table", path=out, checkpoint=checkpoint, state_partitions=2)
+
+    for k in range(4):
+        _frame(spark, [r for r in ROWS if r[0] == k]).coalesce(1).write.parquet(f"{source}/arrival_{k}")
+        if k in (1, 3):
+            run()
+    got = _hours(read_latest(spark, out, ["window_start", "window_end", "kind"]))
+    # stopping after batch 1 closes its windows in a batch without data, so the late row of batch 2 is dropped as well
+    assert (30, "a", 8.0, 2, 2) in got and (24, "b", 7.0, 1, 1) in got and (0, "a", 1.0, 2, 1) in got and len(got) == 4
