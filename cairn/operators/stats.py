@@ -32,6 +32,8 @@ from cairn.session import ship_by_value
 ship_by_value(__name__)
 
 INFINITY = float("inf")
+#: Up to so many columns the moments are built-in aggregates; sums that a task holds before it passes them on.
+FEW, HELD_SUMS = 6, 1_000_000
 
 
 def _r(c: Column, scale: int | None) -> Column:
@@ -64,6 +66,17 @@ def _moment_rows(cols: list[str], by: list[str], shift: list[float], listwise: b
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[tuple, list[np.ndarray]] = {}
+        i, j = (v.ravel() for v in np.indices((k, k)))
+
+        def flush() -> Iterator[pd.DataFrame]:
+            for key, (n, s, q, p) in held.items():
+                out = pd.DataFrame({"a": i, "b": j, "n": n.ravel().astype("int64"), "sa": s.ravel(), "sb": s.T.ravel(),
+                                    "qa": q.ravel(), "qb": q.T.ravel(), "p": p.ravel()})
+                for name, v in zip(by, key):
+                    out[name] = pd.Series([v] * len(out), dtype=object)
+                yield out[names]
+            held.clear()
+
         for batch in batches:
             parts = batch.groupby(by, dropna=False, sort=False) if by else [((), batch)]
             for key, part in parts:
@@ -76,31 +89,54 @@ def _moment_rows(cols: list[str], by: list[str], shift: list[float], listwise: b
                 key = tuple(None if pd.isna(v) else v for v in key)
                 sums = [m.T @ m, d.T @ m, (d * d).T @ m, d.T @ d]
                 held[key] = [s + t for s, t in zip(held[key], sums)] if key in held else sums
-        i, j = (v.ravel() for v in np.indices((k, k)))
-        for key, (n, s, q, p) in held.items():
-            out = pd.DataFrame({"a": i, "b": j, "n": n.ravel().astype("int64"), "sa": s.ravel(), "sb": s.T.ravel(),
-                                "qa": q.ravel(), "qb": q.T.ravel(), "p": p.ravel()})
-            for name, v in zip(by, key):
-                out[name] = pd.Series([v] * len(out), dtype=object)
-            yield out[names]
+                if len(held) * k * k > HELD_SUMS:  # partial sums go on; they are added up after the shuffle
+                    yield from flush()
+        yield from flush()
 
     return run
 
 
+def _few_columns(source: DataFrame, cols: list[str], by: list[str], scale: int | None, listwise: bool) -> DataFrame:
+    """Rows (x, y, n, r) of every pair from built-in aggregates.
+
+    Merged variances of a constant column are rounding noise: a spread below 1e-13 of the values' size is none.
+    """
+    if listwise:
+        source = source.where(F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in cols)))
+    names = {(i, j): f"{i}_{j}" for i in range(len(cols)) for j in range(i, len(cols))}
+    plain = [f"__c{i}" for i in range(len(cols))]
+    narrow = source.select(*by, *(F.col(f"`{c}`").alias(p) for c, p in zip(cols, plain)))
+    sums = _grouped(narrow, by, [
+        *(m for (i, j), tag in names.items() for m in _pair_moments(plain[i], plain[j], tag)),
+        *(F.avg(F.col(p) * F.col(p)).alias(f"q_{i}") for i, p in enumerate(plain))])
+
+    def pair(i: int, j: int) -> Column:
+        tag = names[min(i, j), max(i, j)]
+        own = _pair_r(tag)
+        r = F.lit(1.0) if i == j else F.greatest(F.lit(-1.0), F.least(own, F.lit(1.0)))
+        first, second = min(i, j), max(i, j)
+        known = ((F.col(f"vx_{tag}") > F.col(f"q_{first}") * 1e-26) & (F.col(f"vy_{tag}") > F.col(f"q_{second}") * 1e-26)
+                 & own.isNotNull() & ~F.isnan(own))
+        return F.struct(F.lit(cols[i]).alias("x"), F.lit(cols[j]).alias("y"), F.col(f"n_{tag}").alias("n"),
+                        _r(F.when(known, r), scale).alias("r"))
+
+    cells = F.array(*(pair(i, j) for i in range(len(cols)) for j in range(len(cols))))
+    return sums.select(*by, F.explode(cells).alias("__x")).select(*by, "__x.x", "__x.y", "__x.n", "__x.r")
+
+
 def pearson_matrix(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), scale: int | None = None,
                    shape: str = "long", missing: str = "pairwise") -> DataFrame:
     """Pearson correlation of every pair of ``cols``.
 
-    One pass forms the moments of all pairs as matrix products of Arrow
-    batches, centred on the columns' means (one cheap aggregate before) so
-    that nothing cancels; each task emits one row per pair, which are summed.
-    The cost of wide tables is that of a matrix product, not of one
-    aggregate expression per pair.  A constant column gives ``r = null``.
+    Up to ``FEW`` columns every pair is a handful of built-in aggregates, which stay in the JVM and combine before the
+    shuffle.  Beyond, one pass forms the moments of all pairs as matrix products of Arrow batches, centred on the
+    columns' means (one cheap aggregate before) so that nothing cancels; each task emits one row per pair and segment,
+    which are summed.  The cost of wide tables is then that of a matrix product, not of one aggregate per pair.  A
+    constant column gives ``r = null``.
 
-    ``missing="pairwise"`` (default) correlates each pair over the rows
-    where both values are present; ``"listwise"`` keeps only rows where all
-    ``cols`` are present (what an assembled feature vector with invalid rows
-    skipped gives).
+    A missing value is null or NaN.  ``missing="pairwise"`` (default) correlates each pair over the rows where both values
+    are present; ``"listwise"`` keeps only rows where all ``cols`` are present (what an assembled feature vector with
+    invalid rows skipped gives); ``"error"`` fails the job at the first missing value (what such a vector does by default).
 
     ``shape="long"``: rows ``(x, y, n, r)``; ``shape="wide"``: one row per
     ``x`` with one ``r`` column per variable, like the printed k×k matrix.
@@ -109,9 +145,15 @@ def pearson_matrix(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), s
     if shape == "wide":
         long = pearson_matrix(df, cols, by, scale, shape="long", missing=missing)
         return long.groupBy(*by, "x").pivot("y", cols).agg(F.first("r"))
-    if missing not in ("pairwise", "listwise"):
+    if missing not in ("pairwise", "listwise", "error"):
         raise ValueError(f"unknown missing-value rule {missing!r}")
-    source = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
+    given = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols]
+    if missing == "error":
+        stop = [F.raise_error(F.lit(f"pearson_matrix: a value of {c} is missing")).cast("double") for c in cols]
+        given = [F.when(v.isNotNull(), v).otherwise(e) for v, e in zip(given, stop)]
+    source = df.select(*by, *(v.alias(c) for v, c in zip(given, cols)))
+    if len(cols) <= FEW:
+        return _few_columns(source, cols, by, scale, missing == "listwise")
     means = source.agg(*[F.avg(F.when(F.abs(F.col(c)) < INFINITY, F.col(c))).alias(f"m{i}") for i, c in enumerate(cols)]).first()
     types = {f.name: f.dataType.simpleString() for f in source.schema.fields}
     schema = ", ".join([*(f"`{c}` {types[c]}" for c in by), "a int, b int, n long, sa double, sb double, qa double, qb double, p double"])

@@ -398,4 +398,12 @@ SELECT event_id, lag(value) OVER w AS previous, lead(event_id) OVER w AS next_id
 FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)""",
     "stream_tumbling_totals": _event_windows(6, 6),
     "stream_sliding_totals": _event_windows(24, 8),
+    "persisted_reuse": f"""
+SELECT l_returnflag, COUNT(*) AS n, {_round('SUM(l_quantity)', 2)} AS quantity, COUNT(DISTINCT l_linestatus) AS n_status
+FROM lineitem WHERE l_discount > 0 GROUP BY l_returnflag""",
+    "pearson_no_missing": " UNION ALL ".join(
+        f"SELECT l_returnflag, '{x}' AS x, '{y}' AS y, COUNT(*) AS n, {_round(f'CORR({x}, {y})' if x != y else '1.0', 6)} AS r "
+        "FROM lineitem GROUP BY l_returnflag"
+        for x in ("l_quantity", "l_extendedprice", "l_discount") for y in ("l_quantity", "l_extendedprice", "l_discount")),
 }
+ORACLE["ranked_table_staged"] = ORACLE["category_table_ranked"]

@@ -28,7 +28,7 @@ from cairn.operators.stats import (anova_columns, anova_oneway, check_assumption
                                    welch_t)
 from cairn.operators.temporal import as_of_join, frame, interval_join
 from cairn.plans.recipes import category_table
-from cairn.session import scratch_path
+from cairn.session import persisted, scratch_path
 from cairn.sources.files import read_typed_csv, split_write, write_stage
 from cairn.streaming.replay import (mean_from_running, read_complete, read_latest, replay_files, run_to_end,
                                     running_totals)
@@ -547,6 +547,28 @@ def stream_sorted_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type", "count", mean_from_totals("total", "count", 2).alias("avg_value"))
 
 
+def ranked_table_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranked status table written as a headered CSV stage and read back under its declared schema."""
+    ranked = category_table_ranked(spark, sf_dir)
+    path = write_stage(ranked, scratch_path(spark, "ranked-csv"), fmt="csv")
+    return read_typed_csv(spark, path, schema=ranked.schema, check_header=True, staged=True)
+
+
+def persisted_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A filtered frame cached while two results are formed from it, then released; both results side by side."""
+    lines = table(spark, sf_dir, "lineitem").where("l_discount > 0").select("l_returnflag", "l_linestatus", "l_quantity")
+    with persisted(lines) as kept:
+        flags = durable(kept.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), rounded(F.sum("l_quantity"), 2).alias("quantity")))
+        states = durable(kept.groupBy("l_returnflag").agg(F.count_distinct("l_linestatus").alias("n_status")))
+    return flags.join(states, "l_returnflag")
+
+
+def pearson_no_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Correlations of three measures where a missing value is an error, per return flag."""
+    lines = table(spark, sf_dir, "lineitem")
+    return pearson_matrix(lines, ["l_quantity", "l_extendedprice", "l_discount"], by=["l_returnflag"], scale=6, missing="error")
+
+
 # ---------------------------------------------------------------- time
 
 
@@ -690,6 +712,9 @@ QUERIES: dict[str, Query] = {
     "perfect_correlation": perfect_correlation,
     "wide_pearson": wide_pearson,
     "stream_sorted_memory": stream_sorted_memory,
+    "ranked_table_staged": ranked_table_staged,
+    "persisted_reuse": persisted_reuse,
+    "pearson_no_missing": pearson_no_missing,
     "asof_last_order": asof_last_order,
     "asof_last_click": asof_last_click,
     "interval_errors": interval_errors,

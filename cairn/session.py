@@ -20,6 +20,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Stage folders named so far, by application.
+_SCRATCH: dict[str, list[str]] = {}
+
 CLUSTER_PROFILE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -31,6 +34,8 @@ CLUSTER_PROFILE = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
+    # Checkpoints whose frames are gone are removed from the shared folder.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -96,8 +101,41 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A new, unique sub-folder of the shared directory for one job's stage data."""
-    return f"{shared_dir(spark)}/cairn/{purpose}-{uuid.uuid4().hex[:12]}"
+    """A new, unique sub-folder of the shared directory for one job's stage data.
+
+    It stays until :func:`release_scratch`; :func:`scratch` removes its own at the end of a block.
+    """
+    path = f"{shared_dir(spark)}/cairn/{purpose}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder in whatever store Spark reaches it; False if there was none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(store.delete(target, True))
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Remove the stage folders that :func:`scratch_path` has named for this application; returns how many there were.
+
+    Call it when nothing reads them any more: a frame over a stage folder reads its files at each action.
+    """
+    app = spark.sparkContext.applicationId
+    paths = _SCRATCH.pop(app, [])
+    return sum(remove_path(spark, p) for p in paths)
+
+
+@contextmanager
+def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A scratch folder for the actions inside the ``with`` block, removed after it."""
+    path = scratch_path(spark, purpose)
+    try:
+        yield path
+    finally:
+        remove_path(spark, path)
+        _SCRATCH.get(spark.sparkContext.applicationId, []).remove(path)
 
 
 @contextmanager

@@ -28,7 +28,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from cairn.functions.numeric import mean_from_totals
-from cairn.session import scratch_path
+from cairn.session import remove_path, scratch_path
+
+#: Whole results that a complete-mode table sink keeps.
+KEPT_BATCHES = 3
 
 
 def replay_files(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = 1,
@@ -74,7 +77,8 @@ def run_to_end(stream_df: DataFrame, name: str, mode: str = "complete", sink: st
 
     In complete mode every batch writes its result to a folder of its own,
     ``batch_id=<n>``, and :func:`read_complete` reads the newest: a reader
-    never finds the table missing or half written.
+    never finds the table missing or half written.  The newest
+    ``KEPT_BATCHES`` folders stay, for readers that began before a batch.
 
     ``state_partitions`` sets the number of state-store partitions of the
     query (fixed in its checkpoint at first start).  Every micro-batch
@@ -96,6 +100,7 @@ def run_to_end(stream_df: DataFrame, name: str, mode: str = "complete", sink: st
         if mode == "complete":
             def write_batch(batch: DataFrame, epoch_id: int) -> None:
                 batch.write.mode("overwrite").parquet(f"{target}/batch_id={epoch_id}")
+                remove_path(spark, f"{target}/batch_id={epoch_id - KEPT_BATCHES}")
         else:
             def write_batch(batch: DataFrame, epoch_id: int) -> None:
                 batch.withColumn("_batch", F.lit(epoch_id).cast("bigint")).write.mode("append").parquet(target)

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -134,3 +135,16 @@ def test_rank_within_across_many_arrow_batches(spark):
                 assert rows(got, "id", "rank") == rows(want, "id", "rank"), (method, part)
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", previous)
+
+
+@pytest.mark.parametrize("method", ["dense", "min"])
+def test_few_pairs_rank_like_range_partitions(spark, method, monkeypatch):
+    from cairn.operators import ranking
+
+    df = spark.createDataFrame([(k % 3 if k % 4 else None, (k * 31) % 17 if k % 11 else None) for k in range(500)], "g long, v long")
+    for ascending in (True, False):
+        few = rows(rank_within(df, ["g"], "v", ascending=ascending, method=method))
+        monkeypatch.setattr(ranking, "FEW_PAIRS", 0)
+        assert few == rows(rank_within(df, ["g"], "v", ascending=ascending, method=method))
+        monkeypatch.undo()
+        assert few == rows(rank_within(df, ["g"], "v", ascending=ascending, method=method, strategy="window"))

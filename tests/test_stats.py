@@ -1,11 +1,13 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from cairn.functions.distributions import betainc_reg, f_upper_tail, t_tail
 from cairn.operators.stats import (anova_columns, anova_oneway, check_assumptions, pearson_matrix, pearson_test,
                                    welch_t)
+from frames import rows
 
 
 def test_f_tail_closed_forms():
@@ -230,3 +232,29 @@ def test_wide_matrix_against_numpy(spark):
                 assert abs(r.r - np.corrcoef(x[both, i], x[both, j])[0, 1]) < 1e-9
     parts = pearson_matrix(df, ["a", "b"], by=["g"]).where("x = 'a' and y = 'b'").collect()
     assert {r.g for r in parts} == {1, None} and sum(r.n for r in parts) == (~np.isnan(x[:, :2]).any(axis=1)).sum()
+
+
+def test_few_columns_agree_with_the_matrix_product(spark, monkeypatch):
+    from cairn.operators import stats
+
+    rng = random.Random(9)
+    data = [(rng.choice(["a", "b", None]), rng.choice([None, float("nan"), *[rng.random() * 9] * 6]), rng.random() + 1e6,
+             rng.choice([None, 2.0]), float(k % 7)) for k in range(400)]
+    df = spark.createDataFrame(data, "g string, x double, y double, z double, w double")
+    for by, missing in (((), "pairwise"), (("g",), "pairwise"), ((), "listwise")):
+        few = rows(pearson_matrix(df, ["x", "y", "z", "w"], by=by, scale=9, missing=missing))
+        monkeypatch.setattr(stats, "FEW", 0)
+        monkeypatch.setattr(stats, "HELD_SUMS", 1)  # every segment is passed on at once
+        assert few == rows(pearson_matrix(df, ["x", "y", "z", "w"], by=by, scale=9, missing=missing))
+        monkeypatch.undo()
+    assert "Python" not in pearson_matrix(df, ["x", "y"])._jdf.queryExecution().toString()
+
+
+def test_missing_values_can_be_an_error(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 1.0), (3.0, 5.0)], "x double, y double")
+    assert pearson_matrix(df, ["x", "y"], missing="error").where("x = 'x' AND y = 'y'").first().r == pytest.approx(0.7205766921)
+    for bad in (None, float("nan")):
+        worse = df.unionByName(spark.createDataFrame([(4.0, bad)], "x double, y double"))
+        with pytest.raises(Exception, match="a value of y is missing"):
+            pearson_matrix(worse, ["x", "y"], missing="error").collect()
+        assert pearson_matrix(worse, ["x", "y"]).where("x = 'x' AND y = 'y'").first().n == 3

@@ -79,3 +79,14 @@ def test_empty_directory_finishes(spark):
     src = _files(spark, [])
     out = scratch_path(spark, "t-stream-empty")
     run_to_end(running_totals(replay_files(spark, src, SCHEMA), ["Old"], "Price"), "t_empty", sink="table", path=out)
+
+
+def test_a_complete_sink_keeps_its_newest_results_only(spark):
+    from cairn.streaming.replay import KEPT_BATCHES
+
+    src = _files(spark, CHUNKS * 3)
+    out = scratch_path(spark, "t-complete-kept")
+    run_to_end(running_totals(replay_files(spark, src, SCHEMA), ["Old"], "Price"), "t_kept", sink="table", path=out)
+    batches = [r.batch_id for r in spark.read.parquet(out).select("batch_id").distinct().collect()]
+    assert 1 <= len(batches) <= KEPT_BATCHES and max(batches) >= 3 * len(CHUNKS) - 1
+    assert rows(read_complete(spark, out), "Old", "count") == [("a", 6), ("b", 6), ("c", 3)]
