@@ -8,8 +8,8 @@ every block its place in the sequence of its tree, position ids continue along t
 interval per owner on its path, and causally to itself.
 
 Defined results: null role and null text are empty; turns are ordered by number (null first), ties by their hash; the
-rows of null conversation ids are one conversation; repeated rows are turns of their own; extra columns are ignored; an
-empty table gives empty tables.
+rows of null conversation ids are one conversation; ids are whole numbers above -2^63, which stands for null inside; repeated
+rows are turns of their own; a text of any length is one turn; extra columns are ignored; an empty table gives empty tables.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairn.llm.common import dealt_join
 from cairn.llm.tokens import token_lengths
 from cairn.operators.prefix import durable, grouped_prefix
 
@@ -82,8 +83,9 @@ def build(conversations: DataFrame, *, tokenizer: str | None = None, conv_col: s
     keyed = grouped_prefix(tagged, ["depth"], group=["conv"], xors={"k1": "h1", "k2": "h2"})
     keyed = durable(keyed.withColumns({"k1": F.col("k1").bitwiseXOR(F.col("h1")), "k2": F.col("k2").bitwiseXOR(F.col("h2"))})
                     .drop("h1", "h2"))
-    owners = keyed.groupBy("depth", "k1", "k2").agg(F.min("conv").alias("owner"))
-    paths = durable(keyed.join(owners, ["depth", "k1", "k2"]).select("conv", "depth", "owner", "rid", "tokens", "position"))
+    owners = durable(keyed.groupBy("depth", "k1", "k2").agg(F.min("conv").alias("owner"), F.count(F.lit(1)).alias("n")))
+    paths = durable(dealt_join(keyed, owners, ["depth", "k1", "k2"], "n")
+                    .select("conv", "depth", "owner", "rid", "tokens", "position"))
 
     runs = paths.groupBy("conv", "owner").agg(F.min("depth").alias("at"), F.min("position").alias("p0"),
                                               F.max(F.col("position") + F.col("tokens")).alias("p1"))

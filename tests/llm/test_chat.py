@@ -99,3 +99,17 @@ def test_shared_turns_once_depth_first_with_positions_and_intervals(spark, token
 def test_no_conversations(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert chat.digests(chat.read_back(chat.build(none))).count() == 0
+
+
+def test_a_turn_that_many_conversations_share_and_a_very_long_one(spark):
+    long = "é|<|im_end|> " * 20_000
+    rows = [(c, 0, "system", "the same start") for c in range(400)]
+    rows += [(c, 1, "assistant", long if c == 7 else f"answer {c % 3}") for c in range(400)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    back = {r.conv_id: r for r in chat.read_back(chat.build(df)).collect()}
+    assert len(back) == 400
+    for c in (0, 1, 7, 399):
+        want = [("system", "the same start"), ("assistant", long if c == 7 else f"answer {c % 3}")]
+        assert [(t.role, t.text) for t in back[c].turns] == want and list(back[c].trained) == [want[1][1]]
+    nodes = chat.build(df).nodes
+    assert nodes.where("depth = 0").count() == 1 and nodes.where("depth = 1").count() == 4
