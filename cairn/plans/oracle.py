@@ -398,6 +398,11 @@ SELECT event_id, lag(value) OVER w AS previous, lead(event_id) OVER w AS next_id
 FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)""",
     "stream_tumbling_totals": _event_windows(6, 6),
     "stream_sliding_totals": _event_windows(24, 8),
+    "stream_user_sessions": f"""
+WITH g AS (SELECT *, coalesce(ts - lag(ts) OVER w > INTERVAL 5 HOUR, TRUE) AS opens FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+s AS (SELECT *, count(*) FILTER (WHERE opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS number FROM g)
+SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_events, {_round('SUM(value)', 2)} AS total
+FROM s GROUP BY user_id, number""",
     "persisted_reuse": f"""
 SELECT l_returnflag, COUNT(*) AS n, {_round('SUM(l_quantity)', 2)} AS quantity, COUNT(DISTINCT l_linestatus) AS n_status
 FROM lineitem WHERE l_discount > 0 GROUP BY l_returnflag""",

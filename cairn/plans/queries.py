@@ -32,6 +32,7 @@ from cairn.session import persisted, scratch_path
 from cairn.sources.files import read_typed_csv, split_write, write_stage
 from cairn.streaming.replay import (mean_from_running, read_complete, read_latest, replay_files, run_to_end,
                                     running_totals)
+from cairn.streaming.sessions import sessions
 from cairn.streaming.windows import windowed_totals, write_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -643,6 +644,27 @@ def stream_sliding_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_windows(spark, sf_dir, "24 hours", "8 hours")
 
 
+def stream_user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of each user, five hours of silence apart, over a replay in which every 25th event comes a batch late.
+
+    A last arrival a year on, of no user, moves the watermark behind all events, so that every session is closed.
+    """
+    events = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_id", "user_id", "value")
+    source = scratch_path(spark, "session-arrivals")
+    day = F.datediff(F.col("ts"), F.lit("2024-01-01"))
+    batches = write_arrivals(events, source, F.floor(day / 8) + (F.col("event_id") % 25 == 0).cast("int"))
+    events.agg((F.max("ts") + F.expr("interval 1 year")).alias("ts")).select(
+        "ts", *(F.lit(None).cast(events.schema[c].dataType).alias(c) for c in ("event_id", "user_id", "value"))
+    ).write.parquet(f"{source}/arrival_{batches:05d}")
+    stream = replay_files(spark, f"{source}/*", events.schema, fmt="parquet")
+    path = scratch_path(spark, "user-sessions")
+    run_to_end(sessions(stream, "user_id", "ts", "value", gap_seconds=5 * 3600, delay="17 days"),
+               f"user_sessions_{uuid.uuid4().hex[:8]}", mode="append", sink="table", path=path, state_partitions=4)
+    return spark.read.parquet(path).select(
+        "user_id", *(F.col(c).cast("timestamp_ntz").alias(c) for c in ("session_start", "session_end")),
+        F.col("count").alias("n_events"), rounded("total", 2).alias("total"))
+
+
 # ---------------------------------------------------------------- flagship recipe
 
 
@@ -722,4 +744,5 @@ QUERIES: dict[str, Query] = {
     "moving_event_stats": moving_event_stats,
     "stream_tumbling_totals": stream_tumbling_totals,
     "stream_sliding_totals": stream_sliding_totals,
+    "stream_user_sessions": stream_user_sessions,
 }
