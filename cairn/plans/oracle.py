@@ -173,6 +173,18 @@ SELECT window_start, event_type, count(*) AS count, {_round('SUM(value)', 2)} AS
 FROM w WHERE mark IS NULL OR window_start + INTERVAL {hours} HOUR > mark GROUP BY window_start, event_type"""
 
 
+_PAIRS = """
+WITH c AS (SELECT CASE WHEN c_nationkey % 5 <> 0 THEN c_nationkey END AS nation, c_custkey % 3 AS k FROM customer),
+s AS (SELECT CASE WHEN s_nationkey % 5 <> 0 THEN s_nationkey END AS nation, s_suppkey % 4 AS k FROM supplier)"""
+
+
+def _levels(source: str, keys: list[str], kind: str) -> str:
+    return f"""
+SELECT {", ".join(keys)}, CAST(GROUPING_ID({", ".join(keys)}) AS INTEGER) AS level, COUNT(*) AS n, COUNT(l_quantity) AS n_values,
+       {_round('SUM(l_quantity)', 2)} AS total, {_round('AVG(l_quantity)', 6)} AS mean, MIN(l_quantity) AS least, MAX(l_quantity) AS greatest
+FROM {source} GROUP BY {kind} ({", ".join(keys)})"""
+
+
 ORACLE: dict[str, str] = {
     "csv_typed_roundtrip": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "csv_permissive_nulls": """
@@ -403,6 +415,19 @@ WITH g AS (SELECT *, coalesce(ts - lag(ts) OVER w > INTERVAL 5 HOUR, TRUE) AS op
 s AS (SELECT *, count(*) FILTER (WHERE opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS number FROM g)
 SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_events, {_round('SUM(value)', 2)} AS total
 FROM s GROUP BY user_id, number""",
+    "cube_line_totals": _levels(
+        "(SELECT CASE WHEN l_linenumber < 7 THEN l_linenumber END AS l_linenumber, l_returnflag, l_linestatus, l_quantity FROM lineitem)",
+        ["l_returnflag", "l_linestatus", "l_linenumber"], "CUBE"),
+    "rollup_line_totals": _levels("lineitem", ["l_suppkey", "l_returnflag"], "ROLLUP"),
+    "merged_distinct_users": """
+SELECT event_type, COUNT(DISTINCT user_id) AS n_users, COUNT(user_id) AS n_events, TRUE AS within_bound FROM events GROUP BY event_type""",
+    "set_counts": _PAIRS + """
+SELECT nation, k, CAST(SUM(l) AS BIGINT) AS in_left, CAST(SUM(r) AS BIGINT) AS in_right
+FROM (SELECT nation, k, 1 AS l, 0 AS r FROM c UNION ALL SELECT nation, k, 0, 1 FROM s) GROUP BY nation, k""",
+    "intersect_all_rows": _PAIRS + " SELECT nation, k FROM c INTERSECT ALL SELECT nation, k FROM s",
+    "except_all_rows": _PAIRS + " SELECT nation, k FROM c EXCEPT ALL SELECT nation, k FROM s",
+    "intersect_rows": _PAIRS + " SELECT nation, k FROM c INTERSECT SELECT nation, k FROM s",
+    "except_rows": _PAIRS + " SELECT nation, k FROM s EXCEPT SELECT nation, k FROM c",
     "persisted_reuse": f"""
 SELECT l_returnflag, COUNT(*) AS n, {_round('SUM(l_quantity)', 2)} AS quantity, COUNT(DISTINCT l_linestatus) AS n_status
 FROM lineitem WHERE l_discount > 0 GROUP BY l_returnflag""",

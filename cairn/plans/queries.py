@@ -22,6 +22,8 @@ from cairn.functions.numeric import add_total, band, difference, mean_from_total
 from cairn.operators.aggregate import category_counts, frequency_topk
 from cairn.operators.cleaning import dedupe_first, fill_missing, replace_token
 from cairn.operators.combine import append_rows, lookup_enrich, outer_merge
+from cairn.operators.levels import (compare_tables, cube_sets, grouping_levels, merged_distinct, rollup_sets,
+                                    set_operation, sketch_table)
 from cairn.operators.prefix import durable
 from cairn.operators.ranking import rank_within, top_k
 from cairn.operators.stats import (anova_columns, anova_oneway, check_assumptions, pearson_matrix, pearson_test,
@@ -570,6 +572,68 @@ def pearson_no_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pearson_matrix(lines, ["l_quantity", "l_extendedprice", "l_discount"], by=["l_returnflag"], scale=6, missing="error")
 
 
+# ---------------------------------------------------------------- levels, sketches, sets
+
+
+def _levels(lines: DataFrame, sets: list[tuple[str, ...]]) -> DataFrame:
+    out = grouping_levels(lines, sets, "l_quantity")
+    return out.withColumns({"total": rounded("total", 2), "mean": rounded("mean", 6)})
+
+
+def cube_line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantities by return flag, line status and line number in all eight combinations; null keys told from totals."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") < 7, F.col("l_linenumber")).alias("l_linenumber"), "l_returnflag", "l_linestatus", "l_quantity")
+    return _levels(lines, cube_sets(["l_returnflag", "l_linestatus", "l_linenumber"]))
+
+
+def rollup_line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantities by supplier and return flag, by supplier, and over all."""
+    return _levels(table(spark, sf_dir, "lineitem"), rollup_sets(["l_suppkey", "l_returnflag"]))
+
+
+def merged_distinct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users by event type from sketches of each day, beside the exact number; is the estimate within its bound?"""
+    events = table(spark, sf_dir, "events")
+    daily = sketch_table(events.select(F.to_date("ts").alias("day"), "event_type", "user_id"), ["day", "event_type"], "user_id")
+    exact = events.groupBy("event_type").agg(F.count_distinct("user_id").alias("n_users"))
+    near = F.abs(F.col("n_distinct") - F.col("n_users")) <= F.greatest(F.lit(1.0), F.col("error") * F.col("n_users"))
+    return (merged_distinct(daily, ["event_type"]).join(exact, "event_type")
+            .select("event_type", "n_users", F.col("n").alias("n_events"), near.alias("within_bound")))
+
+
+def _status_pairs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Customers' (nation or null) rows and suppliers' rows, both with repeats."""
+    nation = lambda c: F.when(F.col(c) % 5 != 0, F.col(c)).alias("nation")
+    return (table(spark, sf_dir, "customer").select(nation("c_nationkey"), (F.col("c_custkey") % 3).alias("k")),
+            table(spark, sf_dir, "supplier").select(nation("s_nationkey"), (F.col("s_suppkey") % 4).alias("k")))
+
+
+def set_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often customers and suppliers hold each (nation, remainder) row."""
+    return compare_tables(*_status_pairs(spark, sf_dir))
+
+
+def intersect_all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that both hold, as often as the one that holds them less often."""
+    return set_operation(*_status_pairs(spark, sf_dir), "intersect", keep_all=True)
+
+
+def except_all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' rows less suppliers' rows, copy by copy."""
+    return set_operation(*_status_pairs(spark, sf_dir), "except", keep_all=True)
+
+
+def intersect_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct rows that both hold."""
+    return set_operation(*_status_pairs(spark, sf_dir), "intersect")
+
+
+def except_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct rows that suppliers hold and customers do not."""
+    return set_operation(*reversed(_status_pairs(spark, sf_dir)), "except")
+
+
 # ---------------------------------------------------------------- time
 
 
@@ -745,4 +809,12 @@ QUERIES: dict[str, Query] = {
     "stream_tumbling_totals": stream_tumbling_totals,
     "stream_sliding_totals": stream_sliding_totals,
     "stream_user_sessions": stream_user_sessions,
+    "cube_line_totals": cube_line_totals,
+    "rollup_line_totals": rollup_line_totals,
+    "merged_distinct_users": merged_distinct_users,
+    "set_counts": set_counts,
+    "intersect_all_rows": intersect_all_rows,
+    "except_all_rows": except_all_rows,
+    "intersect_rows": intersect_rows,
+    "except_rows": except_rows,
 }
