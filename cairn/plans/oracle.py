@@ -428,6 +428,19 @@ FROM (SELECT nation, k, 1 AS l, 0 AS r FROM c UNION ALL SELECT nation, k, 0, 1 F
     "except_all_rows": _PAIRS + " SELECT nation, k FROM c EXCEPT ALL SELECT nation, k FROM s",
     "intersect_rows": _PAIRS + " SELECT nation, k FROM c INTERSECT SELECT nation, k FROM s",
     "except_rows": _PAIRS + " SELECT nation, k FROM s EXCEPT SELECT nation, k FROM c",
+    "stream_click_purchases": """
+SELECT c.event_id AS c_id, p.event_id AS p_id, c.user_id FROM events c JOIN events p
+  ON p.user_id = c.user_id AND p.ts BETWEEN c.ts AND c.ts + INTERVAL 12 HOUR
+WHERE c.event_type = 'click' AND p.event_type = 'purchase'""",
+    "stream_first_events": """
+SELECT event_type, COUNT(*) AS n, CAST(SUM(event_id) AS BIGINT) AS ids FROM events GROUP BY event_type""",
+    "json_props": """
+WITH e AS (SELECT event_type, event_id % 40 = 0 OR event_id % 41 = 0 AS bad, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)
+SELECT event_type, COUNT(*) AS n, COUNT(k) FILTER (WHERE NOT bad) AS n_k, CAST(SUM(k) FILTER (WHERE NOT bad) AS BIGINT) AS sum_k,
+       COUNT(*) FILTER (WHERE bad) AS n_bad FROM e GROUP BY event_type""",
+    "json_keys": """
+SELECT key, COUNT(*) AS n, COUNT(DISTINCT value) AS n_values
+FROM (SELECT k AS key, json_extract_string(props, k) AS value FROM events, LATERAL (SELECT unnest(json_keys(props)) AS k)) GROUP BY key""",
     "persisted_reuse": f"""
 SELECT l_returnflag, COUNT(*) AS n, {_round('SUM(l_quantity)', 2)} AS quantity, COUNT(DISTINCT l_linestatus) AS n_status
 FROM lineitem WHERE l_discount > 0 GROUP BY l_returnflag""",

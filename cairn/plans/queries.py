@@ -32,6 +32,8 @@ from cairn.operators.temporal import as_of_join, frame, interval_join
 from cairn.plans.recipes import category_table
 from cairn.session import persisted, scratch_path
 from cairn.sources.files import read_typed_csv, split_write, write_stage
+from cairn.sources.nested import json_entries, parse_json
+from cairn.streaming.joins import bounded_stream_join, stream_distinct
 from cairn.streaming.replay import (mean_from_running, read_complete, read_latest, replay_files, run_to_end,
                                     running_totals)
 from cairn.streaming.sessions import sessions
@@ -729,6 +731,53 @@ def stream_user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("count").alias("n_events"), rounded("total", 2).alias("total"))
 
 
+def stream_click_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two replayed streams: each click with the purchases of its user in the twelve hours after it."""
+    events = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_id", "event_type", "user_id")
+    sides = []
+    for kind, tag in (("click", "c"), ("purchase", "p")):
+        source = scratch_path(spark, f"{kind}-arrivals")
+        part = events.where(F.col("event_type") == kind).select(
+            F.col("event_id").alias(f"{tag}_id"), F.col("user_id").alias(f"{tag}_user"), F.col("ts").alias(f"{tag}_ts"))
+        write_arrivals(part, source, F.floor(F.datediff(F.col(f"{tag}_ts"), F.lit("2024-01-01")) / 10))
+        sides.append(replay_files(spark, f"{source}/*", part.schema, fmt="parquet"))
+    joined = bounded_stream_join(*sides, on=[("c_user", "p_user")], times=("c_ts", "p_ts"), within="12 hours",
+                                 delays=("11 days", "11 days"))
+    path = scratch_path(spark, "click-purchases")
+    run_to_end(joined, f"click_purchases_{uuid.uuid4().hex[:8]}", mode="append", sink="table", path=path, state_partitions=4)
+    return spark.read.parquet(path).select("c_id", "p_id", F.col("c_user").alias("user_id"))
+
+
+def stream_first_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that arrive twice, a batch apart, counted once per event by a bounded memory of their ids."""
+    events = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_id", "event_type")
+    source = scratch_path(spark, "repeated-arrivals")
+    batch = F.floor(F.datediff(F.col("ts"), F.lit("2024-01-01")) / 10)
+    twice = events.withColumn("b", batch).unionByName(events.where("event_id % 7 = 0").withColumn("b", batch + 1))
+    write_arrivals(twice, source, F.col("b"))
+    stream = replay_files(spark, f"{source}/*", twice.schema, fmt="parquet")
+    path = scratch_path(spark, "first-events")
+    run_to_end(stream_distinct(stream, ["event_id"], "ts", "31 days"), f"first_events_{uuid.uuid4().hex[:8]}", mode="append",
+               sink="table", path=path, state_partitions=4)
+    return spark.read.parquet(path).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+
+
+def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event properties by a declared schema; every 40th text is cut short and every 41st holds a word: kept and counted."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", F.when(
+        F.col("event_id") % 40 == 0, F.expr("substr(props, 1, length(props) - 1)")).when(
+        F.col("event_id") % 41 == 0, F.lit('{"k": "many"}')).otherwise(F.col("props")).alias("props"))
+    read = parse_json(events, "props", StructType([StructField("k", LongType())]))
+    return read.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.count("k").alias("n_k"), F.sum("k").alias("sum_k"), F.count("_bad_json").alias("n_bad"))
+
+
+def json_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the event properties, whatever they are, with their numbers of rows and distinct values."""
+    entries = json_entries(table(spark, sf_dir, "events").select("props"), "props")
+    return entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("value").alias("n_values"))
+
+
 # ---------------------------------------------------------------- flagship recipe
 
 
@@ -809,6 +858,10 @@ QUERIES: dict[str, Query] = {
     "stream_tumbling_totals": stream_tumbling_totals,
     "stream_sliding_totals": stream_sliding_totals,
     "stream_user_sessions": stream_user_sessions,
+    "stream_click_purchases": stream_click_purchases,
+    "stream_first_events": stream_first_events,
+    "json_props": json_props,
+    "json_keys": json_keys,
     "cube_line_totals": cube_line_totals,
     "rollup_line_totals": rollup_line_totals,
     "merged_distinct_users": merged_distinct_users,
