@@ -67,7 +67,7 @@ def rank_within(df: DataFrame, partition_by: Sequence[str], order_col: str, asce
         w = Window.partitionBy(*part).orderBy(order)
         value = F.row_number().over(w) if method == "dense" else F.coalesce(
             F.sum("_mult").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1
-        few = F.broadcast(pairs.select(*part, order_col, value.cast("bigint").alias(name)))
+        few = F.broadcast(durable(pairs.select(*part, order_col, value.cast("bigint").alias(name))))
         return null_safe_join(df.drop(name) if name in df.columns else df, few, [*part, order_col], how="left")
     placed = grouped_prefix(pairs, [order], group=part, sums={"_before": "_mult"}, index="_dense", width=num_partitions)
     value = F.col("_dense") if method == "dense" else F.col("_before")
