@@ -36,7 +36,7 @@ from cairn.sources.nested import json_entries, parse_json
 from cairn.streaming.joins import bounded_stream_join, stream_distinct
 from cairn.streaming.replay import (mean_from_running, read_complete, read_latest, replay_files, run_to_end,
                                     running_totals)
-from cairn.streaming.sessions import sessions
+from cairn.streaming.sessions import BUCKETS, sessions
 from cairn.streaming.windows import windowed_totals, write_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -724,8 +724,10 @@ def stream_user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).write.parquet(f"{source}/arrival_{batches:05d}")
     stream = replay_files(spark, f"{source}/*", events.schema, fmt="parquet")
     path = scratch_path(spark, "user-sessions")
-    run_to_end(sessions(stream, "user_id", "ts", "value", gap_seconds=5 * 3600, delay="17 days"),
-               f"user_sessions_{uuid.uuid4().hex[:8]}", mode="append", sink="table", path=path, state_partitions=4)
+    buckets = max(BUCKETS, events.count() // 100_000)
+    run_to_end(sessions(stream, "user_id", "ts", "value", gap_seconds=5 * 3600, delay="17 days", buckets=buckets),
+               f"user_sessions_{uuid.uuid4().hex[:8]}", mode="append", sink="table", path=path,
+               state_partitions=max(4, min(buckets, spark.sparkContext.defaultParallelism)))
     return spark.read.parquet(path).select(
         "user_id", *(F.col(c).cast("timestamp_ntz").alias(c) for c in ("session_start", "session_end")),
         F.col("count").alias("n_events"), rounded("total", 2).alias("total"))
