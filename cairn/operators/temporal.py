@@ -16,7 +16,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from cairn.operators.prefix import grouped_carry, grouped_prefix
+from cairn.operators.prefix import grouped_carry, grouped_prefix, task_count
+
+#: An interval join of more pairs a row is dealt out by its pairs: so many a task, into so many tasks and parts of a bucket at most.
+PAIRS_A_ROW, PAIRS_A_TASK, MOST_TASKS, MOST_PARTS = 32, 32_000_000, 4_096, 16
 
 
 def as_of_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], times: tuple[str, str],
@@ -63,6 +66,22 @@ def _level(length: Column) -> Column:
     return F.length(F.bin(length)).cast("int")
 
 
+def _pair_tasks(placed: DataFrame, counts: dict[int, int], keys: Sequence[str]) -> tuple[int, dict[int, int]]:
+    """Tasks for an interval join (``counts``: intervals by size) and, by size, the parts of a bucket's intervals.
+
+    Points are taken to lie evenly over their time and keys, and an interval to meet two buckets.  One task: few pairs.
+    """
+    distinct = F.approx_count_distinct(F.struct(*(F.col(k) for k in keys))) if keys else F.lit(1)
+    n, low, high, groups = placed.agg(F.count(F.lit(1)), F.min("__at"), F.max("__at"), distinct).first()
+    pairs, parts = 0.0, {}
+    for size, count in counts.items():
+        share = min(1.0, 2 ** size / (high - low + 1)) / max(groups, 1) if n else 0.0  # of the points, in a bucket
+        pairs += n * share * 2 * count
+        parts[size] = min(1 + int(n * share * 2 * count * share / PAIRS_A_TASK), MOST_PARTS)
+    sparse = pairs <= PAIRS_A_ROW * (n + sum(counts.values()))
+    return 1 if sparse else min(1 + int(pairs / PAIRS_A_TASK), MOST_TASKS), parts
+
+
 def interval_join(points: DataFrame, intervals: DataFrame, at: str, bounds: tuple[str, str],
                   on: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """Every (point, interval) pair with ``start <= at <= end`` and equal keys; the columns of both tables.
@@ -73,6 +92,12 @@ def interval_join(points: DataFrame, intervals: DataFrame, at: str, bounds: tupl
     long table makes a nested loop, and rows are repeated twice and as often as there are sizes.  A crowded bucket is an
     ordinary skewed join key, which AQE splits.
 
+    Where few rows make many pairs, tasks cut by the rows' bytes would be few and uneven.  So the pairs to compare are
+    estimated (from counts and the points' span, one aggregate of each table), and if they are many to a row and ask for
+    more tasks than there are cores, both tables are dealt into as many.  A bucket of more pairs than a task should have
+    is then dealt out too: its intervals by their hash, its points to each part.  The estimate decides on these numbers
+    only, on no pair.
+
     ``at`` and the bounds are whole numbers, dates or timestamps (compared by microseconds).  Null keys, points and bounds
     match nothing, and neither does an interval that ends before it starts.  The tables' column names must differ.
     """
@@ -84,13 +109,25 @@ def interval_join(points: DataFrame, intervals: DataFrame, at: str, bounds: tupl
     low, high = (number(intervals, c) for c in bounds)
     spans = (intervals.withColumns({"__low": low, "__high": high}).where("__low <= __high")
              .withColumn("__size", _level(F.col("__high") - F.col("__low"))))
-    sizes = sorted(r[0] for r in spans.select("__size").distinct().collect())  # exponents: 64 at most
+    counts = dict(spans.groupBy("__size").count().collect())  # exponents: 64 at most
+    sizes = sorted(counts)
     bucket = lambda v, size: F.call_function("shiftright", v, size)
     first, last = bucket(F.col("__low"), F.col("__size")), bucket(F.col("__high"), F.col("__size"))
     spans = spans.withColumn("__bucket", F.explode(F.array_distinct(F.array(first, last))))
-    each = F.explode(F.array(*(F.lit(s) for s in sizes)).cast("array<int>"))
-    dots = (points.withColumn("__at", number(points, at)).where("__at is not null").withColumn("__psize", each)
-            .withColumn("__pbucket", bucket(F.col("__at"), F.col("__psize"))))
+    placed = points.withColumn("__at", number(points, at)).where("__at is not null")
+    width, parts = _pair_tasks(placed, counts, [p for p, _ in on])
+    crowded = width > points.sparkSession.sparkContext.defaultParallelism
+    dealt = [size + 64 * part for size in sizes for part in range(parts[size] if crowded else 1)]  # sizes are below 64
+    if crowded:
+        drawn = F.xxhash64(*(f"`{f.name}`" for f in intervals.schema if "map<" not in f.dataType.simpleString()))
+        many = F.element_at(F.create_map(*(F.lit(v) for item in parts.items() for v in item)), F.col("__size"))
+        spans = spans.withColumn("__size", (F.col("__size") + 64 * F.pmod(drawn, many)).cast("int"))
+    each = F.explode(F.array(*(F.lit(s) for s in dealt)).cast("array<int>"))
+    dots = placed.withColumn("__psize", each).withColumn("__pbucket", bucket(F.col("__at"), F.col("__psize") % 64))
+    if crowded:
+        width = max(width, task_count(points.sparkSession))
+        dots = dots.repartition(width, "__psize", "__pbucket", *(p for p, _ in on))
+        spans = spans.repartition(width, "__size", "__bucket", *(i for _, i in on))
     same = (F.col("__psize") == F.col("__size")) & (F.col("__pbucket") == F.col("__bucket"))
     for p, i in on:
         same = same & (F.col(p) == F.col(i))

@@ -87,6 +87,26 @@ def test_interval_join_against_a_loop(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize("keyed", [True, False])
+def test_interval_join_deals_out_crowded_buckets(spark, monkeypatch, keyed):
+    from cairn.operators import temporal
+
+    monkeypatch.setattr(temporal, "PAIRS_A_ROW", 0)
+    monkeypatch.setattr(temporal, "PAIRS_A_TASK", 500)
+    rng = random.Random(5)
+    points = [(i, rng.choice([None, *[rng.randint(0, 1_000)] * 9]), rng.choice(["a", "b", None])) for i in range(400)]
+    spans = [(i, low, low + rng.choice([-1, 0, 3, 60, 60, 60, 500]), rng.choice(["a", "b", None])) for i, low in
+             ((i, rng.choice([None, *[rng.randint(-100, 1_000)] * 9])) for i in range(300)) if low is not None] * 2
+    df = interval_join(spark.createDataFrame(points, "p long, at long, k string"),
+                       spark.createDataFrame(spans, "s long, low long, high long, q string"), "at", ("low", "high"),
+                       on=[("k", "q")] if keyed else [])
+    plain = plain_interval(points, spans) if keyed else plain_interval(
+        [(p, a, 0) for p, a, _ in points], [(s, low, high, 0) for s, low, high, _ in spans])
+    assert rows(df, "p", "s") == sorted(plain, key=repr)
+    by_task = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(by_task) > 16 and max(by_task) < len(plain) / 4  # four tasks before, however many pairs
+
+
 def test_interval_join_of_times_without_keys(spark):
     day = datetime(2024, 1, 1)
     points = spark.createDataFrame([(k, day + timedelta(hours=k)) for k in range(100)], "p long, at timestamp")
